@@ -48,14 +48,14 @@ def parse_text_date(c: Column, strict: bool = False) -> Column:
     """
     to_date = F.to_date if strict else F.try_to_date
     dmy = F.regexp_replace(c, r"[./]", "-")
-    return (F.when(c.rlike(_ISO_STRICT), to_date(c, F.lit("yyyy-MM-dd")))
-            .when(c.rlike(_DMY_ANY_SEP), to_date(dmy, F.lit("d-M-yyyy"))))
+    return (F.when(c.rlike(_ISO_STRICT), to_date(c, "yyyy-MM-dd"))
+            .when(c.rlike(_DMY_ANY_SEP), to_date(dmy, "d-M-yyyy")))
 
 
 def parse_month_key(c: Column) -> Column:
     """``MM_YYYY`` month key to the first day of that month, else NULL."""
     return F.when(c.rlike(_MONTH_KEY),
-                  F.try_to_date(F.concat(F.lit("01_"), c), F.lit("dd_MM_yyyy")))
+                  F.try_to_date(F.concat(F.lit("01_"), c), "dd_MM_yyyy"))
 
 
 def month_start(c: Column) -> Column:

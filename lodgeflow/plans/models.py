@@ -33,7 +33,7 @@ from lodgeflow.operators.history import (
     with_version_key,
 )
 from lodgeflow.operators.kpi import host_months, listing_months, monthly_kpis
-from lodgeflow.operators.ranking import dedupe
+from lodgeflow.operators.ranking import first_per_key
 
 # Mart horizon on the driver tables: the twelve months ending at the newest
 # scrape month (orders end 2001-08). The reference uses 2020-05 .. 2021-04.
@@ -128,14 +128,21 @@ def snap_listing(stg: DataFrame) -> DataFrame:
 
 def host_rows(stg: DataFrame) -> DataFrame:
     """Host observations: area fallback + normalisation (B8-B10), one row per
-    (host, day) with the lowest listing id winning (F1, K3)."""
+    (host, day) with the lowest listing id winning (F1, K3).
+
+    Hosts can be hot keys (one host may own a large share of listings), so
+    the dedup is an aggregate: map-side combine collapses a host's rows to
+    one per day in every task before anything is shuffled.
+    """
     base = stg.filter(F.col("host_id").isNotNull() & F.col("scraped_date").isNotNull())
     area = collapse_ws(first_non_null(blank_to_null(F.col("host_neighbourhood")),
                                       blank_to_null(F.col("listing_neighbourhood"))))
-    norm = base.select("host_id", "host_name", "host_is_superhost",
-                       area.alias("host_neighbourhood"), "scraped_date", "listing_id")
-    return dedupe(norm, ["host_id", "scraped_date"], [F.col("listing_id").asc_nulls_last()]
-                  ).drop("listing_id")
+    attrs = F.struct(F.col("host_name"), F.col("host_is_superhost"),
+                     area.alias("host_neighbourhood"))
+    picked = base.groupBy("host_id", "scraped_date").agg(
+        F.min_by(attrs, F.col("listing_id")).alias("_a"))
+    return picked.select("host_id", "_a.host_name", "_a.host_is_superhost",
+                         "_a.host_neighbourhood", "scraped_date")
 
 
 def snap_host(stg: DataFrame) -> DataFrame:
@@ -164,7 +171,8 @@ def dim_snap_host(snap: DataFrame, boundary: str = "overlap") -> DataFrame:
 def dim_listing_monthly(stg: DataFrame) -> DataFrame:
     """Monthly listing fact, newest scrape per (listing, month)."""
     rows = stg.filter(F.col("month_date").isNotNull() & F.col("listing_id").isNotNull())
-    newest = dedupe(rows, ["listing_id", "month_date"], [F.col("scraped_date").desc_nulls_last()])
+    newest = first_per_key(rows, "listing_id", ["month_date"],
+                           [F.col("scraped_date").desc_nulls_last()])
     return newest.select(
         "listing_id", "host_id", "month_date", "has_availability", "availability_30",
         zero_to_null(F.col("price")).alias("price"),

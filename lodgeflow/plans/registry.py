@@ -9,8 +9,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lodgeflow.functions import ratio
+from lodgeflow.operators.history import month_validity, scd2_apply, scd2_check
+from lodgeflow.operators.lookup import resolve_lookup
+from lodgeflow.operators.quality import (
+    check_freshness,
+    check_not_null,
+    check_reference,
+    check_unique,
+)
+from lodgeflow.operators.temporal import asof_month_join, expand_months, last_n_months
+from lodgeflow.plans import analyses as A
+from lodgeflow.plans import models as M
 from lodgeflow.plans.context import Domain
+from lodgeflow.session import scratch_path
+from lodgeflow.sources import driver_tables as D
+from lodgeflow.sources import sinks
+from lodgeflow.sources.csv_ingest import (
+    align_columns,
+    assert_width,
+    blank_as_null,
+    clean_fact_text,
+    split_valid,
+)
+from lodgeflow.sources.schemas import LISTING_SCHEMA
+from lodgeflow.streaming.ingest import (
+    SnapshotTable,
+    month_file_stream,
+    stream_months,
+    stream_snapshot,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +66,312 @@ def kpi_property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("kpi_host_area")
 def kpi_host_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Domain(spark, sf_dir).mart("host_neighbourhood")
+
+
+# ------------------------------------------------------------------ analyses
+@register("top_bottom_bands")
+def top_bottom_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.top_bottom_bands(Domain(spark, sf_dir))
+
+
+@register("age_revenue_corr")
+def age_revenue_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.age_revenue_corr(Domain(spark, sf_dir))
+
+
+@register("best_combo_per_area")
+def best_combo_per_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.best_combo_per_area(Domain(spark, sf_dir))
+
+
+@register("host_concentration")
+def host_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.host_concentration(Domain(spark, sf_dir))
+
+
+@register("host_cost_cover")
+def host_cost_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.host_cost_cover(Domain(spark, sf_dir))
+
+
+# ------------------------------------------------------------ history / time
+@register("scd2_timestamp")
+def scd2_timestamp_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Domain(spark, sf_dir).dim_listing.select(
+        "listing_id", "scraped_date", "listing_version_sk", "dbt_valid_from", "dbt_valid_to",
+        "is_current")
+
+
+@register("scd2_check")
+def scd2_check_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Domain(spark, sf_dir).dim_host.select(
+        "host_id", "host_name", "host_is_superhost", "host_neighbourhood", "host_version_sk",
+        "dbt_valid_from", "dbt_valid_to", "is_current")
+
+
+@register("scd2_hard_delete")
+def scd2_hard_delete_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the newest month as one batch with hard-delete closing."""
+    rows = M.host_rows(Domain(spark, sf_dir).stg)
+    newest = F.broadcast(rows.agg(F.trunc(F.max("scraped_date"), "month").alias("_m")))
+    tagged = rows.crossJoin(newest)
+    before = tagged.filter(F.col("scraped_date") < F.col("_m")).drop("_m")
+    batch = tagged.filter(F.col("scraped_date") >= F.col("_m")).drop("_m")
+    current = scd2_check(before, "host_id", "scraped_date", M.HOST_CHECK_COLUMNS)
+    out = scd2_apply(current, batch, "host_id", "scraped_date", M.HOST_CHECK_COLUMNS,
+                     close_missing=True)
+    return out.select("host_id", "scraped_date", "host_neighbourhood", "dbt_valid_from",
+                      "dbt_valid_to")
+
+
+@register("scd2_apply_batches")
+def scd2_apply_batches_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 property: three successive applies equal the closed form (K2).
+
+    The snapshot is checkpointed after each apply (to the shared checkpoint
+    folder) so the lineage does not grow with the number of batches.
+    """
+    rows = M.host_rows(Domain(spark, sf_dir).stg)
+    cuts = ["1997-01-01", "1999-01-01"]
+    snap = None
+    lo = None
+    for hi in cuts + [None]:
+        cond = F.lit(True)
+        if lo:
+            cond = cond & (F.col("scraped_date") >= F.lit(lo).cast("date"))
+        if hi:
+            cond = cond & (F.col("scraped_date") < F.lit(hi).cast("date"))
+        snap = scd2_apply(snap, rows.filter(cond), "host_id", "scraped_date",
+                          M.HOST_CHECK_COLUMNS)
+        snap = snap.checkpoint(eager=True)
+        lo = hi
+    return snap.select("host_id", "host_name", "host_is_superhost", "host_neighbourhood",
+                       "dbt_valid_from", "dbt_valid_to")
+
+
+@register("month_validity")
+def month_validity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Domain(spark, sf_dir)
+    half = month_validity(M.snap_listing(d.stg), boundary="half_open")
+    return half.select("listing_id", "dbt_valid_from", "valid_from_month",
+                       F.col("valid_to_month").alias("half_open_to_month"),
+                       F.when(F.col("dbt_valid_to").isNotNull(),
+                              F.add_months(F.col("valid_to_month"), 1))
+                       .alias("valid_to_month"), "is_current")
+
+
+@register("month_expand")
+def month_expand_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Domain(spark, sf_dir)
+    lo, hi = d.horizon
+    return expand_months(d.dim_listing, lo, hi).select("listing_id", "dbt_valid_from",
+                                                      "month_start")
+
+
+@register("asof_month_join")
+def asof_month_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Domain(spark, sf_dir)
+    fa = asof_month_join(d.fact.select("listing_id", "month_date", "stays"),
+                         d.dim_listing.select("listing_id", "listing_version_sk",
+                                              "valid_from_month", "valid_to_month"),
+                         "listing_id", "month_date")
+    return fa.select("listing_id", "month_date", "stays", "listing_version_sk")
+
+
+@register("trailing_window")
+def trailing_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Domain(spark, sf_dir)
+    return last_n_months(d.fact.select("listing_id", "host_id", "month_date", "stays"),
+                         "month_date", 12)
+
+
+@register("kpi_neighbourhood_half_open")
+def kpi_neighbourhood_half_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 option: each month counted once, in the last version begun by then."""
+    return Domain(spark, sf_dir, boundary="half_open").mart("neighbourhood")
+
+
+@register("pct_change_lag")
+def pct_change_lag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Domain(spark, sf_dir).mart("property_type", extra=True)
+    return m.select("property_type", "month_start", "listings_active", "listings_inactive",
+                    "pct_change_active", "pct_change_inactive")
+
+
+@register("filtered_aggs")
+def filtered_aggs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FILTER-style aggregates per month of the fact."""
+    f = Domain(spark, sf_dir).fact
+    act = F.coalesce(F.col("has_availability"), F.lit(False))
+    priced = act & F.col("price").isNotNull()
+    return f.groupBy("month_date").agg(
+        F.count(F.lit(1)).alias("listings"),
+        F.count_if(act).alias("listings_active"),
+        F.count_distinct(F.when(act, F.col("host_id"))).alias("hosts_active"),
+        F.min(F.when(priced, F.col("price"))).cast("double").alias("min_price_active"),
+        F.max(F.when(priced, F.col("price"))).cast("double").alias("max_price_active"),
+        F.round(F.percentile(F.when(priced, F.col("price").cast("double")), F.lit(0.5)), 6)
+        .alias("median_price_active"),
+        ratio(F.sum(F.when(priced, F.col("price"))), F.count(F.when(priced, F.lit(1))))
+        .alias("avg_price_active"))
+
+
+@register("monthly_fact")
+def monthly_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = Domain(spark, sf_dir).fact
+    return f.withColumn("price", F.col("price").cast("double"))
+
+
+@register("lookup_resolve")
+def lookup_resolve_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Domain(spark, sf_dir)
+    rows = d.stg.select("listing_id", "scraped_date", "listing_neighbourhood")
+    return resolve_lookup(rows, "listing_neighbourhood", d.lookup)
+
+
+# ------------------------------------------------------------------- silver
+@register("stg_listing_clean")
+def stg_listing_clean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze text -> loader clean -> key guard -> silver typing, whole table."""
+    obs = D.listing_observations(spark, sf_dir)
+    loaded = clean_fact_text(D.bronze_listing_text(obs))
+    valid, _ = split_valid(loaded, ["LISTING_ID", "SCRAPED_DATE"])
+    stg = M.stg_listing(blank_as_null(valid))
+    return stg.select("listing_id", "scrape_id", "host_id", "scraped_date", "host_is_superhost",
+                      "has_availability", "listing_neighbourhood", "host_neighbourhood",
+                      "property_type", F.col("price").cast("double").alias("price"),
+                      "availability_30",
+                      F.col("review_scores_rating").cast("double").alias("review_scores_rating"),
+                      "month_date")
+
+
+@register("pk_guard")
+def pk_guard_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows dropped for a blank natural key after date normalisation."""
+    obs = D.listing_observations(spark, sf_dir)
+    loaded = clean_fact_text(D.bronze_listing_text(obs))
+    _, bad = split_valid(loaded, ["LISTING_ID", "SCRAPED_DATE"])
+    return bad.select(F.col("LISTING_ID").cast("bigint").alias("listing_id"),
+                      F.col("SCRAPE_ID").cast("bigint").alias("scrape_id"),
+                      F.col("MONTH_YEAR").alias("month_year"))
+
+
+@register("align_columns")
+def align_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: a file lacking REVIEW_SCORES_VALUE and carrying EXTRA, aligned to bronze."""
+    raw = D.bronze_listing_text(D.listing_observations(spark, sf_dir))
+    incoming = raw.drop("REVIEW_SCORES_VALUE").withColumn("EXTRA", F.lit("x")) \
+        .withColumnRenamed("PROPERTY_TYPE", "property_type")
+    aligned = assert_width(align_columns(incoming, LISTING_SCHEMA), len(LISTING_SCHEMA))
+    return aligned.select(F.col("LISTING_ID").cast("bigint").alias("listing_id"),
+                          F.col("SCRAPE_ID").cast("bigint").alias("scrape_id"),
+                          "PROPERTY_TYPE", "REVIEW_SCORES_VALUE", "MONTH_YEAR")
+
+
+@register("key_normalise")
+def key_normalise_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census keys ('LGA10001') normalised to 5 digits meet the LGA codes."""
+    d = Domain(spark, sf_dir)
+    return (d.g01.select("LGA_CODE_2016", "Tot_P_P")
+            .join(d.dim_lga, F.col("LGA_CODE_2016") == F.col("lga_code"), "left")
+            .select("LGA_CODE_2016", "lga_name", "Tot_P_P"))
+
+
+@register("census_g02")
+def census_g02_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = Domain(spark, sf_dir).g02
+    return g.select("LGA_CODE_2016", "Median_age_persons",
+                    F.col("Median_mortgage_repay_monthly").cast("double")
+                    .alias("Median_mortgage_repay_monthly"),
+                    F.col("annual_median_mortgage").cast("double").alias("annual_median_mortgage"),
+                    "Average_household_size")
+
+
+@register("dim_suburb_lga")
+def dim_suburb_lga_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Domain(spark, sf_dir)
+    return d.dim_suburb.join(d.dim_lga, "lga_name").select("suburb_name", "lga_name", "lga_code")
+
+
+# ------------------------------------------------------------------ quality
+@register("unique_violations")
+def unique_violations_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = D.read_table(spark, sf_dir, "lineitem")
+    return check_unique(li, ["l_orderkey", "l_linenumber"])
+
+
+@register("not_null_violations")
+def not_null_violations_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = Domain(spark, sf_dir).stg
+    return check_not_null(stg, ["listing_id", "host_id", "price", "has_availability",
+                                "review_scores_rating", "host_neighbourhood", "scraped_date"])
+
+
+@register("referential_integrity")
+def referential_integrity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing areas that are not a known suburb, with their row counts."""
+    d = Domain(spark, sf_dir)
+    bad = check_reference(d.stg, d.dim_suburb, "listing_neighbourhood", "suburb_name")
+    return bad.groupBy("listing_neighbourhood").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("freshness")
+def freshness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_freshness(Domain(spark, sf_dir).stg, "scraped_date", ["listing_neighbourhood"],
+                           max_age_days=31)
+
+
+# ------------------------------------------------------------ sinks/stream
+@register("month_guard_load")
+def month_guard_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load early months, then re-deliver everything; each month lands once."""
+    obs = D.listing_observations(spark, sf_dir).select(
+        "listing_id", "scraped_date", sinks.month_key(F.col("scraped_date")).alias("MONTH_YEAR"))
+    path = scratch_path(spark, "month-guard")
+    sinks.load_month_if_absent(spark, obs.filter(F.col("scraped_date") < "1998-01-01"), path)
+    sinks.load_month_if_absent(spark, obs, path)
+    return spark.read.parquet(path).select("listing_id", "scraped_date",
+                                           F.col("MONTH_YEAR").alias("month_year"))
+
+
+def _stage_month_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write the raw listing text as CSV, one folder per month (stream input)."""
+    src = scratch_path(spark, "month-files")
+    raw = D.bronze_listing_text(D.listing_observations(spark, sf_dir))
+    raw.write.partitionBy("MONTH_YEAR").options(header="true", quote='"', escape='"').csv(src)
+    return src
+
+
+@register("stream_month_ingest")
+def stream_month_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: month files streamed once into the raw table, then typed to silver."""
+    src = _stage_month_files(spark, sf_dir)
+    sink = scratch_path(spark, "bronze-listing")
+    q = stream_months(spark, src, scratch_path(spark, "ckpt-ingest"), sink)
+    q.awaitTermination()
+    stg = M.stg_listing(spark.read.parquet(sink))
+    return stg.select("listing_id", "scrape_id", "host_id", "scraped_date", "host_is_superhost",
+                      "has_availability", "listing_neighbourhood", "host_neighbourhood",
+                      "property_type", F.col("price").cast("double").alias("price"),
+                      "availability_30",
+                      F.col("review_scores_rating").cast("double").alias("review_scores_rating"),
+                      "month_date")
+
+
+@register("stream_scd2_apply")
+def stream_scd2_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: the streamed month files applied to the host snapshot per micro-batch."""
+    src = _stage_month_files(spark, sf_dir)
+    table = SnapshotTable(spark, scratch_path(spark, "snap-host"))
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        cleaned = clean_fact_text(batch)
+        valid, _ = split_valid(cleaned, ["LISTING_ID", "SCRAPED_DATE"])
+        return M.host_rows(M.stg_listing(blank_as_null(valid)))
+
+    q = stream_snapshot(spark, month_file_stream(spark, src), table, to_rows, "host_id",
+                        "scraped_date", scratch_path(spark, "ckpt-snap"),
+                        check_cols=M.HOST_CHECK_COLUMNS)
+    q.awaitTermination()
+    return table.current().select("host_id", "host_name", "host_is_superhost",
+                                  "host_neighbourhood", "dbt_valid_from", "dbt_valid_to")

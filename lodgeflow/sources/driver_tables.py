@@ -20,9 +20,11 @@ Mapping (listing = customer, scrape = order):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodgeflow.operators.ranking import first_per_key
+
 # Census G01 age bands (person counts), in the order the
 # analyses read them.
 AGE_BANDS = (
@@ -81,11 +83,9 @@ def listing_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(okey % 13 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("host_area"),
         okey.alias("scrape_id"),
     )
-    # Newest order per (listing, day). Partitioned by the listing key, which the
-    # later per-listing history windows reuse.
-    w = Window.partitionBy("listing_id", "scraped_date").orderBy(F.col("scrape_id").desc())
-    return (rows.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1).drop("_rn"))
+    # Newest order per (listing, day), by a window partitioned on the listing
+    # key alone: the per-listing history and monthly fact reuse that shuffle.
+    return first_per_key(rows, "listing_id", ["scraped_date"], [F.col("scrape_id").desc()])
 
 
 def bronze_lga_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,3 +164,55 @@ def bronze_census_g02(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("LGA"), (F.col("n_regionkey") + LGA_CODE_BASE).cast("string"))
         .alias("LGA_CODE_2016"),
         *[c for c in agg.columns if c != "n_regionkey"])
+
+
+def bronze_listing_text(obs: DataFrame) -> DataFrame:
+    """Raw listing rows as the monthly files would carry them (all text).
+
+    Dates use one of three layouts by ``scrape_id % 3`` (``yyyy-MM-dd``,
+    ``d/M/yyyy``, ``dd.MM.yyyy``); every 17th scrape has an unreadable date
+    (``n/a``, quarantined by the key guard) and every 19th an impossible one
+    (``31-02-yyyy``: accepted by the loader, NULL in silver). Prices carry
+    ``$`` and thousands separators, flags use mixed spellings, area names
+    mixed case and padding.
+    """
+    sid, d = F.col("scrape_id"), F.col("scraped_date")
+    layout = (F.when(sid % 3 == 0, F.date_format(d, "yyyy-MM-dd"))
+              .when(sid % 3 == 1, F.date_format(d, "d/M/yyyy"))
+              .otherwise(F.date_format(d, "dd.MM.yyyy")))
+    date_text = (F.when(sid % 17 == 0, F.lit("n/a"))
+                 .when(sid % 19 == 0, F.concat(F.lit("31-02-"), F.year(d).cast("string")))
+                 .otherwise(layout))
+
+    def flag(c):
+        yes = F.when(sid % 2 == 0, F.lit("t")).otherwise(F.lit("Yes"))
+        no = F.when(sid % 2 == 0, F.lit("f")).otherwise(F.lit("No"))
+        return F.when(c, yes).when(~c, no).otherwise(F.lit(""))
+
+    def text(c):
+        return F.coalesce(c.cast("string"), F.lit(""))
+
+    return obs.select(
+        text(F.col("listing_id")).alias("LISTING_ID"),
+        text(sid).alias("SCRAPE_ID"),
+        date_text.alias("SCRAPED_DATE"),
+        text(F.col("host_id")).alias("HOST_ID"),
+        text(F.col("host_name")).alias("HOST_NAME"),
+        F.lit("").alias("HOST_SINCE"),
+        flag(F.col("is_superhost")).alias("HOST_IS_SUPERHOST"),
+        text(F.col("host_area")).alias("HOST_NEIGHBOURHOOD"),
+        F.concat(F.lit("  "), F.lower(F.col("neighbourhood")), F.lit(" ")).alias(
+            "LISTING_NEIGHBOURHOOD"),
+        text(F.col("property_type")).alias("PROPERTY_TYPE"),
+        text(F.col("room_type")).alias("ROOM_TYPE"),
+        text(F.col("accommodates")).alias("ACCOMMODATES"),
+        F.when(F.col("price").isNull(), F.lit("")).otherwise(
+            F.concat(F.lit("$"), F.format_number(F.col("price"), 2))).alias("PRICE"),
+        flag(F.col("has_availability")).alias("HAS_AVAILABILITY"),
+        text(F.col("availability_30")).alias("AVAILABILITY_30"),
+        text(F.col("number_of_reviews")).alias("NUMBER_OF_REVIEWS"),
+        text(F.col("rating")).alias("REVIEW_SCORES_RATING"),
+        *[F.lit("").alias(f"REVIEW_SCORES_{s}") for s in
+          ("ACCURACY", "CLEANLINESS", "CHECKIN", "COMMUNICATION", "VALUE")],
+        F.date_format(d, "MM_yyyy").alias("MONTH_YEAR"),
+    )

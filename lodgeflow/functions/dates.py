@@ -21,21 +21,16 @@ def iso_text_dayfirst(c: Column) -> Column:
 
     Separators ``.`` and ``/`` count as ``-``; ``Y-m-d`` and ``d-m-Y`` are
     accepted, fields are zero-padded, and only ``1<=M<=12`` and ``1<=D<=31`` are
-    checked (so ``31-02-2020`` passes here and is rejected later).
+    checked (so ``31-02-2020`` passes here and is rejected later). ``d-m-Y`` is
+    first rewritten to ``Y-m-d`` so one split serves both layouts.
     """
     s = F.regexp_replace(strip_ws(F.coalesce(null_tokens(c), F.lit(""))), r"[./]", "-")
-    is_iso = s.rlike(_ISO_LOOSE)
-    is_dmy = s.rlike(_DMY_LOOSE)
-    year = F.when(is_iso, F.regexp_extract(s, _ISO_LOOSE, 1)).when(
-        is_dmy, F.regexp_extract(s, _DMY_LOOSE, 3))
-    month = F.when(is_iso, F.regexp_extract(s, _ISO_LOOSE, 2)).when(
-        is_dmy, F.regexp_extract(s, _DMY_LOOSE, 2))
-    day = F.when(is_iso, F.regexp_extract(s, _ISO_LOOSE, 3)).when(
-        is_dmy, F.regexp_extract(s, _DMY_LOOSE, 1))
-    m_int = month.cast("int")
-    d_int = day.cast("int")
-    ok = m_int.between(1, 12) & d_int.between(1, 31)
-    iso = F.concat_ws("-", year, F.lpad(m_int.cast("string"), 2, "0"),
+    ymd = F.regexp_replace(s, _DMY_LOOSE, "$3-$2-$1")
+    parts = F.split(ymd, "-")
+    m_int = parts.getItem(1).try_cast("int")
+    d_int = parts.getItem(2).try_cast("int")
+    ok = ymd.rlike(_ISO_LOOSE) & m_int.between(1, 12) & d_int.between(1, 31)
+    iso = F.concat_ws("-", parts.getItem(0), F.lpad(m_int.cast("string"), 2, "0"),
                       F.lpad(d_int.cast("string"), 2, "0"))
     return F.when(ok, iso).otherwise(F.lit(""))
 

@@ -32,8 +32,8 @@ def scd2_timestamp(hist: DataFrame, key: str, updated_at: str) -> DataFrame:
     """
     w = Window.partitionBy(key).orderBy(F.col(updated_at))
     return (hist.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
-            .withColumn(VALID_FROM, _ts(F.col(updated_at)))
-            .withColumn(VALID_TO, _ts(F.lead(updated_at).over(w))))
+            .withColumns({VALID_FROM: _ts(F.col(updated_at)),
+                          VALID_TO: _ts(F.lead(updated_at).over(w))}))
 
 
 def _changed(check_cols: Sequence[str], w: Window) -> Column:
@@ -52,12 +52,12 @@ def scd2_check(hist: DataFrame, key: str, updated_at: str,
     where the next one begins. Both windows share one partitioning and sort.
     """
     w = Window.partitionBy(key).orderBy(F.col(updated_at))
+    cols = hist.columns
     marked = (hist.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
-              .withColumn("_first", F.row_number().over(w) == 1)
-              .withColumn("_chg", _changed(check_cols, w)))
-    starts = marked.filter(F.col("_first") | F.col("_chg")).drop("_first", "_chg")
-    return (starts.withColumn(VALID_FROM, _ts(F.col(updated_at)))
-            .withColumn(VALID_TO, _ts(F.lead(updated_at).over(w))))
+              .withColumn("_start", (F.row_number().over(w) == 1) | _changed(check_cols, w)))
+    starts = marked.filter(F.col("_start")).select(*cols)
+    return starts.withColumns({VALID_FROM: _ts(F.col(updated_at)),
+                               VALID_TO: _ts(F.lead(updated_at).over(w))})
 
 
 def scd2_apply(current: DataFrame | None, batch: DataFrame, key: str, updated_at: str,
@@ -138,8 +138,9 @@ def month_validity(df: DataFrame, from_col: str = VALID_FROM, to_col: str = VALI
     to_month = F.trunc(F.col(to_col), "month")
     if boundary == "overlap":
         to_month = F.add_months(to_month, 1)
-    return (df.withColumn("is_current", F.col(to_col).isNull())
-            .withColumn("valid_from_month",
-                        F.trunc(F.coalesce(F.col(from_col).cast("date"), F.lit("1970-01-01")
-                                           .cast("date")), "month"))
-            .withColumn("valid_to_month", F.when(F.col(to_col).isNotNull(), to_month)))
+    return df.withColumns({
+        "is_current": F.col(to_col).isNull(),
+        "valid_from_month": F.trunc(F.coalesce(F.col(from_col).cast("date"),
+                                               F.lit("1970-01-01").cast("date")), "month"),
+        "valid_to_month": F.when(F.col(to_col).isNotNull(), to_month),
+    })

@@ -8,8 +8,11 @@ group) carrying a multiplicity ``_w`` and an any-superhost flag, join on
 The pre-aggregation keeps the reference's row multiplicity (a host with two
 versions in its change month doubles its listings' rows there, K1) as a
 weight instead of duplicated rows, so a hot host never multiplies the largest
-group. Every aggregate is weighted accordingly; the median uses
-``percentile(x, 0.5, frequency)``, which is exact and merges partial buffers.
+group. Every aggregate is weighted accordingly and all of them are additive
+with map-side combine: (group, month, host) first, then (group, month), so
+distinct hosts need no Expand. The median uses ``percentile(x, 0.5,
+frequency)`` over per-price frequencies: exact, and its buffer for a group is
+bounded by the group's distinct prices, not its rows.
 """
 
 from __future__ import annotations
@@ -82,24 +85,44 @@ def monthly_kpis(lm: DataFrame, hm: DataFrame, group_cols: Sequence[str], how: s
     priced = act & price.isNotNull()
     rating = F.col("review_scores_rating")
     rated = act & rating.isNotNull()
-    agg = base.groupBy(*group_cols, "month_start").agg(
-        F.sum(w).alias("listings_total"),
-        F.sum(F.when(act, w).otherwise(0)).alias("listings_active"),
-        F.sum(F.when(~act, w).otherwise(0)).alias("listings_inactive"),
-        F.count_distinct("host_id").alias("distinct_hosts"),
-        F.count_distinct(F.when(F.coalesce(F.col("_sh"), F.lit(False)), F.col("host_id")))
-        .alias("distinct_superhosts"),
-        F.min(F.when(priced, price)).alias("min_price_active"),
-        F.max(F.when(priced, price)).alias("max_price_active"),
-        F.percentile(F.when(priced, price.cast("double")), F.lit(0.5), w)
-        .alias("median_price_active"),
-        F.sum(F.when(priced, price * w)).alias("_price_sum"),
-        F.sum(F.when(priced, w)).alias("_price_n"),
-        F.sum(F.when(rated, rating * w)).alias("_rating_sum"),
-        F.sum(F.when(rated, w)).alias("_rating_n"),
-        F.sum(F.col("stays") * w).alias("total_stays"),
-        F.sum(F.col("stays") * F.coalesce(price, F.lit(0)) * w).alias("est_revenue"),
+    keys = [*group_cols, "month_start"]
+    # Level 1: one row per (group, month, host); every measure is additive.
+    per_host = base.groupBy(*keys, "host_id").agg(
+        F.sum(w).alias("n"),
+        F.sum(F.when(act, w).otherwise(0)).alias("n_act"),
+        F.sum(F.when(~act, w).otherwise(0)).alias("n_inact"),
+        F.max(F.coalesce(F.col("_sh"), F.lit(False))).alias("sh"),
+        F.sum(F.when(priced, price * w)).alias("p_sum"),
+        F.sum(F.when(priced, w)).alias("p_n"),
+        F.sum(F.when(rated, rating * w)).alias("r_sum"),
+        F.sum(F.when(rated, w)).alias("r_n"),
+        F.sum(F.col("stays") * w).alias("stays"),
+        F.sum(F.col("stays") * F.coalesce(price, F.lit(0)) * w).alias("rev"),
     )
+    # Level 2: per (group, month); a host is one level-1 row, so distinct
+    # hosts are a plain count (no Expand over the raw rows).
+    agg = per_host.groupBy(*keys).agg(
+        F.sum("n").alias("listings_total"),
+        F.sum("n_act").alias("listings_active"),
+        F.sum("n_inact").alias("listings_inactive"),
+        F.count(F.lit(1)).alias("distinct_hosts"),
+        F.count_if(F.col("sh")).alias("distinct_superhosts"),
+        F.sum("p_sum").alias("_price_sum"),
+        F.sum("p_n").alias("_price_n"),
+        F.sum("r_sum").alias("_rating_sum"),
+        F.sum("r_n").alias("_rating_n"),
+        F.sum("stays").alias("total_stays"),
+        F.sum("rev").alias("est_revenue"),
+    )
+    # Exact median over price frequencies: duplicates collapse map-side, then
+    # one percentile buffer per (group, month) merges compact partials.
+    prices = (base.filter(priced).groupBy(*keys, "price").agg(F.sum(w).alias("_f"))
+              .groupBy(*keys).agg(
+                  F.min("price").alias("min_price_active"),
+                  F.max("price").alias("max_price_active"),
+                  F.percentile(F.col("price").cast("double"), F.lit(0.5), F.col("_f"))
+                  .alias("median_price_active")))
+    agg = agg.join(prices, keys, "left")
     by_group = Window.partitionBy(*group_cols).orderBy("month_start")
     prev_act = F.lag("listings_active").over(by_group)
     prev_inact = F.lag("listings_inactive").over(by_group)

@@ -30,7 +30,8 @@ def first_per_key(df: DataFrame, part_col: str, sub_cols: Sequence[str],
     first = F.row_number().over(w) == 1
     for c in sub_cols:
         first = first | ~F.col(c).eqNullSafe(F.lag(c).over(w))
-    return df.withColumn("_first", first).filter(F.col("_first")).drop("_first")
+    cols = df.columns
+    return df.withColumn("_first", first).filter(F.col("_first")).select(*cols)
 
 
 def top1_per_group(df: DataFrame, group_cols: Sequence[str],

@@ -13,20 +13,46 @@ from pyspark.sql import DataFrame, SparkSession
 from lodgeflow.operators.lookup import lga_name_lookup
 from lodgeflow.plans import models as M
 from lodgeflow.sources import driver_tables as D
+from lodgeflow.sources.sinks import materialize
 
 
 class Domain:
+    """Model frames over one input folder (lazy plans; nothing is cached in memory).
+
+    ``Domain.of`` returns one instance per (application, folder, options), so
+    queries in one session resolve each shared model once, as a model registry
+    resolves each reference once per run.
+    """
+
+    _instances: dict = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, boundary: str = "overlap",
+           horizon=M.DRIVER_HORIZON, materialize: bool = True) -> "Domain":
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir, boundary, tuple(horizon),
+               materialize)
+        if key not in cls._instances:
+            cls._instances[key] = cls(spark, sf_dir, boundary, horizon, materialize)
+        return cls._instances[key]
+
     def __init__(self, spark: SparkSession, sf_dir: str, boundary: str = "overlap",
-                 horizon=M.DRIVER_HORIZON):
+                 horizon=M.DRIVER_HORIZON, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.boundary = boundary
         self.horizon = horizon
+        self.materialize = materialize
+        self._marts: dict = {}
+
+    def _table(self, df: DataFrame, name: str) -> DataFrame:
+        """Tables of the reference (raw layer, star dims, monthly fact) are written
+        once as parquet in the shared checkpoint folder; views stay lazy."""
+        return materialize(self.spark, df, name) if self.materialize else df
 
     # bronze-equivalent inputs
     @cached_property
     def obs(self) -> DataFrame:
-        return D.listing_observations(self.spark, self.sf_dir)
+        return self._table(D.listing_observations(self.spark, self.sf_dir), "obs")
 
     # silver
     @cached_property
@@ -52,15 +78,17 @@ class Domain:
     # star
     @cached_property
     def dim_listing(self) -> DataFrame:
-        return M.dim_snap_listing(M.snap_listing(self.stg), self.boundary)
+        return self._table(M.dim_snap_listing(M.snap_listing(self.stg), self.boundary),
+                           "dim_snap_listing")
 
     @cached_property
     def dim_host(self) -> DataFrame:
-        return M.dim_snap_host(M.snap_host(self.stg), self.boundary)
+        return self._table(M.dim_snap_host(M.snap_host(self.stg), self.boundary),
+                           "dim_snap_host")
 
     @cached_property
     def fact(self) -> DataFrame:
-        return M.dim_listing_monthly(self.stg)
+        return self._table(M.dim_listing_monthly(self.stg), "dim_listing_monthly")
 
     @cached_property
     def dim_lga(self) -> DataFrame:
@@ -77,4 +105,8 @@ class Domain:
 
     # marts
     def mart(self, kind: str, extra: bool = False) -> DataFrame:
-        return M.kpi_mart(self.dim_listing, self.dim_host, kind, self.horizon, extra)
+        key = (kind, extra)
+        if key not in self._marts:
+            self._marts[key] = M.kpi_mart(self.dim_listing, self.dim_host, kind, self.horizon,
+                                          extra)
+        return self._marts[key]

@@ -55,56 +55,56 @@ def register(name: str):
 
 @register("kpi_neighbourhood")
 def kpi_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain(spark, sf_dir).mart("neighbourhood")
+    return Domain.of(spark, sf_dir).mart("neighbourhood")
 
 
 @register("kpi_property_type")
 def kpi_property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain(spark, sf_dir).mart("property_type")
+    return Domain.of(spark, sf_dir).mart("property_type")
 
 
 @register("kpi_host_area")
 def kpi_host_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain(spark, sf_dir).mart("host_neighbourhood")
+    return Domain.of(spark, sf_dir).mart("host_neighbourhood")
 
 
 # ------------------------------------------------------------------ analyses
 @register("top_bottom_bands")
 def top_bottom_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.top_bottom_bands(Domain(spark, sf_dir))
+    return A.top_bottom_bands(Domain.of(spark, sf_dir))
 
 
 @register("age_revenue_corr")
 def age_revenue_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.age_revenue_corr(Domain(spark, sf_dir))
+    return A.age_revenue_corr(Domain.of(spark, sf_dir))
 
 
 @register("best_combo_per_area")
 def best_combo_per_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.best_combo_per_area(Domain(spark, sf_dir))
+    return A.best_combo_per_area(Domain.of(spark, sf_dir))
 
 
 @register("host_concentration")
 def host_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.host_concentration(Domain(spark, sf_dir))
+    return A.host_concentration(Domain.of(spark, sf_dir))
 
 
 @register("host_cost_cover")
 def host_cost_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.host_cost_cover(Domain(spark, sf_dir))
+    return A.host_cost_cover(Domain.of(spark, sf_dir))
 
 
 # ------------------------------------------------------------ history / time
 @register("scd2_timestamp")
 def scd2_timestamp_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain(spark, sf_dir).dim_listing.select(
+    return Domain.of(spark, sf_dir).dim_listing.select(
         "listing_id", "scraped_date", "listing_version_sk", "dbt_valid_from", "dbt_valid_to",
         "is_current")
 
 
 @register("scd2_check")
 def scd2_check_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain(spark, sf_dir).dim_host.select(
+    return Domain.of(spark, sf_dir).dim_host.select(
         "host_id", "host_name", "host_is_superhost", "host_neighbourhood", "host_version_sk",
         "dbt_valid_from", "dbt_valid_to", "is_current")
 
@@ -112,7 +112,7 @@ def scd2_check_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("scd2_hard_delete")
 def scd2_hard_delete_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the newest month as one batch with hard-delete closing."""
-    rows = M.host_rows(Domain(spark, sf_dir).stg)
+    rows = M.host_rows(Domain.of(spark, sf_dir).stg)
     newest = F.broadcast(rows.agg(F.trunc(F.max("scraped_date"), "month").alias("_m")))
     tagged = rows.crossJoin(newest)
     before = tagged.filter(F.col("scraped_date") < F.col("_m")).drop("_m")
@@ -131,7 +131,7 @@ def scd2_apply_batches_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     The snapshot is checkpointed after each apply (to the shared checkpoint
     folder) so the lineage does not grow with the number of batches.
     """
-    rows = M.host_rows(Domain(spark, sf_dir).stg)
+    rows = M.host_rows(Domain.of(spark, sf_dir).stg)
     cuts = ["1997-01-01", "1999-01-01"]
     snap = None
     lo = None
@@ -151,7 +151,7 @@ def scd2_apply_batches_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("month_validity")
 def month_validity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     half = month_validity(M.snap_listing(d.stg), boundary="half_open")
     return half.select("listing_id", "dbt_valid_from", "valid_from_month",
                        F.col("valid_to_month").alias("half_open_to_month"),
@@ -162,7 +162,7 @@ def month_validity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("month_expand")
 def month_expand_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     lo, hi = d.horizon
     return expand_months(d.dim_listing, lo, hi).select("listing_id", "dbt_valid_from",
                                                       "month_start")
@@ -170,7 +170,7 @@ def month_expand_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("asof_month_join")
 def asof_month_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     fa = asof_month_join(d.fact.select("listing_id", "month_date", "stays"),
                          d.dim_listing.select("listing_id", "listing_version_sk",
                                               "valid_from_month", "valid_to_month"),
@@ -180,7 +180,7 @@ def asof_month_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("trailing_window")
 def trailing_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return last_n_months(d.fact.select("listing_id", "host_id", "month_date", "stays"),
                          "month_date", 12)
 
@@ -188,12 +188,12 @@ def trailing_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("kpi_neighbourhood_half_open")
 def kpi_neighbourhood_half_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 option: each month counted once, in the last version begun by then."""
-    return Domain(spark, sf_dir, boundary="half_open").mart("neighbourhood")
+    return Domain.of(spark, sf_dir, boundary="half_open").mart("neighbourhood")
 
 
 @register("pct_change_lag")
 def pct_change_lag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Domain(spark, sf_dir).mart("property_type", extra=True)
+    m = Domain.of(spark, sf_dir).mart("property_type", extra=True)
     return m.select("property_type", "month_start", "listings_active", "listings_inactive",
                     "pct_change_active", "pct_change_inactive")
 
@@ -201,7 +201,7 @@ def pct_change_lag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("filtered_aggs")
 def filtered_aggs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FILTER-style aggregates per month of the fact."""
-    f = Domain(spark, sf_dir).fact
+    f = Domain.of(spark, sf_dir).fact
     act = F.coalesce(F.col("has_availability"), F.lit(False))
     priced = act & F.col("price").isNotNull()
     return f.groupBy("month_date").agg(
@@ -218,13 +218,13 @@ def filtered_aggs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("monthly_fact")
 def monthly_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = Domain(spark, sf_dir).fact
+    f = Domain.of(spark, sf_dir).fact
     return f.withColumn("price", F.col("price").cast("double"))
 
 
 @register("lookup_resolve")
 def lookup_resolve_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     rows = d.stg.select("listing_id", "scraped_date", "listing_neighbourhood")
     return resolve_lookup(rows, "listing_neighbourhood", d.lookup)
 
@@ -233,7 +233,7 @@ def lookup_resolve_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stg_listing_clean")
 def stg_listing_clean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze text -> loader clean -> key guard -> silver typing, whole table."""
-    obs = D.listing_observations(spark, sf_dir)
+    obs = Domain.of(spark, sf_dir).obs
     loaded = clean_fact_text(D.bronze_listing_text(obs))
     valid, _ = split_valid(loaded, ["LISTING_ID", "SCRAPED_DATE"])
     stg = M.stg_listing(blank_as_null(valid))
@@ -248,7 +248,7 @@ def stg_listing_clean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pk_guard")
 def pk_guard_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows dropped for a blank natural key after date normalisation."""
-    obs = D.listing_observations(spark, sf_dir)
+    obs = Domain.of(spark, sf_dir).obs
     loaded = clean_fact_text(D.bronze_listing_text(obs))
     _, bad = split_valid(loaded, ["LISTING_ID", "SCRAPED_DATE"])
     return bad.select(F.col("LISTING_ID").cast("bigint").alias("listing_id"),
@@ -259,7 +259,7 @@ def pk_guard_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("align_columns")
 def align_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: a file lacking REVIEW_SCORES_VALUE and carrying EXTRA, aligned to bronze."""
-    raw = D.bronze_listing_text(D.listing_observations(spark, sf_dir))
+    raw = D.bronze_listing_text(Domain.of(spark, sf_dir).obs)
     incoming = raw.drop("REVIEW_SCORES_VALUE").withColumn("EXTRA", F.lit("x")) \
         .withColumnRenamed("PROPERTY_TYPE", "property_type")
     aligned = assert_width(align_columns(incoming, LISTING_SCHEMA), len(LISTING_SCHEMA))
@@ -271,7 +271,7 @@ def align_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("key_normalise")
 def key_normalise_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Census keys ('LGA10001') normalised to 5 digits meet the LGA codes."""
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return (d.g01.select("LGA_CODE_2016", "Tot_P_P")
             .join(d.dim_lga, F.col("LGA_CODE_2016") == F.col("lga_code"), "left")
             .select("LGA_CODE_2016", "lga_name", "Tot_P_P"))
@@ -279,7 +279,7 @@ def key_normalise_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("census_g02")
 def census_g02_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Domain(spark, sf_dir).g02
+    g = Domain.of(spark, sf_dir).g02
     return g.select("LGA_CODE_2016", "Median_age_persons",
                     F.col("Median_mortgage_repay_monthly").cast("double")
                     .alias("Median_mortgage_repay_monthly"),
@@ -289,7 +289,7 @@ def census_g02_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dim_suburb_lga")
 def dim_suburb_lga_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return d.dim_suburb.join(d.dim_lga, "lga_name").select("suburb_name", "lga_name", "lga_code")
 
 
@@ -302,7 +302,7 @@ def unique_violations_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("not_null_violations")
 def not_null_violations_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg = Domain(spark, sf_dir).stg
+    stg = Domain.of(spark, sf_dir).stg
     return check_not_null(stg, ["listing_id", "host_id", "price", "has_availability",
                                 "review_scores_rating", "host_neighbourhood", "scraped_date"])
 
@@ -310,14 +310,14 @@ def not_null_violations_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("referential_integrity")
 def referential_integrity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing areas that are not a known suburb, with their row counts."""
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     bad = check_reference(d.stg, d.dim_suburb, "listing_neighbourhood", "suburb_name")
     return bad.groupBy("listing_neighbourhood").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("freshness")
 def freshness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_freshness(Domain(spark, sf_dir).stg, "scraped_date", ["listing_neighbourhood"],
+    return check_freshness(Domain.of(spark, sf_dir).stg, "scraped_date", ["listing_neighbourhood"],
                            max_age_days=31)
 
 
@@ -325,7 +325,7 @@ def freshness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("month_guard_load")
 def month_guard_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load early months, then re-deliver everything; each month lands once."""
-    obs = D.listing_observations(spark, sf_dir).select(
+    obs = Domain.of(spark, sf_dir).obs.select(
         "listing_id", "scraped_date", sinks.month_key(F.col("scraped_date")).alias("MONTH_YEAR"))
     path = scratch_path(spark, "month-guard")
     sinks.load_month_if_absent(spark, obs.filter(F.col("scraped_date") < "1998-01-01"), path)
@@ -337,8 +337,9 @@ def month_guard_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stage_month_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw listing text as CSV, one folder per month (stream input)."""
     src = scratch_path(spark, "month-files")
-    raw = D.bronze_listing_text(D.listing_observations(spark, sf_dir))
-    raw.write.partitionBy("MONTH_YEAR").options(header="true", quote='"', escape='"').csv(src)
+    raw = D.bronze_listing_text(Domain.of(spark, sf_dir).obs)
+    # One file per month, as the monthly deliveries arrive.
+    raw.repartition("MONTH_YEAR").write.partitionBy("MONTH_YEAR").options(header="true", quote='"', escape='"').csv(src)
     return src
 
 

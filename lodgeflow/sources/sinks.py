@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeflow.session import bounded_broadcast
+from lodgeflow.session import bounded_broadcast, scratch_path
 
 # Months are few; the probe's distinct month list is bounded by the calendar.
 MAX_MONTHS = 100_000
@@ -84,3 +84,16 @@ def analyze(spark: SparkSession, table: str, columns=None) -> None:
 def month_key(c) -> F.Column:
     """``MM_YYYY`` text of a date column."""
     return F.date_format(c, "MM_yyyy")
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a model as a parquet table in the shared checkpoint folder
+    and read it back.
+
+    This cuts the lineage (a lost executor recomputes from the table, not
+    from the sources), lets later plans prune columns and push filters into
+    the scan, and gives the optimizer file statistics for join planning.
+    """
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

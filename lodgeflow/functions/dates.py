@@ -27,10 +27,10 @@ def iso_text_dayfirst(c: Column) -> Column:
     s = F.regexp_replace(strip_ws(F.coalesce(null_tokens(c), F.lit(""))), r"[./]", "-")
     ymd = F.regexp_replace(s, _DMY_LOOSE, "$3-$2-$1")
     parts = F.split(ymd, "-")
-    m_int = parts.getItem(1).try_cast("int")
-    d_int = parts.getItem(2).try_cast("int")
+    m_int = F.get(parts, 1).try_cast("int")
+    d_int = F.get(parts, 2).try_cast("int")
     ok = ymd.rlike(_ISO_LOOSE) & m_int.between(1, 12) & d_int.between(1, 31)
-    iso = F.concat_ws("-", parts.getItem(0), F.lpad(m_int.cast("string"), 2, "0"),
+    iso = F.concat_ws("-", F.get(parts, 0), F.lpad(m_int.cast("string"), 2, "0"),
                       F.lpad(d_int.cast("string"), 2, "0"))
     return F.when(ok, iso).otherwise(F.lit(""))
 

@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lodgeflow.operators.history import scd2_apply
-from lodgeflow.sources.csv_ingest import CSV_OPTIONS, blank_as_null, clean_fact_text, split_valid
+from lodgeflow.sources.csv_ingest import (
+    CSV_OPTIONS,
+    MONTH_FROM_NAME,
+    blank_as_null,
+    clean_fact_text,
+    split_valid,
+)
 from lodgeflow.sources.schemas import LISTING_SCHEMA
 from lodgeflow.sources.sinks import load_month_if_absent
 
@@ -36,7 +42,12 @@ def month_file_stream(spark: SparkSession, src_dir: str, archive_dir: str | None
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.csv(src_dir)
+    stream = reader.csv(src_dir)
+    # A10: files named MM_YYYY.csv carry their month in the name.
+    from_name = F.nullif(F.regexp_extract(F.col("_metadata.file_name"), MONTH_FROM_NAME, 1),
+                         F.lit(""))
+    return stream.withColumn("MONTH_YEAR",
+                             F.coalesce(F.nullif(F.col("MONTH_YEAR"), F.lit("")), from_name))
 
 
 def stream_months(spark: SparkSession, src_dir: str, checkpoint: str, sink: str,
@@ -50,7 +61,11 @@ def stream_months(spark: SparkSession, src_dir: str, checkpoint: str, sink: str,
 
     def load(batch: DataFrame, batch_id: int) -> None:
         cleaned = clean_fact_text(batch)
-        valid, bad = split_valid(cleaned, ["LISTING_ID", "SCRAPED_DATE"])
+        # Only month files are facts: rows without a MM_YYYY month are not loaded.
+        valid, bad = split_valid(cleaned.withColumn(
+            "MONTH_YEAR", F.when(F.col("MONTH_YEAR").rlike(r"^\d{2}_\d{4}\z"),
+                                 F.col("MONTH_YEAR")).otherwise(F.lit(""))),
+            ["LISTING_ID", "SCRAPED_DATE", "MONTH_YEAR"])
         load_month_if_absent(spark, blank_as_null(valid), sink)
         if quarantine:
             bad.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(quarantine)

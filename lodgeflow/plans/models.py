@@ -105,18 +105,28 @@ def stg_lga_suburb(bronze: DataFrame) -> DataFrame:
                          upper_trim(F.col("SUBURB_NAME")).alias("suburb_name"))
 
 
+def _typed_measures(bronze: DataFrame, text_type: str):
+    """Measures as numbers: raw text columns are cast (ANSI: bad text raises, as
+    the reference's casts do); already-typed columns pass through."""
+    return [(F.col(c).cast(text_type) if t == "string" else F.col(c)).alias(c)
+            for c, t in bronze.dtypes if c != "LGA_CODE_2016"]
+
+
 def stg_census_g01(bronze: DataFrame) -> DataFrame:
-    """G01 with the 5-digit key (B12) replacing the original."""
-    measures = [c for c in bronze.columns if c != "LGA_CODE_2016"]
-    return bronze.select(digits_key(F.col("LGA_CODE_2016")).alias("LGA_CODE_2016"), *measures)
+    """G01 with the 5-digit key (B12) replacing the original; counts as INT."""
+    return bronze.select(digits_key(F.col("LGA_CODE_2016")).alias("LGA_CODE_2016"),
+                         *_typed_measures(bronze, "int"))
 
 
 def stg_census_g02(bronze: DataFrame) -> DataFrame:
     """G02 with the 5-digit key and ``annual_median_mortgage``."""
-    measures = [c for c in bronze.columns if c != "LGA_CODE_2016"]
     return bronze.select(
-        digits_key(F.col("LGA_CODE_2016")).alias("LGA_CODE_2016"), *measures,
-        (F.col("Median_mortgage_repay_monthly") * F.lit(12)).alias("annual_median_mortgage"))
+        digits_key(F.col("LGA_CODE_2016")).alias("LGA_CODE_2016"),
+        *_typed_measures(bronze, "decimal(18,4)"),
+        (F.col("Median_mortgage_repay_monthly").cast(
+            "decimal(18,4)" if dict(bronze.dtypes)["Median_mortgage_repay_monthly"] == "string"
+            else dict(bronze.dtypes)["Median_mortgage_repay_monthly"]) * F.lit(12))
+        .alias("annual_median_mortgage"))
 
 
 # ----------------------------------------------------------------- snapshots

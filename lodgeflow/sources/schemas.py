@@ -19,6 +19,17 @@ LISTING_COLUMNS = (
     "REVIEW_SCORES_CLEANLINESS", "REVIEW_SCORES_CHECKIN", "REVIEW_SCORES_COMMUNICATION",
     "REVIEW_SCORES_VALUE", "MONTH_YEAR",
 )
+# Census G01 measures after the age bands; each comes as _M, _F, _P.
+G01_OTHER_MEASURES = (
+    "Counted_Census_Night_home", "Count_Census_Nt_Ewhere_Aust", "Indigenous_psns_Aboriginal",
+    "Indig_psns_Torres_Strait_Is", "Indig_Bth_Abor_Torres_St_Is", "Indigenous_P_Tot",
+    "Birthplace_Australia", "Birthplace_Elsewhere", "Lang_spoken_home_Eng_only",
+    "Lang_spoken_home_Oth_Lang", "Australian_citizen", "Age_psns_att_educ_inst_0_4",
+    "Age_psns_att_educ_inst_5_14", "Age_psns_att_edu_inst_15_19", "Age_psns_att_edu_inst_20_24",
+    "Age_psns_att_edu_inst_25_ov", "High_yr_schl_comp_Yr_12_eq", "High_yr_schl_comp_Yr_11_eq",
+    "High_yr_schl_comp_Yr_10_eq", "High_yr_schl_comp_Yr_9_eq", "High_yr_schl_comp_Yr_8_belw",
+    "High_yr_schl_comp_D_n_g_sch", "Count_psns_occ_priv_dwgs", "Count_Persons_other_dwgs",
+)
 # Census G02 measures.
 G02_COLUMNS = (
     "Median_age_persons", "Median_mortgage_repay_monthly", "Median_tot_prsnl_inc_weekly",
@@ -35,7 +46,7 @@ LISTING_SCHEMA = text_schema(LISTING_COLUMNS)
 LGA_CODE_SCHEMA = text_schema(("LGA_CODE", "LGA_NAME"))
 LGA_SUBURB_SCHEMA = text_schema(("LGA_NAME", "SUBURB_NAME"))
 G01_SCHEMA = text_schema(("LGA_CODE_2016",) + tuple(
-    f"{p}_{s}" for p in ("Tot_P",) + AGE_BANDS for s in ("M", "F", "P")))
+    f"{p}_{s}" for p in ("Tot_P",) + AGE_BANDS + G01_OTHER_MEASURES for s in ("M", "F", "P")))
 G02_SCHEMA = text_schema(("LGA_CODE_2016",) + G02_COLUMNS)
 
 # A3: dimension file name -> (bronze table, schema, keep only the first N columns).

@@ -25,6 +25,7 @@ class Domain:
     """
 
     _instances: dict = {}
+    _tables: dict = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, boundary: str = "overlap",
@@ -44,15 +45,22 @@ class Domain:
         self.materialize = materialize
         self._marts: dict = {}
 
-    def _table(self, df: DataFrame, name: str) -> DataFrame:
-        """Tables of the reference (raw layer, star dims, monthly fact) are written
-        once as parquet in the shared checkpoint folder; views stay lazy."""
-        return materialize(self.spark, df, name) if self.materialize else df
+    def _table(self, build, name: str) -> DataFrame:
+        """Tables of the reference (raw layer, snapshots, monthly fact) are written
+        once per session and input folder as parquet in the shared checkpoint
+        folder; everything else (month validity, marts) stays a lazy view.
+        ``build`` is only called when the table is not there yet."""
+        if not self.materialize:
+            return build()
+        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, name)
+        if key not in Domain._tables:
+            Domain._tables[key] = materialize(self.spark, build(), name)
+        return Domain._tables[key]
 
     # bronze-equivalent inputs
     @cached_property
     def obs(self) -> DataFrame:
-        return self._table(D.listing_observations(self.spark, self.sf_dir), "obs")
+        return self._table(lambda: D.listing_observations(self.spark, self.sf_dir), "obs")
 
     # silver
     @cached_property
@@ -76,19 +84,25 @@ class Domain:
         return M.stg_census_g02(D.bronze_census_g02(self.spark, self.sf_dir))
 
     # star
+    @cached_property
+    def snap_listing(self) -> DataFrame:
+        return self._table(lambda: M.snap_listing(self.stg), "snap_listing")
+
+    @cached_property
+    def snap_host(self) -> DataFrame:
+        return self._table(lambda: M.snap_host(self.stg), "snap_host")
+
     @cached_property
     def dim_listing(self) -> DataFrame:
-        return self._table(M.dim_snap_listing(M.snap_listing(self.stg), self.boundary),
-                           "dim_snap_listing")
+        return M.dim_snap_listing(self.snap_listing, self.boundary)
 
     @cached_property
     def dim_host(self) -> DataFrame:
-        return self._table(M.dim_snap_host(M.snap_host(self.stg), self.boundary),
-                           "dim_snap_host")
+        return M.dim_snap_host(self.snap_host, self.boundary)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return self._table(M.dim_listing_monthly(self.stg), "dim_listing_monthly")
+        return self._table(lambda: M.dim_listing_monthly(self.stg), "dim_listing_monthly")
 
     @cached_property
     def dim_lga(self) -> DataFrame:

@@ -152,7 +152,7 @@ def scd2_apply_batches_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("month_validity")
 def month_validity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain.of(spark, sf_dir)
-    half = month_validity(M.snap_listing(d.stg), boundary="half_open")
+    half = month_validity(d.snap_listing, boundary="half_open")
     return half.select("listing_id", "dbt_valid_from", "valid_from_month",
                        F.col("valid_to_month").alias("half_open_to_month"),
                        F.when(F.col("dbt_valid_to").isNotNull(),

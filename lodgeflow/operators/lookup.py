@@ -56,11 +56,15 @@ def lga_name_lookup(dim_lga: DataFrame, suburb_paths: Sequence[DataFrame]) -> Da
 
 def resolve_lookup(df: DataFrame, name_col: str, lookup: DataFrame,
                    code_alias: str = "LGA_CODE_2016", name_alias: str | None = "lga_name",
-                   max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
-    """Left-join ``df`` to the folded lookup on ``lower(trim(name_col))``."""
+                   max_rows: int | None = MAX_LOOKUP_ROWS) -> DataFrame:
+    """Left-join ``df`` to the folded lookup on ``lower(trim(name_col))``.
+
+    ``max_rows=None`` when the caller has already bounded (and marked) the lookup.
+    """
     lk = lookup.select(F.col("name_key").alias("_lk_key"),
                        F.col("lga_code").alias(code_alias),
                        *([F.col("lga_name").alias(name_alias)] if name_alias else []))
-    lk = bounded_broadcast(lk, max_rows)
+    if max_rows is not None:
+        lk = bounded_broadcast(lk, max_rows)
     out = df.join(lk, name_key(df[name_col]) == lk["_lk_key"], "left")
     return out.drop("_lk_key")

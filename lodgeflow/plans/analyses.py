@@ -11,7 +11,7 @@ host holding a third of all listings still shuffles a handful of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeflow.functions import asc_pg, desc_pg, ratio, safe_corr
@@ -29,6 +29,11 @@ def _trailing_neighbourhood(d: Domain, n: int) -> DataFrame:
     return last_n_months(mart, "month_start", n)
 
 
+def _resolve(df: DataFrame, d: Domain) -> DataFrame:
+    """Area -> LGA code; the domain's lookup is already size-checked and marked."""
+    return resolve_lookup(df, "listing_neighbourhood", d.lookup, name_alias=None, max_rows=None)
+
+
 def _lga_names(d: Domain) -> DataFrame:
     return d.dim_lga.select(F.col("lga_code").alias(CODE), "lga_name").distinct()
 
@@ -36,7 +41,7 @@ def _lga_names(d: Domain) -> DataFrame:
 def top_bottom_bands(d: Domain, n: int = 12, k: int = 3) -> DataFrame:
     """Demographics of the top-k and bottom-k LGAs by revenue per active listing."""
     l12 = _trailing_neighbourhood(d, n)
-    mapped = resolve_lookup(l12, "listing_neighbourhood", d.lookup, name_alias=None)
+    mapped = _resolve(l12, d)
     lga_rev = (mapped.filter(F.col(CODE).isNotNull()).groupBy(CODE)
                .agg(F.avg("avg_est_rev_per_active").alias("avg_rev_per_active_listing")))
     bands = top_bottom(lga_rev, "avg_rev_per_active_listing", k,
@@ -75,7 +80,7 @@ def age_revenue_corr(d: Domain, n: int = 12) -> DataFrame:
     l12 = _trailing_neighbourhood(d, n)
     neigh_rev = l12.groupBy("listing_neighbourhood").agg(
         F.avg("avg_est_rev_per_active").alias("rev_active_avg_12m"))
-    neigh = resolve_lookup(neigh_rev, "listing_neighbourhood", d.lookup, name_alias=None)
+    neigh = _resolve(neigh_rev, d)
     joined = (neigh.filter(F.col(CODE).isNotNull() & F.col("rev_active_avg_12m").isNotNull())
               .join(d.g02.select(CODE, "Median_age_persons"), CODE)
               .filter(F.col("Median_age_persons").isNotNull()))
@@ -90,7 +95,6 @@ def best_combo_per_area(d: Domain, n: int = 12, k: int = 5) -> DataFrame:
     l12 = _trailing_neighbourhood(d, n)
     neigh_rev = l12.groupBy("listing_neighbourhood").agg(
         F.avg("avg_est_rev_per_active").alias("avg_rev_per_active_listing_12m"))
-    from pyspark.sql import Window
     top = (neigh_rev.withColumn("_rnk", F.rank().over(
         Window.orderBy(desc_pg("avg_rev_per_active_listing_12m"))))
         .filter(F.col("_rnk") <= k).drop("_rnk"))
@@ -125,7 +129,7 @@ def _fact_window(d: Domain, n: int, fact_cols) -> DataFrame:
     versions = d.dim_listing.select("listing_id", "listing_neighbourhood", "valid_from_month",
                                     "valid_to_month")
     fa = asof_month_join(fact, versions, "listing_id", "month_date")
-    return resolve_lookup(fa, "listing_neighbourhood", d.lookup, name_alias=None)
+    return _resolve(fa, d)
 
 
 def host_concentration(d: Domain, n: int = 12) -> DataFrame:

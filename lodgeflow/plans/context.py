@@ -10,9 +10,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgeflow.operators.lookup import lga_name_lookup
+from lodgeflow.operators.lookup import MAX_LOOKUP_ROWS, lga_name_lookup
 from lodgeflow.plans import models as M
 from lodgeflow.sources import driver_tables as D
+from lodgeflow.session import bounded_broadcast
 from lodgeflow.sources.sinks import materialize
 
 
@@ -114,13 +115,22 @@ class Domain:
 
     @cached_property
     def lookup(self) -> DataFrame:
-        """Area name -> LGA over the three reference paths (direct, dim_suburb, staged suburbs)."""
-        return lga_name_lookup(self.dim_lga, [self.dim_suburb, self.stg_lga_suburb])
+        """Area name -> LGA over the three reference paths (direct, dim_suburb, staged
+        suburbs), one row per name; broadcast marked once, after a bounded count."""
+        folded = lga_name_lookup(self.dim_lga, [self.dim_suburb, self.stg_lga_suburb])
+        return bounded_broadcast(folded, MAX_LOOKUP_ROWS)
 
     # marts
     def mart(self, kind: str, extra: bool = False) -> DataFrame:
+        """KPI mart; the neighbourhood mart feeds three analyses, so it is written
+        once (per boundary and horizon) like the star tables."""
         key = (kind, extra)
         if key not in self._marts:
-            self._marts[key] = M.kpi_mart(self.dim_listing, self.dim_host, kind, self.horizon,
-                                          extra)
+            def build():
+                return M.kpi_mart(self.dim_listing, self.dim_host, kind, self.horizon, extra)
+            if kind == "neighbourhood" and not extra:
+                name = f"mart_{kind}_{self.boundary}_{self.horizon[0]}_{self.horizon[1]}"
+                self._marts[key] = self._table(build, name)
+            else:
+                self._marts[key] = build()
         return self._marts[key]

@@ -226,7 +226,7 @@ def monthly_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookup_resolve_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain.of(spark, sf_dir)
     rows = d.stg.select("listing_id", "scraped_date", "listing_neighbourhood")
-    return resolve_lookup(rows, "listing_neighbourhood", d.lookup)
+    return resolve_lookup(rows, "listing_neighbourhood", d.lookup, max_rows=None)
 
 
 # ------------------------------------------------------------------- silver
@@ -338,8 +338,8 @@ def _stage_month_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw listing text as CSV, one folder per month (stream input)."""
     src = scratch_path(spark, "month-files")
     raw = D.bronze_listing_text(Domain.of(spark, sf_dir).obs)
-    # One file per month, as the monthly deliveries arrive.
-    raw.repartition("MONTH_YEAR").write.partitionBy("MONTH_YEAR").options(header="true", quote='"', escape='"').csv(src)
+    # Month folders, as the monthly deliveries arrive; rebalance sizes the files.
+    raw.hint("rebalance", "MONTH_YEAR").write.partitionBy("MONTH_YEAR").options(header="true", quote='"', escape='"').csv(src)
     return src
 
 

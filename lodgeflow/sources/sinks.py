@@ -23,7 +23,14 @@ def overwrite_table(df: DataFrame, path: str) -> None:
 
 
 def append_table(df: DataFrame, path: str, partition_by=None) -> None:
-    """Append rows (explicit column list = the frame's columns)."""
+    """Append rows (explicit column list = the frame's columns).
+
+    Partitioned writes first ``rebalance`` on the partition columns: AQE then
+    splits large partitions and merges small ones, so each month gets files of
+    a sensible size at any scale (neither one task per month nor thousands of
+    tiny files)."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

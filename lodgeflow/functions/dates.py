@@ -9,8 +9,7 @@ from lodgeflow.functions.text import null_tokens, strip_ws
 
 # Accepted date layouts. ``\z`` anchors at the true end of input
 # (Java ``$`` would also accept a trailing newline).
-_ISO_CHECKED = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])\z"
-_DMY_LOOSE = r"^(\d{1,2})-(\d{1,2})-(\d{4})\z"
+_DATE_SHAPE = r"^(\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})\z"
 _ISO_STRICT = r"^\d{4}-\d{2}-\d{2}\z"
 _DMY_ANY_SEP = r"^\d{1,2}[./-]\d{1,2}[./-]\d{4}\z"
 _MONTH_KEY = r"^\d{2}_\d{4}\z"
@@ -21,14 +20,20 @@ def iso_text_dayfirst(c: Column) -> Column:
 
     Separators ``.`` and ``/`` count as ``-``; ``Y-m-d`` and ``d-m-Y`` are
     accepted, fields are zero-padded, and only ``1<=M<=12`` and ``1<=D<=31`` are
-    checked (so ``31-02-2020`` passes here and is rejected later). ``d-m-Y`` is
-    rewritten to ``Y-m-d``, single digits are padded, and one anchored pattern
-    checks the ranges: three regex steps, small enough to stay in codegen.
+    checked (so ``31-02-2020`` passes here and is rejected later). One anchored
+    shape check and one split; the 4-digit field tells the layout apart.
     """
-    s = F.regexp_replace(strip_ws(F.coalesce(null_tokens(c), F.lit(""))), r"[./]", "-")
-    ymd = F.regexp_replace(s, _DMY_LOOSE, "$3-$2-$1")
-    padded = F.regexp_replace(ymd, r"-(\d)(?!\d)", "-0$1")
-    return F.when(padded.rlike(_ISO_CHECKED), padded).otherwise(F.lit(""))
+    s = F.translate(strip_ws(F.coalesce(null_tokens(c), F.lit(""))), "./", "--")
+    parts = F.split(s, "-")
+    first, mid, last = F.get(parts, 0), F.get(parts, 1), F.get(parts, 2)
+    year_first = F.length(first) == 4
+    year = F.when(year_first, first).otherwise(last)
+    m_int = mid.try_cast("int")
+    d_int = F.when(year_first, last).otherwise(first).try_cast("int")
+    ok = s.rlike(_DATE_SHAPE) & m_int.between(1, 12) & d_int.between(1, 31)
+    iso = F.concat_ws("-", year, F.lpad(m_int.cast("string"), 2, "0"),
+                      F.lpad(d_int.cast("string"), 2, "0"))
+    return F.when(ok, iso).otherwise(F.lit(""))
 
 
 def parse_text_date(c: Column, strict: bool = False) -> Column:

@@ -334,13 +334,21 @@ def month_guard_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            F.col("MONTH_YEAR").alias("month_year"))
 
 
+_STAGED: dict = {}
+
+
 def _stage_month_files(spark: SparkSession, sf_dir: str) -> str:
-    """Write the raw listing text as CSV, one folder per month (stream input)."""
-    src = scratch_path(spark, "month-files")
-    raw = D.bronze_listing_text(Domain.of(spark, sf_dir).obs)
-    # Month folders, as the monthly deliveries arrive; rebalance sizes the files.
-    raw.hint("rebalance", "MONTH_YEAR").write.partitionBy("MONTH_YEAR").options(header="true", quote='"', escape='"').csv(src)
-    return src
+    """Write the raw listing text as CSV, one folder per month (the stream input),
+    once per session and input folder."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _STAGED:
+        src = scratch_path(spark, "month-files")
+        raw = D.bronze_listing_text(Domain.of(spark, sf_dir).obs)
+        # Month folders, as the monthly deliveries arrive; rebalance sizes the files.
+        (raw.hint("rebalance", "MONTH_YEAR").write.partitionBy("MONTH_YEAR")
+         .options(header="true", quote='"', escape='"').csv(src))
+        _STAGED[key] = src
+    return _STAGED[key]
 
 
 @register("stream_month_ingest")

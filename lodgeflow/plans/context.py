@@ -14,6 +14,9 @@ from lodgeflow.operators.lookup import MAX_LOOKUP_ROWS, lga_name_lookup
 from lodgeflow.plans import models as M
 from lodgeflow.sources import driver_tables as D
 from lodgeflow.session import bounded_broadcast
+from lodgeflow.session import scratch_path
+from lodgeflow.sources.csv_ingest import CSV_OPTIONS, blank_as_null, clean_fact_text, split_valid
+from lodgeflow.sources.schemas import LISTING_SCHEMA
 from lodgeflow.sources.sinks import materialize
 
 
@@ -63,6 +66,45 @@ class Domain:
     def obs(self) -> DataFrame:
         return self._table(lambda: D.listing_observations(self.spark, self.sf_dir), "obs")
 
+    @cached_property
+    def raw_text(self) -> DataFrame:
+        """The monthly files' content: every listing field as text (lazy)."""
+        return D.bronze_listing_text(self.obs)
+
+    @cached_property
+    def month_files(self) -> str:
+        """The raw text written once as CSV, one folder per month, as the monthly
+        deliveries arrive (input of the loader and of the stream queries)."""
+        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, "files")
+        if key not in Domain._tables:
+            path = scratch_path(self.spark, "month-files")
+            (self.raw_text.hint("rebalance", "MONTH_YEAR").write.partitionBy("MONTH_YEAR")
+             .options(header="true", quote='"', escape='"').csv(path))
+            Domain._tables[key] = path
+        return Domain._tables[key]
+
+    @cached_property
+    def loaded_text(self) -> DataFrame:
+        """The month files read back (A1) and cleaned by the loader."""
+        files = (self.spark.read.schema(LISTING_SCHEMA).options(**CSV_OPTIONS)
+                 .csv(self.month_files))
+        return clean_fact_text(files)
+
+    @cached_property
+    def bronze_listing(self) -> DataFrame:
+        """Raw layer as the loader writes it: rows with a blank natural key left
+        out (B18), empty text as NULL; written once as a table."""
+        def build():
+            valid, _ = split_valid(self.loaded_text, ["LISTING_ID", "SCRAPED_DATE"])
+            return blank_as_null(valid)
+        return self._table(build, "bronze_listing")
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        """Rows the loader's key guard drops."""
+        _, bad = split_valid(self.loaded_text, ["LISTING_ID", "SCRAPED_DATE"])
+        return bad
+
     # silver
     @cached_property
     def stg(self) -> DataFrame:

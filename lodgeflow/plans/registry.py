@@ -232,11 +232,8 @@ def lookup_resolve_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------- silver
 @register("stg_listing_clean")
 def stg_listing_clean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze text -> loader clean -> key guard -> silver typing, whole table."""
-    obs = Domain.of(spark, sf_dir).obs
-    loaded = clean_fact_text(D.bronze_listing_text(obs))
-    valid, _ = split_valid(loaded, ["LISTING_ID", "SCRAPED_DATE"])
-    stg = M.stg_listing(blank_as_null(valid))
+    """Bronze text -> loader clean -> key guard -> raw table -> silver typing."""
+    stg = M.stg_listing(Domain.of(spark, sf_dir).bronze_listing)
     return stg.select("listing_id", "scrape_id", "host_id", "scraped_date", "host_is_superhost",
                       "has_availability", "listing_neighbourhood", "host_neighbourhood",
                       "property_type", F.col("price").cast("double").alias("price"),
@@ -248,9 +245,7 @@ def stg_listing_clean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pk_guard")
 def pk_guard_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows dropped for a blank natural key after date normalisation."""
-    obs = Domain.of(spark, sf_dir).obs
-    loaded = clean_fact_text(D.bronze_listing_text(obs))
-    _, bad = split_valid(loaded, ["LISTING_ID", "SCRAPED_DATE"])
+    bad = Domain.of(spark, sf_dir).quarantine
     return bad.select(F.col("LISTING_ID").cast("bigint").alias("listing_id"),
                       F.col("SCRAPE_ID").cast("bigint").alias("scrape_id"),
                       F.col("MONTH_YEAR").alias("month_year"))
@@ -259,7 +254,7 @@ def pk_guard_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("align_columns")
 def align_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: a file lacking REVIEW_SCORES_VALUE and carrying EXTRA, aligned to bronze."""
-    raw = D.bronze_listing_text(Domain.of(spark, sf_dir).obs)
+    raw = Domain.of(spark, sf_dir).raw_text
     incoming = raw.drop("REVIEW_SCORES_VALUE").withColumn("EXTRA", F.lit("x")) \
         .withColumnRenamed("PROPERTY_TYPE", "property_type")
     aligned = assert_width(align_columns(incoming, LISTING_SCHEMA), len(LISTING_SCHEMA))
@@ -334,21 +329,9 @@ def month_guard_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            F.col("MONTH_YEAR").alias("month_year"))
 
 
-_STAGED: dict = {}
-
-
 def _stage_month_files(spark: SparkSession, sf_dir: str) -> str:
-    """Write the raw listing text as CSV, one folder per month (the stream input),
-    once per session and input folder."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-    if key not in _STAGED:
-        src = scratch_path(spark, "month-files")
-        raw = D.bronze_listing_text(Domain.of(spark, sf_dir).obs)
-        # Month folders, as the monthly deliveries arrive; rebalance sizes the files.
-        (raw.hint("rebalance", "MONTH_YEAR").write.partitionBy("MONTH_YEAR")
-         .options(header="true", quote='"', escape='"').csv(src))
-        _STAGED[key] = src
-    return _STAGED[key]
+    """The month files of the input folder (written once per session)."""
+    return Domain.of(spark, sf_dir).month_files
 
 
 @register("stream_month_ingest")
@@ -374,9 +357,10 @@ def stream_scd2_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = SnapshotTable(spark, scratch_path(spark, "snap-host"))
 
     def to_rows(batch: DataFrame) -> DataFrame:
-        cleaned = clean_fact_text(batch)
-        valid, _ = split_valid(cleaned, ["LISTING_ID", "SCRAPED_DATE"])
-        return M.host_rows(M.stg_listing(blank_as_null(valid)))
+        # The loaded batch is raw-layer data: written as a table, then typed.
+        valid, _ = split_valid(clean_fact_text(batch), ["LISTING_ID", "SCRAPED_DATE"])
+        loaded = sinks.materialize(spark, blank_as_null(valid), "bronze-batch")
+        return M.host_rows(M.stg_listing(loaded))
 
     q = stream_snapshot(spark, month_file_stream(spark, src), table, to_rows, "host_id",
                         "scraped_date", scratch_path(spark, "ckpt-snap"),

@@ -60,31 +60,27 @@ def scd2_check(hist: DataFrame, key: str, updated_at: str,
                                VALID_TO: _ts(F.lead(updated_at).over(w))})
 
 
-def scd2_apply(current: DataFrame | None, batch: DataFrame, key: str, updated_at: str,
-               check_cols: Sequence[str] | None = None, close_missing: bool = False,
-               as_of: Column | None = None) -> DataFrame:
-    """Apply one batch to a snapshot table, as a snapshot run would.
-
-    * closed versions of ``current`` pass through untouched (no shuffle);
-    * open versions are re-evaluated together with the batch rows of their key
-      (one shuffle on ``key`` over open versions + batch only): batch rows not
-      newer than the open version are ignored; with ``check_cols`` a row opens
-      a version only if a check column changed, otherwise every newer row does;
-    * ``close_missing`` (J3, hard deletes): open versions whose key is absent
-      from the batch are closed at ``as_of`` (default: newest ``updated_at`` of
-      the batch, taken from a one-row aggregate).
+def scd2_step(open_v: DataFrame | None, batch: DataFrame, key: str, updated_at: str,
+              check_cols: Sequence[str] | None = None, close_missing: bool = False,
+              as_of: Column | None = None) -> DataFrame:
+    """J3/J4 core: re-evaluate the open versions together with one batch.
+
+    Returns the versions of every key in ``open_v`` or ``batch``: previously
+    open versions (now possibly closed) plus the new ones. Work is one shuffle
+    on ``key`` over open versions + batch only, independent of the closed
+    history. Batch rows not newer than the open version of their key are
+    ignored; with ``check_cols`` a row opens a version only if a check column
+    changed, otherwise every newer row does. ``close_missing`` (hard deletes)
+    closes open versions whose key is absent from the batch at ``as_of``
+    (default: newest ``updated_at`` of the batch, from a one-row aggregate).
     """
-    cols = [c for c in batch.columns]
+    cols = list(batch.columns)
     batch = batch.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
-    if current is None:
+    if open_v is None:
         versions = (scd2_check(batch, key, updated_at, check_cols) if check_cols
                     else scd2_timestamp(batch, key, updated_at))
         return versions.select(*cols, VALID_FROM, VALID_TO)
 
-    closed = current.filter(F.col(VALID_TO).isNotNull()).select(*cols, VALID_FROM, VALID_TO)
-    open_v = current.filter(F.col(VALID_TO).isNull())
-
-    # Batch rows newer than the open version of their key (or of a new key).
     open_from = open_v.select(F.col(key).alias("_k"), F.col(VALID_FROM).alias("_open_from"))
     fresh = (batch.join(open_from, batch[key] == open_from["_k"], "left")
              .filter(F.col("_open_from").isNull() | (_ts(F.col(updated_at)) > F.col("_open_from")))
@@ -113,7 +109,24 @@ def scd2_apply(current: DataFrame | None, batch: DataFrame, key: str, updated_at
         rebuilt = rebuilt.withColumn(
             VALID_TO, F.when(F.col(VALID_TO).isNull() & F.col("_seen").isNull(), _ts(as_of))
             .otherwise(F.col(VALID_TO)))
-    return closed.unionByName(rebuilt.select(*cols, VALID_FROM, VALID_TO))
+    return rebuilt.select(*cols, VALID_FROM, VALID_TO)
+
+
+def scd2_apply(current: DataFrame | None, batch: DataFrame, key: str, updated_at: str,
+               check_cols: Sequence[str] | None = None, close_missing: bool = False,
+               as_of: Column | None = None) -> DataFrame:
+    """Apply one batch to a snapshot table, as a snapshot run would.
+
+    Closed versions of ``current`` pass through untouched (no shuffle); the
+    open ones are re-evaluated with the batch by ``scd2_step``.
+    """
+    if current is None:
+        return scd2_step(None, batch, key, updated_at, check_cols, close_missing, as_of)
+    cols = list(batch.columns)
+    closed = current.filter(F.col(VALID_TO).isNotNull()).select(*cols, VALID_FROM, VALID_TO)
+    open_v = current.filter(F.col(VALID_TO).isNull())
+    return closed.unionByName(
+        scd2_step(open_v, batch, key, updated_at, check_cols, close_missing, as_of))
 
 
 def with_version_key(df: DataFrame, name: str, parts: Sequence[Column]) -> DataFrame:

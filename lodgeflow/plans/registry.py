@@ -128,25 +128,21 @@ def scd2_hard_delete_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_apply_batches_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 property: three successive applies equal the closed form (K2).
 
-    The snapshot is checkpointed after each apply (to the shared checkpoint
-    folder) so the lineage does not grow with the number of batches.
+    Each apply goes to a snapshot table in the shared checkpoint folder that
+    rewrites only open versions + the batch; closed history is never rewritten.
     """
     rows = M.host_rows(Domain.of(spark, sf_dir).stg)
-    cuts = ["1997-01-01", "1999-01-01"]
-    snap = None
-    lo = None
-    for hi in cuts + [None]:
+    table = SnapshotTable(spark, scratch_path(spark, "snap-host-batches"))
+    bounds = [None, "1997-01-01", "1999-01-01", None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
         if lo:
             cond = cond & (F.col("scraped_date") >= F.lit(lo).cast("date"))
         if hi:
             cond = cond & (F.col("scraped_date") < F.lit(hi).cast("date"))
-        snap = scd2_apply(snap, rows.filter(cond), "host_id", "scraped_date",
-                          M.HOST_CHECK_COLUMNS)
-        snap = snap.checkpoint(eager=True)
-        lo = hi
-    return snap.select("host_id", "host_name", "host_is_superhost", "host_neighbourhood",
-                       "dbt_valid_from", "dbt_valid_to")
+        table.apply(rows.filter(cond), "host_id", "scraped_date", M.HOST_CHECK_COLUMNS)
+    return table.current().select("host_id", "host_name", "host_is_superhost",
+                                  "host_neighbourhood", "dbt_valid_from", "dbt_valid_to")
 
 
 @register("month_validity")

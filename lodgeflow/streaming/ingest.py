@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodgeflow.operators.history import scd2_apply
+from lodgeflow.operators.history import VALID_TO, scd2_step
 from lodgeflow.sources.csv_ingest import (
     CSV_OPTIONS,
     MONTH_FROM_NAME,
@@ -75,32 +75,80 @@ def stream_months(spark: SparkSession, src_dir: str, checkpoint: str, sink: str,
 
 
 class SnapshotTable:
-    """A snapshot kept as successive parquet versions (``v00000``, ``v00001`` ...).
+    """A snapshot stored so that one apply rewrites only the open versions.
 
-    Parquet cannot be overwritten while it is being read, so every apply
-    writes a new version directory; the newest complete version is the table.
+    Apply ``N`` writes ``v<N>/`` partitioned by ``state``: versions closed by
+    that apply go to ``state=closed`` and are never rewritten; the open versions
+    go to ``state=open``. The table is every ``state=closed`` folder plus the
+    newest ``state=open``. Per-apply work is bounded by open versions + batch,
+    not by the length of the history. Parquet is never overwritten in place.
     """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        self.version = -1
+        self.version = self._last_complete_version()
+        cur = self.open_versions()
+        self._schema = cur.schema if cur is not None else None
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.base)
+        return jvm, root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _last_complete_version(self) -> int:
+        """Newest version with a ``_COMMITTED`` marker (a restarted driver resumes
+        there; a half-written version is ignored and rewritten). Replaying a
+        micro-batch is harmless: rows not newer than the open versions are skipped."""
+        jvm, root, fs = self._fs()
+        if not fs.exists(root):
+            return -1
+        done = [int(st.getPath().getName()[1:]) for st in fs.listStatus(root)
+                if st.getPath().getName()[:1] == "v" and st.getPath().getName()[1:].isdigit()
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_COMMITTED"))]
+        return max(done) if done else -1
+
+    def _read(self, pattern: str) -> DataFrame:
+        reader = self.spark.read
+        if getattr(self, "_schema", None) is not None:
+            reader = reader.schema(self._schema)
+        return reader.parquet(pattern)
+
+    def open_versions(self) -> DataFrame | None:
+        if self.version < 0:
+            return None
+        return self._read(f"{self.base}/v{self.version:05d}/state=open")
 
     def current(self) -> DataFrame | None:
         if self.version < 0:
             return None
-        return self.spark.read.parquet(f"{self.base}/v{self.version:05d}")
+        closed = self._read(f"{self.base}/v*/state=closed")
+        return closed.unionByName(self.open_versions())
 
-    def commit(self, df: DataFrame) -> None:
+    def apply(self, batch: DataFrame, key: str, updated_at: str, check_cols=None,
+              close_missing: bool = False) -> None:
+        step = scd2_step(self.open_versions(), batch, key, updated_at, check_cols,
+                         close_missing)
         nxt = self.version + 1
-        df.write.mode("overwrite").parquet(f"{self.base}/v{nxt:05d}")
+        self._schema = step.schema
+        state = F.when(F.col(VALID_TO).isNull(), F.lit("open")).otherwise(F.lit("closed"))
+        # Both folders always exist (an empty apply writes empty files), so
+        # every version can be read back by path.
+        target = f"{self.base}/v{nxt:05d}"
+        for st in ("open", "closed"):       # empty folders first, so both always exist
+            (self.spark.createDataFrame([], step.schema).write.mode("overwrite")
+             .parquet(f"{target}/state={st}"))
+        step.withColumn("state", state).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("state").parquet(target)
+        jvm, _, fs = self._fs()
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{target}/_COMMITTED")).close()
         self.version = nxt
 
 
 def stream_snapshot(spark: SparkSession, stream: DataFrame, table: SnapshotTable,
                     to_rows, key: str, updated_at: str, checkpoint: str,
                     check_cols=None, close_missing: bool = False) -> StreamingQuery:
-    """L2: apply each micro-batch to a snapshot table with ``scd2_apply``.
+    """L2: apply each micro-batch to a snapshot table (J4, ``SnapshotTable.apply``).
 
     ``to_rows`` maps the raw batch to snapshot source rows (one per key and
     ``updated_at``). Batches are applied in arrival order; rows older than a
@@ -108,9 +156,7 @@ def stream_snapshot(spark: SparkSession, stream: DataFrame, table: SnapshotTable
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = to_rows(batch)
-        table.commit(scd2_apply(table.current(), rows, key, updated_at, check_cols,
-                                close_missing))
+        table.apply(to_rows(batch), key, updated_at, check_cols, close_missing)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -17,6 +17,43 @@ def _date(v) -> Column:
     return F.lit(v if isinstance(v, dt.date) else dt.date.fromisoformat(str(v)))
 
 
+def _add_months(d: dt.date, k: int) -> dt.date:
+    m = d.year * 12 + d.month - 1 + k
+    return dt.date(m // 12, m % 12 + 1, 1)
+
+
+def overlapping(versions: DataFrame, lo, hi, from_col: str = "valid_from_month",
+                to_col: str = "valid_to_month") -> DataFrame:
+    """Versions whose month validity overlaps ``[lo, hi]`` (month starts).
+
+    When the raw validity timestamps are present, a superset condition on them
+    (true for either month-boundary rule) is added first: it is a plain column
+    comparison with literals, so it reaches the parquet scan and skips old
+    closed versions before any shuffle.
+    """
+    lo_d = lo if isinstance(lo, dt.date) else dt.date.fromisoformat(str(lo))
+    hi_d = hi if isinstance(hi, dt.date) else dt.date.fromisoformat(str(hi))
+    out = versions
+    if "dbt_valid_from" in versions.columns and "dbt_valid_to" in versions.columns:
+        out = out.filter(
+            (F.col("dbt_valid_from") < F.lit(dt.datetime.combine(_add_months(hi_d, 1),
+                                                                  dt.time())))
+            & (F.col("dbt_valid_to").isNull()
+               | (F.col("dbt_valid_to") >= F.lit(dt.datetime.combine(_add_months(lo_d, -1),
+                                                                      dt.time())))))
+    return out.filter((F.col(from_col) <= F.lit(hi_d))
+                      & (F.col(to_col).isNull() | (F.col(to_col) > F.lit(lo_d))))
+
+
+def trailing_bounds(df: DataFrame, month_col: str, n: int = 12):
+    """``(first, last)`` month of the trailing ``n``-month window, from one
+    aggregated row (a scan of the month column only); ``None`` when empty."""
+    row = window_bounds(df, month_col, n).first()
+    if row is None or row["_max_month"] is None:
+        return None
+    return row["_min_month"], row["_max_month"]
+
+
 def expand_months(df: DataFrame, lo, hi, from_col: str = "valid_from_month",
                   to_col: str = "valid_to_month", out: str = "month_start") -> DataFrame:
     """One row per month a version covers, clipped to ``[lo, hi]``.
@@ -29,10 +66,13 @@ def expand_months(df: DataFrame, lo, hi, from_col: str = "valid_from_month",
     lo_c, hi_c = _date(lo), _date(hi)
     start = F.greatest(F.trunc(F.col(from_col), "month"), lo_c)
     last = F.least(F.trunc(F.date_sub(F.col(to_col), 1), "month"), hi_c)
-    overlapping = df.filter((F.col(from_col) <= hi_c)
-                            & (F.col(to_col).isNull() | (F.col(to_col) > lo_c)))
+    if isinstance(lo, Column) or isinstance(hi, Column):
+        cover = df.filter((F.col(from_col) <= hi_c)
+                          & (F.col(to_col).isNull() | (F.col(to_col) > lo_c)))
+    else:
+        cover = overlapping(df, lo, hi, from_col, to_col)
     months = F.when(start <= last, F.sequence(start, last, F.expr("interval 1 month")))
-    return overlapping.withColumn(out, F.explode(months))
+    return cover.withColumn(out, F.explode(months))
 
 
 def asof_month_join(fact: DataFrame, versions: DataFrame, key: str, month_col: str,
@@ -57,12 +97,20 @@ def window_bounds(df: DataFrame, month_col: str, n: int = 12) -> DataFrame:
         F.add_months(F.col("_max_month"), -(n - 1)).alias("_min_month"), "_max_month")
 
 
-def last_n_months(df: DataFrame, month_col: str, n: int = 12) -> DataFrame:
+def last_n_months(df: DataFrame, month_col: str, n: int = 12, eager: bool = True) -> DataFrame:
     """Rows in the ``n`` months ending at the newest month (inclusive).
 
-    The newest month comes from a one-row aggregate joined ``ON TRUE`` by
-    broadcast (its size is one row by construction).
+    ``eager=True`` (default): the bounds are one aggregated row (a scan of the
+    month column only) fetched first, so the window filter is a literal that
+    Catalyst pushes into the parquet scan and, on a month-partitioned table,
+    turns into partition pruning. ``eager=False`` keeps it one lazy plan: the
+    one-row bounds are joined ``ON TRUE`` by broadcast.
     """
+    if eager:
+        bounds = trailing_bounds(df, month_col, n)
+        if bounds is None:
+            return df.filter(F.lit(False))
+        return df.filter(F.col(month_col).between(F.lit(bounds[0]), F.lit(bounds[1])))
     bounds = F.broadcast(window_bounds(df, month_col, n))
     return (df.crossJoin(bounds)
             .filter(F.col(month_col).between(F.col("_min_month"), F.col("_max_month")))

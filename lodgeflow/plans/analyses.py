@@ -17,7 +17,12 @@ from pyspark.sql import functions as F
 from lodgeflow.functions import asc_pg, desc_pg, ratio, safe_corr
 from lodgeflow.operators.lookup import resolve_lookup
 from lodgeflow.operators.ranking import share_of_total, top1_per_group, top_bottom
-from lodgeflow.operators.temporal import asof_month_join, last_n_months
+from lodgeflow.operators.temporal import (
+    asof_month_join,
+    last_n_months,
+    overlapping,
+    trailing_bounds,
+)
 from lodgeflow.plans.context import Domain
 
 CODE = "LGA_CODE_2016"
@@ -99,9 +104,14 @@ def best_combo_per_area(d: Domain, n: int = 12, k: int = 5) -> DataFrame:
         Window.orderBy(desc_pg("avg_rev_per_active_listing_12m"))))
         .filter(F.col("_rnk") <= k).drop("_rnk"))
     months = l12.select(F.col("month_start").alias("month_date")).distinct()
+    bounds = trailing_bounds(d.mart("neighbourhood"), "month_start", n)
     fact = d.fact.join(months, "month_date", "left_semi")
-    versions = d.dim_listing.join(top.select("listing_neighbourhood"), "listing_neighbourhood",
-                                  "left_semi")
+    versions = d.dim_listing
+    if bounds is not None:
+        fact = fact.filter(F.col("month_date").between(*bounds))
+        versions = overlapping(versions, *bounds)
+    versions = versions.join(top.select("listing_neighbourhood"), "listing_neighbourhood",
+                             "left_semi")
     fa = asof_month_join(fact.select("listing_id", "month_date", "stays", "price"),
                          versions.select("listing_id", "listing_neighbourhood", "property_type",
                                          "room_type", "accommodates", "valid_from_month",
@@ -124,10 +134,22 @@ def best_combo_per_area(d: Domain, n: int = 12, k: int = 5) -> DataFrame:
 
 
 def _fact_window(d: Domain, n: int, fact_cols) -> DataFrame:
-    """Trailing-window fact rows aligned to the listing version of their month."""
-    fact = last_n_months(d.fact.select(*fact_cols), "month_date", n)
-    versions = d.dim_listing.select("listing_id", "listing_neighbourhood", "valid_from_month",
-                                    "valid_to_month")
+    """Trailing-window fact rows aligned to the listing version of their month.
+
+    The window bounds are literals: the fact scan prunes month partitions and
+    the version scan skips versions closed before the window.
+    """
+    bounds = trailing_bounds(d.fact, "month_date", n)
+    if bounds is None:
+        lo = hi = None
+        fact = d.fact.select(*fact_cols).filter(F.lit(False))
+        versions = d.dim_listing
+    else:
+        lo, hi = bounds
+        fact = d.fact.select(*fact_cols).filter(F.col("month_date").between(lo, hi))
+        versions = overlapping(d.dim_listing, lo, hi)
+    versions = versions.select("listing_id", "listing_neighbourhood", "valid_from_month",
+                               "valid_to_month")
     fa = asof_month_join(fact, versions, "listing_id", "month_date")
     return _resolve(fa, d)
 

@@ -93,7 +93,8 @@ def month_key(c) -> F.Column:
     return F.date_format(c, "MM_yyyy")
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str,
+                partition_by=None) -> DataFrame:
     """Write a model as a parquet table in the shared checkpoint folder
     and read it back.
 
@@ -102,5 +103,9 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     the scan, and gives the optimizer file statistics for join planning.
     """
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if partition_by:
+        (df.hint("rebalance", *partition_by).write.mode("overwrite")
+         .partitionBy(*partition_by).parquet(path))
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).select(*df.columns)

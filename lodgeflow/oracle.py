@@ -582,6 +582,17 @@ SELECT listing_neighbourhood, newest_date,
   CAST(date_diff('day', newest_date, as_of) AS INTEGER) AS age_days,
   date_diff('day', newest_date, as_of) > 31 AS is_stale
 FROM per, ov""",
+        "bronze_dims_load": dims_q + f"""SELECT lk.name_key, lk.lga_code, lk.lga_name, g01.Tot_P_P,
+  CAST(g02.annual_median_mortgage AS DOUBLE) AS annual_median_mortgage
+FROM (
+  SELECT lower(trim(lga_name)) AS name_key, lga_code, lga_name FROM dim_lga
+  UNION
+  SELECT lower(trim(s.suburb_name)) AS name_key, dl.lga_code, dl.lga_name
+  FROM stg_lga_suburb s JOIN dim_lga dl ON dl.lga_name = s.lga_name
+  WHERE lower(trim(s.suburb_name)) NOT IN (SELECT lower(trim(lga_name)) FROM dim_lga)) lk
+LEFT JOIN g01 ON g01.LGA_CODE_2016 = lk.lga_code
+LEFT JOIN g02 ON g02.LGA_CODE_2016 = lk.lga_code""",
+        "bronze_facts_load": "WITH " + OBS.strip() + "," + STG_TEXT.strip() + "\n" + CLEAN_SELECT,
         "month_guard_load": "WITH " + OBS.strip() + """
 SELECT listing_id, scraped_date, strftime(scraped_date, '%m_%Y') AS month_year FROM obs""",
     }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodgeflow.operators.lookup import MAX_LOOKUP_ROWS, lga_name_lookup
 from lodgeflow.plans import models as M
@@ -16,7 +17,7 @@ from lodgeflow.sources import driver_tables as D
 from lodgeflow.session import bounded_broadcast
 from lodgeflow.session import scratch_path
 from lodgeflow.sources.csv_ingest import CSV_OPTIONS, blank_as_null, clean_fact_text, split_valid
-from lodgeflow.sources.schemas import LISTING_SCHEMA
+from lodgeflow.sources.schemas import G01_SCHEMA, LISTING_SCHEMA
 from lodgeflow.sources.sinks import materialize
 
 
@@ -83,6 +84,29 @@ class Domain:
             Domain._tables[key] = path
         return Domain._tables[key]
 
+    @cached_property
+    def dimension_files(self) -> str:
+        """The four reference dimension files, as CSV written from the driver
+        tables once per session (tiny: bounded by the number of areas)."""
+        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, "dims")
+        if key not in Domain._tables:
+            path = scratch_path(self.spark, "dimensions")
+            g01 = D.bronze_census_g01(self.spark, self.sf_dir)
+            for f in G01_SCHEMA.fields:          # full-width file, unused measures 0
+                if f.name not in g01.columns:
+                    g01 = g01.withColumn(f.name, F.lit(0))
+            files = {
+                "NSW_LGA_CODE.csv": D.bronze_lga_codes(self.spark, self.sf_dir)
+                .withColumn("NOTE", F.lit("x")),
+                "NSW_LGA_SUBURB.csv": D.bronze_lga_suburbs(self.spark, self.sf_dir),
+                "2016Census_G01_NSW_LGA.csv": g01.select(*[f.name for f in G01_SCHEMA.fields]),
+                "2016Census_G02_NSW_LGA.csv": D.bronze_census_g02(self.spark, self.sf_dir),
+            }
+            for name, df in files.items():
+                df.coalesce(1).write.options(header="true").csv(f"{path}/{name}")
+            Domain._tables[key] = path
+        return Domain._tables[key]
+
     @cached_property
     def loaded_text(self) -> DataFrame:
         """The month files read back (A1) and cleaned by the loader."""

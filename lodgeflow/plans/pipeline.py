@@ -9,7 +9,6 @@
 
 from __future__ import annotations
 
-import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +33,12 @@ from lodgeflow.sources.schemas import (
     FACT_TABLE,
     LISTING_SCHEMA,
 )
-from lodgeflow.sources.sinks import load_month_if_absent, overwrite_table
+from lodgeflow.sources.sinks import (
+    list_names,
+    load_month_if_absent,
+    overwrite_table,
+    path_exists,
+)
 
 
 def load_dimensions(spark: SparkSession, dim_dir: str, bronze_base: str) -> dict[str, int]:
@@ -44,8 +48,8 @@ def load_dimensions(spark: SparkSession, dim_dir: str, bronze_base: str) -> dict
     """
     loaded = {}
     for fname, (table, schema, first_n) in DIM_SPECS.items():
-        path = os.path.join(dim_dir, fname)
-        if not os.path.isfile(path):
+        path = f"{dim_dir.rstrip('/')}/{fname}"
+        if not path_exists(spark, path):     # a file, or a folder of CSV parts
             continue
         raw = read_raw_csv(spark, path)
         if first_n:
@@ -61,13 +65,15 @@ def load_facts(spark: SparkSession, facts_dir: str, bronze_base: str,
                pattern: str = FACT_FILE_PATTERN) -> dict[str, int]:
     """All accepted month files in one parallel scan, appended once per month.
 
-    Months already in the table are skipped (A9), rows with a blank natural
-    key go to ``<table>_quarantine`` (B18, K21). Returns counts.
+    Inputs are files named ``MM_YYYY.csv`` or folders ``MONTH_YEAR=MM_YYYY``
+    (``pattern`` decides which names are accepted). Months already in the
+    table are skipped (A9), rows with a blank natural key go to
+    ``<table>_quarantine`` (B18, K21). Returns counts.
     """
-    names = list_month_files(os.listdir(facts_dir), pattern)
+    names = list_month_files(list_names(spark, facts_dir), pattern)
     if not names:
         return {"files": 0, "loaded": 0, "quarantined": 0}
-    paths = [os.path.join(facts_dir, n) for n in names]
+    paths = [f"{facts_dir.rstrip('/')}/{n}" for n in names]
     raw = with_file_month(spark.read.options(header="true", inferSchema="false",
                                              multiLine="true", quote='"', escape='"')
                           .csv(paths))

@@ -364,3 +364,38 @@ def stream_scd2_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     return table.current().select("host_id", "host_name", "host_is_superhost",
                                   "host_neighbourhood", "dbt_valid_from", "dbt_valid_to")
+
+
+# ------------------------------------------------------------- bronze jobs
+@register("bronze_dims_load")
+def bronze_dims_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four dimension files loaded to bronze, typed, folded into the lookup."""
+    from lodgeflow.plans.pipeline import Warehouse, load_dimensions
+    bronze = scratch_path(spark, "bronze-dims")
+    load_dimensions(spark, Domain.of(spark, sf_dir).dimension_files, bronze)
+    w = Warehouse(spark, bronze)
+    g01 = w.g01.select(F.col("LGA_CODE_2016").alias("lga_code"), "Tot_P_P")
+    g02 = w.g02.select(F.col("LGA_CODE_2016").alias("lga_code"),
+                       F.col("annual_median_mortgage").cast("double")
+                       .alias("annual_median_mortgage"))
+    return (w.lookup.join(g01, "lga_code", "left").join(g02, "lga_code", "left")
+            .select("name_key", "lga_code", "lga_name", "Tot_P_P", "annual_median_mortgage"))
+
+
+@register("bronze_facts_load")
+def bronze_facts_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every month folder loaded in one batch job (twice: the rerun adds
+    nothing), then typed to silver."""
+    from lodgeflow.plans.pipeline import load_facts
+    bronze = scratch_path(spark, "bronze-facts")
+    files = Domain.of(spark, sf_dir).month_files
+    any_month = r"^MONTH_YEAR=\d{2}_\d{4}$"
+    load_facts(spark, files, bronze, pattern=any_month)
+    load_facts(spark, files, bronze, pattern=any_month)
+    stg = M.stg_listing(spark.read.parquet(f"{bronze}/r_f_listing"))
+    return stg.select("listing_id", "scrape_id", "host_id", "scraped_date", "host_is_superhost",
+                      "has_availability", "listing_neighbourhood", "host_neighbourhood",
+                      "property_type", F.col("price").cast("double").alias("price"),
+                      "availability_30",
+                      F.col("review_scores_rating").cast("double").alias("review_scores_rating"),
+                      "month_date")

@@ -18,6 +18,8 @@ from lodgeflow.functions import iso_text_dayfirst, null_tokens, strip_ws
 CSV_OPTIONS = {"header": "true", "inferSchema": "false", "multiLine": "true",
                "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 MONTH_FROM_NAME = r"(\d{2}_\d{4})\.csv$"
+# The month of a file: its name MM_YYYY.csv, or its folder MONTH_YEAR=MM_YYYY.
+MONTH_FROM_PATH = r"(?:/|^)(?:MONTH_YEAR=)?(\d{2}_\d{4})(?:\.csv$|/)"
 
 
 class IngestError(RuntimeError):
@@ -30,9 +32,8 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = N
     Quoted fields may hold doubled quotes and newlines. With ``schema`` the
     columns are taken by position; without it the header names are kept.
     """
-    local = path.removeprefix("file:")
-    if "://" not in path and (not os.path.exists(local) or
-                              (os.path.isfile(local) and os.path.getsize(local) == 0)):
+    from lodgeflow.sources.sinks import path_exists, path_size
+    if not path_exists(spark, path) or path_size(spark, path) == 0:
         raise IngestError(f"CSV missing/empty: {path}")
     reader = spark.read.options(**CSV_OPTIONS)
     if schema is not None:
@@ -53,14 +54,14 @@ def list_month_files(names, pattern: str) -> list[str]:
     picked = [n for n in names if rx.match(os.path.basename(n))]
 
     def key(n):
-        m = re.search(MONTH_FROM_NAME, os.path.basename(n))
-        return (int(m.group(1)[3:]), int(m.group(1)[:2])) if m else (0, 0)
+        m = re.search(r"(\d{2})_(\d{4})", os.path.basename(n))
+        return (int(m.group(2)), int(m.group(1))) if m else (0, 0)
     return sorted(picked, key=key)
 
 
 def with_file_month(df: DataFrame, out: str = "MONTH_YEAR") -> DataFrame:
-    """A10: tag each row with the ``MM_YYYY`` month taken from its file name."""
-    return df.withColumn(out, F.regexp_extract(F.col("_metadata.file_name"), MONTH_FROM_NAME, 1))
+    """A10: tag each row with the ``MM_YYYY`` month of its file (name or folder)."""
+    return df.withColumn(out, F.regexp_extract(F.col("_metadata.file_path"), MONTH_FROM_PATH, 1))
 
 
 def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -17,6 +17,30 @@ from lodgeflow.session import bounded_broadcast, scratch_path
 MAX_MONTHS = 100_000
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on any Hadoop file system (local, HDFS, object stores)."""
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def path_size(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` (file or folder)."""
+    p, fs = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the entries directly under ``folder``."""
+    p, fs = _fs(spark, folder)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def overwrite_table(df: DataFrame, path: str) -> None:
     """Full refresh of one table."""
     df.write.mode("overwrite").parquet(path)

@@ -111,9 +111,15 @@ def blank_as_null(df: DataFrame) -> DataFrame:
                       for c, t in df.dtypes])
 
 
-def split_valid(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
-    """Rows whose natural-key fields are all non-blank, and the quarantine rest."""
+def keys_present(keys) -> Column:
+    """B18 predicate: every natural-key field is non-blank."""
     ok: Column = F.lit(True)
     for k in keys:
         ok = ok & (F.trim(F.coalesce(F.col(k), F.lit(""))) != "")
+    return ok
+
+
+def split_valid(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
+    """Rows whose natural-key fields are all non-blank, and the quarantine rest."""
+    ok = keys_present(keys)
     return df.filter(ok), df.filter(~ok)

@@ -62,9 +62,11 @@ def test_end_to_end(spark, tmpdir_path):
     loaded = load_dimensions(spark, dims, bronze)
     assert loaded == {"r_d_2016census_g01_nsw_lga": 2, "r_d_2016census_g02_nsw_lga": 2,
                       "r_d_nsw_lga_code": 2, "r_d_nsw_lga_suburb": 2}
-    first = load_facts(spark, facts, bronze)
+    first = load_facts(spark, facts, bronze, quarantine=True)
     assert first == {"files": 2, "loaded": 4, "quarantined": 1}
-    assert load_facts(spark, facts, bronze)["loaded"] == 0           # reload adds nothing
+    assert spark.read.parquet(bronze + "/r_f_listing_quarantine").count() == 1
+    again = load_facts(spark, facts, bronze)                          # reload reads nothing
+    assert again == {"files": 0, "loaded": 0, "quarantined": 0}
 
     w = Warehouse(spark, bronze, horizon=(dt.date(2020, 5, 1), dt.date(2020, 6, 1)))
     stg = {r.listing_id: r for r in w.stg.filter("listing_id = 2").collect()}

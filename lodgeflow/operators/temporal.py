@@ -35,12 +35,12 @@ def overlapping(versions: DataFrame, lo, hi, from_col: str = "valid_from_month",
     hi_d = hi if isinstance(hi, dt.date) else dt.date.fromisoformat(str(hi))
     out = versions
     if "dbt_valid_from" in versions.columns and "dbt_valid_to" in versions.columns:
+        def ntz(d: dt.date) -> Column:       # zone-free literal, like the columns
+            return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
         out = out.filter(
-            (F.col("dbt_valid_from") < F.lit(dt.datetime.combine(_add_months(hi_d, 1),
-                                                                  dt.time())))
+            (F.col("dbt_valid_from") < ntz(_add_months(hi_d, 1)))
             & (F.col("dbt_valid_to").isNull()
-               | (F.col("dbt_valid_to") >= F.lit(dt.datetime.combine(_add_months(lo_d, -1),
-                                                                      dt.time())))))
+               | (F.col("dbt_valid_to") >= ntz(_add_months(lo_d, -1)))))
     return out.filter((F.col(from_col) <= F.lit(hi_d))
                       & (F.col(to_col).isNull() | (F.col(to_col) > F.lit(lo_d))))
 

@@ -107,3 +107,29 @@ def test_weighted_plan_equals_fan_out_reference_shape(spark):
         got = sorted((r[group], r.month_start, r.distinct_hosts, r.median_price_active,
                       r.avg_est_rev_per_active, r.total_stays) for r in got_df.collect())
         assert got == want
+
+
+def test_hot_host_holding_half_of_all_rows(spark):
+    """A host owning half the listings, with several versions in one month (fan-out)."""
+    rows, hm = [], []
+    for lid in range(400):
+        host = 1 if lid % 2 == 0 else lid            # host 1 holds half of all rows
+        for m in (5, 6):
+            rows.append((D(2020, m, 1), lid, host, "A" if lid % 3 else "B", lid % 4 != 0,
+                         lid % 30, Decimal(lid % 50 + 1), float(lid % 10)))
+    for m in (5, 6):
+        for v in range(3 if m == 6 else 1):          # three host-1 versions in June
+            hm.append((D(2020, m, 1), 1, "X", v == 2))
+    lm_df = spark.createDataFrame(rows, LM)
+    hm_df = spark.createDataFrame(hm, HM)
+    lm_df.createOrReplaceTempView("lm")
+    hm_df.createOrReplaceTempView("hm")
+    naive = spark.sql(NAIVE.format(grp="lm.listing_neighbourhood", join="LEFT JOIN"))
+    want = sorted((r.grp, r.month_start, r.dh, r.dsh, r.med, r.rev_per_active, r.stays)
+                  for r in naive.collect())
+    got = sorted((r.listing_neighbourhood, r.month_start, r.distinct_hosts,
+                  round(r.superhost_rate * r.distinct_hosts), r.median_price_active,
+                  r.avg_est_rev_per_active, r.total_stays)
+                 for r in monthly_kpis(lm_df, hm_df.drop("host_neighbourhood"),
+                                       ["listing_neighbourhood"]).collect())
+    assert got == want

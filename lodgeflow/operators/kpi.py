@@ -39,9 +39,11 @@ def listing_months(dim_listing: DataFrame, lo, hi,
                    group_cols: Sequence[str] = ("listing_neighbourhood",)) -> DataFrame:
     """Listing-month rows of the marts: activity, stays, zero-as-NULL price/rating."""
     x = expand_months(dim_listing, lo, hi)
+    types = dict(dim_listing.dtypes)
     return x.select(
         "month_start", "listing_id", "host_id",
-        *[upper_trim(F.col(g)).alias(g) for g in group_cols],
+        *[(upper_trim(F.col(g)) if types[g] == "string" else F.col(g)).alias(g)
+          for g in group_cols],
         F.coalesce(F.col("has_availability"), F.lit(False)).alias("is_active"),
         stays(F.col("has_availability"), F.col("availability_30")).alias("stays"),
         zero_to_null(F.col("price")).alias("price"),

@@ -93,9 +93,11 @@ def silver_from_observations(obs: DataFrame) -> DataFrame:
     )
 
 
-def stg_lga_code(bronze: DataFrame) -> DataFrame:
-    """LGA codes, upper-trimmed."""
-    return bronze.select(upper_trim(F.col("LGA_CODE")).alias("lga_code"),
+def stg_lga_code(bronze: DataFrame, normalise_code: bool = False) -> DataFrame:
+    """LGA codes, upper-trimmed. ``normalise_code`` applies the census key
+    rule (B12) to the code too, so non-5-digit codes still join (K20)."""
+    code = upper_trim(F.col("LGA_CODE"))
+    return bronze.select((digits_key(code) if normalise_code else code).alias("lga_code"),
                          upper_trim(F.col("LGA_NAME")).alias("lga_name"))
 
 
@@ -206,6 +208,8 @@ MART_KINDS = {
     "neighbourhood": (("listing_neighbourhood",), (), "left"),
     "property_type": (("property_type",), (), "left"),
     "host_neighbourhood": ((), ("host_neighbourhood",), "inner"),
+    # The grain the reference's column docs describe for the property mart
+    "property_room_size": (("property_type", "room_type", "accommodates"), (), "left"),
 }
 
 

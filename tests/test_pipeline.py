@@ -92,3 +92,23 @@ def test_end_to_end(spark, tmpdir_path):
     # host 8 (SYDNEY): 20 nights x 1050 = 21000 < 12 x 2000; host 7 (RANDWICK): May 2000 plus
     # June counted in both versions (K1) 2 x 2000, well above 12 x 10
     assert cover["SYDNEY"] == (1, 0) and cover["RANDWICK"] == (1, 1)
+
+
+def test_mart_by_several_listing_columns_and_code_option(spark, tmpdir_path):
+    from lodgeflow.plans.context import Domain
+    from lodgeflow.plans import models as M
+    d = Domain.of(spark, "/root/testdata/sf0.001")
+    m = d.mart("property_room_size")
+    assert m.columns[:4] == ["property_type", "room_type", "accommodates", "month_start"]
+    assert dict(m.dtypes)["accommodates"] == "int" and m.count() > 0
+    codes = spark.createDataFrame([("LGA 10050", "Sydney")], "LGA_CODE string, LGA_NAME string")
+    assert M.stg_lga_code(codes, normalise_code=True).first().lga_code == "10050"
+
+
+def test_ensure_tables(spark, tmpdir_path):
+    from lodgeflow.sources.schemas import LGA_CODE_SCHEMA
+    from lodgeflow.sources.sinks import ensure_tables
+    made = ensure_tables(spark, {"r_d_nsw_lga_code": LGA_CODE_SCHEMA}, tmpdir_path)
+    assert len(made) == 1 and ensure_tables(spark, {"r_d_nsw_lga_code": LGA_CODE_SCHEMA},
+                                            tmpdir_path) == []
+    assert spark.read.parquet(made[0]).columns == ["LGA_CODE", "LGA_NAME"]

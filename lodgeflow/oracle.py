@@ -129,6 +129,10 @@ def mart_sql(kind: str, overlap: bool = True) -> str:
         lgrp, hgrp, join, grp = "upper(trim(listing_neighbourhood)) AS grp,", "", "LEFT JOIN", "lm.grp"
     elif kind == "property_type":
         lgrp, hgrp, join, grp = "upper(trim(property_type)) AS grp,", "", "LEFT JOIN", "lm.grp"
+    elif kind == "property_room_size":
+        lgrp = ("struct_pack(property_type := upper(trim(property_type)), "
+                "room_type := upper(trim(room_type)), accommodates := accommodates) AS grp,")
+        hgrp, join, grp = "", "LEFT JOIN", "lm.grp"
     else:
         lgrp, hgrp, join, grp = "", "upper(trim(host_neighbourhood)) AS grp,", "JOIN", "hm.grp"
     return f"""{OBS},{STG},{dim_listing_sql(overlap)},{dim_host_sql(overlap)},
@@ -489,6 +493,9 @@ def queries_sql() -> dict[str, str]:
         "kpi_neighbourhood": kpi_sql("neighbourhood", "listing_neighbourhood"),
         "kpi_property_type": kpi_sql("property_type", "property_type"),
         "kpi_host_area": kpi_sql("host_neighbourhood", "host_neighbourhood"),
+        "kpi_property_room_size": "WITH " + mart_sql("property_room_size") + "\n"
+        + MART_SELECT.replace("SELECT grp AS {name},", "SELECT grp.property_type AS property_type, "
+                              "grp.room_type AS room_type, grp.accommodates AS accommodates,"),
         "top_bottom_bands": top_bottom_sql(),
         "age_revenue_corr": corr_sql(),
         "best_combo_per_area": best_combo_sql(),

@@ -63,6 +63,12 @@ def kpi_property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Domain.of(spark, sf_dir).mart("property_type")
 
 
+@register("kpi_property_room_size")
+def kpi_property_room_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The property mart at the (property, room, size) grain its docs describe."""
+    return Domain.of(spark, sf_dir).mart("property_room_size")
+
+
 @register("kpi_host_area")
 def kpi_host_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Domain.of(spark, sf_dir).mart("host_neighbourhood")

@@ -17,21 +17,20 @@ from pyspark.sql import functions as F
 from lodgeflow.functions import asc_pg, desc_pg, ratio, safe_corr
 from lodgeflow.operators.lookup import resolve_lookup
 from lodgeflow.operators.ranking import share_of_total, top1_per_group, top_bottom
-from lodgeflow.operators.temporal import (
-    asof_month_join,
-    last_n_months,
-    overlapping,
-    trailing_bounds,
-)
+from lodgeflow.operators.temporal import asof_month_join, overlapping, trailing_bounds
 from lodgeflow.plans.context import Domain
 
 CODE = "LGA_CODE_2016"
 
 
-def _trailing_neighbourhood(d: Domain, n: int) -> DataFrame:
+def _trailing_neighbourhood(d: Domain, n: int, with_bounds: bool = False):
+    """The neighbourhood mart's trailing ``n`` months (literal bounds, pushed down)."""
     mart = d.mart("neighbourhood").select("listing_neighbourhood", "month_start",
                                           "avg_est_rev_per_active")
-    return last_n_months(mart, "month_start", n)
+    bounds = trailing_bounds(mart, "month_start", n)
+    l12 = (mart.filter(F.col("month_start").between(*bounds)) if bounds
+           else mart.filter(F.lit(False)))
+    return (l12, bounds) if with_bounds else l12
 
 
 def _resolve(df: DataFrame, d: Domain) -> DataFrame:
@@ -97,14 +96,13 @@ def age_revenue_corr(d: Domain, n: int = 12) -> DataFrame:
 
 def best_combo_per_area(d: Domain, n: int = 12, k: int = 5) -> DataFrame:
     """For the top-k neighbourhoods, the (property, room, size) with most stays."""
-    l12 = _trailing_neighbourhood(d, n)
+    l12, bounds = _trailing_neighbourhood(d, n, with_bounds=True)
     neigh_rev = l12.groupBy("listing_neighbourhood").agg(
         F.avg("avg_est_rev_per_active").alias("avg_rev_per_active_listing_12m"))
     top = (neigh_rev.withColumn("_rnk", F.rank().over(
         Window.orderBy(desc_pg("avg_rev_per_active_listing_12m"))))
         .filter(F.col("_rnk") <= k).drop("_rnk"))
     months = l12.select(F.col("month_start").alias("month_date")).distinct()
-    bounds = trailing_bounds(d.mart("neighbourhood"), "month_start", n)
     fact = d.fact.join(months, "month_date", "left_semi")
     versions = d.dim_listing
     if bounds is not None:

@@ -72,7 +72,7 @@ def scd2_step(open_v: DataFrame | None, batch: DataFrame, key: str, updated_at:
     ignored; with ``check_cols`` a row opens a version only if a check column
     changed, otherwise every newer row does. ``close_missing`` (hard deletes)
     closes open versions whose key is absent from the batch at ``as_of``
-    (default: newest ``updated_at`` of the batch, from a one-row aggregate).
+    (default: newest ``updated_at`` of the batch, fetched as one aggregated row).
     """
     cols = list(batch.columns)
     batch = batch.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
@@ -102,10 +102,9 @@ def scd2_step(open_v: DataFrame | None, batch: DataFrame, key: str, updated_at:
     if close_missing:
         seen = batch.select(F.col(key).alias("_bk")).distinct().withColumn("_seen", F.lit(True))
         rebuilt = rebuilt.join(seen, rebuilt[key] == seen["_bk"], "left")
-        if as_of is None:
-            rebuilt = rebuilt.crossJoin(F.broadcast(
-                batch.agg(_ts(F.max(updated_at)).alias("_as_of"))))
-            as_of = F.col("_as_of")
+        if as_of is None:       # the batch time: one aggregated row, used as a literal
+            newest = batch.agg(F.max(updated_at).cast("string").alias("t")).first()["t"]
+            as_of = F.lit(newest)
         rebuilt = rebuilt.withColumn(
             VALID_TO, F.when(F.col(VALID_TO).isNull() & F.col("_seen").isNull(), _ts(as_of))
             .otherwise(F.col(VALID_TO)))

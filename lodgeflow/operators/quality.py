@@ -61,8 +61,6 @@ def check_freshness(df: DataFrame, date_col: str, group_cols: Sequence[str],
     """Source freshness: newest date per group, its age against the newest date
     overall, and whether it is older than ``max_age_days``."""
     per = df.groupBy(*group_cols).agg(F.max(date_col).alias("newest_date"))
-    overall = F.broadcast(df.agg(F.max(date_col).alias("_as_of")))
-    return (per.crossJoin(overall)
-            .withColumn("age_days", F.datediff(F.col("_as_of"), F.col("newest_date")))
-            .withColumn("is_stale", F.col("age_days") > F.lit(max_age_days))
-            .drop("_as_of"))
+    as_of = df.agg(F.max(date_col).alias("m")).first()["m"]     # one aggregated row
+    age = F.datediff(F.lit(as_of), F.col("newest_date"))
+    return per.withColumns({"age_days": age, "is_stale": age > F.lit(max_age_days)})

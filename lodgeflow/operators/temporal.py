@@ -97,21 +97,15 @@ def window_bounds(df: DataFrame, month_col: str, n: int = 12) -> DataFrame:
         F.add_months(F.col("_max_month"), -(n - 1)).alias("_min_month"), "_max_month")
 
 
-def last_n_months(df: DataFrame, month_col: str, n: int = 12, eager: bool = True) -> DataFrame:
+def last_n_months(df: DataFrame, month_col: str, n: int = 12) -> DataFrame:
     """Rows in the ``n`` months ending at the newest month (inclusive).
 
-    ``eager=True`` (default): the bounds are one aggregated row (a scan of the
-    month column only) fetched first, so the window filter is a literal that
-    Catalyst pushes into the parquet scan and, on a month-partitioned table,
-    turns into partition pruning. ``eager=False`` keeps it one lazy plan: the
-    one-row bounds are joined ``ON TRUE`` by broadcast.
+    The bounds are one aggregated row (a scan of the month column only)
+    fetched first, so the window filter is a literal that Catalyst pushes into
+    the parquet scan and, on a month-partitioned table, turns into partition
+    pruning (instead of joining the one-row bounds ``ON TRUE``).
     """
-    if eager:
-        bounds = trailing_bounds(df, month_col, n)
-        if bounds is None:
-            return df.filter(F.lit(False))
-        return df.filter(F.col(month_col).between(F.lit(bounds[0]), F.lit(bounds[1])))
-    bounds = F.broadcast(window_bounds(df, month_col, n))
-    return (df.crossJoin(bounds)
-            .filter(F.col(month_col).between(F.col("_min_month"), F.col("_max_month")))
-            .drop("_min_month", "_max_month"))
+    bounds = trailing_bounds(df, month_col, n)
+    if bounds is None:
+        return df.filter(F.lit(False))
+    return df.filter(F.col(month_col).between(F.lit(bounds[0]), F.lit(bounds[1])))

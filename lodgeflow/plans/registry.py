@@ -119,10 +119,9 @@ def scd2_check_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_hard_delete_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the newest month as one batch with hard-delete closing."""
     rows = M.host_rows(Domain.of(spark, sf_dir).stg)
-    newest = F.broadcast(rows.agg(F.trunc(F.max("scraped_date"), "month").alias("_m")))
-    tagged = rows.crossJoin(newest)
-    before = tagged.filter(F.col("scraped_date") < F.col("_m")).drop("_m")
-    batch = tagged.filter(F.col("scraped_date") >= F.col("_m")).drop("_m")
+    newest = rows.agg(F.trunc(F.max("scraped_date"), "month").alias("m")).first()["m"]
+    before = rows.filter(F.col("scraped_date") < F.lit(newest))
+    batch = rows.filter(F.col("scraped_date") >= F.lit(newest))
     current = scd2_check(before, "host_id", "scraped_date", M.HOST_CHECK_COLUMNS)
     out = scd2_apply(current, batch, "host_id", "scraped_date", M.HOST_CHECK_COLUMNS,
                      close_missing=True)

@@ -23,6 +23,7 @@ def test_every_query_has_an_oracle_or_is_documented():
 def test_no_cartesian_product_or_python_udf(plans):
     for name, plan in plans.items():
         assert "CartesianProduct" not in plan, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 

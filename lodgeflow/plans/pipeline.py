@@ -138,6 +138,3 @@ class Warehouse(Domain):
     def obs(self) -> DataFrame:
         raise AttributeError("a Warehouse reads bronze tables, not driver observations")
 
-
-def month_count(df: DataFrame, col: str = "MONTH_YEAR") -> int:
-    return df.select(F.col(col)).distinct().count()

@@ -124,3 +124,19 @@ def test_asof_join_and_trailing_window(spark):
     assert got == [(5, "X"), (6, "X"), (6, "Y"), (7, "Y"), (8, "Y")]
     last3 = last_n_months(fact, "month_date", 3)
     assert sorted(r.month_date.month for r in last3.collect()) == [6, 7, 8]
+
+
+def test_overlap_filter_reaches_the_scan(spark):
+    import tempfile
+    from lodgeflow.operators.temporal import overlapping
+    hist = spark.createDataFrame([(1, D(2019, 1, 5)), (1, D(2020, 6, 1)), (2, D(2020, 7, 1))],
+                                 "listing_id long, scraped_date date")
+    path = tempfile.mkdtemp(prefix="lodgeflow-test-") + "/v"
+    month_validity(scd2_timestamp(hist, "listing_id", "scraped_date")).write.parquet(path)
+    v = overlapping(spark.read.parquet(path), D(2020, 5, 1), D(2020, 8, 1))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")   # untruncated filters
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(dbt_valid_from" in plan and "GreaterThanOrEqual(dbt_valid_to" in plan
+    assert sorted(str(r.dbt_valid_from)[:10] for r in v.collect()) == ["2019-01-05",
+                                                                      "2020-06-01",
+                                                                      "2020-07-01"]

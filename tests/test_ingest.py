@@ -95,3 +95,15 @@ def test_materialize_round_trip(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     back = materialize(spark, df, "t")
     assert sorted(r.x for r in back.collect()) == list(range(0, 20, 2))
+
+
+def test_file_month_from_partition_folders(spark, tmpdir_path):
+    base = os.path.join(tmpdir_path, "files")
+    for month in ("05_2020", "06_2020"):
+        d = os.path.join(base, f"MONTH_YEAR={month}")
+        os.makedirs(d)
+        write(os.path.join(d, "part-00000.csv"), f"LISTING_ID\n{month[:2]}\n")
+    names = list_month_files(os.listdir(base), r"^MONTH_YEAR=\d{2}_\d{4}$")
+    assert names == ["MONTH_YEAR=05_2020", "MONTH_YEAR=06_2020"]
+    df = with_file_month(read_raw_csv(spark, os.path.join(base, names[0])))
+    assert [(r.LISTING_ID, r.MONTH_YEAR) for r in df.collect()] == [("05", "05_2020")]

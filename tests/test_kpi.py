@@ -133,3 +133,18 @@ def test_hot_host_holding_half_of_all_rows(spark):
                  for r in monthly_kpis(lm_df, hm_df.drop("host_neighbourhood"),
                                        ["listing_neighbourhood"]).collect())
     assert got == want
+
+
+def test_half_open_counts_each_listing_month_once(spark):
+    """SURVEY §5 property: under half_open, sum(listings_total) = (listing, month) pairs."""
+    from pyspark.sql import functions as F
+
+    from lodgeflow.plans.context import Domain
+    d = Domain.of(spark, "/root/testdata/sf0.001", boundary="half_open")
+    lo, hi = d.horizon
+    total = d.mart("neighbourhood", extra=True).agg(F.sum("listings_total")).first()[0]
+    first = d.obs.groupBy("listing_id").agg(F.min(F.trunc("scraped_date", "month")).alias("f"))
+    start = F.greatest(F.col("f"), F.lit(lo))
+    months = F.when(start <= F.lit(hi), F.months_between(F.lit(hi), start).cast("int") + 1)
+    expected = first.agg(F.sum(months)).first()[0]
+    assert total == expected and total > 0

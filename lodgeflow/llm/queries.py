@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import language
+from lodgeflow.llm import language, simhash
 from lodgeflow.llm.common import fold, read_table
 
 
@@ -18,7 +18,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "r.lang_pred", "r.score", "r.n_spans"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op5_simhash": op5_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import language, simhash
+from lodgeflow.llm import language, linededup, packing, simhash
 from lodgeflow.llm.common import fold, read_table
 
 
@@ -24,8 +24,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in training sequences."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that stand earlier in the table."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup(docs).select("doc_id", "removed_chunks", "removed_lines", "text")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op5_simhash": op5_simhash,
+    "op6_packing": op6_packing,
+    "op8_line_dedup": op8_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import language, linededup, packing, simhash
+from lodgeflow.llm import language, linededup, packing, pii, simhash
 from lodgeflow.llm.common import fold, read_table
 
 
@@ -29,6 +29,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and the terms that disclose it."""
+    found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+                        pii.digest(F.array_sort(F.concat("base", "terms"))).alias("spans"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that stand earlier in the table."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +47,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op7_pii": op7_pii,
     "op8_line_dedup": op8_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}

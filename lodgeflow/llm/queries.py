@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import language, linededup, packing, pii, simhash
+from lodgeflow.llm import language, linededup, packing, pii, simhash, toxicity
 from lodgeflow.llm.common import fold, read_table
 
 
@@ -43,11 +43,22 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(docs).select("doc_id", "removed_chunks", "removed_lines", "text")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(fold(F.col("doc_id"), 5) != 0))
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    return (docs.select("doc_id", held_out.alias("held_out"), toxicity.score(docs, model).alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,
     "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -196,5 +196,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     linked = classes.join(members.withColumnRenamed("node", "fp"), "fp")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     named = members.join(least, "component").select(F.col("node").alias("fp"), "component_id")
-    found = classes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    # written, so that the last join stands alone in its stage and a hot fingerprint's rows can be split
+    found = written(classes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "simhash-components")
     return own.join(found, "fp").select(F.col("key").alias(key), "fp", "component_id")

@@ -187,15 +187,33 @@ def links(prints: DataFrame, most: int = MAX_BITS, group_rows: int = GROUP_ROWS)
             .mapInPandas(lambda batches: _forest(batches, most), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
-                    seed: int = SEED, most: int = MAX_BITS) -> DataFrame:
-    """(key, fp, component_id): component_id is the smallest key reachable over links."""
-    own = written(docs.select(F.col(key).alias("key"), fingerprint(F.col(text), shingle, seed).alias("fp")), "simhash")
+def classes_of(own: DataFrame, most: int = MAX_BITS) -> DataFrame:
+    """(fp, label, component_id) for the fingerprints of ``own`` (key, fp): label is the smallest
+    fingerprint of the component, component_id its smallest key. Written, so that a join with
+    documents stands alone in its stage and a hot fingerprint's rows can be split."""
     classes = written(own.groupBy("fp").agg(F.min("key").alias("least")), "simhash-classes")
     members = connected_components(links(classes.select("fp"), most))
     linked = classes.join(members.withColumnRenamed("node", "fp"), "fp")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = members.join(least, "component").select(F.col("node").alias("fp"), "component_id")
-    # written, so that the last join stands alone in its stage and a hot fingerprint's rows can be split
-    found = written(classes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "simhash-components")
-    return own.join(found, "fp").select(F.col("key").alias(key), "fp", "component_id")
+    named = members.join(least, "component").select(F.col("node").alias("fp"), F.col("component").alias("label"), "component_id")
+    return written(classes.join(named, "fp", "left").select(
+        "fp", F.coalesce("label", "fp").alias("label"), F.coalesce("component_id", "least").alias("component_id")), "simhash-components")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
+                    seed: int = SEED, most: int = MAX_BITS) -> DataFrame:
+    """(key, fp, component_id): component_id is the smallest key reachable over links."""
+    own = written(docs.select(F.col(key).alias("key"), fingerprint(F.col(text), shingle, seed).alias("fp")), "simhash")
+    return own.join(classes_of(own, most), "fp").select(F.col("key").alias(key), "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
+             seed: int = SEED, most: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest key, null keys last, and of
+    repeated rows any one."""
+    rows = written(docs.select(F.struct("*").alias("doc"), F.col(key).alias("key"), fingerprint(F.col(text), shingle, seed).alias("fp"))
+                   .withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
+    own = rows.select("key", "fp", "row")
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("row"))).alias("first")
+    chosen = own.join(classes_of(own, most).select("fp", "label"), "fp").groupBy("label").agg(first).select(F.col("first.row").alias("row"))
+    return rows.join(chosen, "row", "left_semi").select("doc.*")

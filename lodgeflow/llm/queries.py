@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import language, linededup, packing, pii, simhash, toxicity
+from lodgeflow.llm import language, linededup, packing, pii, simhash, toxicity, urlfilter
 from lodgeflow.llm.common import fold, read_table
 
 
@@ -18,6 +18,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "r.lang_pred", "r.score", "r.n_spans"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -55,6 +61,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_url_filter": op3_url_filter,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,

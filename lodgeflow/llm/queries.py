@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import language, linededup, packing, pii, simhash, toxicity, urlfilter
+from lodgeflow.llm import language, linededup, packing, permutation, pii, simhash, toxicity, urlfilter
 from lodgeflow.llm.common import fold, read_table
 
 
@@ -24,6 +24,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return permutation.search(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -62,6 +68,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_url_filter": op3_url_filter,
+    "op4_nearest": op4_nearest,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,

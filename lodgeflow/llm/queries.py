@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import language, linededup, packing, permutation, pii, simhash, toxicity, urlfilter
+from lodgeflow.llm import embeddedup, language, linededup, packing, permutation, pii, simhash, toxicity, urlfilter
 from lodgeflow.llm.common import fold, read_table
 
 
@@ -65,6 +65,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and whether it is kept, of every vector."""
+    return embeddedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_url_filter": op3_url_filter,
@@ -74,5 +79,6 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import embeddedup, language, linededup, packing, permutation, pii, simhash, toxicity, urlfilter
+from lodgeflow.llm import embeddedup, language, linededup, packing, permutation, pieces, pii, simhash, toxicity, urlfilter
 from lodgeflow.llm.common import fold, read_table
 
+#: A public SentencePiece model; the driver reads it and the workers get its bytes.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
@@ -18,6 +21,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "r.lang_pred", "r.score", "r.n_spans"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
+    """Piece ids of every document, and whether decoding them gives the text back."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    with open(model, "rb") as f:
+        coded = docs.select("doc_id", pieces.encode(docs, f.read()).alias("r"))
+    return coded.select("doc_id", F.size("r.ids").alias("n_tokens"), "r.lossless", "r.ids")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
@@ -72,6 +83,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
     "op4_nearest": op4_nearest,
     "op5_simhash": op5_simhash,

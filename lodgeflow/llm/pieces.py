@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Letters of text handled together, and distinct words whose encoding a task remembers.
-GROUP_CHARS = 1 << 23
+GROUP_CHARS = 1 << 20
 MEMORY = 200_000
 PAIRS = 400_000
 
@@ -225,20 +225,19 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> Column:
         codecs.register_error("each byte", _each_byte)
         pieces = Pieces(shared.value)
         for batch in batches:
-            texts = [t if isinstance(t, str) else None for t in batch]
-            ids: list = []
-            same: list = []
             at = 0
-            while at < len(texts):
+            while at < len(batch):
                 stop, size = at, 0
-                while stop < len(texts) and (stop == at or size < GROUP_CHARS):
-                    size += len(texts[stop] or "")
+                while stop < len(batch) and (stop == at or size < GROUP_CHARS):
+                    size += len(batch.iloc[stop] or "")
                     stop += 1
-                for t, i in zip(texts[at:stop], pieces.encode([t or "" for t in texts[at:stop]])):
-                    ids.append(None if t is None else i)
-                    same.append(None if t is None else pieces.decode(i) == t)
+                texts = [t if isinstance(t, str) else None for t in batch.iloc[at:stop]]
+                ids = pieces.encode([t or "" for t in texts])
+                # a group leaves the task before the next is encoded
+                yield pd.DataFrame({
+                    "ids": [None if t is None else i for t, i in zip(texts, ids)],
+                    "lossless": pd.array([None if t is None else pieces.decode(i) == t for t, i in zip(texts, ids)], "boolean")})
                 at = stop
-            yield pd.DataFrame({"ids": ids, "lossless": pd.array(same, "boolean")})
 
     return run(F.col(text))
 

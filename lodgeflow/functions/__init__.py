@@ -19,7 +19,6 @@ from lodgeflow.functions.text import (
 from lodgeflow.functions.values import (
     FALSE_TOKENS,
     TRUE_TOKENS,
-    annualise,
     asc_pg,
     desc_pg,
     parse_bool,
@@ -27,16 +26,14 @@ from lodgeflow.functions.values import (
     ratio,
     renormalise_bool,
     safe_corr,
-    safe_div,
     stays,
-    typed_select,
     zero_to_null,
 )
 
 __all__ = [
-    "FALSE_TOKENS", "TRUE_TOKENS", "annualise", "asc_pg", "blank_to_null", "collapse_ws",
+    "FALSE_TOKENS", "TRUE_TOKENS", "asc_pg", "blank_to_null", "collapse_ws",
     "desc_pg", "digits_key", "first_non_null", "iso_text_dayfirst", "month_start",
     "null_tokens", "parse_bool", "parse_money", "parse_month_key", "parse_text_date",
-    "ratio", "renormalise_bool", "safe_corr", "safe_div", "stays", "strip_ws",
-    "typed_select", "upper_trim", "zero_to_null",
+    "ratio", "renormalise_bool", "safe_corr", "stays", "strip_ws",
+    "upper_trim", "zero_to_null",
 ]

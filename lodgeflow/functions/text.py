@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Tokens the loader treats as missing text.
-NA_TOKENS = ("nan", "NaN", "None", "")
+# Tokens the loader treats as missing text: those that a CSV reader of the kind
+# the reference uses takes as missing, and the text of a missing value.
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def null_tokens(c: Column, tokens=NA_TOKENS) -> Column:

@@ -29,8 +29,8 @@ def renormalise_bool(c: Column, true_set=TRUE_TOKENS) -> Column:
 def parse_money(c: Column, precision: int = 18, scale: int = 4) -> Column:
     """Drop everything but digits, ``.`` and ``-``; blank is NULL; cast to decimal.
 
-    Text that still is not a number (``1-2``) gives NULL; callers route such
-    rows to quarantine (see ``sources.csv_ingest.split_valid``).
+    Text that still is not a number (``1-2``) or does not fit the precision gives
+    NULL; ``models.split_silver`` routes such rows to quarantine.
     """
     digits = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"[^0-9.\-]", "")
     return F.nullif(digits, F.lit("")).try_cast(T.DecimalType(precision, scale))
@@ -47,16 +47,6 @@ def stays(available: Column, free_days: Column, days: int = 30) -> Column:
     return F.when(available, booked).otherwise(F.lit(0))
 
 
-def annualise(c: Column, periods: int = 12) -> Column:
-    """Monthly amount times ``periods``."""
-    return c * F.lit(periods)
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """``a / NULLIF(b, 0)`` (ANSI division by zero would raise)."""
-    return a / F.nullif(b, F.lit(0))
-
-
 def ratio(a: Column, b: Column) -> Column:
     """E14 as DOUBLE: exact operands converted once, one IEEE division."""
     return a.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))
@@ -81,12 +71,3 @@ def asc_pg(c) -> Column:
     """Ascending with NULLs last."""
     return (F.col(c) if isinstance(c, str) else c).asc_nulls_last()
 
-
-def typed_select(df: DataFrame, spec: T.StructType, mode: str = "try") -> DataFrame:
-    """Cast every column of ``spec`` (``mode='try'``: NULL on failure, ``'strict'``: raise)."""
-    cols = []
-    for field in spec.fields:
-        c = F.col(field.name)
-        cols.append((c.try_cast(field.dataType) if mode == "try" else c.cast(field.dataType))
-                    .alias(field.name))
-    return df.select(*cols)

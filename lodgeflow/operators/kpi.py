@@ -10,9 +10,8 @@ versions in its change month doubles its listings' rows there, K1) as a
 weight instead of duplicated rows, so a hot host never multiplies the largest
 group. Every aggregate is weighted accordingly and all of them are additive
 with map-side combine: (group, month, host) first, then (group, month), so
-distinct hosts need no Expand. The median uses ``percentile(x, 0.5,
-frequency)`` over per-price frequencies: exact, and its buffer for a group is
-bounded by the group's distinct prices, not its rows.
+distinct hosts need no Expand. The median is found by counting
+(``exact_median``). All marts of one join type share one base table.
 """
 
 from __future__ import annotations
@@ -62,26 +61,74 @@ def host_months(dim_host: DataFrame, lo, hi,
     )
 
 
-def monthly_kpis(lm: DataFrame, hm: DataFrame, group_cols: Sequence[str], how: str = "left",
-                 extra: bool = False) -> DataFrame:
-    """KPI table per (group, month) with month-on-month change of active/inactive counts.
+def mart_base(lm: DataFrame, hm: DataFrame, host_groups: Sequence[str] = (),
+              how: str = "left") -> DataFrame:
+    """Listing-months joined with their host's months, pre-aggregated with a weight ``_w``.
 
-    ``group_cols`` may come from the listing side (``lm``) or the host side
-    (``hm``); ``how`` is the listing->host join type (``left`` for the listing
-    and property marts, ``inner`` for the host-area mart, K9). Rows with a NULL
-    group key are dropped (K14). Percent change compares with the previous
-    month present for the group, not the calendar month (K13).
+    ``how`` is the listing->host join type (``left`` for the listing and
+    property marts, ``inner`` for the host-area mart, K9). Listing-months
+    without a host can't match: they pass beside the join, not through it as
+    one hot NULL key.
     """
-    group_cols = list(group_cols)
-    host_groups = [g for g in group_cols if g not in lm.columns]
     hosts = (hm.groupBy("host_id", "month_start", *host_groups)
              .agg(F.count(F.lit(1)).alias("_w"),
                   F.max(F.coalesce(F.col("is_superhost"), F.lit(False))).alias("_sh")))
-    base = lm.join(hosts, ["host_id", "month_start"], how)
+    base = lm.filter(F.col("host_id").isNotNull()).join(hosts, ["host_id", "month_start"], how)
+    if how == "left":
+        base = base.unionByName(lm.filter(F.col("host_id").isNull()), allowMissingColumns=True)
+    return base.withColumns({"_w": F.coalesce(F.col("_w"), F.lit(1)).cast("long"),
+                             "_sh": F.coalesce(F.col("_sh"), F.lit(False))})
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, weight: str, out: str,
+                 bins: int = 1024) -> DataFrame:
+    """Exact weighted median per group by counting, with the group's ``_min`` and ``_max``.
+
+    Each group's range is cut into ``bins`` equal parts and their weights are
+    summed; only the parts that hold the two middle ranks are then sorted. No
+    task holds a group: sums are combined before every shuffle, the first
+    ranking sees ``bins`` rows of a group and the second one part of it.
+    """
+    keys = list(keys)
+    counted = df.groupBy(*keys, value).agg(F.sum(weight).alias("_f"))
+    ranges = counted.groupBy(*keys).agg(F.min(value).alias("_min"), F.max(value).alias("_max"),
+                                        F.sum("_f").alias("_n"))
+    at = ((F.col(value) - F.col("_min")).cast("double")
+          / F.nullif((F.col("_max") - F.col("_min")).cast("double"), F.lit(0.0)) * bins)
+    binned = counted.join(ranges, keys).withColumn(
+        "_bin", F.least(F.lit(bins - 1), F.floor(F.coalesce(at, F.lit(0.0))).cast("int")))
+    lower, upper = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    by_bin = Window.partitionBy(*keys).orderBy("_bin")
+    parts = (binned.groupBy(*keys, "_bin").agg(F.sum("_f").alias("_b"), F.first("_n").alias("_n"))
+             .withColumn("_end", F.sum("_b").over(by_bin))
+             .withColumn("_begin", F.col("_end") - F.col("_b"))
+             .filter((F.col("_end") > lower) & (F.col("_begin") <= upper))
+             .select(*keys, "_bin", "_begin"))
+    by_value = Window.partitionBy(*keys, "_bin").orderBy(value)
+    near = (binned.join(parts, [*keys, "_bin"])
+            .withColumn("_to", F.col("_begin") + F.sum("_f").over(by_value))
+            .withColumn("_from", F.col("_to") - F.col("_f")))
+
+    def at_rank(rank):
+        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col(value)))
+
+    medians = near.groupBy(*keys).agg(at_rank(lower).alias("_l"), at_rank(upper).alias("_u"))
+    return (ranges.join(medians, keys)
+            .select(*keys, "_min", "_max",
+                    ((F.col("_l").cast("double") + F.col("_u").cast("double")) / 2).alias(out)))
+
+
+def kpis(base: DataFrame, group_cols: Sequence[str], extra: bool = False) -> DataFrame:
+    """KPI table per (group, month) with month-on-month change of active/inactive counts.
+
+    ``base`` is a ``mart_base``. Rows with a NULL group key are dropped (K14).
+    Percent change compares with the previous month present for the group, not
+    the calendar month (K13). Money stays DECIMAL; ratios of counts are DOUBLE.
+    """
+    group_cols = list(group_cols)
     for g in group_cols:
         base = base.filter(F.col(g).isNotNull())
-
-    w = F.coalesce(F.col("_w"), F.lit(1)).cast("long")
+    w = F.col("_w")
     act = F.col("is_active")
     price = F.col("price")
     priced = act & price.isNotNull()
@@ -93,7 +140,7 @@ def monthly_kpis(lm: DataFrame, hm: DataFrame, group_cols: Sequence[str], how: s
         F.sum(w).alias("n"),
         F.sum(F.when(act, w).otherwise(0)).alias("n_act"),
         F.sum(F.when(~act, w).otherwise(0)).alias("n_inact"),
-        F.max(F.coalesce(F.col("_sh"), F.lit(False))).alias("sh"),
+        F.max("_sh").alias("sh"),
         F.sum(F.when(priced, price * w)).alias("p_sum"),
         F.sum(F.when(priced, w)).alias("p_n"),
         F.sum(F.when(rated, rating * w)).alias("r_sum"),
@@ -101,14 +148,14 @@ def monthly_kpis(lm: DataFrame, hm: DataFrame, group_cols: Sequence[str], how: s
         F.sum(F.col("stays") * w).alias("stays"),
         F.sum(F.col("stays") * F.coalesce(price, F.lit(0)) * w).alias("rev"),
     )
-    # Level 2: per (group, month); a host is one level-1 row, so distinct
-    # hosts are a plain count (no Expand over the raw rows).
+    # Level 2: per (group, month); a host is one level-1 row, so distinct hosts are a plain
+    # count (no Expand over the raw rows). The row of listings without a host is none.
     agg = per_host.groupBy(*keys).agg(
         F.sum("n").alias("listings_total"),
         F.sum("n_act").alias("listings_active"),
         F.sum("n_inact").alias("listings_inactive"),
-        F.count(F.lit(1)).alias("distinct_hosts"),
-        F.count_if(F.col("sh")).alias("distinct_superhosts"),
+        F.count("host_id").alias("distinct_hosts"),
+        F.count_if(F.col("sh") & F.col("host_id").isNotNull()).alias("distinct_superhosts"),
         F.sum("p_sum").alias("_price_sum"),
         F.sum("p_n").alias("_price_n"),
         F.sum("r_sum").alias("_rating_sum"),
@@ -116,36 +163,38 @@ def monthly_kpis(lm: DataFrame, hm: DataFrame, group_cols: Sequence[str], how: s
         F.sum("stays").alias("total_stays"),
         F.sum("rev").alias("est_revenue"),
     )
-    # Exact median over price frequencies: duplicates collapse map-side, then
-    # one percentile buffer per (group, month) merges compact partials.
-    prices = (base.filter(priced).groupBy(*keys, "price").agg(F.sum(w).alias("_f"))
-              .groupBy(*keys).agg(
-                  F.min("price").alias("min_price_active"),
-                  F.max("price").alias("max_price_active"),
-                  F.percentile(F.col("price").cast("double"), F.lit(0.5), F.col("_f"))
-                  .alias("median_price_active")))
+    prices = exact_median(base.filter(priced), keys, "price", "_w", "median_price_active")
     agg = agg.join(prices, keys, "left")
     by_group = Window.partitionBy(*group_cols).orderBy("month_start")
     prev_act = F.lag("listings_active").over(by_group)
     prev_inact = F.lag("listings_inactive").over(by_group)
+    # exact division: ranks of averages of this value must not hang on rounding of doubles
+    revenue = F.col("est_revenue").cast("decimal(24,4)")
     out = agg.select(
         *group_cols,
         "month_start",
         F.year("month_start").alias("year"),
         F.month("month_start").alias("month"),
         ratio(F.col("listings_active"), F.col("listings_total")).alias("active_listings_rate"),
-        F.col("min_price_active").cast("double").alias("min_price_active"),
-        F.col("max_price_active").cast("double").alias("max_price_active"),
-        F.round(F.col("median_price_active"), 6).alias("median_price_active"),
+        F.col("_min").alias("min_price_active"),
+        F.col("_max").alias("max_price_active"),
+        "median_price_active",
         ratio(F.col("_price_sum"), F.col("_price_n")).alias("avg_price_active"),
         "distinct_hosts",
         ratio(F.col("distinct_superhosts"), F.col("distinct_hosts")).alias("superhost_rate"),
         ratio(F.col("_rating_sum"), F.col("_rating_n")).alias("avg_review_rating_active"),
         F.col("total_stays").cast("long").alias("total_stays"),
-        ratio(F.col("est_revenue"), F.col("listings_active")).alias("avg_est_rev_per_active"),
+        (revenue / F.nullif(F.col("listings_active").cast("decimal(10,0)"), F.lit(0)))
+        .alias("avg_est_rev_per_active"),
         ratio(F.col("listings_active") - prev_act, prev_act).alias("pct_change_active"),
         ratio(F.col("listings_inactive") - prev_inact, prev_inact).alias("pct_change_inactive"),
-        *([F.col(c) for c in EXTRA_COLUMNS[:3]]
-          + [F.col("est_revenue").cast("double").alias("est_revenue")] if extra else []),
+        *([F.col(c) for c in EXTRA_COLUMNS] if extra else []),
     )
     return out
+
+
+def monthly_kpis(lm: DataFrame, hm: DataFrame, group_cols: Sequence[str], how: str = "left",
+                 extra: bool = False) -> DataFrame:
+    """``kpis`` straight from listing-months and host-months; ``group_cols`` may come from either."""
+    host_groups = [g for g in group_cols if g not in lm.columns]
+    return kpis(mart_base(lm, hm, host_groups, how), group_cols, extra)

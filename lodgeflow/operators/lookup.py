@@ -4,8 +4,8 @@ The reference resolves an area name to an LGA through three left joins tried
 in order (direct LGA name, suburb -> LGA, staged suburb -> LGA) and keeps the
 first hit. Here the paths are first folded into one small table keyed by the
 normalised name (one row per name, the first path that knows it), and the
-fact side is joined once. The table is bounded by the size of the reference
-dimensions, and is broadcast only after a bounded count confirms it.
+fact side is joined once. How that join runs is left to the byte threshold
+and to AQE.
 """
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeflow.session import bounded_broadcast
-
-# Bound on the number of distinct area names we are willing to broadcast.
-MAX_LOOKUP_ROWS = 2_000_000
 
 
 def name_key(c: Column) -> Column:
@@ -55,16 +51,11 @@ def lga_name_lookup(dim_lga: DataFrame, suburb_paths: Sequence[DataFrame]) -> Da
 
 
 def resolve_lookup(df: DataFrame, name_col: str, lookup: DataFrame,
-                   code_alias: str = "LGA_CODE_2016", name_alias: str | None = "lga_name",
-                   max_rows: int | None = MAX_LOOKUP_ROWS) -> DataFrame:
-    """Left-join ``df`` to the folded lookup on ``lower(trim(name_col))``.
-
-    ``max_rows=None`` when the caller has already bounded (and marked) the lookup.
-    """
+                   code_alias: str = "LGA_CODE_2016",
+                   name_alias: str | None = "lga_name") -> DataFrame:
+    """Left-join ``df`` to the folded lookup on ``lower(trim(name_col))``."""
     lk = lookup.select(F.col("name_key").alias("_lk_key"),
                        F.col("lga_code").alias(code_alias),
                        *([F.col("lga_name").alias(name_alias)] if name_alias else []))
-    if max_rows is not None:
-        lk = bounded_broadcast(lk, max_rows)
     out = df.join(lk, name_key(df[name_col]) == lk["_lk_key"], "left")
     return out.drop("_lk_key")

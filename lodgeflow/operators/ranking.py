@@ -16,24 +16,6 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> Da
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def first_per_key(df: DataFrame, part_col: str, sub_cols: Sequence[str],
-                  order_by: Sequence[Column]) -> DataFrame:
-    """F1 variant: first row per (``part_col``, ``sub_cols``) with a window
-    partitioned by ``part_col`` alone.
-
-    The output stays hash-partitioned and sorted by ``part_col``, so a later
-    per-key window (history ``lead``/``lag``) needs no second shuffle or sort.
-    Use it when ``part_col`` is not a hot key; for hot keys prefer an
-    aggregate with map-side combine.
-    """
-    w = Window.partitionBy(part_col).orderBy(*[F.col(c) for c in sub_cols], *order_by)
-    first = F.row_number().over(w) == 1
-    for c in sub_cols:
-        first = first | ~F.col(c).eqNullSafe(F.lag(c).over(w))
-    cols = df.columns
-    return df.withColumn("_first", first).filter(F.col("_first")).select(*cols)
-
-
 def top1_per_group(df: DataFrame, group_cols: Sequence[str],
                    order_by: Sequence[Column]) -> DataFrame:
     """Best row per group with explicit tie-breaks."""

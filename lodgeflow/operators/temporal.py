@@ -7,9 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The reference's mart horizon, first and last month.
-REFERENCE_HORIZON = (dt.date(2020, 5, 1), dt.date(2021, 4, 1))
-
 
 def _date(v) -> Column:
     if isinstance(v, Column):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.functions import asc_pg, desc_pg, ratio, safe_corr
 from lodgeflow.operators.lookup import resolve_lookup
-from lodgeflow.operators.ranking import share_of_total, top1_per_group, top_bottom
+from lodgeflow.operators.ranking import pct_where, share_of_total, top1_per_group, top_bottom
 from lodgeflow.operators.temporal import asof_month_join, overlapping, trailing_bounds
 from lodgeflow.plans.context import Domain
 
@@ -34,8 +34,8 @@ def _trailing_neighbourhood(d: Domain, n: int, with_bounds: bool = False):
 
 
 def _resolve(df: DataFrame, d: Domain) -> DataFrame:
-    """Area -> LGA code; the domain's lookup is already size-checked and marked."""
-    return resolve_lookup(df, "listing_neighbourhood", d.lookup, name_alias=None, max_rows=None)
+    """Area -> LGA code."""
+    return resolve_lookup(df, "listing_neighbourhood", d.lookup, name_alias=None)
 
 
 def _lga_names(d: Domain) -> DataFrame:
@@ -66,7 +66,7 @@ def top_bottom_bands(d: Domain, n: int = 12, k: int = 3) -> DataFrame:
            .select(
                "band",
                F.coalesce(F.col("lga_name"), F.lit("UNKNOWN")).alias("lga_name"),
-               F.round("avg_rev_per_active_listing", 6).alias("avg_rev_per_active_listing"),
+               "avg_rev_per_active_listing",
                "median_age", "avg_household_size",
                share("Age_0_4_yr_P", "Age_5_14_yr_P").alias("pct_0_14"),
                share("Age_15_19_yr_P", "Age_20_24_yr_P").alias("pct_15_24"),
@@ -90,8 +90,8 @@ def age_revenue_corr(d: Domain, n: int = 12) -> DataFrame:
               .filter(F.col("Median_age_persons").isNotNull()))
     return joined.agg(
         F.count(F.lit(1)).alias("n_neighbourhoods"),
-        F.round(safe_corr(F.col("Median_age_persons").cast("double"),
-                          F.col("rev_active_avg_12m")), 6).alias("corr_median_age_vs_revenue"))
+        safe_corr(F.col("Median_age_persons").cast("double"),
+                  F.col("rev_active_avg_12m").cast("double")).alias("corr_median_age_vs_revenue"))
 
 
 def best_combo_per_area(d: Domain, n: int = 12, k: int = 5) -> DataFrame:
@@ -118,15 +118,12 @@ def best_combo_per_area(d: Domain, n: int = 12, k: int = 5) -> DataFrame:
     by_type = fa.groupBy("listing_neighbourhood", "property_type", "room_type",
                          "accommodates").agg(
         F.sum("stays").cast("long").alias("total_stays_12m"),
-        F.sum(F.col("stays") * F.col("price")).cast("double").alias("total_revenue_12m"))
+        F.sum(F.col("stays") * F.col("price")).alias("total_revenue_12m"))
     best = top1_per_group(by_type, ["listing_neighbourhood"], [
         desc_pg("total_stays_12m"), asc_pg("property_type"), asc_pg("room_type"),
         asc_pg("accommodates")])
     return (best.join(top, "listing_neighbourhood")
-            .select("listing_neighbourhood",
-                    F.round("avg_rev_per_active_listing_12m", 6)
-                    .alias("avg_rev_per_active_listing_12m"),
-                    "property_type", "room_type", "accommodates", "total_stays_12m",
+            .select("listing_neighbourhood", "avg_rev_per_active_listing_12m", "property_type", "room_type", "accommodates", "total_stays_12m",
                     "total_revenue_12m")
             .orderBy(desc_pg("avg_rev_per_active_listing_12m")))
 
@@ -185,7 +182,7 @@ def host_cost_cover(d: Domain, n: int = 12, limit: int = 30) -> DataFrame:
         F.min("listing_id").alias("_l_min"), F.max("listing_id").alias("_l_max"))
     mode_key = F.when(F.col(CODE).isNotNull(),
                       F.struct((-F.col("_n")).alias("n"), F.col(CODE).alias("c")))
-    per_host = (per_host_lga.groupBy("host_id").agg(
+    per_host = (per_host_lga.filter(F.col("host_id").isNotNull()).groupBy("host_id").agg(
         F.min("_l_min").alias("_l_min"), F.max("_l_max").alias("_l_max"),
         F.sum("_rev").alias("rev_12m"), F.min_by(F.col(CODE), mode_key).alias(CODE))
         .filter(F.col("_l_min") == F.col("_l_max")))
@@ -193,10 +190,6 @@ def host_cost_cover(d: Domain, n: int = 12, limit: int = 30) -> DataFrame:
                        .alias("annual_median_mortgage"))
     joined = (per_host.filter(F.col(CODE).isNotNull()).join(g02, CODE)
               .join(_lga_names(d), CODE))
-    covered = F.col("rev_12m") >= F.col("annual_median_mortgage")
-    out = joined.groupBy("lga_name").agg(
-        F.count(F.lit(1)).alias("single_hosts"),
-        F.sum(F.when(covered, 1).otherwise(0)).cast("long").alias("hosts_covering"))
-    out = out.withColumn("pct_covering", F.round(
-        ratio(F.col("hosts_covering") * F.lit(100), F.col("single_hosts")), 2))
+    out = pct_where(joined, ["lga_name"], F.col("rev_12m") >= F.col("annual_median_mortgage"),
+                    "single_hosts", "hosts_covering", "pct_covering")
     return out.orderBy(desc_pg("pct_covering"), asc_pg("lga_name")).limit(limit)

@@ -6,15 +6,15 @@ attribute is a lazy DataFrame, built once per ``Domain`` instance.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.operators.lookup import MAX_LOOKUP_ROWS, lga_name_lookup
+from lodgeflow.operators.lookup import lga_name_lookup
 from lodgeflow.plans import models as M
 from lodgeflow.sources import driver_tables as D
-from lodgeflow.session import bounded_broadcast
 from lodgeflow.session import scratch_path
 from lodgeflow.sources.csv_ingest import CSV_OPTIONS, blank_as_null, clean_fact_text, split_valid
 from lodgeflow.sources.schemas import G01_SCHEMA, LISTING_SCHEMA
@@ -34,22 +34,30 @@ class Domain:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, boundary: str = "overlap",
-           horizon=M.DRIVER_HORIZON, materialize: bool = True) -> "Domain":
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir, boundary, tuple(horizon),
-               materialize)
+           horizon=None, materialize: bool = True):
+        key = (cls, spark.sparkContext.applicationId, id(spark), sf_dir, boundary,
+               horizon and tuple(horizon), materialize)
         if key not in cls._instances:
-            cls._instances[key] = cls(spark, sf_dir, boundary, horizon, materialize)
+            cls._instances[key] = cls(spark, sf_dir, boundary=boundary, horizon=horizon,
+                                      materialize=materialize)
         return cls._instances[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str, boundary: str = "overlap",
-                 horizon=M.DRIVER_HORIZON, materialize: bool = True):
+                 horizon=None, materialize: bool = True):
+        """``horizon`` (first and last month of the marts) defaults to the twelve months that end
+        at the newest listing version."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.boundary = boundary
-        self.horizon = horizon
+        self._horizon = horizon
         self.materialize = materialize
         self._marts: dict = {}
 
+    @cached_property
+    def horizon(self):
+        found = self._horizon or M.newest_horizon(self.snap_listing)
+        return found or (dt.date(1970, 1, 1), dt.date(1970, 1, 1))  # no versions, no rows
+
     def _table(self, build, name: str, partition_by=None) -> DataFrame:
         """Tables of the reference (raw layer, snapshots, monthly fact) are written
         once per session and input folder as parquet in the shared checkpoint
@@ -184,18 +192,22 @@ class Domain:
     @cached_property
     def lookup(self) -> DataFrame:
         """Area name -> LGA over the three reference paths (direct, dim_suburb, staged
-        suburbs), one row per name; broadcast marked once, after a bounded count."""
-        folded = lga_name_lookup(self.dim_lga, [self.dim_suburb, self.stg_lga_suburb])
-        return bounded_broadcast(folded, MAX_LOOKUP_ROWS)
+        suburbs), one row per name."""
+        return lga_name_lookup(self.dim_lga, [self.dim_suburb, self.stg_lga_suburb])
 
     # marts
+    def mart_base(self, how: str) -> DataFrame:
+        """Listing-months with their hosts, written once and read by every mart of a join type."""
+        name = f"mart_base_{how}_{self.boundary}_{self.horizon[0]}_{self.horizon[1]}"
+        return self._table(lambda: M.kpi_base(self.dim_listing, self.dim_host, self.horizon, how), name)
+
     def mart(self, kind: str, extra: bool = False) -> DataFrame:
         """KPI mart; the neighbourhood mart feeds three analyses, so it is written
         once (per boundary and horizon) like the star tables."""
         key = (kind, extra)
         if key not in self._marts:
             def build():
-                return M.kpi_mart(self.dim_listing, self.dim_host, kind, self.horizon, extra)
+                return M.kpi_mart(self.mart_base(M.MART_KINDS[kind][2]), kind, extra)
             if kind == "neighbourhood" and not extra:
                 name = f"mart_{kind}_{self.boundary}_{self.horizon[0]}_{self.horizon[1]}"
                 self._marts[key] = self._table(build, name)

@@ -32,17 +32,16 @@ from lodgeflow.operators.history import (
     scd2_timestamp,
     with_version_key,
 )
-from lodgeflow.operators.kpi import host_months, listing_months, monthly_kpis
-from lodgeflow.operators.ranking import first_per_key
-
-# Mart horizon on the driver tables: the twelve months ending at the newest
-# scrape month (orders end 2001-08). The reference uses 2020-05 .. 2021-04.
-DRIVER_HORIZON = (dt.date(2000, 9, 1), dt.date(2001, 8, 1))
+from lodgeflow.operators.kpi import host_months, kpis, listing_months, mart_base
 
+# The review scores, and the columns of a listing version.
+REVIEW_SCORES = ("rating", "accuracy", "cleanliness", "checkin", "communication", "value")
 LISTING_SNAPSHOT_COLUMNS = (
     "listing_id", "host_id", "property_type", "room_type", "accommodates",
     "listing_neighbourhood", "has_availability", "availability_30", "price",
-    "number_of_reviews", "review_scores_rating", "scraped_date",
+    "number_of_reviews", "review_scores_rating", "review_scores_accuracy",
+    "review_scores_cleanliness", "review_scores_checkin", "review_scores_communication",
+    "review_scores_value", "scraped_date",
 )
 # The host snapshot's check columns.
 HOST_CHECK_COLUMNS = ("host_name", "host_is_superhost", "host_neighbourhood")
@@ -69,12 +68,23 @@ def stg_listing(bronze: DataFrame, strict_dates: bool = False) -> DataFrame:
         parse_money(c("PRICE")).alias("price"),
         c("AVAILABILITY_30").cast("int").alias("availability_30"),
         c("NUMBER_OF_REVIEWS").cast("int").alias("number_of_reviews"),
-        *[c(f"REVIEW_SCORES_{s}").cast("decimal(18,4)").alias(f"review_scores_{s.lower()}")
-          for s in ("RATING", "ACCURACY", "CLEANLINESS", "CHECKIN", "COMMUNICATION", "VALUE")],
+        *[c(f"REVIEW_SCORES_{s.upper()}").cast("decimal(18,4)").alias(f"review_scores_{s}")
+          for s in REVIEW_SCORES],
         parse_month_key(c("MONTH_YEAR")).alias("month_date"),
     )
 
 
+def split_silver(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """N3 with quarantine (K18): the typed rows, and the bronze rows whose scrape date or price
+    has text that gives no value, with the ``reason``. Those rows are in the first frame too,
+    with NULL in that column, as in the reference's lenient models."""
+    date, price = F.col("SCRAPED_DATE"), F.col("PRICE")
+    bad_date = (F.coalesce(date, F.lit("")) != "") & parse_text_date(date).isNull()
+    bad_price = (F.regexp_replace(F.coalesce(price, F.lit("")), r"[^0-9.\-]", "") != "") & parse_money(price).isNull()
+    reason = F.concat_ws(",", F.when(bad_date, "scraped_date"), F.when(bad_price, "price"))
+    return stg_listing(bronze), bronze.withColumn("reason", reason).filter(F.col("reason") != "")
+
+
 def silver_from_observations(obs: DataFrame) -> DataFrame:
     """The ``stg_listing`` shape built directly from typed observations."""
     c = F.col
@@ -87,8 +97,8 @@ def silver_from_observations(obs: DataFrame) -> DataFrame:
         upper_trim(c("property_type")).alias("property_type"),
         upper_trim(c("room_type")).alias("room_type"),
         "accommodates", "price", "has_availability", "availability_30", "number_of_reviews",
-        c("rating").alias("review_scores_rating"),
-        "scraped_date",
+        *[c(s).alias(f"review_scores_{s}") for s in REVIEW_SCORES],
+        "host_since", "scraped_date",
         month_start(c("scraped_date")).alias("month_date"),
     )
 
@@ -149,11 +159,12 @@ def host_rows(stg: DataFrame) -> DataFrame:
     base = stg.filter(F.col("host_id").isNotNull() & F.col("scraped_date").isNotNull())
     area = collapse_ws(first_non_null(blank_to_null(F.col("host_neighbourhood")),
                                       blank_to_null(F.col("listing_neighbourhood"))))
-    attrs = F.struct(F.col("host_name"), F.col("host_is_superhost"),
-                     area.alias("host_neighbourhood"))
-    picked = base.groupBy("host_id", "scraped_date").agg(
-        F.min_by(attrs, F.col("listing_id")).alias("_a"))
-    return picked.select("host_id", "_a.host_name", "_a.host_is_superhost",
+    # The rank is one comparable value, so the pick is a hash aggregate over plain columns;
+    # of one listing's several rows a day the smallest attributes win.
+    attrs = F.struct(F.col("listing_id"), F.col("host_name"), F.col("host_since"),
+                     F.col("host_is_superhost"), area.alias("host_neighbourhood"))
+    picked = base.groupBy("host_id", "scraped_date").agg(F.min(attrs).alias("_a"))
+    return picked.select("host_id", "_a.host_name", "_a.host_since", "_a.host_is_superhost",
                          "_a.host_neighbourhood", "scraped_date")
 
 
@@ -181,11 +192,9 @@ def dim_snap_host(snap: DataFrame, boundary: str = "overlap") -> DataFrame:
 
 
 def dim_listing_monthly(stg: DataFrame) -> DataFrame:
-    """Monthly listing fact, newest scrape per (listing, month)."""
+    """Monthly listing fact, every row with a month and a listing."""
     rows = stg.filter(F.col("month_date").isNotNull() & F.col("listing_id").isNotNull())
-    newest = first_per_key(rows, "listing_id", ["month_date"],
-                           [F.col("scraped_date").desc_nulls_last()])
-    return newest.select(
+    return rows.select(
         "listing_id", "host_id", "month_date", "has_availability", "availability_30",
         zero_to_null(F.col("price")).alias("price"),
         stays(F.col("has_availability"), F.col("availability_30")).alias("stays"),
@@ -213,11 +222,28 @@ MART_KINDS = {
 }
 
 
-def kpi_mart(dim_listing: DataFrame, dim_host: DataFrame, kind: str,
-             horizon=DRIVER_HORIZON, extra: bool = False) -> DataFrame:
-    """Monthly KPI mart of the given kind over ``horizon``."""
-    l_groups, h_groups, how = MART_KINDS[kind]
-    lo, hi = horizon
-    lm = listing_months(dim_listing, lo, hi, l_groups)
-    hm = host_months(dim_host, lo, hi, h_groups)
-    return monthly_kpis(lm, hm, list(l_groups) + list(h_groups), how=how, extra=extra)
+# All listing-side groups, so that one base feeds every mart of a join type.
+BASE_GROUPS = ("listing_neighbourhood", "property_type", "room_type", "accommodates")
+
+
+def kpi_base(dim_listing: DataFrame, dim_host: DataFrame, horizon, how: str = "left") -> DataFrame:
+    """Listing-months with their hosts over ``horizon``; the ``inner`` base has the host's area."""
+    h_groups = ("host_neighbourhood",) if how == "inner" else ()
+    return mart_base(listing_months(dim_listing, *horizon, BASE_GROUPS),
+                     host_months(dim_host, *horizon, h_groups), h_groups, how)
+
+
+def kpi_mart(base: DataFrame, kind: str, extra: bool = False) -> DataFrame:
+    """Monthly KPI mart of the given kind over its base (``kpi_base``)."""
+    l_groups, h_groups, _ = MART_KINDS[kind]
+    return kpis(base, [*l_groups, *h_groups], extra)
+
+
+def newest_horizon(snapshot: DataFrame, n: int = 12) -> tuple[dt.date, dt.date] | None:
+    """First and last of the ``n`` months that end at a snapshot's newest version (one aggregated
+    row); None when it is empty."""
+    row = snapshot.agg(F.trunc(F.max(VALID_FROM).cast("date"), "month").alias("hi")).first()
+    if row["hi"] is None:
+        return None
+    k = row["hi"].year * 12 + row["hi"].month - n
+    return dt.date(k // 12, k % 12 + 1, 1), row["hi"]

@@ -1,8 +1,9 @@
 """The end-to-end jobs on real inputs: CSV files -> bronze -> silver/star -> marts.
 
 * ``load_dimensions`` (N1): the four reference files, full refresh per table.
-* ``load_facts`` (N2): month files, cleaned, key-guarded, aligned, appended
-  once per month (idempotent), statistics refreshed.
+* ``load_facts`` (N2): month files, aligned by header, cleaned, key-guarded,
+  appended once per key, checked and archived; ``register_tables`` makes the raw
+  tables catalog tables and refreshes their statistics.
 * ``Warehouse``: the model frames (silver, snapshots, star, marts) over the
   bronze tables, with the same interface the analyses use on the driver data.
 """
@@ -14,26 +15,39 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lodgeflow.operators.quality import check_schema, check_tables_exist, sample_values
 from lodgeflow.plans import models as M
 from lodgeflow.plans.context import Domain
 from lodgeflow.sources.csv_ingest import (
+    IngestError,
     align_columns,
     assert_width,
     blank_as_null,
     clean_fact_text,
     list_month_files,
     keys_present,
+    read_aligned,
     read_raw_csv,
     take_first,
-    with_file_month,
 )
 from lodgeflow.sources.schemas import (
     DIM_SPECS,
     FACT_FILE_PATTERN,
+    FACT_KEYS,
     FACT_TABLE,
     LISTING_SCHEMA,
 )
-from lodgeflow.sources.sinks import append_table, list_names, overwrite_table, path_exists
+from lodgeflow.sources.sinks import (
+    analyze,
+    list_files,
+    list_names,
+    load_new_rows,
+    materialize,
+    move_files,
+    overwrite_table,
+    path_exists,
+    table_exists,
+)
 
 
 def load_dimensions(spark: SparkSession, dim_dir: str, bronze_base: str) -> dict[str, int]:
@@ -59,56 +73,74 @@ def load_dimensions(spark: SparkSession, dim_dir: str, bronze_base: str) -> dict
 
 
 def load_facts(spark: SparkSession, facts_dir: str, bronze_base: str,
-               pattern: str = FACT_FILE_PATTERN, quarantine: bool = False) -> dict[str, int]:
-    """Every new month file in one parallel scan, appended once per month.
+               pattern: str = FACT_FILE_PATTERN, archive_dir: str | None = None,
+               multi_line: bool = False) -> dict[str, int]:
+    """Every month file not loaded yet, in one parallel scan per header.
 
     Inputs are files named ``MM_YYYY.csv`` or folders ``MONTH_YEAR=MM_YYYY``
-    (``pattern`` decides which names are accepted). Months already in the
-    table are skipped before anything is read (A9, the reference's probe);
-    the rest is cleaned, key-guarded (B18) and appended in a single pass whose
-    row counts come from ``observe`` on that same pass. With ``quarantine``
-    the dropped rows are also written to ``<table>_quarantine`` (K21), which
-    costs a second read only when rows were actually dropped.
+    (``pattern`` decides which names are accepted). Files named in
+    ``<table>_files`` are skipped before anything is read (A9); the rest is
+    aligned by its own headers, cleaned and key-guarded. Rows without a key
+    (B18) go to ``<table>_quarantine``, rows whose key another row holds (V3)
+    to ``<table>_quarantine_keys``; new keys are appended. The files are named
+    as loaded last, so a load that failed is repeated and adds what is missing.
+    With ``archive_dir`` loaded files are then moved there (A11).
     """
     table = f"{bronze_base}/{FACT_TABLE}"
     names = list_month_files(list_names(spark, facts_dir), pattern)
-    done = set()
-    if path_exists(spark, table):
-        done = {r[0] for r in spark.read.parquet(table).select("MONTH_YEAR").distinct()
-                .collect()}                    # months: bounded by the calendar
-    todo = [n for n in names if _month_of(n) not in done]
+    files = [f for n in names for f in list_files(spark, f"{facts_dir.rstrip('/')}/{n}")]
+    log = f"{table}_files"
+    done = ({r["path"] for r in spark.read.parquet(log).collect()}  # one name per file ever loaded
+            if table_exists(spark, log) else set())
+    todo = [f for f in files if f not in done]
     if not todo:
         return {"files": 0, "loaded": 0, "quarantined": 0}
-    paths = [f"{facts_dir.rstrip('/')}/{n}" for n in todo]
-    raw = with_file_month(spark.read.options(header="true", inferSchema="false",
-                                             multiLine="true", quote='"', escape='"')
-                          .csv(paths))
-    aligned = align_columns(clean_fact_text(raw), LISTING_SCHEMA)
-    ok = keys_present(["LISTING_ID", "SCRAPED_DATE"])
-    counts = Observation("load_facts")
-    observed = aligned.observe(counts, F.count(F.lit(1)).alias("rows"),
-                               F.sum(F.when(ok, 1).otherwise(0)).alias("loaded"))
-    append_table(blank_as_null(observed.filter(ok)), table, partition_by=["MONTH_YEAR"])
-    rows, loaded = int(counts.get["rows"]), int(counts.get["loaded"] or 0)
-    if quarantine and rows > loaded:
-        aligned.filter(~ok).write.mode("append").parquet(f"{table}_quarantine")
-    return {"files": len(todo), "loaded": loaded, "quarantined": rows - loaded}
-
-
-def _month_of(name: str) -> str:
-    import re
-    m = re.search(r"(\d{2}_\d{4})", name)
-    return m.group(1) if m else ""
+    cleaned = materialize(spark, clean_fact_text(read_aligned(spark, todo, LISTING_SCHEMA, multi_line)), "facts")
+    ok = keys_present(FACT_KEYS)
+    cleaned.filter(~ok).write.mode("append").parquet(f"{table}_quarantine")
+    new = load_new_rows(spark, blank_as_null(cleaned.filter(ok)), table, FACT_KEYS,
+                        quarantine=f"{table}_quarantine_keys")
+    check_load(spark, bronze_base)
+    spark.createDataFrame([(f,) for f in todo], "path string").coalesce(1).write.mode("append").parquet(log)
+    if archive_dir:
+        move_files(spark, todo, archive_dir)
+    return {"files": len(todo), "loaded": new.count(), "quarantined": cleaned.filter(~ok).count()}
+
+
+def check_load(spark: SparkSession, bronze_base: str) -> dict:
+    """The load job's own checks on the raw listing table: it is there (V5), its dates are text
+    (V4), and some dates and prices for the report (V6). Raises where a check fails."""
+    table = f"{bronze_base}/{FACT_TABLE}"
+    missing = check_tables_exist(spark, [table])
+    if missing:
+        raise IngestError(f"missing tables: {missing}")
+    df = spark.read.parquet(table)
+    wrong = check_schema(spark, df, {"SCRAPED_DATE": "string", "HOST_SINCE": "string"}).collect()
+    if wrong:
+        raise IngestError(f"dates must be text in the raw layer: {wrong}")
+    return {c: sample_values(df, c) for c in ("SCRAPED_DATE", "PRICE")}
+
+
+def register_tables(spark: SparkSession, bronze_base: str, names=None) -> list[str]:
+    """The raw tables as catalog tables over their folders, statistics refreshed."""
+    names = names or [FACT_TABLE, *(t for t, _, _ in DIM_SPECS.values())]
+    made = [n for n in names if table_exists(spark, f"{bronze_base}/{n}")]
+    for n in made:
+        if not spark.catalog.tableExists(n):
+            spark.catalog.createTable(n, path=f"{bronze_base}/{n}", source="parquet")
+        if n == FACT_TABLE:
+            spark.sql(f"MSCK REPAIR TABLE {n}")
+        analyze(spark, n)
+    return made
 
 
 class Warehouse(Domain):
     """Model frames over bronze tables written by ``load_dimensions``/``load_facts``."""
 
-    def __init__(self, spark: SparkSession, bronze_base: str, horizon=None,
-                 boundary: str = "overlap", materialize: bool = False):
-        import datetime as dt
-        super().__init__(spark, bronze_base, boundary,
-                         horizon or (dt.date(2020, 5, 1), dt.date(2021, 4, 1)), materialize)
+    def __init__(self, spark: SparkSession, bronze_base: str, boundary: str = "overlap",
+                 horizon=None, materialize: bool = False):
+        super().__init__(spark, bronze_base, boundary=boundary, horizon=horizon,
+                         materialize=materialize)
         self.base = bronze_base.rstrip("/")
 
     def _bronze(self, table: str) -> DataFrame:

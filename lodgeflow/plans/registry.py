@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeflow.functions import ratio
+from lodgeflow.operators.kpi import exact_median
 from lodgeflow.operators.history import month_validity, scd2_apply, scd2_check
 from lodgeflow.operators.lookup import resolve_lookup
 from lodgeflow.operators.quality import (
@@ -42,6 +43,8 @@ from lodgeflow.streaming.ingest import (
     stream_snapshot,
 )
 
+#: Month folders of any year.
+ANY_MONTH = r"^MONTH_YEAR=\d{2}_\d{4}$"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -53,41 +56,64 @@ def register(name: str):
     return deco
 
 
+#: Values that are compared are rounded here, not in the engine.
+DIGITS = 6
+SILVER = ("listing_id", "scrape_id", "host_id", "scraped_date", "host_since", "host_is_superhost",
+          "has_availability", "listing_neighbourhood", "host_neighbourhood", "property_type",
+          "availability_30", "month_date")
+
+
+def doubles(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.round(F.col(n).cast("double"), DIGITS) for n in names})
+
+
+def silver_columns(stg: DataFrame) -> DataFrame:
+    """The silver columns that the load queries return."""
+    scores = [f"review_scores_{s}" for s in M.REVIEW_SCORES]
+    return doubles(stg.select(*SILVER, "price", *scores), "price", *scores)
+
+
+def mart(spark: SparkSession, sf_dir: str, kind: str, boundary: str = "overlap") -> DataFrame:
+    return doubles(Domain.of(spark, sf_dir, boundary=boundary).mart(kind), "min_price_active",
+                   "max_price_active", "median_price_active", "avg_est_rev_per_active")
+
+
 @register("kpi_neighbourhood")
 def kpi_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain.of(spark, sf_dir).mart("neighbourhood")
+    return mart(spark, sf_dir, "neighbourhood")
 
 
 @register("kpi_property_type")
 def kpi_property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain.of(spark, sf_dir).mart("property_type")
+    return mart(spark, sf_dir, "property_type")
 
 
 @register("kpi_property_room_size")
 def kpi_property_room_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The property mart at the (property, room, size) grain its docs describe."""
-    return Domain.of(spark, sf_dir).mart("property_room_size")
+    return mart(spark, sf_dir, "property_room_size")
 
 
 @register("kpi_host_area")
 def kpi_host_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain.of(spark, sf_dir).mart("host_neighbourhood")
+    return mart(spark, sf_dir, "host_neighbourhood")
 
 
 # ------------------------------------------------------------------ analyses
 @register("top_bottom_bands")
 def top_bottom_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.top_bottom_bands(Domain.of(spark, sf_dir))
+    return doubles(A.top_bottom_bands(Domain.of(spark, sf_dir)), "avg_rev_per_active_listing")
 
 
 @register("age_revenue_corr")
 def age_revenue_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.age_revenue_corr(Domain.of(spark, sf_dir))
+    return doubles(A.age_revenue_corr(Domain.of(spark, sf_dir)), "corr_median_age_vs_revenue")
 
 
 @register("best_combo_per_area")
 def best_combo_per_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.best_combo_per_area(Domain.of(spark, sf_dir))
+    return doubles(A.best_combo_per_area(Domain.of(spark, sf_dir)), "avg_rev_per_active_listing_12m",
+                   "total_revenue_12m")
 
 
 @register("host_concentration")
@@ -103,16 +129,17 @@ def host_cost_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ history / time
 @register("scd2_timestamp")
 def scd2_timestamp_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Domain.of(spark, sf_dir).dim_listing.select(
+    scores = [f"review_scores_{s}" for s in M.REVIEW_SCORES]
+    return doubles(Domain.of(spark, sf_dir).dim_listing.select(
         "listing_id", "scraped_date", "listing_version_sk", "dbt_valid_from", "dbt_valid_to",
-        "is_current")
+        "is_current", *scores), *scores)
 
 
 @register("scd2_check")
 def scd2_check_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Domain.of(spark, sf_dir).dim_host.select(
-        "host_id", "host_name", "host_is_superhost", "host_neighbourhood", "host_version_sk",
-        "dbt_valid_from", "dbt_valid_to", "is_current")
+        "host_id", "host_name", "host_since", "host_is_superhost", "host_neighbourhood",
+        "host_version_sk", "dbt_valid_from", "dbt_valid_to", "is_current")
 
 
 @register("scd2_hard_delete")
@@ -122,7 +149,9 @@ def scd2_hard_delete_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = rows.agg(F.trunc(F.max("scraped_date"), "month").alias("m")).first()["m"]
     before = rows.filter(F.col("scraped_date") < F.lit(newest))
     batch = rows.filter(F.col("scraped_date") >= F.lit(newest))
-    current = scd2_check(before, "host_id", "scraped_date", M.HOST_CHECK_COLUMNS)
+    # a written snapshot: the apply reads its open versions and, of the closed, keys and times
+    current = sinks.materialize(
+        spark, scd2_check(before, "host_id", "scraped_date", M.HOST_CHECK_COLUMNS), "snap-before")
     out = scd2_apply(current, batch, "host_id", "scraped_date", M.HOST_CHECK_COLUMNS,
                      close_missing=True)
     return out.select("host_id", "scraped_date", "host_neighbourhood", "dbt_valid_from",
@@ -153,12 +182,11 @@ def scd2_apply_batches_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("month_validity")
 def month_validity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain.of(spark, sf_dir)
-    half = month_validity(d.snap_listing, boundary="half_open")
-    return half.select("listing_id", "dbt_valid_from", "valid_from_month",
+    both = month_validity(month_validity(d.snap_listing).withColumnRenamed("valid_to_month", "overlap_to_month"),
+                          boundary="half_open")
+    return both.select("listing_id", "dbt_valid_from", "valid_from_month",
                        F.col("valid_to_month").alias("half_open_to_month"),
-                       F.when(F.col("dbt_valid_to").isNotNull(),
-                              F.add_months(F.col("valid_to_month"), 1))
-                       .alias("valid_to_month"), "is_current")
+                       F.col("overlap_to_month").alias("valid_to_month"), "is_current")
 
 
 @register("month_expand")
@@ -189,7 +217,7 @@ def trailing_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("kpi_neighbourhood_half_open")
 def kpi_neighbourhood_half_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 option: each month counted once, in the last version begun by then."""
-    return Domain.of(spark, sf_dir, boundary="half_open").mart("neighbourhood")
+    return mart(spark, sf_dir, "neighbourhood", "half_open")
 
 
 @register("pct_change_lag")
@@ -205,16 +233,16 @@ def filtered_aggs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = Domain.of(spark, sf_dir).fact
     act = F.coalesce(F.col("has_availability"), F.lit(False))
     priced = act & F.col("price").isNotNull()
-    return f.groupBy("month_date").agg(
+    counts = f.groupBy("month_date").agg(
         F.count(F.lit(1)).alias("listings"),
         F.count_if(act).alias("listings_active"),
         F.count_distinct(F.when(act, F.col("host_id"))).alias("hosts_active"),
-        F.min(F.when(priced, F.col("price"))).cast("double").alias("min_price_active"),
-        F.max(F.when(priced, F.col("price"))).cast("double").alias("max_price_active"),
-        F.round(F.percentile(F.when(priced, F.col("price").cast("double")), F.lit(0.5)), 6)
-        .alias("median_price_active"),
         ratio(F.sum(F.when(priced, F.col("price"))), F.count(F.when(priced, F.lit(1))))
         .alias("avg_price_active"))
+    prices = exact_median(f.filter(priced).select("month_date", "price", F.lit(1).alias("w")), ["month_date"],
+                          "price", "w", "median_price_active")
+    out = counts.join(prices.withColumnsRenamed({"_min": "min_price_active", "_max": "max_price_active"}), "month_date", "left")
+    return doubles(out, "min_price_active", "max_price_active", "median_price_active")
 
 
 @register("monthly_fact")
@@ -227,7 +255,7 @@ def monthly_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookup_resolve_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain.of(spark, sf_dir)
     rows = d.stg.select("listing_id", "scraped_date", "listing_neighbourhood")
-    return resolve_lookup(rows, "listing_neighbourhood", d.lookup, max_rows=None)
+    return resolve_lookup(rows, "listing_neighbourhood", d.lookup)
 
 
 # ------------------------------------------------------------------- silver
@@ -235,12 +263,7 @@ def lookup_resolve_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stg_listing_clean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze text -> loader clean -> key guard -> raw table -> silver typing."""
     stg = M.stg_listing(Domain.of(spark, sf_dir).bronze_listing)
-    return stg.select("listing_id", "scrape_id", "host_id", "scraped_date", "host_is_superhost",
-                      "has_availability", "listing_neighbourhood", "host_neighbourhood",
-                      "property_type", F.col("price").cast("double").alias("price"),
-                      "availability_30",
-                      F.col("review_scores_rating").cast("double").alias("review_scores_rating"),
-                      "month_date")
+    return silver_columns(stg)
 
 
 @register("pk_guard")
@@ -320,12 +343,13 @@ def freshness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ sinks/stream
 @register("month_guard_load")
 def month_guard_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load early months, then re-deliver everything; each month lands once."""
+    """Load early months, then re-deliver everything; each row lands once."""
     obs = Domain.of(spark, sf_dir).obs.select(
         "listing_id", "scraped_date", sinks.month_key(F.col("scraped_date")).alias("MONTH_YEAR"))
     path = scratch_path(spark, "month-guard")
-    sinks.load_month_if_absent(spark, obs.filter(F.col("scraped_date") < "1998-01-01"), path)
-    sinks.load_month_if_absent(spark, obs, path)
+    keys = ["listing_id", "scraped_date"]
+    sinks.load_new_rows(spark, obs.filter(F.col("scraped_date") < "1998-01-01"), path, keys)
+    sinks.load_new_rows(spark, obs, path, keys)
     return spark.read.parquet(path).select("listing_id", "scraped_date",
                                            F.col("MONTH_YEAR").alias("month_year"))
 
@@ -343,12 +367,78 @@ def stream_month_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = stream_months(spark, src, scratch_path(spark, "ckpt-ingest"), sink)
     q.awaitTermination()
     stg = M.stg_listing(spark.read.parquet(sink))
-    return stg.select("listing_id", "scrape_id", "host_id", "scraped_date", "host_is_superhost",
-                      "has_availability", "listing_neighbourhood", "host_neighbourhood",
-                      "property_type", F.col("price").cast("double").alias("price"),
-                      "availability_30",
-                      F.col("review_scores_rating").cast("double").alias("review_scores_rating"),
-                      "month_date")
+    return silver_columns(stg)
+
+
+def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Month files with three kinds of header by month: as declared; reversed and in lower case;
+    without two columns and with one that is not declared."""
+    raw = Domain.of(spark, sf_dir).raw_text
+    names = [c for c in raw.columns if c != "MONTH_YEAR"]
+    kinds = [[F.col(c) for c in names], [F.col(c).alias(c.lower()) for c in reversed(names)],
+             [F.col(c) for c in names if c not in MISSING_COLUMNS] + [F.lit("x").alias("EXTRA")]]
+    path = scratch_path(spark, "mixed-files")
+    for kind, columns in enumerate(kinds):
+        (raw.filter(F.substring("MONTH_YEAR", 1, 2).cast("int") % 3 == kind).select(*columns, "MONTH_YEAR")
+         .hint("rebalance", "MONTH_YEAR").write.mode("append").partitionBy("MONTH_YEAR")
+         .options(header="true", quote='"', escape='"').csv(path))
+    return path
+
+
+#: Columns that one kind of mixed file lacks.
+MISSING_COLUMNS = ("HOST_SINCE", "REVIEW_SCORES_VALUE")
+
+
+@register("load_mixed_headers")
+def load_mixed_headers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose columns differ in order, case and number, aligned by their own headers."""
+    from lodgeflow.plans.pipeline import load_facts
+    bronze = scratch_path(spark, "bronze-mixed")
+    load_facts(spark, _mixed_files(spark, sf_dir), bronze, pattern=ANY_MONTH)
+    return silver_columns(M.stg_listing(spark.read.parquet(f"{bronze}/r_f_listing")))
+
+
+@register("stream_mixed_headers")
+def stream_mixed_headers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4/L1: the same files as a stream."""
+    sink = scratch_path(spark, "bronze-mixed-stream")
+    stream_months(spark, _mixed_files(spark, sf_dir), scratch_path(spark, "ckpt-mixed"), sink).awaitTermination()
+    return silver_columns(M.stg_listing(spark.read.parquet(sink)))
+
+
+@register("stream_split_months")
+def stream_split_months_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four files that each hold a part of every month, one file a batch; then all of them
+    once more, as after a lost checkpoint."""
+    raw = Domain.of(spark, sf_dir).raw_text
+    files, sink = scratch_path(spark, "split-files"), scratch_path(spark, "bronze-split")
+    raw.repartition(4, "LISTING_ID").write.options(header="true", quote='"', escape='"').csv(files)
+    for _ in range(2):
+        stream_months(spark, files, scratch_path(spark, "ckpt-split"), sink, max_files=1).awaitTermination()
+    return silver_columns(M.stg_listing(spark.read.parquet(sink)))
+
+
+@register("silver_quarantine")
+def silver_quarantine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows whose date or price has text without a value."""
+    _, bad = M.split_silver(Domain.of(spark, sf_dir).bronze_listing)
+    return bad.select(F.col("LISTING_ID").cast("bigint").alias("listing_id"),
+                      F.col("SCRAPE_ID").cast("bigint").alias("scrape_id"), "reason")
+
+
+@register("declared_tests")
+def declared_tests_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1/V2 on the declared key columns: how many values fail each test."""
+    d = Domain.of(spark, sf_dir)
+    out = None
+    for frame, name in ((d.dim_suburb, "suburb_name"), (d.dim_lga, "lga_code"),
+                        (d.dim_listing, "listing_version_sk"), (d.dim_host, "host_version_sk")):
+        tests = {"not_null": check_not_null(frame, [name]).agg(F.coalesce(F.sum("null_rows"), F.lit(0)).alias("n")),
+                 "unique": check_unique(frame.filter(F.col(name).isNotNull()), [name]).agg(F.count(F.lit(1)).alias("n"))}
+        for test, found in tests.items():
+            row = found.select(F.lit(name).alias("column_name"), F.lit(test).alias("test"), F.col("n").alias("failures"))
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 @register("stream_scd2_apply")
@@ -394,13 +484,7 @@ def bronze_facts_load_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodgeflow.plans.pipeline import load_facts
     bronze = scratch_path(spark, "bronze-facts")
     files = Domain.of(spark, sf_dir).month_files
-    any_month = r"^MONTH_YEAR=\d{2}_\d{4}$"
-    load_facts(spark, files, bronze, pattern=any_month)
-    load_facts(spark, files, bronze, pattern=any_month)
+    load_facts(spark, files, bronze, pattern=ANY_MONTH)
+    load_facts(spark, files, bronze, pattern=ANY_MONTH)
     stg = M.stg_listing(spark.read.parquet(f"{bronze}/r_f_listing"))
-    return stg.select("listing_id", "scrape_id", "host_id", "scraped_date", "host_is_superhost",
-                      "has_availability", "listing_neighbourhood", "host_neighbourhood",
-                      "property_type", F.col("price").cast("double").alias("price"),
-                      "availability_30",
-                      F.col("review_scores_rating").cast("double").alias("review_scores_rating"),
-                      "month_date")
+    return silver_columns(stg)

@@ -14,16 +14,19 @@ Mapping (listing = customer, scrape = order):
   (so lookups hit both the direct LGA path and the suburb path)
 * one observation per (listing, order date); the newest order wins
 * LGA = region (code ``10000 + r_regionkey``), suburb = nation
+* every 23rd order has no host; ``host_since`` and the review sub-scores follow from the keys
 * census G01 = customers per region, age band ``c_custkey % 11``, male = even key
 * census G02 = per-region aggregates of ``c_acctbal``
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.operators.ranking import first_per_key
+from lodgeflow.operators.ranking import dedupe
 
 # Census G01 age bands (person counts), in the order the
 # analyses read them.
@@ -35,6 +38,7 @@ AGE_BANDS = (
 # Room types assigned by ``o_orderkey % 3``.
 ROOM_TYPES = ("ENTIRE HOME/APT", "PRIVATE ROOM", "SHARED ROOM")
 LGA_CODE_BASE = 10000
+SUB_SCORES = ("accuracy", "cleanliness", "checkin", "communication", "value")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,8 +50,8 @@ def listing_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns: listing_id, host_id, host_name, property_type, room_type,
     accommodates, neighbourhood, scraped_date, price, has_availability,
-    availability_30, number_of_reviews, rating, is_superhost, host_area,
-    scrape_id (the order key).
+    availability_30, number_of_reviews, rating and its five sub-scores, host_since,
+    is_superhost, host_area, scrape_id (the order key).
     """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
@@ -57,7 +61,7 @@ def listing_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
     okey, ckey = F.col("o_orderkey"), F.col("o_custkey")
-    host_id = F.when(ckey % 2 == 0, ckey).otherwise(ckey % 100)
+    host_id = F.when(okey % 23 != 0, F.when(ckey % 2 == 0, ckey).otherwise(ckey % 100))
     room = (F.when(okey % 3 == 0, F.lit(ROOM_TYPES[0]))
             .when(okey % 3 == 1, F.lit(ROOM_TYPES[1])).otherwise(F.lit(ROOM_TYPES[2])))
     joined = (o.join(c, o.o_custkey == c.c_custkey)
@@ -79,13 +83,15 @@ def listing_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         (okey % 31).cast("int").alias("availability_30"),
         (okey % 50).cast("int").alias("number_of_reviews"),
         F.when(okey % 7 == 0, F.lit(None)).otherwise((okey % 100).cast("double")).alias("rating"),
+        *[F.when(okey % (7 + i) != 0, ((okey + i) % 11).cast("double")).alias(name)
+          for i, name in enumerate(SUB_SCORES, start=1)],
+        F.date_add(F.lit(dt.date(2010, 1, 1)), (host_id % 2000).cast("int")).alias("host_since"),
         (okey % 5 == 0).alias("is_superhost"),
         F.when(okey % 13 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("host_area"),
         okey.alias("scrape_id"),
     )
-    # Newest order per (listing, day), by a window partitioned on the listing
-    # key alone: the per-listing history and monthly fact reuse that shuffle.
-    return first_per_key(rows, "listing_id", ["scraped_date"], [F.col("scrape_id").desc()])
+    # Newest order per (listing, day)
+    return dedupe(rows, ["listing_id", "scraped_date"], [F.col("scrape_id").desc()])
 
 
 def bronze_lga_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +179,8 @@ def bronze_listing_text(obs: DataFrame) -> DataFrame:
     ``d/M/yyyy``, ``dd.MM.yyyy``); every 17th scrape has an unreadable date
     (``n/a``, quarantined by the key guard) and every 19th an impossible one
     (``31-02-yyyy``: accepted by the loader, NULL in silver). Prices carry
-    ``$`` and thousands separators, flags use mixed spellings, area names
-    mixed case and padding.
+    ``$`` and thousands separators, every 29th is no number (``1-2``), flags use
+    mixed spellings, area names mixed case and padding.
     """
     sid, d = F.col("scrape_id"), F.col("scraped_date")
     layout = (F.when(sid % 3 == 0, F.date_format(d, "yyyy-MM-dd"))
@@ -198,7 +204,7 @@ def bronze_listing_text(obs: DataFrame) -> DataFrame:
         date_text.alias("SCRAPED_DATE"),
         text(F.col("host_id")).alias("HOST_ID"),
         text(F.col("host_name")).alias("HOST_NAME"),
-        F.lit("").alias("HOST_SINCE"),
+        text(F.date_format("host_since", "d/M/yyyy")).alias("HOST_SINCE"),
         flag(F.col("is_superhost")).alias("HOST_IS_SUPERHOST"),
         text(F.col("host_area")).alias("HOST_NEIGHBOURHOOD"),
         F.concat(F.lit("  "), F.lower(F.col("neighbourhood")), F.lit(" ")).alias(
@@ -206,13 +212,12 @@ def bronze_listing_text(obs: DataFrame) -> DataFrame:
         text(F.col("property_type")).alias("PROPERTY_TYPE"),
         text(F.col("room_type")).alias("ROOM_TYPE"),
         text(F.col("accommodates")).alias("ACCOMMODATES"),
-        F.when(F.col("price").isNull(), F.lit("")).otherwise(
+        F.when(sid % 29 == 0, F.lit("1-2")).when(F.col("price").isNull(), F.lit("")).otherwise(
             F.concat(F.lit("$"), F.format_number(F.col("price"), 2))).alias("PRICE"),
         flag(F.col("has_availability")).alias("HAS_AVAILABILITY"),
         text(F.col("availability_30")).alias("AVAILABILITY_30"),
         text(F.col("number_of_reviews")).alias("NUMBER_OF_REVIEWS"),
         text(F.col("rating")).alias("REVIEW_SCORES_RATING"),
-        *[F.lit("").alias(f"REVIEW_SCORES_{s}") for s in
-          ("ACCURACY", "CLEANLINESS", "CHECKIN", "COMMUNICATION", "VALUE")],
+        *[text(F.col(s)).alias(f"REVIEW_SCORES_{s.upper()}") for s in SUB_SCORES],
         F.date_format(d, "MM_yyyy").alias("MONTH_YEAR"),
     )

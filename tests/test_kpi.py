@@ -1,11 +1,12 @@
-"""KPI marts: hand-computed cases and equality with the reference's fan-out shape."""
+"""KPI marts: hand-computed cases and equality with plain Python."""
 
 import datetime as dt
 import random
+import statistics
 from decimal import Decimal
 
 from lodgeflow.functions import desc_pg
-from lodgeflow.operators.kpi import monthly_kpis
+from lodgeflow.operators.kpi import exact_median, monthly_kpis
 
 D = dt.date
 LM = ("month_start date, listing_id long, host_id long, listing_neighbourhood string, "
@@ -68,45 +69,60 @@ def _random_frames(spark, seed):
     return spark.createDataFrame(lm, LM), spark.createDataFrame(hm, HM)
 
 
-NAIVE = """
-WITH base AS (
-  SELECT lm.month_start, {grp} AS grp, lm.listing_id, lm.host_id, lm.is_active, lm.stays,
-         lm.price, lm.review_scores_rating, hm.is_superhost
-  FROM lm {join} hm ON hm.host_id = lm.host_id AND hm.month_start = lm.month_start),
-hf AS (
-  SELECT grp, month_start, count(DISTINCT host_id) AS dh,
-         count(DISTINCT host_id) FILTER (WHERE coalesce(is_superhost, false)) AS dsh
-  FROM base GROUP BY 1, 2),
-agg AS (
-  SELECT b.grp, b.month_start, count(*) AS n,
-    count(*) FILTER (WHERE b.is_active) AS na,
-    max(hf.dh) AS dh, max(hf.dsh) AS dsh,
-    percentile_cont(0.5) WITHIN GROUP (ORDER BY CAST(b.price AS DOUBLE))
-      FILTER (WHERE b.is_active AND b.price IS NOT NULL) AS med,
-    CAST(sum(b.stays * coalesce(b.price, 0)) AS DOUBLE) AS rev,
-    sum(b.stays) AS stays
-  FROM base b JOIN hf ON hf.grp = b.grp AND hf.month_start = b.month_start
-  GROUP BY b.grp, b.month_start)
-SELECT grp, month_start, n, na, dh, dsh, round(med, 6) AS med,
-       rev / nullif(CAST(na AS DOUBLE), 0) AS rev_per_active, stays FROM agg"""
-
-
-def test_weighted_plan_equals_fan_out_reference_shape(spark):
+def plain(lm, hm, group, how):
+    """The mart in plain Python: {(group, month): (hosts, superhosts, median, revenue, stays)}."""
+    out = {}
+    for x in lm:
+        hosts = [h for h in hm if h.host_id == x.host_id and h.month_start == x.month_start and x.host_id is not None]
+        for h in hosts or ([None] if how == "left" else []):
+            key = x[group] if group in x else h[group]
+            if key is not None:
+                out.setdefault((key, x.month_start), []).append((x, h))
+    return {k: figures(pairs) for k, pairs in out.items()}
+
+
+def figures(pairs):
+    known = {x.host_id for x, _ in pairs if x.host_id is not None}
+    supers = {x.host_id for x, h in pairs if h is not None and h.is_superhost and x.host_id is not None}
+    prices = [float(x.price) for x, _ in pairs if x.is_active and x.price is not None]
+    active = sum(x.is_active for x, _ in pairs)
+    revenue = sum(x.stays * (x.price or 0) for x, _ in pairs)
+    return (len(known), len(supers), statistics.median(prices) if prices else None,
+            round(float(revenue) / active, 6) if active else None, sum(x.stays for x, _ in pairs))
+
+
+def measured(df, group):
+    return {(r[group], r.month_start): (
+        r.distinct_hosts, round((r.superhost_rate or 0) * r.distinct_hosts), r.median_price_active,
+        None if r.avg_est_rev_per_active is None else round(float(r.avg_est_rev_per_active), 6), r.total_stays)
+        for r in df.collect()}
+
+
+def test_mart_equals_plain_python(spark):
     for seed, (group, side, how) in enumerate([("listing_neighbourhood", "lm", "left"),
                                                 ("host_neighbourhood", "hm", "inner")]):
         lm, hm = _random_frames(spark, seed)
-        lm.createOrReplaceTempView("lm")
-        hm.createOrReplaceTempView("hm")
-        naive = spark.sql(NAIVE.format(grp=f"{side}.{group}",
-                                       join="LEFT JOIN" if how == "left" else "JOIN"))
-        want = sorted((r.grp, r.month_start, r.dh, r.med, r.rev_per_active, r.stays)
-                      for r in naive.collect() if r.grp is not None)
-        got_df = monthly_kpis(lm.drop("host_neighbourhood") if side == "hm" else lm,
-                              hm if side == "hm" else hm.drop("host_neighbourhood"),
-                              [group], how=how)
-        got = sorted((r[group], r.month_start, r.distinct_hosts, r.median_price_active,
-                      r.avg_est_rev_per_active, r.total_stays) for r in got_df.collect())
-        assert got == want
+        got = monthly_kpis(lm, hm if side == "hm" else hm.drop("host_neighbourhood"), [group], how=how)
+        assert measured(got, group) == plain(lm.collect(), hm.collect(), group, how)
+
+
+def test_listing_without_host_is_no_host(spark):
+    lm = spark.createDataFrame([lm_row(5, 1, 1, "A", True), lm_row(5, 2, None, "A", True)], LM)
+    hm = spark.createDataFrame([(D(2020, 5, 1), 1, "X", True)], HM)
+    r = monthly_kpis(lm, hm.drop("host_neighbourhood"), ["listing_neighbourhood"], extra=True).first()
+    assert (r.distinct_hosts, r.superhost_rate, r.listings_total) == (1, 1.0, 2)
+
+
+def test_median_by_counting(spark):
+    rnd = random.Random(9)
+    rows = [(g, Decimal(rnd.choice([v, rnd.randint(1, 10**6)])) / 100, rnd.randint(1, 4))
+            for g, v in (("a", 5), ("b", 7777), ("c", 1)) for _ in range(301)] + [("one", Decimal("3.50"), 2)]
+    df = spark.createDataFrame(rows, "g string, v decimal(18,2), w int")
+    for bins in (1, 7, 1024):
+        got = {r.g: (float(r._min), r.m, float(r._max)) for r in exact_median(df, ["g"], "v", "w", "m", bins).collect()}
+        for g in got:
+            values = [float(v) for k, v, w in rows if k == g for _ in range(w)]
+            assert got[g] == (min(values), statistics.median(values), max(values))
 
 
 def test_hot_host_holding_half_of_all_rows(spark):
@@ -122,17 +138,8 @@ def test_hot_host_holding_half_of_all_rows(spark):
             hm.append((D(2020, m, 1), 1, "X", v == 2))
     lm_df = spark.createDataFrame(rows, LM)
     hm_df = spark.createDataFrame(hm, HM)
-    lm_df.createOrReplaceTempView("lm")
-    hm_df.createOrReplaceTempView("hm")
-    naive = spark.sql(NAIVE.format(grp="lm.listing_neighbourhood", join="LEFT JOIN"))
-    want = sorted((r.grp, r.month_start, r.dh, r.dsh, r.med, r.rev_per_active, r.stays)
-                  for r in naive.collect())
-    got = sorted((r.listing_neighbourhood, r.month_start, r.distinct_hosts,
-                  round(r.superhost_rate * r.distinct_hosts), r.median_price_active,
-                  r.avg_est_rev_per_active, r.total_stays)
-                 for r in monthly_kpis(lm_df, hm_df.drop("host_neighbourhood"),
-                                       ["listing_neighbourhood"]).collect())
-    assert got == want
+    got = monthly_kpis(lm_df, hm_df.drop("host_neighbourhood"), ["listing_neighbourhood"])
+    assert measured(got, "listing_neighbourhood") == plain(lm_df.collect(), hm_df.collect(), "listing_neighbourhood", "left")
 
 
 def test_half_open_counts_each_listing_month_once(spark):

@@ -60,9 +60,17 @@ def scd2_check(hist: DataFrame, key: str, updated_at: str,
                                VALID_TO: _ts(F.lead(updated_at).over(w))})
 
 
+def _stacked(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of both frames. The columns of ``a`` are made anew: when both sides come partitioned
+    by key, a union takes that partitioning as its own, although adaptive execution may give the
+    sides different numbers of partitions, and windows or joins above it then see half a key."""
+    anew = a.select(F.explode(F.array(F.struct(*a.columns))).alias("_r")).select("_r.*")
+    return anew.unionByName(b)
+
+
 def scd2_step(open_v: DataFrame | None, batch: DataFrame, key: str, updated_at: str,
               check_cols: Sequence[str] | None = None, close_missing: bool = False,
-              as_of: Column | None = None) -> DataFrame:
+              as_of: Column | None = None, closed: DataFrame | None = None) -> DataFrame:
     """J3/J4 core: re-evaluate the open versions together with one batch.
 
     Returns the versions of every key in ``open_v`` or ``batch``: previously
@@ -73,6 +81,11 @@ def scd2_step(open_v: DataFrame | None, batch: DataFrame, key: str, updated_at:
     changed, otherwise every newer row does. ``close_missing`` (hard deletes)
     closes open versions whose key is absent from the batch at ``as_of``
     (default: newest ``updated_at`` of the batch, fetched as one aggregated row).
+
+    ``closed`` (the closed history) guards against replays: a row that a closed
+    version of its key begins at or covers is ignored too, so an old batch does not
+    reopen a key that was deleted since. Only keys of the batch are looked up,
+    by key and times.
     """
     cols = list(batch.columns)
     batch = batch.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
@@ -82,12 +95,21 @@ def scd2_step(open_v: DataFrame | None, batch: DataFrame, key: str, updated_at:
         return versions.select(*cols, VALID_FROM, VALID_TO)
 
     open_from = open_v.select(F.col(key).alias("_k"), F.col(VALID_FROM).alias("_open_from"))
+    when = _ts(F.col(updated_at))
     fresh = (batch.join(open_from, batch[key] == open_from["_k"], "left")
-             .filter(F.col("_open_from").isNull() | (_ts(F.col(updated_at)) > F.col("_open_from")))
-             .select(*cols, F.lit(False).alias("_is_open"), F.lit(None).cast("timestamp_ntz")
-                     .alias("_from")))
+             .filter(F.col("_open_from").isNull() | (when > F.col("_open_from"))))
+    if closed is not None:
+        wanted = batch.select(F.col(key).alias("_c")).distinct()
+        last = (closed.select(F.col(key).alias("_c"), VALID_FROM, VALID_TO)
+                .join(wanted, "_c", "left_semi").groupBy("_c")
+                .agg(F.max(VALID_FROM).alias("_closed_from"), F.max(VALID_TO).alias("_closed_to")))
+        fresh = (fresh.join(last, fresh[key] == last["_c"], "left")
+                 .filter(F.col("_closed_to").isNull()
+                         | ((when >= F.col("_closed_to")) & (when > F.col("_closed_from")))))
+    fresh = fresh.select(*cols, F.lit(False).alias("_is_open"),
+                         F.lit(None).cast("timestamp_ntz").alias("_from"))
     carried = open_v.select(*cols, F.lit(True).alias("_is_open"), F.col(VALID_FROM).alias("_from"))
-    both = carried.unionByName(fresh)
+    both = _stacked(carried, fresh)
 
     w = Window.partitionBy(key).orderBy(F.col("_is_open").desc(), F.col(updated_at))
     if check_cols:
@@ -124,8 +146,8 @@ def scd2_apply(current: DataFrame | None, batch: DataFrame, key: str, updated_at
     cols = list(batch.columns)
     closed = current.filter(F.col(VALID_TO).isNotNull()).select(*cols, VALID_FROM, VALID_TO)
     open_v = current.filter(F.col(VALID_TO).isNull())
-    return closed.unionByName(
-        scd2_step(open_v, batch, key, updated_at, check_cols, close_missing, as_of))
+    return _stacked(
+        closed, scd2_step(open_v, batch, key, updated_at, check_cols, close_missing, as_of, closed))
 
 
 def with_version_key(df: DataFrame, name: str, parts: Sequence[Column]) -> DataFrame:

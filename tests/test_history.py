@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lodgeflow.operators.history import (
@@ -140,3 +142,37 @@ def test_overlap_filter_reaches_the_scan(spark):
     assert sorted(str(r.dbt_valid_from)[:10] for r in v.collect()) == ["2019-01-05",
                                                                       "2020-06-01",
                                                                       "2020-07-01"]
+
+
+@pytest.mark.parametrize("partitions", ["4", "8", "200"])
+@pytest.mark.parametrize("check", [["a"], None])
+def test_apply_on_a_lazy_snapshot(spark, partitions, check):
+    """No checkpoint between the steps: the plan of the current snapshot is part of the apply."""
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        hist = spark.createDataFrame([(k, D(2020, 5, 1), "x") for k in range(6)], "k long, ts date, a string")
+        batch = spark.createDataFrame([(k, D(2020, 6, 1), "y") for k in range(3)], "k long, ts date, a string")
+        current = scd2_check(hist, "k", "ts", check) if check else scd2_timestamp(hist, "k", "ts")
+        for close in (False, True):
+            got = scd2_apply(current, batch, "k", "ts", check, close_missing=close).collect()
+            still = {r.k: r.a for r in got if r.dbt_valid_to is None}
+            want = {0: "y", 1: "y", 2: "y"} | ({} if close else {3: "x", 4: "x", 5: "x"})
+            assert still == want and len(got) == 9
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+def test_replay_does_not_reopen_a_deleted_key(spark):
+    kind = "k long, ts date, a string"
+    may = spark.createDataFrame([(1, D(2020, 5, 1), "x"), (2, D(2020, 5, 1), "x")], kind)
+    june = spark.createDataFrame([(1, D(2020, 6, 1), "x")], kind)
+    july = spark.createDataFrame([(2, D(2020, 7, 1), "z")], kind)
+    snap = scd2_apply(None, may, "k", "ts", ["a"])
+    snap = scd2_apply(snap, june, "k", "ts", ["a"], close_missing=True)
+    want = sorted((r.k, r.a, str(r.dbt_valid_to)[:10]) for r in snap.collect())
+    assert want == [(1, "x", "None"), (2, "x", "2020-06-01")]
+    again = scd2_apply(snap, may, "k", "ts", ["a"])
+    assert sorted((r.k, r.a, str(r.dbt_valid_to)[:10]) for r in again.collect()) == want
+    back = scd2_apply(again, july, "k", "ts", ["a"])      # a key may come back later
+    assert {(r.k, r.a) for r in back.collect() if r.dbt_valid_to is None} == {(1, "x"), (2, "z")}

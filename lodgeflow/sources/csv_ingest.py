@@ -1,11 +1,14 @@
 """CSV ingest into the raw layer.
 
 Files are read by Spark's CSV source with every column as text; a month file
-is one input among many, so a whole directory of months is one parallel scan.
+is one input among many, so a whole directory of months is one parallel scan,
+and a large file is split over tasks. Fields that hold line breaks need
+``multi_line=True``, which makes a file one task.
 """
 
 from __future__ import annotations
 
+import csv
 import os
 import re
 
@@ -15,8 +18,8 @@ from pyspark.sql import types as T
 
 from lodgeflow.functions import iso_text_dayfirst, null_tokens, strip_ws
 
-CSV_OPTIONS = {"header": "true", "inferSchema": "false", "multiLine": "true",
-               "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+CSV_OPTIONS = {"header": "true", "inferSchema": "false", "quote": '"', "escape": '"',
+               "mode": "PERMISSIVE"}
 MONTH_FROM_NAME = r"(\d{2}_\d{4})\.csv$"
 # The month of a file: its name MM_YYYY.csv, or its folder MONTH_YEAR=MM_YYYY.
 MONTH_FROM_PATH = r"(?:/|^)(?:MONTH_YEAR=)?(\d{2}_\d{4})(?:\.csv$|/)"
@@ -26,16 +29,18 @@ class IngestError(RuntimeError):
     pass
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 multi_line: bool = False) -> DataFrame:
     """A1: read CSV with every column as text; fail when the file is missing or empty.
 
-    Quoted fields may hold doubled quotes and newlines. With ``schema`` the
-    columns are taken by position; without it the header names are kept.
+    Quoted fields may hold doubled quotes, and with ``multi_line`` newlines.
+    With ``schema`` the columns are taken by position; without it the header
+    names are kept.
     """
     from lodgeflow.sources.sinks import path_exists, path_size
     if not path_exists(spark, path) or path_size(spark, path) == 0:
         raise IngestError(f"CSV missing/empty: {path}")
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower())
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)
@@ -77,6 +82,46 @@ def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def read_aligned(spark: SparkSession, files, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """A1 + A4 + A10 over many month files: each file's columns are matched by its own header.
+
+    Files with one header are one scan by names; the scans are united after
+    each is aligned. A file is read under the month of its path where it has one.
+    """
+    by_header: dict[tuple, list[str]] = {}
+    for path, names in headers(spark, files).items():
+        by_header.setdefault(names, []).append(path)
+    out = None
+    for names, paths in sorted(by_header.items()):
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        raw = (spark.read.schema(text).options(**CSV_OPTIONS, multiLine=str(multi_line).lower())
+               .csv(paths))
+        from_path = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), MONTH_FROM_PATH, 1), F.lit(""))
+        part = _with_month(raw.select("*", from_path.alias("__month")), schema)
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def _with_month(tagged: DataFrame, schema: T.StructType) -> DataFrame:
+    has = next((c for c in tagged.columns if c.upper() == "MONTH_YEAR"), None)
+    month = F.coalesce(F.col("__month"), F.col(f"`{has}`")) if has else F.col("__month")
+    kept = tagged.withColumn("__m", month).drop("__month", *([has] if has else []))
+    return align_columns(kept.withColumnRenamed("__m", "MONTH_YEAR"), schema)
+
+
+def headers(spark: SparkSession, files) -> dict[str, tuple[str, ...]]:
+    """Column names of each CSV file, from its first line, as a footer read gives those of a
+    Parquet file. Empty files have none and are left out."""
+    from lodgeflow.sources.sinks import first_line
+    out = {}
+    for path in files:
+        line = first_line(spark, path)
+        if line:
+            names = [n.strip().strip('"') for n in next(csv.reader([line]))]
+            out[path] = tuple(n or f"_blank{i}" for i, n in enumerate(names))
+    return out
+
+
 def take_first(df: DataFrame, names) -> DataFrame:
     """A5: keep the first ``len(names)`` columns by position, renamed and stripped."""
     picked = df.columns[: len(names)]

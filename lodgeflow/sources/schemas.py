@@ -57,5 +57,7 @@ DIM_SPECS = {
     "NSW_LGA_SUBURB.csv": ("r_d_nsw_lga_suburb", LGA_SUBURB_SCHEMA, 2),
 }
 FACT_TABLE = "r_f_listing"
+# The raw listing table's primary key.
+FACT_KEYS = ("LISTING_ID", "SCRAPED_DATE")
 # Accepted month file names, MM_2020.csv for 01-12 and MM_2021.csv for 01-04.
 FACT_FILE_PATTERN = r"^(0[1-9]|1[0-2])_2020\.csv$|^(0[1-4])_2021\.csv$"

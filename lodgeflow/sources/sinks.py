@@ -7,14 +7,13 @@ partition filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeflow.session import bounded_broadcast, scratch_path
-
-# Months are few; the probe's distinct month list is bounded by the calendar.
-MAX_MONTHS = 100_000
+from lodgeflow.session import scratch_path
 
 
 def _fs(spark: SparkSession, path: str):
@@ -35,6 +34,41 @@ def path_size(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """First line of a text file on any Hadoop file system, without its line end."""
+    p, fs = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return (reader.readLine() or "").lstrip("\ufeff")
+    finally:
+        stream.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files at or below ``path``; names that start with ``_`` or ``.`` are not data."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        f = it.next().getPath()
+        if not f.getName().startswith(("_", ".")):
+            found.append(f.toString())
+    return sorted(found)
+
+
+def move_files(spark: SparkSession, files: Sequence[str], folder: str) -> None:
+    """Move loaded files below ``folder``, each under the name of its own folder."""
+    for f in files:
+        p, fs = _fs(spark, f)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, p.getParent().getName())
+        fs.mkdirs(target)
+        if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, p.getName())):
+            raise OSError(f"could not archive {f}")
+
+
 def list_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the entries directly under ``folder``."""
     p, fs = _fs(spark, folder)
@@ -65,28 +99,45 @@ def table_exists(spark: SparkSession, path_or_name: str) -> bool:
     """A catalog table or a readable parquet directory."""
     if "/" not in path_or_name:
         return spark.catalog.tableExists(path_or_name)
-    try:
-        spark.read.parquet(path_or_name).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001 - missing path or not parquet
-        return False
+    return any(f.endswith(".parquet") for f in list_files(spark, path_or_name))
 
 
-def load_month_if_absent(spark: SparkSession, df: DataFrame, path: str,
-                         month_col: str = "MONTH_YEAR") -> DataFrame:
-    """Append only the months not already in the table (idempotent per month).
+def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
+                  month_col: str = "MONTH_YEAR", quarantine: str | None = None) -> DataFrame:
+    """Append the rows whose primary key is not in the table yet.
 
-    The months already loaded come from a distinct on the (partition) column,
-    bounded by the calendar, and are removed with a left-anti join, so a
-    re-delivered file adds nothing. Returns the rows that were appended.
+    A month may come in any number of files and batches: what is there stays,
+    what is missing is added. A file delivered twice, or a load repeated after
+    it failed halfway, adds nothing twice. Of several rows with one key in
+    ``df`` the first by all columns is kept. The table's keys are compared by a
+    left-anti join, and only in the range of the last key (the date) at hand,
+    which the scan can skip by.
+    Rows that are kept out and differ from the row that holds their key go to
+    ``quarantine`` (a table path), with a reason. Returns the table's new rows.
     """
+    first = Window.partitionBy(*keys).orderBy(*df.columns)
+    ranked = materialize(spark, df.withColumn("_nth", F.row_number().over(first)), "load")
+    fresh = ranked.filter(F.col("_nth") == 1).drop("_nth")
     if table_exists(spark, path):
-        loaded = spark.read.parquet(path).select(month_col).distinct()
-        fresh = df.join(bounded_broadcast(loaded, MAX_MONTHS), month_col, "left_anti")
+        lo, hi = ranked.agg(F.min(keys[-1]), F.max(keys[-1])).first()
+        held = spark.read.parquet(path).filter(F.col(keys[-1]).between(F.lit(lo), F.lit(hi))).select(*df.columns)
+        known = held.select(*keys).distinct()
+        new = fresh.join(known, list(keys), "left_anti")
+        again = fresh.join(held, [fresh[c].eqNullSafe(held[c]) for c in df.columns], "left_anti").join(
+            known, list(keys), "left_semi").withColumn("_reason", F.lit("key in table"))
     else:
-        fresh = df
-    append_table(fresh, path, partition_by=[month_col])
-    return fresh
+        new, again = fresh, None
+    new = materialize(spark, new.select(*df.columns), "load-new")
+    if quarantine:
+        kept = ranked.filter(F.col("_nth") == 1).drop("_nth")
+        twice = ranked.filter(F.col("_nth") > 1).drop("_nth")
+        bad = twice.join(kept, [twice[c].eqNullSafe(kept[c]) for c in df.columns], "left_anti").withColumn(
+            "_reason", F.lit("key twice"))
+        if again is not None:
+            bad = bad.unionByName(again)
+        bad.write.mode("append").parquet(quarantine)
+    append_table(new, path, partition_by=[month_col])
+    return new
 
 
 def ensure_tables(spark: SparkSession, specs: dict[str, T.StructType], base: str) -> list[str]:
@@ -101,9 +152,18 @@ def ensure_tables(spark: SparkSession, specs: dict[str, T.StructType], base: str
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
-    """Register a lazy model as a temporary view."""
+    """Register a lazy model as a temporary view and return the view."""
     df.createOrReplaceTempView(name)
-    return df
+    return df.sparkSession.table(name)
+
+
+def save_named(df: DataFrame, name: str, partition_by=None) -> DataFrame:
+    """Write a model as a named catalog table (full refresh), refresh its
+    statistics (A12) and return it. Sessions that share the catalog read it by name."""
+    w = df.write.mode("overwrite").format("parquet")
+    (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
+    analyze(df.sparkSession, name)
+    return df.sparkSession.table(name)
 
 
 def analyze(spark: SparkSession, table: str, columns=None) -> None:

@@ -2,11 +2,11 @@
 
 The reference's loader is an incremental file ingester: each new month file
 is cleaned, appended once, and archived. Here that is a file-stream source
-(``readStream.csv``) with a checkpoint (each file is taken exactly once), a
-``foreachBatch`` sink that appends only months not yet present (idempotent on
-replay after a lost executor or driver restart), and the source's own archive
-option. ``trigger(availableNow=True)`` processes what is there and stops, as
-one run of the reference's job does.
+with a checkpoint (each file is taken exactly once) whose rows are the paths of
+new files; each micro-batch reads its files by their own headers and appends the
+rows whose key is new, so a replay after a lost executor or driver adds nothing
+twice and a month may come in many batches. ``trigger(availableNow=True)``
+processes what is there and stops, as one run of the reference's job does.
 """
 
 from __future__ import annotations
@@ -17,56 +17,62 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodgeflow.operators.history import VALID_TO, scd2_step
 from lodgeflow.sources.csv_ingest import (
-    CSV_OPTIONS,
-    MONTH_FROM_NAME,
     blank_as_null,
     clean_fact_text,
+    read_aligned,
     split_valid,
 )
-from lodgeflow.sources.schemas import LISTING_SCHEMA
-from lodgeflow.sources.sinks import load_month_if_absent
+from lodgeflow.sources.schemas import FACT_KEYS, LISTING_SCHEMA
+from lodgeflow.sources.sinks import load_new_rows
+
+
+# The columns of Spark's binary file source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def month_file_stream(spark: SparkSession, src_dir: str, archive_dir: str | None = None,
                       max_files: int | None = None, glob: str = "*.csv") -> DataFrame:
-    """L1 source: raw listing text files under ``src_dir`` as a stream.
+    """L1 source: the paths of listing files under ``src_dir`` as a stream (column ``path``).
 
-    Months come from ``MONTH_YEAR=MM_YYYY`` sub-directories (or the column in
-    the file). With ``archive_dir`` processed files are moved there by the
-    source (``cleanSource=archive``); the move happens when a later batch is
-    planned, and ``pathGlobFilter`` keeps other files out.
+    Only names travel: the binary file source reads no content when just the
+    path is asked for. With ``archive_dir`` processed files are moved there by
+    the source (``cleanSource=archive``); the move happens when a later batch
+    is planned, and ``pathGlobFilter`` keeps other files out.
     """
-    reader = (spark.readStream.schema(LISTING_SCHEMA).options(**CSV_OPTIONS)
-              .option("pathGlobFilter", glob))
+    reader = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", glob)
+              .option("recursiveFileLookup", "true"))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    stream = reader.csv(src_dir)
-    # A10: files named MM_YYYY.csv carry their month in the name.
-    from_name = F.nullif(F.regexp_extract(F.col("_metadata.file_name"), MONTH_FROM_NAME, 1),
-                         F.lit(""))
-    return stream.withColumn("MONTH_YEAR",
-                             F.coalesce(F.nullif(F.col("MONTH_YEAR"), F.lit("")), from_name))
+    return reader.load(src_dir).select("path")
+
+
+def read_batch(batch: DataFrame) -> DataFrame:
+    """The rows of a micro-batch's files (A1, A4, A10); ``max_files`` bounds the paths."""
+    files = sorted(r["path"] for r in batch.select("path").collect())
+    return read_aligned(batch.sparkSession, files, LISTING_SCHEMA)
 
 
 def stream_months(spark: SparkSession, src_dir: str, checkpoint: str, sink: str,
                   archive_dir: str | None = None, max_files: int | None = None,
                   quarantine: str | None = None) -> StreamingQuery:
-    """L1: clean each micro-batch and append months not yet in ``sink``.
+    """L1: clean each micro-batch and append the rows whose key is not yet in ``sink``.
 
-    Rows with a blank natural key go to ``quarantine`` when given (K21).
+    Rows with a blank natural key go to ``quarantine`` when given (K21), rows
+    whose key another row holds to ``<quarantine>_keys``.
     """
     stream = month_file_stream(spark, src_dir, archive_dir, max_files)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean_fact_text(batch)
+        cleaned = clean_fact_text(read_batch(batch))
         # Only month files are facts: rows without a MM_YYYY month are not loaded.
         valid, bad = split_valid(cleaned.withColumn(
             "MONTH_YEAR", F.when(F.col("MONTH_YEAR").rlike(r"^\d{2}_\d{4}\z"),
                                  F.col("MONTH_YEAR")).otherwise(F.lit(""))),
-            ["LISTING_ID", "SCRAPED_DATE", "MONTH_YEAR"])
-        load_month_if_absent(spark, blank_as_null(valid), sink)
+            [*FACT_KEYS, "MONTH_YEAR"])
+        load_new_rows(batch.sparkSession, blank_as_null(valid), sink, FACT_KEYS,
+                      quarantine=f"{quarantine}_keys" if quarantine else None)
         if quarantine:
             bad.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(quarantine)
 
@@ -87,7 +93,8 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        self.version = self._last_complete_version()
+        done = self._committed()
+        self.version = done[-1] if done else -1
         cur = self.open_versions()
         self._schema = cur.schema if cur is not None else None
 
@@ -96,39 +103,41 @@ class SnapshotTable:
         root = jvm.org.apache.hadoop.fs.Path(self.base)
         return jvm, root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _last_complete_version(self) -> int:
-        """Newest version with a ``_COMMITTED`` marker (a restarted driver resumes
-        there; a half-written version is ignored and rewritten). Replaying a
-        micro-batch is harmless: rows not newer than the open versions are skipped."""
+    def _committed(self) -> list[int]:
+        """Versions with a ``_COMMITTED`` marker, in order (a restarted driver resumes at the
+        last; a half-written version is ignored and rewritten)."""
         jvm, root, fs = self._fs()
         if not fs.exists(root):
-            return -1
-        done = [int(st.getPath().getName()[1:]) for st in fs.listStatus(root)
-                if st.getPath().getName()[:1] == "v" and st.getPath().getName()[1:].isdigit()
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_COMMITTED"))]
-        return max(done) if done else -1
+            return []
+        return sorted(int(st.getPath().getName()[1:]) for st in fs.listStatus(root)
+                      if st.getPath().getName()[:1] == "v" and st.getPath().getName()[1:].isdigit()
+                      and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_COMMITTED")))
 
-    def _read(self, pattern: str) -> DataFrame:
+    def _read(self, *paths: str) -> DataFrame:
         reader = self.spark.read
         if getattr(self, "_schema", None) is not None:
             reader = reader.schema(self._schema)
-        return reader.parquet(pattern)
+        return reader.parquet(*paths)
 
     def open_versions(self) -> DataFrame | None:
         if self.version < 0:
             return None
         return self._read(f"{self.base}/v{self.version:05d}/state=open")
 
+    def closed_versions(self) -> DataFrame | None:
+        """Closed history of the committed applies."""
+        done = self._committed()
+        return self._read(*(f"{self.base}/v{v:05d}/state=closed" for v in done)) if done else None
+
     def current(self) -> DataFrame | None:
         if self.version < 0:
             return None
-        closed = self._read(f"{self.base}/v*/state=closed")
-        return closed.unionByName(self.open_versions())
+        return self.closed_versions().unionByName(self.open_versions())
 
     def apply(self, batch: DataFrame, key: str, updated_at: str, check_cols=None,
               close_missing: bool = False) -> None:
         step = scd2_step(self.open_versions(), batch, key, updated_at, check_cols,
-                         close_missing)
+                         close_missing, closed=self.closed_versions())
         nxt = self.version + 1
         self._schema = step.schema
         state = F.when(F.col(VALID_TO).isNull(), F.lit("open")).otherwise(F.lit("closed"))
@@ -150,13 +159,13 @@ def stream_snapshot(spark: SparkSession, stream: DataFrame, table: SnapshotTable
                     check_cols=None, close_missing: bool = False) -> StreamingQuery:
     """L2: apply each micro-batch to a snapshot table (J4, ``SnapshotTable.apply``).
 
-    ``to_rows`` maps the raw batch to snapshot source rows (one per key and
+    ``to_rows`` maps the batch's raw rows to snapshot source rows (one per key and
     ``updated_at``). Batches are applied in arrival order; rows older than a
-    key's open version are ignored, as a snapshot run would.
+    key's newest version are ignored, as a snapshot run would.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.apply(to_rows(batch), key, updated_at, check_cols, close_missing)
+        table.apply(to_rows(read_batch(batch)), key, updated_at, check_cols, close_missing)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

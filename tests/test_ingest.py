@@ -4,6 +4,9 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lodgeflow.functions import null_tokens
 
 from lodgeflow.sources.csv_ingest import (
     IngestError,
@@ -11,13 +14,20 @@ from lodgeflow.sources.csv_ingest import (
     assert_width,
     clean_fact_text,
     list_month_files,
+    read_aligned,
     read_raw_csv,
     split_valid,
     take_first,
     with_file_month,
 )
 from lodgeflow.sources.schemas import FACT_FILE_PATTERN, LISTING_COLUMNS, LISTING_SCHEMA
-from lodgeflow.sources.sinks import load_month_if_absent, materialize
+from lodgeflow.sources.sinks import (
+    load_new_rows,
+    materialize,
+    materialize_view,
+    save_named,
+    table_exists,
+)
 
 
 def write(path, text):
@@ -29,7 +39,7 @@ def write(path, text):
 def test_quoting_and_multiline(spark, tmpdir_path):
     p = write(os.path.join(tmpdir_path, "q.csv"),
               'A,B\n"say ""hi""",1\n"two\nlines",2\n')
-    rows = sorted(tuple(r) for r in read_raw_csv(spark, p).collect())
+    rows = sorted(tuple(r) for r in read_raw_csv(spark, p, multi_line=True).collect())
     assert rows == [('say "hi"', "1"), ("two\nlines", "2")]
 
 
@@ -84,13 +94,57 @@ def test_reload_same_month_adds_nothing(spark, tmpdir_path):
     sink = os.path.join(tmpdir_path, "bronze")
     df = spark.createDataFrame([("1", "05_2020"), ("2", "05_2020"), ("3", "06_2020")],
                                "LISTING_ID string, MONTH_YEAR string")
-    load_month_if_absent(spark, df.filter("MONTH_YEAR = '05_2020'"), sink)
-    load_month_if_absent(spark, df, sink)
-    load_month_if_absent(spark, df, sink)
+    assert not table_exists(spark, sink)
+    load_new_rows(spark, df.filter("LISTING_ID = '1'"), sink, ["LISTING_ID"])   # a part of a month
+    load_new_rows(spark, df, sink, ["LISTING_ID"])                              # the rest comes later
+    assert load_new_rows(spark, df, sink, ["LISTING_ID"]).count() == 0
     got = sorted((r.LISTING_ID, r.MONTH_YEAR) for r in spark.read.parquet(sink).collect())
     assert got == [("1", "05_2020"), ("2", "05_2020"), ("3", "06_2020")]
 
 
+def test_primary_key_on_load(spark, tmpdir_path):
+    sink, bad = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "bad")
+    kind = "id string, day string, v string, MONTH_YEAR string"
+    keys = ["id", "day"]
+    one = spark.createDataFrame([("1", "2020-05-01", "a", "05_2020"), ("1", "2020-05-01", "b", "05_2020"),
+                                 ("2", "2020-05-01", "c", "05_2020"), ("2", "2020-05-01", "c", "05_2020")], kind)
+    load_new_rows(spark, one, sink, keys, quarantine=bad)
+    two = spark.createDataFrame([("1", "2020-05-01", "z", "06_2020"), ("1", "2020-05-01", "a", "05_2020"),
+                                 ("3", "2020-06-01", "d", "06_2020")], kind)
+    load_new_rows(spark, two.filter("v <> 'a'"), sink, keys, quarantine=bad)
+    assert sorted((r.id, r.v) for r in spark.read.parquet(sink).collect()) == [("1", "a"), ("2", "c"), ("3", "d")]
+    # what differs from the row that holds the key is kept aside; an exact repeat is nothing new
+    assert sorted((r.v, r._reason) for r in spark.read.parquet(bad).collect()) == [
+        ("b", "key twice"), ("z", "key in table")]
+
+
+def test_files_are_aligned_by_their_own_header(spark, tmpdir_path):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("A", "B", "C", "MONTH_YEAR")])
+    files = [write(os.path.join(tmpdir_path, "05_2020.csv"), "A,B,C\n1,2,3\n"),
+             write(os.path.join(tmpdir_path, "06_2020.csv"), "c,EXTRA,a\n6,x,4\n"),
+             write(os.path.join(tmpdir_path, "07_2020.csv"), '\ufeff"B",A\n8,"7, and"\n'),
+             write(os.path.join(tmpdir_path, "08_2020.csv"), "")]
+    got = sorted(tuple(r) for r in read_aligned(spark, files, schema).collect())
+    assert got == [("1", "2", "3", "05_2020"), ("4", None, "6", "06_2020"), ("7, and", "8", None, "07_2020")]
+    assert read_aligned(spark, files[3:], schema).count() == 0
+
+
+def test_null_tokens(spark):
+    texts = ["NULL", "NA", "N/A", "null", "nan", "None", "", "Nancy", "n"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").select(null_tokens(F.col("v")).alias("v"))
+    assert [r.v for r in df.collect()] == [None] * 7 + ["Nancy", "n"]
+
+
+def test_named_tables_and_views(spark):
+    df = spark.range(6).withColumn("m", F.col("id") % 2)
+    back = save_named(df, "lodgeflow_test_named", ["m"])
+    assert back.count() == 6 and spark.table("lodgeflow_test_named").columns == ["id", "m"]
+    assert "6 rows" in spark.sql("DESCRIBE EXTENDED lodgeflow_test_named").filter("col_name = 'Statistics'").first()[1]
+    view = materialize_view(df.filter("m = 1"), "lodgeflow_test_view")
+    assert view.count() == 3 == spark.table("lodgeflow_test_view").count()
+    spark.sql("DROP TABLE lodgeflow_test_named")
+
+
 def test_materialize_round_trip(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     back = materialize(spark, df, "t")

@@ -3,10 +3,18 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodgeflow.plans import analyses as A
-from lodgeflow.plans.pipeline import Warehouse, load_dimensions, load_facts
+from lodgeflow.plans.pipeline import (
+    Warehouse,
+    check_load,
+    load_dimensions,
+    load_facts,
+    register_tables,
+)
+from lodgeflow.sources.csv_ingest import IngestError
 from lodgeflow.sources.schemas import G01_SCHEMA, G02_COLUMNS, LISTING_COLUMNS
 
 FACT_COLS = [c for c in LISTING_COLUMNS if c != "MONTH_YEAR"]
@@ -62,13 +70,19 @@ def test_end_to_end(spark, tmpdir_path):
     loaded = load_dimensions(spark, dims, bronze)
     assert loaded == {"r_d_2016census_g01_nsw_lga": 2, "r_d_2016census_g02_nsw_lga": 2,
                       "r_d_nsw_lga_code": 2, "r_d_nsw_lga_suburb": 2}
-    first = load_facts(spark, facts, bronze, quarantine=True)
+    first = load_facts(spark, facts, bronze)
     assert first == {"files": 2, "loaded": 4, "quarantined": 1}
     assert spark.read.parquet(bronze + "/r_f_listing_quarantine").count() == 1
     again = load_facts(spark, facts, bronze)                          # reload reads nothing
     assert again == {"files": 0, "loaded": 0, "quarantined": 0}
 
-    w = Warehouse(spark, bronze, horizon=(dt.date(2020, 5, 1), dt.date(2020, 6, 1)))
+    assert check_load(spark, bronze)["PRICE"] != []
+    with pytest.raises(IngestError):
+        check_load(spark, os.path.join(tmpdir_path, "nothing"))
+
+    w = Warehouse.of(spark, bronze, horizon=(dt.date(2020, 5, 1), dt.date(2020, 6, 1)), materialize=False)
+    assert isinstance(w, Warehouse) and w.boundary == "overlap"
+    assert Warehouse(spark, bronze).horizon == (dt.date(2019, 7, 1), dt.date(2020, 6, 1))
     stg = {r.listing_id: r for r in w.stg.filter("listing_id = 2").collect()}
     assert stg[2].price == 1050 and stg[2].scraped_date == dt.date(2020, 5, 11)
     assert stg[2].listing_neighbourhood == "SYDNEY" and stg[2].month_date == dt.date(2020, 5, 1)
@@ -94,6 +108,28 @@ def test_end_to_end(spark, tmpdir_path):
     assert cover["SYDNEY"] == (1, 0) and cover["RANDWICK"] == (1, 1)
 
 
+def test_archive_and_catalog(spark, tmpdir_path):
+    _, facts = build_inputs(tmpdir_path)
+    bronze, arch = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "arch")
+    load_facts(spark, facts, bronze, archive_dir=arch)
+    assert sorted(n for _, _, names in os.walk(arch) for n in names) == ["05_2020.csv", "06_2020.csv"]
+    assert os.listdir(facts) == ["13_2020.csv"]
+    assert register_tables(spark, bronze) == ["r_f_listing"]
+    assert spark.table("r_f_listing").count() == 4
+    assert "4 rows" in spark.sql("DESCRIBE EXTENDED r_f_listing").filter("col_name = 'Statistics'").first()[1]
+    spark.sql("DROP TABLE r_f_listing")
+
+
+def test_silver_quarantine(spark):
+    from lodgeflow.plans import models as M
+    rows = [("1", "2020-05-01", "$10"), ("2", "2020-02-31", "1-2"), ("3", "2020-05-02", "123456789012345.5"), ("4", "2020-05-03", "")]
+    cols = list(LISTING_COLUMNS)
+    full = [tuple({"LISTING_ID": i, "SCRAPED_DATE": d, "PRICE": p, "MONTH_YEAR": "05_2020"}.get(c) for c in cols) for i, d, p in rows]
+    typed, bad = M.split_silver(spark.createDataFrame(full, ", ".join(f"{c} string" for c in cols)))
+    assert typed.count() == 4
+    assert sorted((r.LISTING_ID, r.reason) for r in bad.collect()) == [("2", "scraped_date,price"), ("3", "price")]
+
+
 def test_mart_by_several_listing_columns_and_code_option(spark, tmpdir_path):
     from lodgeflow.plans.context import Domain
     from lodgeflow.plans import models as M

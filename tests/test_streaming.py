@@ -45,14 +45,49 @@ def test_stream_ingest_exactly_once_with_archive(spark, tmpdir_path):
     first = sorted((r.LISTING_ID, r.SCRAPED_DATE, r.MONTH_YEAR)
                    for r in spark.read.parquet(sink).collect())
     assert first == [("1", "2020-05-01", "05_2020"), ("1", "2020-06-01", "06_2020")]
-    assert sorted(os.listdir(src)) == ["06_2020.csv"] or len(os.listdir(src)) <= 2
-    # a re-delivered month, a file that is not a month file, and a rerun change nothing
-    month_file(src, "05_2020.csv", [listing(9, "2/5/2020")], now + 2)
+    # a row delivered again, a file that is not a month file, and a rerun change nothing; a new row
+    # of a month that is there already is added
+    os.makedirs(os.path.join(src, "more"))
+    month_file(os.path.join(src, "more"), "05_2020.csv", [listing(1, "1/5/2020"), listing(9, "2/5/2020")], now + 2)
     month_file(src, "notes.csv", [listing(8, "2/5/2020")], now + 3)
-    stream_months(spark, src, ck, sink, archive_dir=arch, ).awaitTermination()
+    for _ in range(2):
+        stream_months(spark, src, ck, sink, archive_dir=arch).awaitTermination()
     again = sorted((r.LISTING_ID, r.SCRAPED_DATE, r.MONTH_YEAR)
                    for r in spark.read.parquet(sink).collect())
-    assert again == first
+    assert again == sorted([*first, ("9", "2020-05-02", "05_2020")])
+    # the source moves a batch's files when a later batch is planned
+    archived = {n for _, _, names in os.walk(arch) for n in names}
+    assert "05_2020.csv" in archived and "06_2020.csv" in archived
+
+
+def test_month_split_over_batches(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src", "MONTH_YEAR=05_2020")
+    os.makedirs(src)
+    now = time.time() - 100
+    for i in range(3):
+        month_file(src, f"part{i}.csv", [listing(i, "1/5/2020")], now + i)
+    sink = os.path.join(tmpdir_path, "bronze")
+    for ck in ("one", "two"):     # the second time as if the checkpoint were lost
+        stream_months(spark, os.path.dirname(src), os.path.join(tmpdir_path, ck), sink,
+                      max_files=1).awaitTermination()
+    got = sorted((r.LISTING_ID, r.MONTH_YEAR) for r in spark.read.parquet(sink).collect())
+    assert got == [(str(i), "05_2020") for i in range(3)]
+
+
+def test_half_written_version_is_invisible(spark, tmpdir_path):
+    import datetime as dt
+    base = os.path.join(tmpdir_path, "snap")
+    rows = spark.createDataFrame([(1, dt.date(2020, 5, 1), "A"), (1, dt.date(2020, 6, 1), "B")],
+                                 "k long, ts date, a string")
+    t = SnapshotTable(spark, base)
+    t.apply(rows.filter("ts < '2020-06-01'"), "k", "ts", ["a"])
+    t.apply(rows.filter("ts >= '2020-06-01'"), "k", "ts", ["a"])
+    os.remove(os.path.join(base, "v00001", "_COMMITTED"))
+    back = SnapshotTable(spark, base)
+    assert [(r.a, r.dbt_valid_to) for r in back.current().collect()] == [("A", None)]
+    back.apply(rows.filter("ts >= '2020-06-01'"), "k", "ts", ["a"])
+    assert sorted((r.a, str(r.dbt_valid_to)[:10]) for r in back.current().collect()) == [
+        ("A", "2020-06-01"), ("B", "None")]
 
 
 def test_snapshot_apply_per_batch_equals_closed_form(spark, tmpdir_path):

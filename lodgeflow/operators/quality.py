@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,7 @@ def check_freshness(df: DataFrame, date_col: str, group_cols: Sequence[str],
     """Source freshness: newest date per group, its age against the newest date
     overall, and whether it is older than ``max_age_days``."""
     per = df.groupBy(*group_cols).agg(F.max(date_col).alias("newest_date"))
-    as_of = df.agg(F.max(date_col).alias("m")).first()["m"]     # one aggregated row
-    age = F.datediff(F.lit(as_of), F.col("newest_date"))
+    # the table is scanned once: the newest date overall is that of the groups' rows
+    as_of = F.max("newest_date").over(Window.partitionBy())
+    age = F.datediff(as_of, F.col("newest_date"))
     return per.withColumns({"age_days": age, "is_stale": age > F.lit(max_age_days)})

@@ -159,11 +159,13 @@ def host_rows(stg: DataFrame) -> DataFrame:
     base = stg.filter(F.col("host_id").isNotNull() & F.col("scraped_date").isNotNull())
     area = collapse_ws(first_non_null(blank_to_null(F.col("host_neighbourhood")),
                                       blank_to_null(F.col("listing_neighbourhood"))))
-    # The rank is one comparable value, so the pick is a hash aggregate over plain columns;
-    # of one listing's several rows a day the smallest attributes win.
-    attrs = F.struct(F.col("listing_id"), F.col("host_name"), F.col("host_since"),
-                     F.col("host_is_superhost"), area.alias("host_neighbourhood"))
-    picked = base.groupBy("host_id", "scraped_date").agg(F.min(attrs).alias("_a"))
+    # The lowest listing id first (a hash aggregate over numbers), then its attributes: only
+    # those rows are sorted by the second pick, where a listing has several rows a day.
+    lowest = base.groupBy("host_id", "scraped_date").agg(F.min("listing_id").alias("listing_id"))
+    attrs = F.struct(F.col("host_name"), F.col("host_since"), F.col("host_is_superhost"),
+                     area.alias("host_neighbourhood"))
+    picked = (base.join(lowest, ["host_id", "scraped_date", "listing_id"])
+              .groupBy("host_id", "scraped_date").agg(F.min(attrs).alias("_a")))
     return picked.select("host_id", "_a.host_name", "_a.host_since", "_a.host_is_superhost",
                          "_a.host_neighbourhood", "scraped_date")
 

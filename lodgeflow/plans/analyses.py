@@ -50,9 +50,9 @@ def top_bottom_bands(d: Domain, n: int = 12, k: int = 3) -> DataFrame:
                .agg(F.avg("avg_est_rev_per_active").alias("avg_rev_per_active_listing")))
     bands = top_bottom(lga_rev, "avg_rev_per_active_listing", k,
                        top_label=f"TOP{k}", bottom_label=f"BOT{k}")
-    g02 = d.g02.select(CODE, F.col("Median_age_persons").alias("median_age"),
+    g02 = d.dim_census_g02.select(CODE, F.col("Median_age_persons").alias("median_age"),
                        F.col("Average_household_size").alias("avg_household_size"))
-    g01 = d.g01
+    g01 = d.dim_census_g01
     tot = F.col("Tot_P_P")
 
     def share(*cols):
@@ -86,7 +86,7 @@ def age_revenue_corr(d: Domain, n: int = 12) -> DataFrame:
         F.avg("avg_est_rev_per_active").alias("rev_active_avg_12m"))
     neigh = _resolve(neigh_rev, d)
     joined = (neigh.filter(F.col(CODE).isNotNull() & F.col("rev_active_avg_12m").isNotNull())
-              .join(d.g02.select(CODE, "Median_age_persons"), CODE)
+              .join(d.dim_census_g02.select(CODE, "Median_age_persons"), CODE)
               .filter(F.col("Median_age_persons").isNotNull()))
     return joined.agg(
         F.count(F.lit(1)).alias("n_neighbourhoods"),
@@ -186,7 +186,7 @@ def host_cost_cover(d: Domain, n: int = 12, limit: int = 30) -> DataFrame:
         F.min("_l_min").alias("_l_min"), F.max("_l_max").alias("_l_max"),
         F.sum("_rev").alias("rev_12m"), F.min_by(F.col(CODE), mode_key).alias(CODE))
         .filter(F.col("_l_min") == F.col("_l_max")))
-    g02 = d.g02.select(CODE, (F.col("Median_mortgage_repay_monthly") * F.lit(12))
+    g02 = d.dim_census_g02.select(CODE, (F.col("Median_mortgage_repay_monthly") * F.lit(12))
                        .alias("annual_median_mortgage"))
     joined = (per_host.filter(F.col(CODE).isNotNull()).join(g02, CODE)
               .join(_lga_names(d), CODE))

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodgeflow.functions import asc_pg
 from lodgeflow.operators.lookup import lga_name_lookup
 from lodgeflow.plans import models as M
 from lodgeflow.sources import driver_tables as D
@@ -189,6 +190,14 @@ class Domain:
     def dim_suburb(self) -> DataFrame:
         return M.dim_suburb(self.stg_lga_suburb)
 
+    @cached_property
+    def dim_census_g01(self) -> DataFrame:
+        return M.dim_census_g01(self.g01)
+
+    @cached_property
+    def dim_census_g02(self) -> DataFrame:
+        return M.dim_census_g02(self.g02)
+
     @cached_property
     def lookup(self) -> DataFrame:
         """Area name -> LGA over the three reference paths (direct, dim_suburb, staged
@@ -196,6 +205,11 @@ class Domain:
         return lga_name_lookup(self.dim_lga, [self.dim_suburb, self.stg_lga_suburb])
 
     # marts
+    def report(self, kind: str) -> DataFrame:
+        """A mart in its final order (G1): by group, then month. Few rows are left to sort."""
+        l_groups, h_groups, _ = M.MART_KINDS[kind]
+        return self.mart(kind).orderBy(*[asc_pg(c) for c in (*l_groups, *h_groups, "month_start")])
+
     def mart_base(self, how: str) -> DataFrame:
         """Listing-months with their hosts, written once and read by every mart of a join type."""
         name = f"mart_base_{how}_{self.boundary}_{self.horizon[0]}_{self.horizon[1]}"

@@ -208,6 +208,16 @@ def dim_lga(stg_code: DataFrame) -> DataFrame:
     return stg_code.select("lga_code", "lga_name")
 
 
+def dim_census_g01(stg: DataFrame) -> DataFrame:
+    """Pass-through census G01 dimension."""
+    return stg.select("LGA_CODE_2016", *[c for c in stg.columns if c != "LGA_CODE_2016"])
+
+
+def dim_census_g02(stg: DataFrame) -> DataFrame:
+    """Pass-through census G02 dimension, with the annual mortgage."""
+    return stg.select("LGA_CODE_2016", *[c for c in stg.columns if c != "LGA_CODE_2016"])
+
+
 def dim_suburb(stg_suburb: DataFrame) -> DataFrame:
     """Pass-through suburb dimension."""
     return stg_suburb.select("suburb_name", "lga_name")

@@ -74,7 +74,7 @@ def silver_columns(stg: DataFrame) -> DataFrame:
 
 
 def mart(spark: SparkSession, sf_dir: str, kind: str, boundary: str = "overlap") -> DataFrame:
-    return doubles(Domain.of(spark, sf_dir, boundary=boundary).mart(kind), "min_price_active",
+    return doubles(Domain.of(spark, sf_dir, boundary=boundary).report(kind), "min_price_active",
                    "max_price_active", "median_price_active", "avg_est_rev_per_active")
 
 
@@ -291,14 +291,14 @@ def align_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def key_normalise_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Census keys ('LGA10001') normalised to 5 digits meet the LGA codes."""
     d = Domain.of(spark, sf_dir)
-    return (d.g01.select("LGA_CODE_2016", "Tot_P_P")
+    return (d.dim_census_g01.select("LGA_CODE_2016", "Tot_P_P")
             .join(d.dim_lga, F.col("LGA_CODE_2016") == F.col("lga_code"), "left")
             .select("LGA_CODE_2016", "lga_name", "Tot_P_P"))
 
 
 @register("census_g02")
 def census_g02_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Domain.of(spark, sf_dir).g02
+    g = Domain.of(spark, sf_dir).dim_census_g02
     return g.select("LGA_CODE_2016", "Median_age_persons",
                     F.col("Median_mortgage_repay_monthly").cast("double")
                     .alias("Median_mortgage_repay_monthly"),

@@ -36,6 +36,8 @@ from lodgeflow.llm.common import below, written
 #: that is held back for the curve.
 TOXIC_DOCS = 3000
 ORDINARY_DOCS = 6000
+#: Of the ordinary ones, as many train the ordinary dictionary at most.
+DICTIONARY_DOCS = 2000
 HELD_SHARE = 0.4
 #: N-gram sizes; fewest toxic documents, least lift and least z of one that tells the classes apart.
 GRAMS = (4, 5, 6, 8)
@@ -246,7 +248,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     rows = teach.filter("toxic = 1").select("text").mapInPandas(telling, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     segments = confirmed(sample.filter("held"), cover({r["word"]: r["n"] for r in rows}, grams))
-    plain = teach.filter("toxic = 0").select(F.expr("array_join(slice(split(lower(text), '\\\\s+'), 1, 200), ' ')").alias("t")).limit(2000).collect()
+    plain = teach.filter("toxic = 0").select(F.lower("text").alias("t")).limit(DICTIONARY_DOCS).collect()
     toxic, ordinary = dictionaries(segments, [r["t"].encode() for r in plain])
     model = {"toxic": toxic, "ordinary": ordinary, "told": len("\n".join(segments).encode()), "segments": segments}
     held = sample.filter("held").select("toxic", features(sample.filter("held"), model, "text").alias("f")).select("toxic", "f.*").toPandas()

@@ -133,17 +133,22 @@ def disclosing_terms(contexts: DataFrame, docs: DataFrame, text: str, support: i
 
 def find(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with ``base`` and ``terms``, arrays of spans; texts without spans are null unless
-    ``keep_text``. A term's ``no`` is 4 and its ``value`` is ``generalise`` or ``remove``."""
-    rows = with_base_spans(docs, text, "base").withColumn("row", F.monotonically_increasing_id())
-    if not keep_text:
-        rows = rows.withColumn(text, F.when(F.size("base") > 0, F.col(text)))
-    rows = written(rows, "pii-base")  # from here on a row's number is fixed
-    contexts = written(_contexts(rows.filter(F.size("base") > 0), text), "pii-contexts")
-    telling = disclosing_terms(contexts, rows if keep_text else docs, text)
+    ``keep_text``. A term's ``no`` is 4 and its ``value`` is ``generalise`` or ``remove``. Columns of
+    these names are replaced. Only the rows with spans are written and joined."""
+    based = with_base_spans(docs, text, "base")
+    some = F.size("base") > 0
+    holders = written(based.filter(some).withColumn("row", F.monotonically_increasing_id()), "pii-holders")
+    contexts = written(_contexts(holders, text), "pii-contexts")
+    telling = disclosing_terms(contexts, docs, text)
     action = F.when(F.max("disclosure") >= REMOVAL - 1e-9, "remove").otherwise("generalise")
     terms = (contexts.join(telling, ["entity", "term"]).groupBy("row", "start", "end").agg(action.alias("value"))
              .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(KINDS.index("term")).alias("no"), "end", "value"))).alias("terms")))
-    return rows.join(terms, "row", "left").withColumn("terms", F.coalesce("terms", F.array().cast(_SPAN)))
+    none = F.array().cast(_SPAN)
+    found = holders.drop("terms").join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none)).drop("row")
+    clean = based.filter(~some).withColumn("terms", none)
+    if not keep_text:
+        clean = clean.withColumn(text, F.lit(None).cast("string"))
+    return found.unionByName(clean.select(*found.columns))
 
 
 def digest(spans: Column) -> Column:

@@ -211,9 +211,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
              seed: int = SEED, most: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` for each component: that with the smallest key, null keys last, and of
     repeated rows any one."""
-    rows = written(docs.select(F.struct("*").alias("doc"), F.col(key).alias("key"), fingerprint(F.col(text), shingle, seed).alias("fp"))
-                   .withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
-    own = rows.select("key", "fp", "row")
-    first = F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("row"))).alias("first")
-    chosen = own.join(classes_of(own, most).select("fp", "label"), "fp").groupBy("label").agg(first).select(F.col("first.row").alias("row"))
-    return rows.join(chosen, "row", "left_semi").select("doc.*")
+    own = written(docs.select(F.col(key).alias("key"), fingerprint(F.col(text), shingle, seed).alias("fp"), F.xxhash64(text).alias("th")), "simhash")
+    place = F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("th"))
+    seen = own.join(classes_of(own, most).select("fp", "label"), "fp").groupBy("label", "key", "th").agg(F.count(F.lit(1)).alias("n"))
+    chosen = (seen.groupBy("label").agg(F.min(place).alias("at"), F.min_by("n", place).alias("__rows"))
+              .select(F.col("at.key").alias("__key"), F.col("at.th").alias("__th"), "__rows"))
+    kept = docs.join(chosen, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__th")))
+    # of rows with equal key and text one stays; the others need no comparison
+    single = kept.filter("__rows = 1")
+    return single.unionByName(kept.filter("__rows > 1").dropDuplicates(["__key", "__th"])).drop("__key", "__th", "__rows")

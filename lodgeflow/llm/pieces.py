@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Letters of text handled together, and distinct words whose encoding a task remembers.
-GROUP_CHARS = 1 << 20
-MEMORY = 200_000
+GROUP_CHARS = 1 << 21
+MEMORY = 400_000
 PAIRS = 400_000
 
 # Kinds of model in the serialised form.
@@ -73,7 +74,7 @@ def kind_of(model: bytes) -> int:
 class Pieces:
     """A model's pieces, its trie, and the encoding of sorted words."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, splits: dict[int, tuple[int, int]] | None = None):
         self.library = sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = sp.get_piece_size()
         self.kind = kind_of(model)
@@ -85,23 +86,34 @@ class Pieces:
         self.id = {self.text[i]: i for i in range(n) if i not in special}
         self.least = min((self.score[i] for i in self.id.values()), default=0.0) - 10.0
         self.pair: dict[int, bool] = {}
-        self.whole: dict[int, bool] = {}
-        self.root: dict = {}
+        #: by piece: the two pieces of its last merge. A piece of several letters without an entry
+        #: is never reached by merging.
+        self.splits = (self._splits() if self.kind == BPE else {}) if splits is None else splits
+        self.rank = [-self.score[i] if i in self.splits else -1.0 for i in range(n)]
+        root: dict = {}
         for text, i in self.id.items():
-            node = self.root
-            for c in text:
-                node = node.setdefault(c, {})
-            node[""] = i
+            if self.kind != BPE or len(text) == 1 or i in self.splits:
+                node = root
+                for c in text:
+                    node = node.setdefault(c, {})
+                node[""] = i
+
+        def sealed(node: dict) -> tuple[dict, int]:
+            return {c: sealed(below) for c, below in node.items() if c}, node.get("", -1)
+        #: by letter: the trie below it and the piece that ends with it, or -1
+        self.root = sealed(root)[0]
         # no piece reaches over the end of a word, else a text is one word
         apart = not any(re.search(f"[^{MARK}]{MARK}", t) for t in self.id)
         self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if apart else "(?s).+").findall
-        self.seen: dict[str, list[int]] = {}
+        self.seen: dict[str, tuple[bytes, bytes]] = {}
         self.raw = [bytes([int(t[3:5], 16)]) if i in set(self.byte.values()) else b"" if sp.is_control(i) else
                     " ⁇ ".encode() if sp.is_unknown(i) else t.replace(MARK, " ").encode() for i, t in enumerate(self.text)]
 
-    def merged(self, text: str) -> list[str]:
-        """Byte-pair merges of a short text, the best-ranked pair first, of equal ones the leftmost."""
+    def merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """Byte-pair merges of a short text, the best-ranked pair first, of equal ones the leftmost;
+        and the last pair merged."""
         parts = list(text)
+        last = None
         while len(parts) > 1:
             best, at = None, -1
             for i in range(len(parts) - 1):
@@ -110,81 +122,123 @@ class Pieces:
                     best, at = self.score[j], i
             if at < 0:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            last = parts[at], parts[at + 1]
+            parts[at:at + 2] = ["".join(last)]
+        return parts, last
+
+    def _splits(self) -> dict[int, tuple[int, int]]:
+        out = {}
+        for text, i in self.id.items():
+            if len(text) > 1:
+                parts, last = self.merged(text)
+                if parts == [text]:
+                    out[i] = self.id[last[0]], self.id[last[1]]
+        return out
 
     def stays(self, a: int, b: int) -> bool:
-        """Whether the pieces a and b next to one another are as merging leaves them."""
+        """Whether the pieces a and b next to one another are as merging leaves them: taking their
+        merges back from the last on, no pair across the border may have come before."""
         key = a * len(self.text) + b
         out = self.pair.get(key)
         if out is None:
-            x, y = self.text[a], self.text[b]
-            out = self.merged(x + y) == [x, y]
             if len(self.pair) >= PAIRS:
                 self.pair.clear()
-            self.pair[key] = out
+            out = self.pair[key] = self._stays(a, b)
         return out
 
-    def reachable(self, a: int) -> bool:
-        out = self.whole.get(a)
-        if out is None:
-            out = self.whole[a] = self.merged(self.text[a]) == [self.text[a]]
-        return out
+    def _stays(self, a: int, b: int) -> bool:
+        text, rank, splits = self.text, self.rank, self.splits
+        before = float("inf")
+        while True:
+            across = self.id.get(text[a] + text[b])
+            if across is not None and -self.score[across] < before:
+                return False
+            if rank[a] > rank[b]:
+                before = rank[a]
+                a = splits[a][1]
+            elif b in splits:
+                before = rank[b] + 0.5  # of two equal merges the left one comes first
+                b = splits[b][0]
+            else:
+                return True
 
     def encode_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """Ids of each word; ``words`` are sorted and distinct."""
-        bpe = self.kind == BPE
-        root, score, unknown = self.root, self.score, self.unknown
+        grow = self._grow_bpe if self.kind == BPE else self._grow_unigram
         before = ""
-        # by number of letters: the open walks (node, start), and the state: score, last piece, its start
+        # by number of letters: the open walks (trie below, start), and the state: what the next
+        # step needs (last piece or score), the piece that ends there and where it starts
         walks: list[list] = [[]]
-        states: list[tuple] = [(0.0, -1, 0)]
+        heads: list = [-1 if self.kind == BPE else 0.0]
+        picks: list[tuple[int, int]] = [(-1, 0)]
         for word in words:
             same = 0
             for x, y in zip(before, word):
                 if x != y:
                     break
                 same += 1
-            del walks[same + 1:], states[same + 1:]
+            del walks[same + 1:], heads[same + 1:], picks[same + 1:]
             before = word
-            for d in range(same, len(word)):
-                c = word[d]
-                going = []
-                best = None
-                for node, start in (*walks[d], (root, d)):
-                    node = node.get(c)
-                    if node is None:
-                        continue
-                    going.append((node, start))
-                    piece = node.get("")
-                    if piece is None:
-                        continue
-                    if bpe:
-                        if best is None:
-                            last = states[start][1]
-                            if self.reachable(piece) and (last < 0 or last == unknown or self.stays(last, piece)):
-                                best = (0.0, piece, start)
-                    else:
-                        s = states[start][0] + score[piece]
-                        if best is None or s > best[0]:
-                            best = (s, piece, start)
-                if bpe:
-                    if best is None:
-                        best = (0.0, unknown, d)
-                elif root.get(c, {}).get("") is None:
-                    # a letter without a piece of its own can always be unknown
-                    s = states[d][0] + self.least
-                    if best is None or s > best[0]:
-                        best = (s, unknown, d)
-                walks.append(going)
-                states.append(best)
-            yield word, self._back(word, states)
-
-    def _back(self, word: str, states: list[tuple]) -> list[int]:
+            grow(word, same, walks, heads, picks)
+            yield word, self._back(word, picks)
+
+    def _grow_bpe(self, word: str, same: int, walks: list, heads: list, picks: list) -> None:
+        first, pair, n = self.root, self.pair, len(self.text)
+        for d in range(same, len(word)):
+            c = word[d]
+            going = []
+            piece, begin = -1, d
+            for trie, start in walks[d]:
+                step = trie.get(c)
+                if step is not None:
+                    going.append((step[0], start))
+                    if piece < 0 and step[1] >= 0:
+                        last, end = heads[start], step[1]
+                        stays = True if last < 0 else pair.get(last * n + end)
+                        if stays is None:
+                            stays = self.stays(last, end)
+                        if stays:
+                            piece, begin = end, start
+            step = first.get(c)
+            if step is not None:
+                going.append((step[0], d))
+                if piece < 0 and step[1] >= 0:
+                    last, end = heads[d], step[1]
+                    if last < 0 or self.stays(last, end):
+                        piece = end
+            walks.append(going)
+            heads.append(piece)
+            picks.append((self.unknown if piece < 0 else piece, begin))
+
+    def _grow_unigram(self, word: str, same: int, walks: list, heads: list, picks: list) -> None:
+        first, score = self.root, self.score
+        for d in range(same, len(word)):
+            c = word[d]
+            going = []
+            best, piece, begin = None, self.unknown, d
+            for trie, start in (*walks[d], (first, d)):
+                step = trie.get(c)
+                if step is not None:
+                    going.append((step[0], start))
+                    if step[1] >= 0:
+                        s = heads[start] + score[step[1]]
+                        if best is None or s > best:
+                            best, piece, begin = s, step[1], start
+            own = first.get(c)
+            if own is None or own[1] < 0:
+                # a letter without a piece of its own can always be unknown
+                s = heads[d] + self.least
+                if best is None or s > best:
+                    best, piece, begin = s, self.unknown, d
+            walks.append(going)
+            heads.append(best)
+            picks.append((piece, begin))
+
+    def _back(self, word: str, picks: list[tuple[int, int]]) -> list[int]:
         out: list[int] = []
         end = len(word)
         while end:
-            _, piece, start = states[end]
+            piece, start = picks[end]
             if piece != self.unknown:
                 out.append(piece)
             elif self.byte:
@@ -195,35 +249,57 @@ class Pieces:
         out.reverse()
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
+        """Ids of each text, and the bytes that they stand for."""
         split = [self.words(t) for t in self.library.normalize(texts)] if texts else []
-        if len(self.seen) > MEMORY:
-            self.seen.clear()
-        new = sorted({w for ws in split for w in ws if w not in self.seen})
-        found = self.seen
-        if len(found) + len(new) > MEMORY:
-            found = dict(found)  # too many to remember: for this group only
-        found.update(self.encode_sorted(new))
-        return [np.array([i for w in ws for i in found[w]], np.int32) for ws in split]
-
-    def decode(self, ids) -> str:
-        raw = self.raw
-        out = b"".join([raw[i] for i in ids]).decode("utf-8", "each byte")
+        seen, raw = self.seen, self.raw
+        new = sorted({w for ws in split for w in ws if w not in seen})
+        # too many to remember are kept for this group only
+        found = seen if len(seen) + len(new) <= MEMORY else {}
+        for word, ids in self.encode_sorted(new):
+            found[word] = array("i", ids).tobytes(), b"".join([raw[i] for i in ids])
+        out = []
+        for ws in split:
+            parts = [seen.get(w) or found[w] for w in ws]
+            out.append((np.frombuffer(b"".join([i for i, _ in parts]), np.int32), b"".join([r for _, r in parts])))
+        return out
+
+    @staticmethod
+    def text_of(raw: bytes) -> str:
+        out = raw.decode("utf-8", "each byte")
         return out[1:] if out.startswith(" ") else out
 
+    def decode(self, ids: Iterable[int]) -> str:
+        raw = self.raw
+        return self.text_of(b"".join([raw[i] for i in ids]))
+
 
 def _each_byte(e: UnicodeError) -> tuple[str, int]:
     return "�" * (e.end - e.start), e.end
 
 
+def shared_pieces(docs: DataFrame, model: bytes):
+    """Gives a task the model's pieces. They are kept with the broadcast value, so a worker builds
+    them once and goes on with what it remembers."""
+    shared = docs.sparkSession.sparkContext.broadcast({"model": model, "splits": Pieces(model).splits})
+
+    def get() -> Pieces:
+        codecs.register_error("each byte", _each_byte)
+        state = shared.value
+        if "pieces" not in state:
+            state["pieces"] = Pieces(state["model"], state["splits"])
+        return state["pieces"]
+
+    return get
+
+
 def encode(docs: DataFrame, model: bytes, text: str = "text") -> Column:
     """Struct (ids, lossless): the piece ids of ``text``, and whether decoding them gives it back."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    get = shared_pieces(docs, model)
 
     @F.pandas_udf("ids array<int>, lossless boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codecs.register_error("each byte", _each_byte)
-        pieces = Pieces(shared.value)
+        pieces = get()
         for batch in batches:
             at = 0
             while at < len(batch):
@@ -232,11 +308,11 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> Column:
                     size += len(batch.iloc[stop] or "")
                     stop += 1
                 texts = [t if isinstance(t, str) else None for t in batch.iloc[at:stop]]
-                ids = pieces.encode([t or "" for t in texts])
+                coded = pieces.encode([t or "" for t in texts])
                 # a group leaves the task before the next is encoded
                 yield pd.DataFrame({
-                    "ids": [None if t is None else i for t, i in zip(texts, ids)],
-                    "lossless": pd.array([None if t is None else pieces.decode(i) == t for t, i in zip(texts, ids)], "boolean")})
+                    "ids": [None if t is None else i for t, (i, _) in zip(texts, coded)],
+                    "lossless": pd.array([None if t is None else pieces.text_of(raw) == t for t, (_, raw) in zip(texts, coded)], "boolean")})
                 at = stop
 
     return run(F.col(text))
@@ -244,12 +320,11 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> Column:
 
 def decode(docs: DataFrame, model: bytes, ids: str = "ids") -> Column:
     """The text of piece ids; null for null."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    get = shared_pieces(docs, model)
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codecs.register_error("each byte", _each_byte)
-        pieces = Pieces(shared.value)
+        pieces = get()
         for batch in batches:
             yield pd.Series([None if i is None else pieces.decode(i) for i in batch], dtype=object)
 

@@ -112,7 +112,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", chunks_out:
     seen = written(
         docs.filter(F.instr(text, "\n") > 0).select(*place, F.explode(_hashes(F.col(text))).alias("c"))
         .select("k", "th", "c.no", "c.hi", "c.lo").distinct(), "line-chunks")
-    repeated = seen.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).filter("n > 1")
+    # written, so that the join stands alone in its stage and a hot chunk's rows can be split
+    repeated = written(seen.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).filter("n > 1"), "line-hashes")
     named = written(seen.join(repeated, ["hi", "lo"]).select("k", "th", "no", "hi", "lo", (F.struct("k", "th", "no") == F.col("first")).alias("is_first")), "line-repeats")
 
     def by_doc(rows: DataFrame, prefix: str) -> DataFrame:

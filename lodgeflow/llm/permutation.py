@@ -125,7 +125,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
                     _, once = np.unique(ids[c[best]], return_index=True)
                     best = best[np.sort(once)][:k]
                     out.append(pd.DataFrame({"query_id": q_id, "vec_id": ids[c[best]], "score": d[best]}))
-                yield pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                if out:
+                    yield pd.concat(out)
 
     found = visits.mapInPandas(visit, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")

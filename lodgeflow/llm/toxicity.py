@@ -48,6 +48,8 @@ MIN_Z = 3.0
 SEGMENTS = 400
 ORDINARY_BYTES = 4096
 LEVEL = 6
+#: Least precision of the threshold on held documents.
+MIN_PRECISION = 0.6
 #: Distinct words whose result a task remembers.
 MEMORY = 200_000
 
@@ -153,7 +155,7 @@ class Windows:
 
 def fitted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Centre, scale and weights of a logistic curve, the constant first, shifted so that 0.5 is
-    the threshold with the best F1."""
+    the threshold with the best F1 of those with a precision of ``MIN_PRECISION`` or more."""
     centre, scale = x.mean(0), x.std(0) + 1e-9
     a = np.column_stack([np.ones(len(x)), (x - centre) / scale])
     w = np.zeros(a.shape[1])
@@ -170,7 +172,11 @@ def fitted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     hits = np.cumsum(y[order])
     f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
     last = np.append(z[order][1:] != z[order][:-1], True)  # a threshold falls between different values
-    k = int(np.argmax(np.where(last, f1, -1)))
+    sure = last & (hits >= MIN_PRECISION * np.arange(1, len(y) + 1))
+    if not sure.any():  # nothing tells the classes apart: no document is called toxic
+        w[0] -= z.max() + 1
+        return centre, scale, w
+    k = int(np.argmax(np.where(sure, f1, -1)))
     lower = z[order][k + 1] if k + 1 < len(z) else z[order][k] - 1
     w[0] -= (z[order][k] + lower) / 2
     return centre, scale, w
@@ -182,7 +188,8 @@ def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def flush() -> pd.DataFrame:
         keys = [*toxic, *(g for g in ordinary if g not in toxic)]
-        out = pd.DataFrame({"gram": keys, "toxic": [toxic[g] for g in keys], "ordinary": [ordinary[g] for g in keys]})
+        out = pd.DataFrame({"gram": pd.Series(keys, dtype=object), "toxic": pd.Series([toxic[g] for g in keys], dtype="int64"),
+                            "ordinary": pd.Series([ordinary[g] for g in keys], dtype="int64")})
         toxic.clear()
         ordinary.clear()
         return out
@@ -202,7 +209,7 @@ def confirmed(held: DataFrame, segments: list[str]) -> list[str]:
         for batch in batches:
             for text, label in zip(batch["text"], batch["toxic"]):
                 line = f" {'  '.join(words_of(text))} "
-                found[:-1, label] += [x in line for x in segments]
+                found[:-1, label] += np.array([x in line for x in segments], np.int64)
                 found[-1, label] += 1
         yield pd.DataFrame({"i": range(len(found)), "o": found[:, 0], "t": found[:, 1]})
 
@@ -244,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         for batch in batches:
             for x in batch["text"]:
                 found.update(w for w in set(words_of(x)) if not grams.isdisjoint(grams_of(w)))
-        yield pd.DataFrame({"word": list(found), "n": list(found.values())})
+        yield pd.DataFrame({"word": pd.Series(list(found), dtype=object), "n": pd.Series(list(found.values()), dtype="int64")})
 
     rows = teach.filter("toxic = 1").select("text").mapInPandas(telling, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     segments = confirmed(sample.filter("held"), cover({r["word"]: r["n"] for r in rows}, grams))

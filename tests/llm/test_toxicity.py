@@ -38,6 +38,13 @@ def test_held_out_accuracy(spark):
     assert hit / (held.toxic == 1).sum() >= 0.75
 
 
+def test_nothing_tells_the_classes_apart(spark):
+    docs = spark.createDataFrame([(i, f"same words here {i // 2}") for i in range(80)] + [(99, "12 34")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(99, 1)], "doc_id long, toxic int")
+    got = docs.select(toxicity.score(docs, toxicity.train(docs, labels)).alias("s")).collect()
+    assert len(got) == 81 and all(0 <= r["s"] <= 1 for r in got)
+
+
 def test_odd_rows(spark):
     rng = random.Random(1)
     words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(300)]

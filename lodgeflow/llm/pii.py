@@ -1,16 +1,22 @@
-"""Personal data: pattern spans, and the terms around them that give them away.
+"""Personal data: pattern spans, and the terms that give them away.
 
 Base spans are e-mail and IP addresses, card and phone numbers. Each distinct value of one is a
-protected entity e. Terms are the words next to it. Over the documents of the whole corpus,
-p(e|t) = n(e, t) / n(t) says how sure a reader who sees the term t can be of e, and
+protected entity e. Terms are the words of a text outside its base spans. Over the documents of the
+whole corpus, p(e|t) = n(e, t) / n(t) says how sure a reader who sees the term t can be of e, and
 PMI(e; t) = log p(e|t) / p(e), measured in units of the information -log p(e) of the entity, how
-much of it the term discloses: 0 tells nothing, 1 tells e. A term at or over ``DISCLOSURE`` is
-generalised in the context of e, one at or over ``REMOVAL`` is removed. At least ``SUPPORT``
-different texts have to show e and t together; copies of one text are one piece of evidence.
+much of it the term discloses: 0 tells nothing, 1 tells e. All three counts are of whole documents.
 
-Built-in functions only. Contexts are a few words for each span, all counts are combined before
-the shuffle, and a term is matched with the entity of its own context, so a value that a third
-of all documents hold adds rows in proportion to them.
+A term at or over ``DISCLOSURE`` for any entity is generalised wherever it stands in any text, one
+at or over ``REMOVAL`` is removed. Where t falls on texts at random, the probability that so many
+of those with e have it, by Hoeffding's bound for draws without replacement, must be ``ERROR`` at
+most. Copies of one text are one piece of evidence. So no number of texts is set: one is enough for
+a rare term beside a rare entity in a large corpus, not in a corpus of a few texts. Each pair is
+tested for itself, without a correction for their number: a miss gives personal data away, a term
+too many costs a word.
+
+Built-in functions only. All counts are combined before the shuffle, by 64-bit hash. Of an entity
+in few texts only rare terms can reach the threshold; the others are left out before they are
+paired with it, which changes no result.
 
 Defined results: a null text has no spans; a null key stays; repeated rows are treated alike; an
 entity that stands in every document has nothing left to disclose. Further columns are not read.
@@ -18,17 +24,17 @@ entity that stands in every document has nothing left to disclose. Further colum
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeflow.llm.common import written
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words and characters of context on each side; least length of a term.
-CONTEXT_WORDS = 5
-CONTEXT_CHARS = 200
+#: Least length of a term; most probability that a term meets an entity so often by chance.
 TERM_CHARS = 3
-SUPPORT = 3
+ERROR = 0.01
 DISCLOSURE = 0.9
 REMOVAL = 1.0
 
@@ -39,13 +45,13 @@ _IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 _CARD = r"[0-9](?:[\x20-]?[0-9]){13,}+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-_TERM = r"(?<=\s)\p{L}{%d,}+(?=[.,;:!?]*+\s)" % TERM_CHARS
+_TERM = r"(?<![\p{L}\p{N}])\p{L}{%d,}+(?!\p{N})" % TERM_CHARS
 
 _FOUND = "array<struct<start:int,end:int,value:string>>"
 _SPAN = "array<struct<start:int,no:int,end:int,value:string>>"
 
 
-def positions(text: Column, matches: Column, pattern: str) -> Column:
+def positions(text: Column, matches: Column, pattern: str | Column) -> Column:
     """Start and end in code points of all ``matches`` of ``pattern`` in ``text``."""
     gaps = F.split(text, pattern, -1)
     pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("value")))
@@ -99,53 +105,95 @@ def with_base_spans(docs: DataFrame, text: str, out: str) -> DataFrame:
     return matched.withColumn(out, F.when(any_found, F.array_sort(F.concat(*parts))).otherwise(F.array().cast(_SPAN))).drop(*names)
 
 
-def _contexts(holders: DataFrame, text: str) -> DataFrame:
-    """(row, th, entity, term, start, end) for the words next to every base span."""
-    rows = holders.select("row", F.xxhash64(text).alias("th"), F.col(text).alias("t"), F.explode("base").alias("s"))
-    first = F.greatest(F.lit(0), F.col("s.start") - CONTEXT_CHARS)
-    # a blank beyond the ends of the text lets its first and last word count as whole
-    left = F.concat(F.when(first == 0, F.lit(" ")).otherwise(F.lit("")), F.expr(f"substring(t, greatest(0, s.start - {CONTEXT_CHARS}) + 1, s.start - greatest(0, s.start - {CONTEXT_CHARS}))"), F.lit(" "))
-    right = F.concat(F.expr(f"substring(t, s.end + 1, {CONTEXT_CHARS})"), F.when(F.length("t") <= F.col("s.end") + CONTEXT_CHARS, F.lit(" ")).otherwise(F.lit("")))
-    sides = rows.select("row", "th", F.concat_ws(":", F.col("s.no").cast("string"), F.lower("s.value")).alias("entity"),
-                        F.explode(F.array(F.struct(F.lit(True).alias("before"), left.alias("c"), (first - F.when(first == 0, 1).otherwise(0)).alias("at")),
-                                          F.struct(F.lit(False).alias("before"), right.alias("c"), F.col("s.end").alias("at")))).alias("x"))
-    words = sides.withColumn("m", F.regexp_extract_all("x.c", F.lit(_TERM), F.lit(0)))
-    found = words.withColumn("p", positions(F.col("x.c"), F.col("m"), _TERM))
-    near = F.when(F.col("x.before"), F.slice(F.col("p"), F.greatest(F.lit(1), F.size("p") - CONTEXT_WORDS + 1), CONTEXT_WORDS)).otherwise(F.slice("p", 1, CONTEXT_WORDS))
-    return (found.filter(F.size("m") > 0).select("row", "th", "entity", "x.at", F.explode(near).alias("w"))
-            .select("row", "th", "entity", F.lower("w.value").alias("term"), (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end")))
-
-
-def disclosing_terms(contexts: DataFrame, docs: DataFrame, text: str, support: int = SUPPORT, threshold: float = DISCLOSURE) -> DataFrame:
-    """(entity, term, disclosure) for the pairs at or over the threshold."""
-    pairs = (contexts.select("entity", "term", "row", "th").distinct().groupBy("entity", "term")
-             .agg(F.count(F.lit(1)).alias("n_et"), F.count_distinct("th").alias("texts")).filter(F.col("texts") >= support))
-    held = contexts.select("entity", "row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    hashes = F.array_distinct(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.xxhash64(w)))
-    n_t = docs.select(F.explode(hashes).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n_t"))
-    n = docs.agg(F.count(F.lit(1))).first()[0]
-    counted = pairs.join(held, "entity").withColumn("h", F.xxhash64("term")).join(n_t, "h")
-    information = F.log(F.lit(float(n)) / F.col("n_e"))
-    pmi = F.log(F.col("n_et") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e")))
-    return (counted.filter(F.col("n_e") < n).withColumn("disclosure", pmi / information)
-            .filter(F.col("disclosure") >= threshold - 1e-9).select("entity", "term", "disclosure"))
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with a blank for each span; of overlapping spans each ends the text before it."""
+    def step(acc: Column, s: Column) -> Column:
+        piece = F.substring(text, acc["at"] + 1, F.greatest(F.lit(0), s["start"] - acc["at"]))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece, F.lit(" ")).alias("out"))
+
+    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def _hashed(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
+
+
+def _words(text: Column) -> Column:
+    """Hashes of the different terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), _hashed))
+
+
+def disclosing_terms(holders: DataFrame, docs: DataFrame, text: str, error: float = ERROR, threshold: float = DISCLOSURE) -> DataFrame:
+    """(h, disclosure): the hashes of the terms at or over the threshold for an entity. ``holders``
+    has the rows of ``docs`` with base spans, as ``row``, ``th``, ``base`` and the text."""
+    once = written(holders.groupBy("th").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "pii-texts")
+    bare = _words(_blanked(F.col(text), F.col("base")))
+    entities = F.array_distinct(F.transform("base", lambda s: F.xxhash64(s["no"], F.lower(s["value"]))))
+    held = written(holders.join(once.select("row", "copies"), "row").select("row", "copies", entities.alias("entities"), bare.alias("words")), "pii-held")
+    # words that a text has inside its base spans only are none of its terms
+    counted = docs.select(F.explode(_words(F.col(text))).alias("h"), F.lit(1).alias("w")).unionByName(
+        holders.select(F.explode(F.array_except(_words(F.col(text)), bare)).alias("h"), F.lit(-1).alias("w")))
+    n_t = counted.groupBy("h").agg(F.sum("w").alias("n_t"))
+    n, texts = docs.agg(F.count(F.lit(1)), F.count_distinct(F.xxhash64(text))).first()
+    counts = written(held.select("copies", F.explode("entities").alias("e")).groupBy("e")
+                     .agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("e_texts")).filter(F.col("n_e") < n), "pii-entities")
+    most = counts.agg(F.max("n_e")).first()[0] or 0
+
+    def reach(n_e: Column) -> Column:
+        """Over this n_t no term can be at the threshold, as n_et is n_e at most."""
+        return n_e * F.pow(F.lit(float(n)) / n_e, F.lit(1 - threshold)) * (1 + 1e-6)
+
+    rare = n_t.filter((F.col("n_t") > 0) & (F.col("n_t") <= reach(F.lit(float(most))))) if most else n_t.filter("false")
+    near = held.select("row", "copies", F.explode("words").alias("h")).join(rare, "h")
+    theirs = held.select("row", F.explode("entities").alias("e")).join(counts, "e").withColumnRenamed("row", "its")
+    pairs = near.join(theirs, (F.col("row") == F.col("its")) & (F.col("n_t") <= reach(F.col("n_e")))).groupBy("e", "h").agg(
+        *(F.first(c).alias(c) for c in ("n_e", "e_texts", "n_t")), F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("texts"))
+    disclosure = F.log(F.col("n_et") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
+    # the share of texts with the term: copies of those that show both count once
+    share = F.least(F.lit(1.0), (F.col("texts") + F.col("n_t") - F.col("n_et")) / F.lit(float(texts)))
+    seen = F.col("texts") / F.col("e_texts")
+    others = F.when(F.col("texts") < F.col("e_texts"), (F.col("e_texts") - F.col("texts")) * F.log((1 - seen) / (1 - share))).otherwise(0.0)
+    chance = F.when(seen > share, -(F.col("texts") * F.log(seen / share) + others)).otherwise(0.0)
+    return (pairs.withColumns({"disclosure": disclosure, "chance": chance})
+            .filter((F.col("disclosure") >= threshold - 1e-9) & (F.col("chance") <= math.log(error) + 1e-9))
+            .groupBy("h").agg(F.max("disclosure").alias("disclosure")))
+
+
+def _terms(text: Column, base: Column, telling: Column) -> Column:
+    """Spans of all words whose hash is in the map ``telling``, but for those inside a base span."""
+    words = F.regexp_extract_all(text, F.lit(_TERM), F.lit(0))
+    forms = F.array_distinct(F.filter(words, lambda w: F.map_contains_key(telling, _hashed(w))))
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    found = F.filter(positions(text, F.regexp_extract_all(text, pattern, F.lit(0)), pattern),
+                     lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    spans = F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index("term")).alias("no"), x["end"].alias("end"),
+                                                  F.element_at(telling, _hashed(x["value"])).alias("value")))
+    return F.when(F.size(forms) > 0, spans)
 
 
 def find(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with ``base`` and ``terms``, arrays of spans; texts without spans are null unless
-    ``keep_text``. A term's ``no`` is 4 and its ``value`` is ``generalise`` or ``remove``. Columns of
-    these names are replaced. Only the rows with spans are written and joined."""
+    """``docs`` with ``base`` and ``terms``, arrays of spans; texts without base spans are null
+    unless ``keep_text``. A term's ``no`` is 4 and its ``value`` is ``generalise`` or ``remove``.
+    Columns of these names are replaced. Only the rows with base spans are written."""
     based = with_base_spans(docs, text, "base")
     some = F.size("base") > 0
-    holders = written(based.filter(some).withColumn("row", F.monotonically_increasing_id()), "pii-holders")
-    contexts = written(_contexts(holders, text), "pii-contexts")
-    telling = disclosing_terms(contexts, docs, text)
-    action = F.when(F.max("disclosure") >= REMOVAL - 1e-9, "remove").otherwise("generalise")
-    terms = (contexts.join(telling, ["entity", "term"]).groupBy("row", "start", "end").agg(action.alias("value"))
-             .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(KINDS.index("term")).alias("no"), "end", "value"))).alias("terms")))
-    none = F.array().cast(_SPAN)
-    found = holders.drop("terms").join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none)).drop("row")
-    clean = based.filter(~some).withColumn("terms", none)
+    th = F.xxhash64(text)
+    holders = written(based.filter(some).withColumns({"row": F.monotonically_increasing_id(), "th": th}), "pii-holders")
+    telling = written(disclosing_terms(holders, docs, text), "pii-telling")
+    action = F.when(F.col("disclosure") >= REMOVAL - 1e-9, "remove").otherwise("generalise")
+    # equal hashes of two texts only add terms to look for: a term is marked wherever it stands
+    hits = docs.select(th.alias("__th"), F.explode(_words(F.col(text))).alias("h")).join(telling.select("h", action.alias("v")), "h")
+    # written, so that its size is known and a short list is sent to the texts, not the texts to it
+    hits = written(hits.distinct().groupBy("__th").agg(F.map_from_entries(F.collect_list(F.struct("h", "v"))).alias("__telling")), "pii-hits")
+
+    def marked(rows: DataFrame) -> DataFrame:
+        rows = rows.join(hits, F.xxhash64(text) == F.col("__th"), "left")
+        terms = F.when(F.col("__telling").isNotNull(), _terms(F.col(text), F.col("base"), F.col("__telling")))
+        return rows.withColumn("terms", F.coalesce(terms, F.array().cast(_SPAN))).drop("__th", "__telling")
+
+    found = marked(holders.drop("terms", "row", "th"))
+    clean = marked(based.filter(~some))
     if not keep_text:
         clean = clean.withColumn(text, F.lit(None).cast("string"))
     return found.unionByName(clean.select(*found.columns))

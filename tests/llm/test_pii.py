@@ -87,3 +87,21 @@ def test_query(spark):
         kinds = [x.split(":")[0] for x in want.split(",")]
         assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [kinds.count(k) for k in PATTERNS]
         assert set(want.split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def test_terms_of_a_rare_entity_are_marked_in_all_texts(spark):
+    far = "and so on and on " * 30
+    rows = [(i, f"Zuleika {i}. {far} write to z@mail.org or {i}") for i in range(2)]  # two texts, and 100 words off
+    rows += [(2, "Then zuleika's friend met Zuleika (Zuleika) here"), (3, "Zuleikas variant")]
+    rows += [(10 + i, f"hello all of you {i} {far}") for i in range(400)]
+    rows += [(500 + i, f"lone{i} once{i} hello u{i}@mail.org") for i in range(20)] + [(600, "hapaxword hello u600@mail.org")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    texts = dict(rows)
+    for i in range(2):
+        assert "Zuleika" not in clean[i] and "and so on" in clean[i] and "write" not in clean[i]
+    assert clean[2] == "Then <TERM>'s friend met <TERM> (<TERM>) here"  # no base span in this text
+    assert clean[3] == texts[3] and clean[10] == texts[10]
+    assert clean[600] == " hello <EMAIL>"  # one text of many hundreds is evidence, one of fifty is not
+    few = spark.createDataFrame(rows[2:50] + rows[-1:], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in pii.sanitise(few).collect()}[600] == "hapaxword hello <EMAIL>"

@@ -7,9 +7,10 @@ footrule distance of two lists of m pivots, a pivot missing from a list counting
 best vectors by footrule distance are compared exactly, in double precision, and the best of all
 shards are the result.
 
-The pivots are a bounded sample, every vector is indexed. Queries visit shards in blocks; a task
-holds one shard and one block. Equal footrule distances go to the smaller id, so that of many
-copies the smallest ids are found.
+The pivots are a bounded sample, every vector is indexed. Equal vectors are one node with its
+smallest ids, one more than asked for, as one may be the query's own; shards, and what a query
+compares, are counted in nodes, and all nodes at the last footrule distance are compared. Queries
+visit shards in blocks; a task holds one shard and one block.
 
 Defined results: vectors that are null, empty, zero, not finite or not of the most frequent size,
 and those without an id take no part. An id counts once in a result, with its nearest vector,
@@ -78,24 +79,28 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
     if size is None:
         return spark.createDataFrame([], schema)
     valid = valid.filter(F.size("v") == size)
-    # pivots: of a bounded number of rows, those with the smallest hashes, the first that differ
-    rows = valid.orderBy(F.xxhash64("id"), "id").limit(8 * n_pivots).select("v").collect()
-    pivots = np.array(list(dict.fromkeys(tuple(r["v"]) for r in rows))[:n_pivots], np.float64)
+    # only the k + 1 smallest ids of a node leave a task
+    least_ids = Window.partitionBy("v").orderBy("id")
+    nodes = written(valid.select("id", "v").distinct().withColumn("no", F.row_number().over(least_ids)).filter(F.col("no") <= k + 1)
+                    .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "permutation-nodes")
+    # pivots: the nodes with the smallest hashes
+    rows = nodes.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0], "v").limit(n_pivots).select("v").collect()
+    pivots = np.array([tuple(r["v"]) for r in rows], np.float64)
     m = min(prefix, len(pivots))
-    count = valid.agg(F.count(F.lit(1)), F.sum(F.col("is_query").cast("long"))).first()
-    shards, blocks = -(-count[0] // shard_rows), max(1, -(-count[1] // BLOCK_ROWS))
+    asked = valid.agg(F.sum(F.col("is_query").cast("long"))).first()[0]
+    shards, blocks = -(-nodes.count() // shard_rows), max(1, -(-asked // BLOCK_ROWS))
     shared = spark.sparkContext.broadcast(pivots)
 
     def index(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", kind="stable")
         x = np.array(group["v"].tolist(), np.float64)
         posts, begins = inverted(nearest_pivots(x, shared.value, m), len(shared.value))
-        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "ids": [group["id"].to_numpy(np.int64).tobytes()], "x": [x.tobytes()],
-                             "posts": [posts.tobytes()], "begins": [begins.tobytes()]})
+        sizes = np.array([len(i) for i in group["ids"]], np.int64)
+        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "ids": [np.concatenate(group["ids"].to_list()).astype(np.int64).tobytes()],
+                             "sizes": [sizes.tobytes()], "x": [x.tobytes()], "posts": [posts.tobytes()], "begins": [begins.tobytes()]})
 
-    # any row number will do to spread rows: an id may have many
-    dealt = valid.select("id", "v", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"))
-    indexed = written(dealt.groupBy("shard").applyInPandas(index, "shard int, ids binary, x binary, posts binary, begins binary"), "permutation-index")
+    # any row number will do to spread nodes: their smallest ids may be one
+    dealt = nodes.select("ids", "v", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"))
+    indexed = written(dealt.groupBy("shard").applyInPandas(index, "shard int, ids binary, sizes binary, x binary, posts binary, begins binary"), "permutation-index")
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"q_ids": [group["id"].to_numpy(np.int64).tobytes()], "q": [packed(group["v"])]})
@@ -108,23 +113,37 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                ids, q_ids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.q_ids, np.int64)
+                ids, sizes, q_ids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.sizes, np.int64), np.frombuffer(r.q_ids, np.int64)
                 x, q = np.frombuffer(r.x).reshape(-1, size), np.frombuffer(r.q).reshape(-1, size)
                 posts, begins = np.frombuffer(r.posts, np.int32), np.frombuffer(r.begins, np.int32)
-                n = len(ids)
+                n, ends = len(sizes), np.cumsum(sizes)
+                node_of = np.repeat(np.arange(n), sizes)
                 most = min(n, max(least, 4 * k, int(share * n)))
                 out = []
                 for own, point, q_id in zip(nearest_pivots(q, shared.value, m), q, q_ids):
-                    near = savings(own, posts, begins, n).astype(np.int64) * n + np.arange(n)[::-1]
-                    near[ids == q_id] = -1  # its own row
-                    c = np.argpartition(-near, most - 1)[:most]
-                    c = c[near[c] >= 0]
+                    near = savings(own, posts, begins, n)
+                    mine = node_of[ids == q_id]
+                    near[mine[sizes[mine] == 1]] = -1  # nodes of its own id only
+                    c = np.flatnonzero(near >= max(0, np.partition(near, n - most)[n - most]))
                     d = np.sqrt(((x[c] - point) ** 2).sum(1))
-                    best = np.lexsort((ids[c], d))[:4 * k]
-                    # an id may have several vectors: its nearest counts
-                    _, once = np.unique(ids[c[best]], return_index=True)
+                    order = np.argsort(d, kind="stable")
+                    c, d = c[order], d[order]
+                    # nodes by distance, with all at the last one, until there are k ids
+                    take = 4 * k
+                    while True:
+                        some = c[:np.searchsorted(d, d[min(take, len(d)) - 1], "right")] if len(d) else c
+                        found_ids = np.concatenate([ids[ends[i] - sizes[i]:ends[i]] for i in some]) if len(some) else ids[:0]
+                        scores = np.repeat(d[:len(some)], sizes[some])
+                        other = found_ids != q_id
+                        found_ids, scores = found_ids[other], scores[other]
+                        best = np.lexsort((found_ids, scores))
+                        # an id may have several vectors: its nearest counts
+                        _, once = np.unique(found_ids[best], return_index=True)
+                        if len(once) >= k or len(some) == len(c):
+                            break
+                        take *= 4
                     best = best[np.sort(once)][:k]
-                    out.append(pd.DataFrame({"query_id": q_id, "vec_id": ids[c[best]], "score": d[best]}))
+                    out.append(pd.DataFrame({"query_id": q_id, "vec_id": found_ids[best], "score": scores[best]}))
                 if out:
                     yield pd.concat(out)
 

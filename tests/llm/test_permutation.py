@@ -63,3 +63,24 @@ def test_odd_rows(spark):
     few = spark.createDataFrame(rows[40:43], "vec_id long, embedding array<double>")
     assert [r["vec_id"] for r in P.search(few, F.col("vec_id") == 100).collect()] != [] and P.search(few, F.col("vec_id") == 100).count() == 2
     assert P.search(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_copies_and_a_hot_id_take_no_places(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 16))
+    centre = rng.normal(size=16)
+    queries = np.argsort(((x - centre) ** 2).sum(1))[:20].tolist()
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    copies = [(10000 + i, centre.tolist()) for i in range(1500)]
+    ids, all_x = np.array([i for i, _ in rows + copies]), np.array([v for _, v in rows + copies])
+    want = brute(ids, all_x, queries, 30)
+    got = {}
+    df = spark.createDataFrame(rows + copies, "vec_id long, embedding array<double>")
+    for r in P.search(df, F.col("vec_id").isin(queries), k=30, least=240).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in queries) / (30 * len(queries)) >= 0.95
+    near = x[0] + rng.normal(size=(200, 16)) * 1e-3
+    hot = [(9999, v.tolist()) for v in near]  # one id, 200 vectors nearer than any other
+    found = P.search(spark.createDataFrame(rows + hot, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, least=800).orderBy("rank").collect()
+    want = [9999] + [i for i, _ in brute(ids[:600], x, [0], 9)[0]]
+    assert [r["vec_id"] for r in found] == want

@@ -13,8 +13,10 @@ that of the rule; the longest wins.
 Counts are kept in a fixed number of hash buckets for each order, summed before the shuffle, so
 the models have one size whatever the corpus; the driver gets these sums only.
 
-Defined results: a null URL or one without ``://`` has empty host and path and is scored as the
-empty string, whose score is 0. Scores at the threshold are allowed. If there is no accepted or no
+The models read the whole URL, with what follows ``?`` or ``#``; rules read host and path.
+
+Defined results: a null URL or one without ``://`` has empty host and path. A null URL is scored as
+the empty string, whose score is 0, any other as it stands. Scores at the threshold are allowed. If there is no accepted or no
 rejected URL to learn from, the method allows. Repeated rows are judged alike; the columns put out
 replace any of the same name.
 """
@@ -185,8 +187,7 @@ def judge(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]] =
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score", "threshold")]
     ruled = pages.select(*kept).withColumns({"host": host_of(u), "path": path_of(u)}).withColumn("__rule", judged(F.col("host"), F.col("path"), rules))
     ruled = ruled.withColumns({"rule": F.col("__rule.rule"), "verdict": F.col("__rule.verdict")}).drop("__rule")
-    # what a model reads: host and path without the ending that follows ? or #
-    text = F.concat("host", "path")
+    text = F.coalesce(u, F.lit(""))
     half = F.pmod(F.xxhash64("host"), F.lit(2)).cast("int")  # a host's pages are alike: one half has them all
     labelled = ruled.filter(F.col("verdict").isNotNull()).select(
         text.alias("url"), (F.col("verdict") == BLOCK).cast("int").alias("rejected"), half.alias("half"))

@@ -81,3 +81,11 @@ def test_query_and_empty(spark):
         host, path, rule, verdict = plain(pages[r["page_id"]])
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] in ((verdict,) if verdict else ("allow", "block"))
     assert U.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_models_read_the_whole_url(spark):
+    rows = [(i, f"http://a{i % 7}.{h}/{p}/{i}?{w}#{w}") for i in range(200) for w, h, p in [("ref=good", "example.net", "en"), ("ad=casino", "spam.net", "x")]]
+    rows += [(1000, "http://b.example.edu/x?ref=good#ref=good"), (1001, "http://b.example.edu/x?ad=casino#ad=casino"), (1002, "ad=casino"), (1003, None)]
+    got = {r["page_id"]: r for r in U.judge(spark.createDataFrame(rows, "page_id long, url string")).collect() if r["page_id"] >= 1000}
+    assert got[1001]["score"] > got[1000]["score"] and (got[1000]["verdict"], got[1001]["verdict"]) == ("allow", "block")
+    assert got[1000]["path"] == got[1001]["path"] == "/x" and got[1002]["score"] > 0 and got[1003]["score"] == 0

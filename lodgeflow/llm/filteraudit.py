@@ -21,12 +21,12 @@ counts. Other columns are not read. An empty table has no parts.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from itertools import permutations
 from math import factorial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,22 +40,32 @@ HOT = 1000
 _STRIDE = 256
 
 
-def measures(text: Column) -> Column:
-    """Code points, A-Z letters, words and distinct words of a text, and whether it holds one of
-    ``#$%&*|``. Words are separated by ASCII white space."""
-    capitals = bytes(range(65, 91))
-    others = bytes(b for b in range(256) if b not in capitals)
-    signs = bytes(b for b in range(256) if b not in b"#$%&*|")
+# Bytes to leave out when counting those of a kind; ``_TAIL`` are those that begin no character.
+_CAPITALS = bytes(range(65, 91))
+_SIGNS = b"#$%&*|"
+_NOT_CAPITALS, _NOT_SIGNS = (bytes(b for b in range(256) if b not in kind) for kind in (_CAPITALS, _SIGNS))
+_TAIL = bytes(range(0x80, 0xC0))
 
-    @F.pandas_udf("capitals long, words long, distinct long, signs boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+
+def measured(rows: DataFrame) -> DataFrame:
+    """``rows`` (.., text as binary) with the SHA-256, code points, A-Z letters, words and distinct words
+    of the text, and whether it holds one of ``#$%&*|``, in its place. Words are separated by ASCII
+    white space. A task holds the measures of a batch, and the words of one text."""
+    fields = [pa.field("digest", pa.binary()), *(pa.field(c, pa.int64()) for c in ("chars", "capitals", "words", "distinct")), pa.field("signs", pa.bool_())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def one(t: bytes):
             words = t.split()
-            return len(t.translate(None, others)), len(words), len(set(words)), bool(t.translate(None, signs))
+            return (hashlib.sha256(t).digest(), len(t.translate(None, _TAIL)), len(t.translate(None, _NOT_CAPITALS)), len(words), len(set(words)),
+                    bool(t.translate(None, _NOT_SIGNS)))
         for batch in batches:
-            yield pd.DataFrame([one(bytes(t)) for t in batch], columns=["capitals", "words", "distinct", "signs"])
+            found = zip(*(one(t.as_py()) for t in batch.columns[-1])) if batch.num_rows else [()] * len(fields)
+            kept = list(zip(batch.schema, batch.columns))[:-1]
+            yield pa.RecordBatch.from_arrays([c for _, c in kept] + [pa.array(c, f.type) for f, c in zip(fields, found)],
+                                             schema=pa.schema([f for f, _ in kept] + fields))
 
-    return run(text.cast("binary"))
+    passed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(run, f"{passed}, digest binary, chars long, capitals long, words long, distinct long, signs boolean")
 
 
 def join_unique(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFrame:
@@ -175,12 +185,11 @@ def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """The report of five filters over ``docs``. A document fails A with under 50 words, B with under
     65 distinct words in 100, C with over 5 capitals A-Z in 100 code points, D with one of ``#$%&*|``,
     E if a smaller key has the same text. ``labels`` (key, quality, toxic) marks good and toxic ones."""
-    content = F.coalesce(F.col(text), F.lit(""))
-    base = written(docs.select(
+    base = written(measured(docs.select(
         F.monotonically_increasing_id().alias("id"), F.col(key).alias("key"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
-        F.unhex(F.sha2(content.cast("binary"), 256)).alias("digest"), F.length(content).cast("long").alias("chars"), measures(content).alias("m"))
-        .select("id", "key", "part", "digest", (F.col("m.words") < 50).alias("a"), (100 * F.col("m.distinct") < 65 * F.col("m.words")).alias("b"),
-                (100 * F.col("m.capitals") > 5 * F.col("chars")).alias("c"), F.col("m.signs").alias("d")), "audit-rows")
+        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")))
+        .select("id", "key", "part", "digest", (F.col("words") < 50).alias("a"), (100 * F.col("distinct") < 65 * F.col("words")).alias("b"),
+                (100 * F.col("capitals") > 5 * F.col("chars")).alias("c"), F.col("signs").alias("d")), "audit-rows")
     total = base.count()
     firsts = base.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("__copies")).filter("__copies > 1").drop("__copies")
     marks = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(

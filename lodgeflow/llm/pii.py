@@ -9,14 +9,14 @@ much of it the term discloses: 0 tells nothing, 1 tells e. All three counts are
 A term at or over ``DISCLOSURE`` for any entity is generalised wherever it stands in any text, one
 at or over ``REMOVAL`` is removed. Where t falls on texts at random, the probability that so many
 of those with e have it, by Hoeffding's bound for draws without replacement, must be ``ERROR`` at
-most. Copies of one text are one piece of evidence. So no number of texts is set: one is enough for
-a rare term beside a rare entity in a large corpus, not in a corpus of a few texts. Each pair is
-tested for itself, without a correction for their number: a miss gives personal data away, a term
-too many costs a word.
+most, divided by the number of pairs (e, t) that are tested. Copies of one text are one piece of
+evidence, and a pair that meets in one text only is none: any rare word beside a rare entity does.
+Texts that differ in any character count as different.
 
-Built-in functions only. All counts are combined before the shuffle, by 64-bit hash. Of an entity
-in few texts only rare terms can reach the threshold; the others are left out before they are
-paired with it, which changes no result.
+Built-in functions only. All counts are combined before the shuffle, by 64-bit hash. Entities of a
+single text are left out first, and of the others only terms rare enough to reach the threshold are
+paired with them, which changes no result. A text's spans are found ``CHUNK`` at a time, so that the
+work grows with its length, not with the square of its matches.
 
 Defined results: a null text has no spans; a null key stays; repeated rows are treated alike; an
 entity that stands in every document has nothing left to disclose. Further columns are not read.
@@ -25,6 +25,7 @@ entity that stands in every document has nothing left to disclose. Further colum
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,9 @@ KINDS = ("email", "ip", "card", "phone", "term")
 #: Least length of a term; most probability that a term meets an entity so often by chance.
 TERM_CHARS = 3
 ERROR = 0.01
+#: Different texts in which a term must meet an entity; matches of a text that are handled together.
+SUPPORT = 2
+CHUNK = 256
 DISCLOSURE = 0.9
 REMOVAL = 1.0
 
@@ -51,8 +55,20 @@ _FOUND = "array<struct<start:int,end:int,value:string>>"
 _SPAN = "array<struct<start:int,no:int,end:int,value:string>>"
 
 
-def positions(text: Column, matches: Column, pattern: str | Column) -> Column:
-    """Start and end in code points of all ``matches`` of ``pattern`` in ``text``."""
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _chunks(items: Column) -> Column:
+    """The array in slices of ``CHUNK``; none of an empty array."""
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.slice(items, i, CHUNK))
+
+
+def positions(text: Column, matches: Column, pattern: str, wanted: Callable[[Column], Callable[[Column], Column]] | None = None) -> Column:
+    """Start and end in code points of all ``matches`` of ``pattern`` in ``text``. ``wanted`` makes, of the
+    values of a chunk, the test that picks those to return."""
     gaps = F.split(text, pattern, -1)
     pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("value")))
 
@@ -61,8 +77,42 @@ def positions(text: Column, matches: Column, pattern: str | Column) -> Column:
         end = start + F.length(x["value"])
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"))
 
+    # ends within each chunk first, then where each chunk begins
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("out"))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    local = F.transform(_chunks(pairs), lambda c: F.aggregate(c, zero, step))
+    if wanted:
+        local = F.transform(local, lambda c: F.struct(c["at"].alias("at"), _let(
+            wanted(F.transform(c["out"], lambda x: x["value"])), lambda own: F.filter(c["out"], lambda x: F.array_contains(own, _hashed(x["value"])))).alias("out")))
+
+    def moved(c: Column, at: Column) -> Column:
+        return F.transform(c["out"], lambda x: F.struct((at + x["start"]).alias("start"), (at + x["end"]).alias("end"), x["value"].alias("value")))
+
+    def shifted(local: Column) -> Column:
+        begins = F.aggregate(local, F.array(F.lit(0)), lambda acc, c: F.concat(acc, F.array(F.element_at(acc, -1) + c["at"])))
+        return F.flatten(F.zip_with(local, F.slice(begins, 1, F.size(local)), moved))
+
+    return _let(local, shifted)
+
+
+def rewritten(text: Column, spans: Column, put: Callable[[Column], Column], merge: bool) -> Column:
+    """The text with ``put(span)`` for each of the sorted spans. Of overlapping spans the first counts;
+    with ``merge`` each of them does, and all their characters go."""
+    def step(acc: Column, s: Column) -> Column:
+        piece = F.substring(acc["near"], acc["at"] - acc["base"] + 1, F.greatest(F.lit(0), s["start"] - acc["at"]))
+        after = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece, put(s)).alias("out"),
+                         acc["outs"].alias("outs"), acc["base"].alias("base"), acc["near"].alias("near"))
+        return after if merge else F.when(s["start"] >= acc["at"], after).otherwise(acc)
+
+    def chunk(acc: Column, c: Column) -> Column:
+        # a chunk works on the stretch of the text up to the last begin of its spans
+        reach = F.greatest(F.lit(0), F.element_at(c, -1)["start"] - acc["at"])
+        return F.aggregate(c, F.struct(
+            acc["at"].alias("at"), F.lit("").alias("out"), F.concat(acc["outs"], F.array(acc["out"])).alias("outs"), acc["at"].alias("base"),
+            F.substring(text, acc["at"] + 1, reach).alias("near")), step)
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), F.array().cast("array<string>").alias("outs"), F.lit(0).alias("base"), F.lit("").alias("near"))
+    return F.aggregate(_chunks(spans), zero, chunk, lambda acc: F.array_join(
+        F.concat(acc["outs"], F.array(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))), ""))
 
 
 def _luhn(value: Column) -> Column:
@@ -106,13 +156,8 @@ def with_base_spans(docs: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def _blanked(text: Column, spans: Column) -> Column:
-    """The text with a blank for each span; of overlapping spans each ends the text before it."""
-    def step(acc: Column, s: Column) -> Column:
-        piece = F.substring(text, acc["at"] + 1, F.greatest(F.lit(0), s["start"] - acc["at"]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece, F.lit(" ")).alias("out"))
-
-    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    """The text with a blank for each span."""
+    return rewritten(text, spans, lambda s: F.lit(" "), merge=True)
 
 
 def _hashed(word: Column) -> Column:
@@ -127,49 +172,54 @@ def _words(text: Column) -> Column:
 def disclosing_terms(holders: DataFrame, docs: DataFrame, text: str, error: float = ERROR, threshold: float = DISCLOSURE) -> DataFrame:
     """(h, disclosure): the hashes of the terms at or over the threshold for an entity. ``holders``
     has the rows of ``docs`` with base spans, as ``row``, ``th``, ``base`` and the text."""
+    entities = F.array_distinct(F.transform("base", lambda s: F.xxhash64(s["no"], F.lower(s["value"]))))
     once = written(holders.groupBy("th").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "pii-texts")
+    n = docs.count()
+    theirs = holders.select("row", F.explode(entities).alias("e")).join(once.select("row", "copies"), "row")
+    counts = written(theirs.groupBy("e").agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("e_texts"))
+                     .filter((F.col("e_texts") >= SUPPORT) & (F.col("n_e") < n)), "pii-entities")
+    theirs = written(theirs.join(counts, "e"), "pii-holders-of")
+    most = counts.agg(F.max("n_e")).first()[0]
+    if most is None:  # no entity stands in several texts
+        return docs.sparkSession.createDataFrame([], "h long, disclosure double")
+    texts = docs.select(F.xxhash64(text).alias("th")).distinct().count()
+    held = holders.join(theirs.select("row").distinct(), "row", "left_semi")
     bare = _words(_blanked(F.col(text), F.col("base")))
-    entities = F.array_distinct(F.transform("base", lambda s: F.xxhash64(s["no"], F.lower(s["value"]))))
-    held = written(holders.join(once.select("row", "copies"), "row").select("row", "copies", entities.alias("entities"), bare.alias("words")), "pii-held")
+    near = held.select("row", F.explode(bare).alias("h"))
     # words that a text has inside its base spans only are none of its terms
     counted = docs.select(F.explode(_words(F.col(text))).alias("h"), F.lit(1).alias("w")).unionByName(
         holders.select(F.explode(F.array_except(_words(F.col(text)), bare)).alias("h"), F.lit(-1).alias("w")))
-    n_t = counted.groupBy("h").agg(F.sum("w").alias("n_t"))
-    n, texts = docs.agg(F.count(F.lit(1)), F.count_distinct(F.xxhash64(text))).first()
-    counts = written(held.select("copies", F.explode("entities").alias("e")).groupBy("e")
-                     .agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("e_texts")).filter(F.col("n_e") < n), "pii-entities")
-    most = counts.agg(F.max("n_e")).first()[0] or 0
 
     def reach(n_e: Column) -> Column:
         """Over this n_t no term can be at the threshold, as n_et is n_e at most."""
         return n_e * F.pow(F.lit(float(n)) / n_e, F.lit(1 - threshold)) * (1 + 1e-6)
 
-    rare = n_t.filter((F.col("n_t") > 0) & (F.col("n_t") <= reach(F.lit(float(most))))) if most else n_t.filter("false")
-    near = held.select("row", "copies", F.explode("words").alias("h")).join(rare, "h")
-    theirs = held.select("row", F.explode("entities").alias("e")).join(counts, "e").withColumnRenamed("row", "its")
-    pairs = near.join(theirs, (F.col("row") == F.col("its")) & (F.col("n_t") <= reach(F.col("n_e")))).groupBy("e", "h").agg(
-        *(F.first(c).alias(c) for c in ("n_e", "e_texts", "n_t")), F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("texts"))
+    n_t = counted.groupBy("h").agg(F.sum("w").alias("n_t"))
+    rare = n_t.filter((F.col("n_t") >= SUPPORT) & (F.col("n_t") <= reach(F.lit(float(most)))))
+    theirs = theirs.withColumnRenamed("row", "its")
+    pairs = written(near.join(rare, "h").join(theirs, (F.col("row") == F.col("its")) & (F.col("n_t") <= reach(F.col("n_e")))).groupBy("e", "h").agg(
+        *(F.first(c).alias(c) for c in ("n_e", "e_texts", "n_t")), F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("texts")), "pii-pairs")
+    tested = pairs.filter(F.col("texts") >= SUPPORT)
+    limit = math.log(error) - math.log(max(1, tested.count()))
     disclosure = F.log(F.col("n_et") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
     # the share of texts with the term: copies of those that show both count once
     share = F.least(F.lit(1.0), (F.col("texts") + F.col("n_t") - F.col("n_et")) / F.lit(float(texts)))
     seen = F.col("texts") / F.col("e_texts")
     others = F.when(F.col("texts") < F.col("e_texts"), (F.col("e_texts") - F.col("texts")) * F.log((1 - seen) / (1 - share))).otherwise(0.0)
     chance = F.when(seen > share, -(F.col("texts") * F.log(seen / share) + others)).otherwise(0.0)
-    return (pairs.withColumns({"disclosure": disclosure, "chance": chance})
-            .filter((F.col("disclosure") >= threshold - 1e-9) & (F.col("chance") <= math.log(error) + 1e-9))
+    return (tested.withColumns({"disclosure": disclosure, "chance": chance})
+            .filter((F.col("disclosure") >= threshold - 1e-9) & (F.col("chance") <= limit + 1e-9))
             .groupBy("h").agg(F.max("disclosure").alias("disclosure")))
 
 
 def _terms(text: Column, base: Column, telling: Column) -> Column:
     """Spans of all words whose hash is in the map ``telling``, but for those inside a base span."""
     words = F.regexp_extract_all(text, F.lit(_TERM), F.lit(0))
-    forms = F.array_distinct(F.filter(words, lambda w: F.map_contains_key(telling, _hashed(w))))
-    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    found = F.filter(positions(text, F.regexp_extract_all(text, pattern, F.lit(0)), pattern),
-                     lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    keys = F.map_keys(telling)
+    found = positions(text, words, _TERM, lambda values: F.array_intersect(F.transform(values, _hashed), keys))
     spans = F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index("term")).alias("no"), x["end"].alias("end"),
                                                   F.element_at(telling, _hashed(x["value"])).alias("value")))
-    return F.when(F.size(forms) > 0, spans)
+    return F.when(F.size(base) > 0, F.filter(spans, lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))).otherwise(spans)
 
 
 def find(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -214,14 +264,10 @@ def redacted(text: Column, spans: Column) -> Column:
     taken out; of overlapping spans the first counts."""
     label = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
 
-    def step(acc: Column, s: Column) -> Column:
-        put = F.when(s["value"].eqNullSafe("remove") & (s["no"] == KINDS.index("term")), "").otherwise(F.element_at(label, s["no"] + 1))
-        after = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), put).alias("out"))
-        return F.when(s["start"] >= acc["at"], after).otherwise(acc)
+    def put(s: Column) -> Column:
+        return F.when(s["value"].eqNullSafe("remove") & (s["no"] == KINDS.index("term")), "").otherwise(F.element_at(label, s["no"] + 1))
 
-    return F.when(F.size(spans) > 0, F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))).otherwise(text)
+    return F.when(F.size(spans) > 0, rewritten(text, spans, put, merge=False)).otherwise(text)
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -9,9 +9,10 @@ much of it the term discloses: 0 tells nothing, 1 tells e. All three counts are
 A term at or over ``DISCLOSURE`` for any entity is generalised wherever it stands in any text, one
 at or over ``REMOVAL`` is removed. Where t falls on texts at random, the probability that so many
 of those with e have it, by Hoeffding's bound for draws without replacement, must be ``ERROR`` at
-most, divided by the number of pairs (e, t) that are tested. Copies of one text are one piece of
-evidence, and a pair that meets in one text only is none: any rare word beside a rare entity does.
-Texts that differ in any character count as different.
+most, divided by the number of pairs (e, t) that are tested. A pair that meets in one text only is no
+evidence: any rare word beside a rare entity does. Nor are copies: equal texts count once, and k texts
+whose shingles of five words agree by J on average count as k / (1 + (k - 1) J) in the bound, and not
+at all from ``COPY`` on; J is estimated by ``HASHES`` smallest hashes of a text's shingles.
 
 Built-in functions only. All counts are combined before the shuffle, by 64-bit hash. Entities of a
 single text are left out first, and of the others only terms rare enough to reach the threshold are
@@ -36,8 +37,11 @@ KINDS = ("email", "ip", "card", "phone", "term")
 #: Least length of a term; most probability that a term meets an entity so often by chance.
 TERM_CHARS = 3
 ERROR = 0.01
-#: Different texts in which a term must meet an entity; matches of a text that are handled together.
+#: Different texts in which a term must meet an entity, and the likeness from which they are copies.
 SUPPORT = 2
+COPY = 0.8
+HASHES = 8
+#: Matches of a text that are handled together.
 CHUNK = 256
 DISCLOSURE = 0.9
 REMOVAL = 1.0
@@ -169,6 +173,22 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), _hashed))
 
 
+def _signature(text: Column) -> Column:
+    """The smallest of each of ``HASHES`` hashes of the text's shingles of five words."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    shingles = _let(words, lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - 4)), lambda i: F.xxhash64(F.slice(w, i, 5))))
+    return _let(shingles, lambda all_: F.array(*(F.array_min(F.transform(all_, lambda x: F.xxhash64(x, F.lit(j)))) for j in range(HASHES))))
+
+
+def _likeness(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, likeness): how alike the texts of a group are on average, by their ``signature``, for
+    groups of two texts or more."""
+    same = rows.select(*keys, F.posexplode("signature").alias("i", "v")).groupBy(*keys, "i", "v").agg(F.count(F.lit(1)).alias("c"))
+    sums = same.groupBy(*keys).agg(F.sum(F.col("c") * F.col("c")).alias("pairs"), F.sum("c").alias("k"))
+    k = F.col("k") / HASHES
+    return sums.select(*keys, ((F.col("pairs") / HASHES - k) / (k * k - k)).alias("likeness"))
+
+
 def disclosing_terms(holders: DataFrame, docs: DataFrame, text: str, error: float = ERROR, threshold: float = DISCLOSURE) -> DataFrame:
     """(h, disclosure): the hashes of the terms at or over the threshold for an entity. ``holders``
     has the rows of ``docs`` with base spans, as ``row``, ``th``, ``base`` and the text."""
@@ -178,13 +198,17 @@ def disclosing_terms(holders: DataFrame, docs: DataFrame, text: str, error: floa
     theirs = holders.select("row", F.explode(entities).alias("e")).join(once.select("row", "copies"), "row")
     counts = written(theirs.groupBy("e").agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("e_texts"))
                      .filter((F.col("e_texts") >= SUPPORT) & (F.col("n_e") < n)), "pii-entities")
+    bare_text = _blanked(F.col(text), F.col("base"))
+    signed = written(holders.join(theirs.join(counts, "e").select("row").distinct(), "row").select("row", _signature(bare_text).alias("signature")), "pii-signatures")
+    apart = _likeness(theirs.join(counts, "e").join(signed, "row"), ["e"]).filter(F.col("likeness") < COPY).select("e")
+    counts = written(counts.join(apart, "e"), "pii-apart")
     theirs = written(theirs.join(counts, "e"), "pii-holders-of")
     most = counts.agg(F.max("n_e")).first()[0]
-    if most is None:  # no entity stands in several texts
+    if most is None:  # no entity stands in several texts that are not copies
         return docs.sparkSession.createDataFrame([], "h long, disclosure double")
     texts = docs.select(F.xxhash64(text).alias("th")).distinct().count()
     held = holders.join(theirs.select("row").distinct(), "row", "left_semi")
-    bare = _words(_blanked(F.col(text), F.col("base")))
+    bare = _words(bare_text)
     near = held.select("row", F.explode(bare).alias("h"))
     # words that a text has inside its base spans only are none of its terms
     counted = docs.select(F.explode(_words(F.col(text))).alias("h"), F.lit(1).alias("w")).unionByName(
@@ -197,9 +221,11 @@ def disclosing_terms(holders: DataFrame, docs: DataFrame, text: str, error: floa
     n_t = counted.groupBy("h").agg(F.sum("w").alias("n_t"))
     rare = n_t.filter((F.col("n_t") >= SUPPORT) & (F.col("n_t") <= reach(F.lit(float(most)))))
     theirs = theirs.withColumnRenamed("row", "its")
-    pairs = written(near.join(rare, "h").join(theirs, (F.col("row") == F.col("its")) & (F.col("n_t") <= reach(F.col("n_e")))).groupBy("e", "h").agg(
-        *(F.first(c).alias(c) for c in ("n_e", "e_texts", "n_t")), F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("texts")), "pii-pairs")
-    tested = pairs.filter(F.col("texts") >= SUPPORT)
+    joint = written(near.join(rare, "h").join(theirs, (F.col("row") == F.col("its")) & (F.col("n_t") <= reach(F.col("n_e"))))
+                    .select("e", "h", "row", "copies", "n_e", "e_texts", "n_t"), "pii-joint")
+    tested = joint.groupBy("e", "h").agg(*(F.first(c).alias(c) for c in ("n_e", "e_texts", "n_t")), F.sum("copies").alias("n_et"),
+                                         F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= SUPPORT)
+    tested = written(tested, "pii-pairs")
     limit = math.log(error) - math.log(max(1, tested.count()))
     disclosure = F.log(F.col("n_et") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
     # the share of texts with the term: copies of those that show both count once
@@ -207,8 +233,11 @@ def disclosing_terms(holders: DataFrame, docs: DataFrame, text: str, error: floa
     seen = F.col("texts") / F.col("e_texts")
     others = F.when(F.col("texts") < F.col("e_texts"), (F.col("e_texts") - F.col("texts")) * F.log((1 - seen) / (1 - share))).otherwise(0.0)
     chance = F.when(seen > share, -(F.col("texts") * F.log(seen / share) + others)).otherwise(0.0)
-    return (tested.withColumns({"disclosure": disclosure, "chance": chance})
-            .filter((F.col("disclosure") >= threshold - 1e-9) & (F.col("chance") <= limit + 1e-9))
+    likely = (tested.withColumns({"disclosure": disclosure, "chance": chance})
+              .filter((F.col("disclosure") >= threshold - 1e-9) & (F.col("chance") <= limit + 1e-9)).select("e", "h", "texts", "disclosure", "chance"))
+    alike = _likeness(joint.select("e", "h", "row").join(likely.select("e", "h"), ["e", "h"]).join(signed, "row"), ["e", "h"])
+    bound = F.col("chance") / (1 + (F.col("texts") - 1) * F.col("likeness"))
+    return (likely.join(alike, ["e", "h"]).filter((F.col("likeness") < COPY) & (bound <= limit + 1e-9))
             .groupBy("h").agg(F.max("disclosure").alias("disclosure")))
 
 

@@ -313,6 +313,15 @@ SELECT listing_id, host_id, {month_day('mno')} AS month_date, has_availability,
 SELECT listing_id, scraped_date, upper(trim(neighbourhood)) AS listing_neighbourhood, code AS LGA_CODE_2016, lga AS lga_name
 FROM obs LEFT JOIN areas ON k = lower(trim(neighbourhood))""",
         "stg_listing_clean": delivered(), "stream_month_ingest": loaded, "bronze_facts_load": loaded, "stream_split_months": loaded,
+        "load_redelivered_month": loaded, "load_resumed": loaded,
+        "load_resumed_quarantine": with_parts(OBS) + """
+SELECT listing_id, scrape_id, strftime(scraped_date, '%m_%Y') AS month_year FROM obs WHERE scrape_id % 17 = 0""",
+        # the even listings first, then the odd ones and every fifth
+        "load_archive_clash": with_parts(OBS) + """
+SELECT month_year, CAST((first_rows > 0)::INT + (later_rows > 0)::INT AS BIGINT) AS n_files,
+  CAST((first_rows > 0 AND later_rows > 0)::INT AS BIGINT) AS n_stamped, CAST(first_rows + later_rows AS BIGINT) AS n_rows
+FROM (SELECT strftime(scraped_date, '%m_%Y') AS month_year, count_if(listing_id % 2 = 0) AS first_rows,
+  count_if(listing_id % 2 = 1 OR listing_id % 5 = 0) AS later_rows FROM obs GROUP BY 1)""",
         "load_mixed_headers": lacks, "stream_mixed_headers": lacks,
         "silver_quarantine": with_parts(OBS) + """
 SELECT listing_id, scrape_id, concat_ws(',', CASE WHEN scrape_id % 19 = 0 THEN 'scraped_date' END, CASE WHEN scrape_id % 29 = 0 THEN 'price' END) AS reason

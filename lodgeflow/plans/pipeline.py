@@ -1,16 +1,19 @@
 """The end-to-end jobs on real inputs: CSV files -> bronze -> silver/star -> marts.
 
 * ``load_dimensions`` (N1): the four reference files, full refresh per table.
-* ``load_facts`` (N2): month files, aligned by header, cleaned, key-guarded,
-  appended once per key, checked and archived; ``register_tables`` makes the raw
-  tables catalog tables and refreshes their statistics.
+* ``load_facts`` (N2): month files that the manifest doesn't have, aligned by header, cleaned,
+  key-guarded, appended once per key, checked and archived; ``register_tables`` makes the raw
+  tables catalog tables and refreshes their statistics, in the load where it is asked to.
 * ``Warehouse``: the model frames (silver, snapshots, star, marts) over the
   bronze tables, with the same interface the analyses use on the driver data.
 """
 
 from __future__ import annotations
 
+import logging
+import uuid
 from functools import cached_property
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,7 @@ from lodgeflow.sources.csv_ingest import (
     read_raw_csv,
     take_first,
 )
+from lodgeflow.sources.manifest import Manifest, listing, paths_of
 from lodgeflow.sources.schemas import (
     DIM_SPECS,
     FACT_FILE_PATTERN,
@@ -38,27 +42,31 @@ from lodgeflow.sources.schemas import (
     LISTING_SCHEMA,
 )
 from lodgeflow.sources.sinks import (
+    LOAD,
     analyze,
-    list_files,
     list_names,
     load_new_rows,
-    materialize,
     move_files,
+    overwrite_partitions,
     overwrite_table,
     path_exists,
     table_exists,
 )
 
+log = logging.getLogger(__name__)
+
 
 def load_dimensions(spark: SparkSession, dim_dir: str, bronze_base: str) -> dict[str, int]:
-    """Load each dimension file present (missing files are skipped).
+    """Load each dimension file present; a missing one is skipped with a warning.
 
-    Returns rows loaded per bronze table.
+    Every table is refreshed as a whole or, where its file fails, left as it was. Returns rows loaded
+    per bronze table.
     """
     loaded = {}
     for fname, (table, schema, first_n) in DIM_SPECS.items():
         path = f"{dim_dir.rstrip('/')}/{fname}"
         if not path_exists(spark, path):     # a file, or a folder of CSV parts
+            log.warning("dimension file missing: %s", path)
             continue
         raw = read_raw_csv(spark, path)
         if first_n:
@@ -67,44 +75,82 @@ def load_dimensions(spark: SparkSession, dim_dir: str, bronze_base: str) -> dict
         df = blank_as_null(align_columns(df.toDF(*[f.name for f in schema.fields]), schema))
         counts = Observation(table)
         overwrite_table(df.observe(counts, F.count(F.lit(1)).alias("rows")),
-                        f"{bronze_base}/{table}")
+                        f"{bronze_base}/{table}", check=lambda rows: assert_width(rows, len(schema.fields), fname))
         loaded[table] = int(counts.get["rows"])
+    if not loaded:
+        log.warning("no dimension files in %s", dim_dir)
     return loaded
 
 
+class LoadReport(dict):
+    """``files``, ``loaded`` and ``quarantined`` rows of a load; ``samples`` has some dates and prices
+    of the table (V6), ``not_archived`` the files that could not be moved."""
+
+    samples: dict[str, list]
+    not_archived: list[str]
+
+
 def load_facts(spark: SparkSession, facts_dir: str, bronze_base: str,
                pattern: str = FACT_FILE_PATTERN, archive_dir: str | None = None,
-               multi_line: bool = False) -> dict[str, int]:
+               multi_line: bool = False, register: bool = False) -> LoadReport:
     """Every month file not loaded yet, in one parallel scan per header.
 
     Inputs are files named ``MM_YYYY.csv`` or folders ``MONTH_YEAR=MM_YYYY``
-    (``pattern`` decides which names are accepted). Files named in
-    ``<table>_files`` are skipped before anything is read (A9); the rest is
-    aligned by its own headers, cleaned and key-guarded. Rows without a key
-    (B18) go to ``<table>_quarantine``, rows whose key another row holds (V3)
-    to ``<table>_quarantine_keys``; new keys are appended. The files are named
-    as loaded last, so a load that failed is repeated and adds what is missing.
-    With ``archive_dir`` loaded files are then moved there (A11).
+    (``pattern`` decides which names are accepted). Files that the manifest ``<table>_manifest`` has
+    are not read again (A9); a file that changed is another file. The rest is aligned by its own
+    headers, cleaned and key-guarded. Rows without a key (B18) go to ``<table>_quarantine``, rows
+    whose key another row holds (V3) to ``<table>_quarantine_keys``; new keys are appended. A load that
+    failed is repeated first, under its own name, and takes the place of what it had written.
+    With ``archive_dir`` all loaded files are then moved there (A11), and with ``register`` the raw
+    table's catalog statistics are refreshed (A12).
     """
     table = f"{bronze_base}/{FACT_TABLE}"
-    names = list_month_files(list_names(spark, facts_dir), pattern)
-    files = [f for n in names for f in list_files(spark, f"{facts_dir.rstrip('/')}/{n}")]
-    log = f"{table}_files"
-    done = ({r["path"] for r in spark.read.parquet(log).collect()}  # one name per file ever loaded
-            if table_exists(spark, log) else set())
-    todo = [f for f in files if f not in done]
-    if not todo:
-        return {"files": 0, "loaded": 0, "quarantined": 0}
-    cleaned = materialize(spark, clean_fact_text(read_aligned(spark, todo, LISTING_SCHEMA, multi_line)), "facts")
-    ok = keys_present(FACT_KEYS)
-    cleaned.filter(~ok).write.mode("append").parquet(f"{table}_quarantine")
-    new = load_new_rows(spark, blank_as_null(cleaned.filter(ok)), table, FACT_KEYS,
-                        quarantine=f"{table}_quarantine_keys")
-    check_load(spark, bronze_base)
-    spark.createDataFrame([(f,) for f in todo], "path string").coalesce(1).write.mode("append").parquet(log)
+    folder = facts_dir.rstrip("/")
+    found = listing(spark, [f"{folder}/{n}" for n in list_month_files(list_names(spark, facts_dir), pattern)])
+    manifest = Manifest(spark, f"{table}_manifest")
+    report = LoadReport(files=0, loaded=0, quarantined=0)
+    report.samples, report.not_archived = {}, []
+    loads = start_loads(spark, manifest, found, table, multi_line)
+    for name, (files, rows, refused) in loads.items():
+        manifest.end(name)
+        report["files"] += files
+        report["loaded"] += rows
+        report["quarantined"] += refused
+    if loads:
+        report.samples = check_load(spark, bronze_base)
+        if register:
+            register_tables(spark, bronze_base, [FACT_TABLE])
     if archive_dir:
-        move_files(spark, todo, archive_dir)
-    return {"files": len(todo), "loaded": new.count(), "quarantined": cleaned.filter(~ok).count()}
+        report.not_archived = move_files(spark, paths_of(found), archive_dir)
+    return report
+
+
+def start_loads(spark: SparkSession, manifest: Manifest, found: DataFrame, table: str,
+                multi_line: bool = False) -> dict[str, tuple[int, int, int]]:
+    """All of a load but its end: loads without one again, then one of the files that none has taken.
+    By name: files, rows added, rows without a key."""
+    todo: dict[str, list[str]] = {}
+    for r in manifest.unfinished(found).collect():
+        todo.setdefault(r["load"], []).append(unquote(r["path"]))
+    fresh = manifest.fresh(found)
+    if not fresh.isEmpty():
+        name = f"l{uuid.uuid4().hex[:12]}"
+        todo[name] = manifest.begin(name, fresh)
+    return {name: (len(files), *_load(spark, sorted(files), table, name, multi_line)) for name, files in todo.items()}
+
+
+def _load(spark: SparkSession, files: list[str], table: str, load: str, multi_line: bool) -> tuple[int, int]:
+    """One load: rows added, and rows without a key."""
+    cleaned = clean_fact_text(read_aligned(spark, files, LISTING_SCHEMA, multi_line))
+    ok = keys_present(FACT_KEYS)
+    counts = Observation(load)
+    seen = cleaned.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("refused"))
+    added = load_new_rows(spark, blank_as_null(seen.filter(ok)), table, FACT_KEYS,
+                          quarantine=f"{table}_quarantine_keys", load=load)
+    refused = int(counts.get["refused"])
+    if refused:
+        overwrite_partitions(cleaned.filter(~ok).withColumn(LOAD, F.lit(load)), f"{table}_quarantine", [LOAD])
+    return added.count(), refused
 
 
 def check_load(spark: SparkSession, bronze_base: str) -> dict:

@@ -418,6 +418,80 @@ def stream_split_months_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_columns(M.stg_listing(spark.read.parquet(sink)))
 
 
+def _deliver(spark: SparkSession, rows: DataFrame, inbox: str) -> None:
+    """``rows`` as files ``MM_YYYY.csv`` in ``inbox``, one a month."""
+    path = scratch_path(spark, "delivery")
+    rows.repartition("MONTH_YEAR").write.partitionBy("MONTH_YEAR").options(header="true", quote='"', escape='"').csv(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(inbox))
+    for st in fs.globStatus(hadoop(f"{path}/MONTH_YEAR=*/*.csv")):
+        month = st.getPath().getParent().getName().partition("=")[2]
+        fs.rename(st.getPath(), hadoop(inbox, f"{month}.csv"))
+
+
+#: Month files of any year.
+ANY_MONTH_FILE = r"^\d{2}_\d{4}\.csv$"
+
+
+def _delivered_twice(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Month files with the even listings, loaded and archived, then files of the same names with
+    the odd listings and some of the even ones again. Returns the raw layer and the archive."""
+    from lodgeflow.plans.pipeline import load_facts
+    raw, listing = Domain.of(spark, sf_dir).raw_text, F.col("LISTING_ID").cast("long")
+    inbox, bronze, archive = (scratch_path(spark, n) for n in ("inbox", "bronze-twice", "archive"))
+    for part in (listing % 2 == 0, (listing % 2 == 1) | (listing % 5 == 0)):
+        _deliver(spark, raw.filter(part), inbox)
+        load_facts(spark, inbox, bronze, pattern=ANY_MONTH_FILE, archive_dir=archive)
+    return bronze, archive
+
+
+@register("load_redelivered_month")
+def load_redelivered_month_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files delivered, archived and delivered again under their names with other rows; the keys
+    of both deliveries are there once."""
+    bronze, _ = _delivered_twice(spark, sf_dir)
+    return silver_columns(M.stg_listing(spark.read.parquet(f"{bronze}/r_f_listing")))
+
+
+@register("load_archive_clash")
+def load_archive_clash_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both deliveries are in the archive, file by file; none took the other's place."""
+    _, archive = _delivered_twice(spark, sf_dir)
+    rows = (spark.read.option("recursiveFileLookup", "true").options(header="true", quote='"', escape='"').csv(archive)
+            .select(F.col("_metadata.file_path").alias("path")))
+    name = F.element_at(F.split("path", "/"), -1)
+    files = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).withColumns({
+        "month_year": F.substring(name, 1, 7), "stamped": name.rlike(r"^\d{2}_\d{4}_\d{8}T\d{6}Z")})
+    return files.groupBy("month_year").agg(F.count(F.lit(1)).alias("n_files"), F.count_if("stamped").alias("n_stamped"), F.sum("n").alias("n_rows"))
+
+
+def _resumed(spark: SparkSession, sf_dir: str) -> str:
+    """A load of all month files that ends after its writes and before its end is written down, and a
+    second run of the job. Returns the raw layer."""
+    from lodgeflow.plans.pipeline import load_facts, start_loads
+    from lodgeflow.sources.manifest import Manifest, listing
+    bronze, files = scratch_path(spark, "bronze-resumed"), Domain.of(spark, sf_dir).month_files
+    found = listing(spark, [f"{files}/{n}" for n in sinks.list_names(spark, files) if n.startswith("MONTH_YEAR=")])
+    start_loads(spark, Manifest(spark, f"{bronze}/r_f_listing_manifest"), found, f"{bronze}/r_f_listing")
+    load_facts(spark, files, bronze, pattern=ANY_MONTH)
+    return bronze
+
+
+@register("load_resumed")
+def load_resumed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that failed after its writes, repeated: every row is there once."""
+    return silver_columns(M.stg_listing(spark.read.parquet(f"{_resumed(spark, sf_dir)}/r_f_listing")))
+
+
+@register("load_resumed_quarantine")
+def load_resumed_quarantine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """And every row without a key is in the quarantine once."""
+    bad = spark.read.parquet(f"{_resumed(spark, sf_dir)}/r_f_listing_quarantine")
+    return bad.select(F.col("LISTING_ID").cast("bigint").alias("listing_id"), F.col("SCRAPE_ID").cast("bigint").alias("scrape_id"),
+                      F.col("MONTH_YEAR").alias("month_year"))
+
+
 @register("silver_quarantine")
 def silver_quarantine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows whose date or price has text without a value."""

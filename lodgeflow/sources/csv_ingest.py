@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import os
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,15 +111,18 @@ def _with_month(tagged: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def headers(spark: SparkSession, files) -> dict[str, tuple[str, ...]]:
-    """Column names of each CSV file, from its first line, as a footer read gives those of a
-    Parquet file. Empty files have none and are left out."""
-    from lodgeflow.sources.sinks import first_line
+    """Column names of each CSV file, from its first line. Tasks read them, in one job for all files:
+    the first line of the block a file begins with. Empty files have none and are left out."""
+    files = list(files)
+    if not files:
+        return {}
+    lines = spark.read.text(files).select("value", "_metadata.file_path", "_metadata.file_block_start").filter("file_block_start = 0")
     out = {}
-    for path in files:
-        line = first_line(spark, path)
+    for path, line in lines.groupBy("file_path").agg(F.first("value")).collect():
+        line = line.lstrip("\ufeff")
         if line:
             names = [n.strip().strip('"') for n in next(csv.reader([line]))]
-            out[path] = tuple(n or f"_blank{i}" for i, n in enumerate(names))
+            out[unquote(path)] = tuple(n or f"_blank{i}" for i, n in enumerate(names))
     return out
 
 

@@ -1,20 +1,34 @@
 """Table sinks and catalog helpers.
 
 Tables are parquet directories (or catalog tables). The raw fact table is
-partitioned by month so the idempotency probe and trailing windows become
-partition filters.
+partitioned by month and load: trailing windows are partition filters, and a load that is
+repeated overwrites its own partitions. Beside it stands a narrow index of its keys by bucket,
+so that a batch is compared with the keys that can be its own, not with the table.
 """
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgeflow.session import scratch_path
 
+log = logging.getLogger(__name__)
+
+#: The load that wrote a row: the second partition column of the raw table.
+LOAD = "LOAD_ID"
+#: Parts of a key index; a table keeps the number it began with.
+KEY_BUCKETS = 16
+#: Files that are moved at a time.
+MOVERS = 8
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -34,39 +48,32 @@ def path_size(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    """First line of a text file on any Hadoop file system, without its line end."""
-    p, fs = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return (reader.readLine() or "").lstrip("\ufeff")
-    finally:
-        stream.close()
-
-
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files at or below ``path``; names that start with ``_`` or ``.`` are not data."""
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    found, it = [], fs.listFiles(p, True)
-    while it.hasNext():
-        f = it.next().getPath()
-        if not f.getName().startswith(("_", ".")):
-            found.append(f.toString())
-    return sorted(found)
-
-
-def move_files(spark: SparkSession, files: Sequence[str], folder: str) -> None:
-    """Move loaded files below ``folder``, each under the name of its own folder."""
-    for f in files:
-        p, fs = _fs(spark, f)
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, p.getParent().getName())
-        fs.mkdirs(target)
-        if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, p.getName())):
-            raise OSError(f"could not archive {f}")
+def move_files(spark: SparkSession, files: Sequence[str], folder: str) -> list[str]:
+    """Move loaded files below ``folder``, each under the name of its own folder. Nothing there is
+    overwritten: where the name is taken, the time of the move is added to it. Returns the files that
+    could not be moved, with a warning each; they stay where they are."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def move(file: str) -> bool:
+        p, fs = _fs(spark, file)
+        name, target = p.getName(), hadoop(folder, p.getParent().getName())
+        try:
+            fs.mkdirs(target)
+            to, n = hadoop(target, name), 0
+            while fs.exists(to):
+                base, dot, ext = name.rpartition(".")
+                at = datetime.now(UTC).strftime("%Y%m%dT%H%M%SZ") + (f"-{n}" if n else "")
+                to, n = hadoop(target, f"{base}_{at}.{ext}" if dot else f"{name}_{at}"), n + 1
+            if fs.rename(p, to):
+                return True
+        except Exception as e:  # the rows are loaded; the next load tries the move again
+            log.warning("could not archive %s: %s", file, e)
+            return False
+        log.warning("could not archive %s", file)
+        return False
+
+    with ThreadPoolExecutor(MOVERS) as pool:
+        return [f for f, done in zip(files, pool.map(move, files)) if not done]
 
 
 def list_names(spark: SparkSession, folder: str) -> list[str]:
@@ -75,69 +82,121 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def overwrite_table(df: DataFrame, path: str) -> None:
-    """Full refresh of one table."""
-    df.write.mode("overwrite").parquet(path)
-
-
-def append_table(df: DataFrame, path: str, partition_by=None) -> None:
-    """Append rows (explicit column list = the frame's columns).
-
-    Partitioned writes first ``rebalance`` on the partition columns: AQE then
-    splits large partitions and merges small ones, so each month gets files of
-    a sensible size at any scale (neither one task per month nor thousands of
-    tiny files)."""
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def overwrite_table(df: DataFrame, path: str, check=None) -> None:
+    """Full refresh of one table. The new rows are written beside the table and, once
+    ``check(rows)`` has passed, take its place, so that a refresh that fails leaves the old table. Where
+    a refresh ended between the two renames, the next one puts the old table back first."""
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    new, old = f"{path}__new-{uuid.uuid4().hex[:12]}", f"{path}__old"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p, fs = _fs(spark, path)
+    if not fs.exists(p) and fs.exists(hadoop(old)):
+        fs.rename(hadoop(old), p)
+    try:
+        df.write.parquet(new)
+        if check:
+            check(spark.read.schema(df.schema).parquet(new))
+    except Exception:
+        fs.delete(hadoop(new), True)
+        raise
+    if fs.exists(p):
+        fs.delete(hadoop(old), True)
+        fs.rename(p, hadoop(old))
+    fs.mkdirs(p.getParent())
+    if not fs.rename(hadoop(new), p):
+        raise OSError(f"could not publish {path}")
+    fs.delete(hadoop(old), True)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Write ``df`` in place of the partitions it has rows of; a repeated write changes nothing.
+
+    Rows are first rebalanced on the partition columns: AQE then splits large partitions and merges
+    small ones, so each month gets files of a sensible size at any scale (neither one task per month
+    nor thousands of tiny files)."""
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def table_exists(spark: SparkSession, path_or_name: str) -> bool:
     """A catalog table or a readable parquet directory."""
     if "/" not in path_or_name:
         return spark.catalog.tableExists(path_or_name)
-    return any(f.endswith(".parquet") for f in list_files(spark, path_or_name))
+    p, fs = _fs(spark, path_or_name)
+    if not fs.exists(p):
+        return False
+    it = fs.listFiles(p, True)
+    while it.hasNext():         # up to the first data file
+        name = it.next().getPath().getName()
+        if name.endswith(".parquet") and not name.startswith(("_", ".")):
+            return True
+    return False
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.hash(key), F.lit(KEY_BUCKETS))
+
+
+def keys_held(rows: DataFrame, index: str, keys: Sequence[str], load: str) -> DataFrame:
+    """(keys, _held): what the index has in the parts and range of dates that the keys of ``rows`` are
+    in, but for what ``load`` itself wrote. Of the rows one aggregated row comes to the driver."""
+    lo, hi, parts = rows.agg(F.min(keys[-1]), F.max(keys[-1]), F.collect_set(_bucket(keys[0]))).first()
+    kind = T.StructType([*(rows.schema[k] for k in keys), T.StructField("_row", T.LongType()),
+                         T.StructField("_part", T.IntegerType()), T.StructField(LOAD, T.StringType())])
+    near = F.col("_part").isin(parts) & (F.col(LOAD) != load) & F.col(keys[-1]).between(F.lit(lo), F.lit(hi))
+    return rows.sparkSession.read.schema(kind).parquet(index).filter(near).groupBy(*keys).agg(F.first("_row").alias("_held"))
 
 
 def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
-                  month_col: str = "MONTH_YEAR", quarantine: str | None = None) -> DataFrame:
+                  month_col: str = "MONTH_YEAR", quarantine: str | None = None, load: str | None = None) -> DataFrame:
     """Append the rows whose primary key is not in the table yet.
 
-    A month may come in any number of files and batches: what is there stays,
-    what is missing is added. A file delivered twice, or a load repeated after
-    it failed halfway, adds nothing twice. Of several rows with one key in
-    ``df`` the first by all columns is kept. The table's keys are compared by a
-    left-anti join, and only in the range of the last key (the date) at hand,
-    which the scan can skip by.
-    Rows that are kept out and differ from the row that holds their key go to
-    ``quarantine`` (a table path), with a reason. Returns the table's new rows.
+    A month may come in any number of files and batches: what is there stays, what is missing is
+    added. Of several rows with one key in ``df`` the first by all columns is kept. Rows that are kept
+    out and differ from the row that holds their key go to ``quarantine`` (a table path), with a
+    reason. Returns the rows this load added.
+
+    ``load`` names the load. Table, index and quarantine are partitioned by it, so a load that failed
+    anywhere and is repeated under its name takes the place of what it had written; under another
+    name it adds only what is missing.
+
+    The batch meets ``<path>_index``: the keys and a hash of every row, in ``KEY_BUCKETS`` parts by
+    the first key. Read are the parts that the batch's keys fall in, and in them the files whose range
+    of the last key (the date) meets the batch's, as every load writes files of its own dates. The
+    batch's wide rows are shuffled only where a key is twice or held by a row that differs.
     """
-    first = Window.partitionBy(*keys).orderBy(*df.columns)
-    ranked = materialize(spark, df.withColumn("_nth", F.row_number().over(first)), "load")
-    fresh = ranked.filter(F.col("_nth") == 1).drop("_nth")
-    if table_exists(spark, path):
-        lo, hi = ranked.agg(F.min(keys[-1]), F.max(keys[-1])).first()
-        held = spark.read.parquet(path).filter(F.col(keys[-1]).between(F.lit(lo), F.lit(hi))).select(*df.columns)
-        known = held.select(*keys).distinct()
-        new = fresh.join(known, list(keys), "left_anti")
-        again = fresh.join(held, [fresh[c].eqNullSafe(held[c]) for c in df.columns], "left_anti").join(
-            known, list(keys), "left_semi").withColumn("_reason", F.lit("key in table"))
+    columns, index = df.columns, f"{path}_index"
+    load = load or f"l{uuid.uuid4().hex[:12]}"
+    row = F.struct(*columns)
+    staged = materialize(spark, df.withColumn("_row", F.xxhash64(*columns)), "load")
+    own = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_least"), F.max("_row").alias("_most"))
+    held = keys_held(staged, index, keys, load) if table_exists(spark, index) else None
+    known = own.join(held, list(keys), "left") if held is not None else own.withColumn("_held", F.lit(None).cast("long"))
+    # keys with more to them than one new row; most loads have none
+    odd = materialize(spark, known.filter((F.col("_n") > 1) | F.col("_held").isNotNull()).select(
+        *keys, "_held", (F.col("_held").eqNullSafe(F.col("_least")) & F.col("_held").eqNullSafe(F.col("_most"))).alias("_same")), "load-keys")
+    if odd.isEmpty():
+        new, care = staged.select(*columns), None
     else:
-        new, again = fresh, None
-    new = materialize(spark, new.select(*df.columns), "load-new")
-    if quarantine:
-        kept = ranked.filter(F.col("_nth") == 1).drop("_nth")
-        twice = ranked.filter(F.col("_nth") > 1).drop("_nth")
-        bad = twice.join(kept, [twice[c].eqNullSafe(kept[c]) for c in df.columns], "left_anti").withColumn(
-            "_reason", F.lit("key twice"))
-        if again is not None:
-            bad = bad.unionByName(again)
-        bad.write.mode("append").parquet(quarantine)
-    append_table(new, path, partition_by=[month_col])
-    return new
+        care = staged.join(odd.filter(~F.col("_same")).drop("_same"), list(keys))
+        first = materialize(spark, care.groupBy(*keys).agg(F.min(row).alias("_first"), F.first("_held").alias("_held")), "load-first")
+        new = (staged.join(odd.select(*keys), list(keys), "left_anti").select(*columns)
+               .unionByName(first.filter(F.col("_held").isNull()).select("_first.*")))
+    overwrite_partitions(new.withColumn(LOAD, F.lit(load)), path, [month_col, LOAD])
+    table = spark.read.schema(T.StructType([*df.schema, T.StructField(LOAD, T.StringType())])).parquet(path)
+    added = table.filter(F.col(LOAD) == load).select(*columns)
+    overwrite_partitions(added.select(*keys, F.xxhash64(*columns).alias("_row"), _bucket(keys[0]).alias("_part"), F.lit(load).alias(LOAD)),
+                         index, ["_part", LOAD])
+    if quarantine and care is not None:
+        kept = first.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_first")
+        # row by row: a held key is one difference, a row that differs from the first of its key another
+        twice = (care.join(kept, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
+                 .filter(~row.eqNullSafe(F.col("_first"))).select(*columns, F.lit("key twice").alias("_reason")))
+        in_table = first.filter(F.col("_held").isNotNull()).select("_first.*", "_held").filter(
+            F.xxhash64(*columns) != F.col("_held")).select(*columns, F.lit("key in table").alias("_reason"))
+        overwrite_partitions(twice.unionByName(in_table).withColumn(LOAD, F.lit(load)), quarantine, [LOAD])
+    return added
 
 
 def ensure_tables(spark: SparkSession, specs: dict[str, T.StructType], base: str) -> list[str]:

@@ -4,9 +4,10 @@ The reference's loader is an incremental file ingester: each new month file
 is cleaned, appended once, and archived. Here that is a file-stream source
 with a checkpoint (each file is taken exactly once) whose rows are the paths of
 new files; each micro-batch reads its files by their own headers and appends the
-rows whose key is new, so a replay after a lost executor or driver adds nothing
-twice and a month may come in many batches. ``trigger(availableNow=True)``
-processes what is there and stops, as one run of the reference's job does.
+rows whose key is new, so a month may come in many batches. A batch is a load of its own
+name, which a replay after a lost executor or driver overwrites, its quarantine included.
+``trigger(availableNow=True)`` processes what is there and stops, as one run of the
+reference's job does.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodgeflow.operators.history import VALID_TO, scd2_step
+from lodgeflow.operators.history import VALID_FROM, VALID_TO, scd2_step
 from lodgeflow.sources.csv_ingest import (
     blank_as_null,
     clean_fact_text,
@@ -23,7 +24,7 @@ from lodgeflow.sources.csv_ingest import (
     split_valid,
 )
 from lodgeflow.sources.schemas import FACT_KEYS, LISTING_SCHEMA
-from lodgeflow.sources.sinks import load_new_rows
+from lodgeflow.sources.sinks import LOAD, list_names, load_new_rows, overwrite_partitions
 
 
 # The columns of Spark's binary file source.
@@ -65,93 +66,85 @@ def stream_months(spark: SparkSession, src_dir: str, checkpoint: str, sink: str,
     stream = month_file_stream(spark, src_dir, archive_dir, max_files)
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        # the stream's own id, which a lost checkpoint loses too: its batches are never taken for others
+        name = f"s{session.read.json(f'{checkpoint}/metadata').first()['id']}-{batch_id}"
         cleaned = clean_fact_text(read_batch(batch))
         # Only month files are facts: rows without a MM_YYYY month are not loaded.
         valid, bad = split_valid(cleaned.withColumn(
             "MONTH_YEAR", F.when(F.col("MONTH_YEAR").rlike(r"^\d{2}_\d{4}\z"),
                                  F.col("MONTH_YEAR")).otherwise(F.lit(""))),
             [*FACT_KEYS, "MONTH_YEAR"])
-        load_new_rows(batch.sparkSession, blank_as_null(valid), sink, FACT_KEYS,
-                      quarantine=f"{quarantine}_keys" if quarantine else None)
+        load_new_rows(session, blank_as_null(valid), sink, FACT_KEYS,
+                      quarantine=f"{quarantine}_keys" if quarantine else None, load=name)
         if quarantine:
-            bad.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(quarantine)
+            overwrite_partitions(bad.withColumn(LOAD, F.lit(name)), quarantine, [LOAD])
 
     return (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 class SnapshotTable:
-    """A snapshot stored so that one apply rewrites only the open versions.
+    """A snapshot of which one apply reads and writes the newest version of each key only.
 
-    Apply ``N`` writes ``v<N>/`` partitioned by ``state``: versions closed by
-    that apply go to ``state=closed`` and are never rewritten; the open versions
-    go to ``state=open``. The table is every ``state=closed`` folder plus the
-    newest ``state=open``. Per-apply work is bounded by open versions + batch,
-    not by the length of the history. Parquet is never overwritten in place.
+    Two ordinary tables, partitioned by the number of the apply (``batch``). ``closed`` has the
+    versions that an apply closed; it is written once and never read by an apply. ``state`` has, after
+    each apply, the open version of every key and, for keys that have none (hard deletes), their last
+    closed one: no more is needed to tell a row that is new from one that a closed version covers. So
+    an apply's work is one row per key and the batch, whatever the length of the history.
+
+    ``state`` is written last, as one partition, which Spark publishes as a whole: it is the apply's
+    commit. Closed versions of an apply without its state are not read, and the repeated apply
+    overwrites them. Old states stay as they are.
     """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        done = self._committed()
-        self.version = done[-1] if done else -1
-        cur = self.open_versions()
-        self._schema = cur.schema if cur is not None else None
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.base)
-        return jvm, root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _committed(self) -> list[int]:
-        """Versions with a ``_COMMITTED`` marker, in order (a restarted driver resumes at the
-        last; a half-written version is ignored and rewritten)."""
-        jvm, root, fs = self._fs()
-        if not fs.exists(root):
-            return []
-        return sorted(int(st.getPath().getName()[1:]) for st in fs.listStatus(root)
-                      if st.getPath().getName()[:1] == "v" and st.getPath().getName()[1:].isdigit()
-                      and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_COMMITTED")))
-
-    def _read(self, *paths: str) -> DataFrame:
-        reader = self.spark.read
-        if getattr(self, "_schema", None) is not None:
-            reader = reader.schema(self._schema)
-        return reader.parquet(*paths)
+        done = [int(n.partition("=")[2]) for n in list_names(spark, f"{self.base}/state") if n.startswith("batch=")]
+        self.version = max(done, default=-1)
+
+    def state(self) -> DataFrame | None:
+        """The newest version of every key after the last apply."""
+        return self.spark.read.parquet(f"{self.base}/state/batch={self.version}") if self.version >= 0 else None
 
     def open_versions(self) -> DataFrame | None:
-        if self.version < 0:
-            return None
-        return self._read(f"{self.base}/v{self.version:05d}/state=open")
+        state = self.state()
+        return state.filter(F.col(VALID_TO).isNull()) if state is not None else None
 
     def closed_versions(self) -> DataFrame | None:
-        """Closed history of the committed applies."""
-        done = self._committed()
-        return self._read(*(f"{self.base}/v{v:05d}/state=closed" for v in done)) if done else None
+        """Closed history of the applies that ended."""
+        path = f"{self.base}/closed"
+        if self.version < 0 or not any(n.startswith("batch=") for n in list_names(self.spark, path)):
+            return None
+        return self.spark.read.parquet(path).filter(F.col("batch") <= self.version).drop("batch")
 
     def current(self) -> DataFrame | None:
-        if self.version < 0:
-            return None
-        return self.closed_versions().unionByName(self.open_versions())
+        closed, open_v = self.closed_versions(), self.open_versions()
+        return open_v if closed is None else closed.unionByName(open_v)
 
     def apply(self, batch: DataFrame, key: str, updated_at: str, check_cols=None,
               close_missing: bool = False) -> None:
-        step = scd2_step(self.open_versions(), batch, key, updated_at, check_cols,
-                         close_missing, closed=self.closed_versions())
-        nxt = self.version + 1
-        self._schema = step.schema
-        state = F.when(F.col(VALID_TO).isNull(), F.lit("open")).otherwise(F.lit("closed"))
-        # Both folders always exist (an empty apply writes empty files), so
-        # every version can be read back by path.
-        target = f"{self.base}/v{nxt:05d}"
-        for st in ("open", "closed"):       # empty folders first, so both always exist
-            (self.spark.createDataFrame([], step.schema).write.mode("overwrite")
-             .parquet(f"{target}/state={st}"))
-        step.withColumn("state", state).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("state").parquet(target)
-        jvm, _, fs = self._fs()
-        fs.create(jvm.org.apache.hadoop.fs.Path(f"{target}/_COMMITTED")).close()
-        self.version = nxt
+        """One apply (``scd2_step``); a batch that was applied before changes nothing."""
+        state, nxt = self.state(), self.version + 1
+        gone = state.filter(F.col(VALID_TO).isNotNull()) if state is not None else None
+        step = scd2_step(self.open_versions(), batch, key, updated_at, check_cols, close_missing, closed=gone)
+        step = self._written("step", step, nxt)
+        overwrite_partitions(step.filter(F.col(VALID_TO).isNotNull()).withColumn("batch", F.lit(nxt)), f"{self.base}/closed", ["batch"])
+        # of each key its open version, or its last closed one
+        newest = F.struct(F.col(VALID_TO).isNull().alias("is_open"), VALID_TO, VALID_FROM)
+        last = step.groupBy(F.col(key).alias("_k")).agg(F.max(newest).alias("_newest"))
+        after = (step.join(last, (F.col(key) == F.col("_k")) & newest.eqNullSafe(F.col("_newest"))).select(*step.columns))
+        if gone is not None:
+            after = after.unionByName(gone.join(last, F.col(key) == F.col("_k"), "left_anti"))
+        overwrite_partitions(after.withColumn("batch", F.lit(nxt)), f"{self.base}/state", ["batch"])
+        if f"batch={nxt}" in list_names(self.spark, f"{self.base}/state"):     # not after empty batches alone
+            self.version = nxt
+
+    def _written(self, name: str, rows: DataFrame, nxt: int) -> DataFrame:
+        path = f"{self.base}/{name}/batch={nxt}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
 
 def stream_snapshot(spark: SparkSession, stream: DataFrame, table: SnapshotTable,

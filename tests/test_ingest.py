@@ -1,6 +1,7 @@
 """CSV ingest, alignment, idempotent month loads."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from lodgeflow.sources.csv_ingest import (
     align_columns,
     assert_width,
     clean_fact_text,
+    headers,
     list_month_files,
     read_aligned,
     read_raw_csv,
@@ -22,9 +24,11 @@ from lodgeflow.sources.csv_ingest import (
 )
 from lodgeflow.sources.schemas import FACT_FILE_PATTERN, LISTING_COLUMNS, LISTING_SCHEMA
 from lodgeflow.sources.sinks import (
+    keys_held,
     load_new_rows,
     materialize,
     materialize_view,
+    overwrite_table,
     save_named,
     table_exists,
 )
@@ -118,6 +122,59 @@ def test_primary_key_on_load(spark, tmpdir_path):
         ("b", "key twice"), ("z", "key in table")]
 
 
+def test_a_batch_reads_the_keys_that_can_be_its_own(spark, tmpdir_path):
+    sink, keys = os.path.join(tmpdir_path, "bronze"), ["id", "day"]
+    kind = "id string, day string, v string, MONTH_YEAR string"
+    months = {m: spark.createDataFrame([(str(i), f"2020-{m:02d}-{1 + i % 28:02d}", "x", f"{m:02d}_2020") for i in range(400)], kind) for m in range(1, 7)}
+    for df in months.values():
+        load_new_rows(spark, df, sink, keys)
+    assert spark.read.parquet(sink).count() == 2400
+    assert keys_held(months[6], f"{sink}_index", keys, "other").count() == 400       # its own dates only
+    one = months[3].filter("id = '7'")
+    held = keys_held(one, f"{sink}_index", keys, "other")
+    parts = {f.split("_part=")[1].split("/")[0] for f in spark.read.parquet(f"{sink}_index").inputFiles()}
+    scan = re.search(r"PartitionFilters: \[(.*?)\]", held._jdf.queryExecution().toString())
+    assert len(parts) == 16 and "_part" in scan[1] and held.count() < 10
+    assert load_new_rows(spark, months[6].union(one), sink, keys).count() == 0
+
+
+def test_a_repeated_load_takes_its_own_place(spark, tmpdir_path):
+    sink, bad, keys = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "bad"), ["id", "day"]
+    kind = "id string, day string, v string, MONTH_YEAR string"
+    one = spark.createDataFrame([("1", "2020-05-01", "a", "05_2020")], kind)
+    two = spark.createDataFrame([("1", "2020-05-01", "b", "05_2020"), ("2", "2020-05-02", "c", "05_2020"), ("3", "2020-05-02", "d", "05_2020"),
+                                 ("3", "2020-05-02", "d", "05_2020"), ("3", "2020-05-02", "e", "05_2020")], kind)
+    load_new_rows(spark, one, sink, keys, quarantine=bad, load="first")
+    for _ in range(2):
+        assert load_new_rows(spark, two, sink, keys, quarantine=bad, load="second").count() == 2
+        assert sorted((r.id, r.v) for r in spark.read.parquet(sink).collect()) == [("1", "a"), ("2", "c"), ("3", "d")]
+        assert sorted((r.v, r._reason) for r in spark.read.parquet(bad).collect()) == [("b", "key in table"), ("e", "key twice")]
+
+
+def test_refresh_that_fails_leaves_the_old_table(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "dim")
+    overwrite_table(spark.range(3), path)
+    with pytest.raises(Exception):
+        overwrite_table(spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("id")), path)
+    with pytest.raises(IngestError):
+        overwrite_table(spark.range(5), path, check=lambda rows: assert_width(rows, 2))
+    assert spark.read.parquet(path).count() == 3 and os.listdir(tmpdir_path) == ["dim"]
+    os.rename(path, path + "__old")                       # ended between the two renames
+    overwrite_table(spark.range(4), path)
+    assert spark.read.parquet(path).count() == 4 and os.listdir(tmpdir_path) == ["dim"]
+
+
+def test_headers_in_one_job(spark, tmpdir_path):
+    files = [write(os.path.join(tmpdir_path, f"a file {i}.csv"), f"A,B{i % 3}\r\n1,2\r\n") for i in range(40)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    got = headers(spark, files)
+    assert len(tracker.getJobIdsForGroup("headers")) <= 3         # a listing, a scan and its aggregate, however many files
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert {os.path.basename(p): n for p, n in got.items()} == {f"a file {i}.csv": ("A", f"B{i % 3}") for i in range(40)}
+    assert len(read_aligned(spark, files, T.StructType([T.StructField("A", T.StringType()), T.StructField("MONTH_YEAR", T.StringType())])).collect()) == 40
+
+
 def test_files_are_aligned_by_their_own_header(spark, tmpdir_path):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("A", "B", "C", "MONTH_YEAR")])
     files = [write(os.path.join(tmpdir_path, "05_2020.csv"), "A,B,C\n1,2,3\n"),

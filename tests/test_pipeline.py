@@ -120,6 +120,49 @@ def test_archive_and_catalog(spark, tmpdir_path):
     spark.sql("DROP TABLE r_f_listing")
 
 
+def test_redelivered_file_and_archive_clash(spark, tmpdir_path, caplog):
+    """A corrected file under an old name is loaded and archived beside the first one."""
+    _, facts = build_inputs(tmpdir_path)
+    bronze, arch = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "arch")
+    load_facts(spark, facts, bronze, archive_dir=arch)
+    for n in (5, 6):                                    # again and again
+        write(os.path.join(facts, "05_2020.csv"), [",".join(FACT_COLS), fact_line(listing_id="1", scraped_date="10/05/2020", host_id="7"),
+                                                   fact_line(listing_id=str(n), scraped_date="10/05/2020", host_id="7")])
+        report = load_facts(spark, facts, bronze, archive_dir=arch, register=n == 6)
+        assert report == {"files": 1, "loaded": 1, "quarantined": 0} and report.not_archived == []
+        assert report.samples["SCRAPED_DATE"]
+    raw = spark.read.parquet(bronze + "/r_f_listing")
+    assert sorted(r.LISTING_ID for r in raw.filter("MONTH_YEAR = '05_2020'").collect()) == ["1", "2", "3", "5", "6"]
+    names = sorted(n for _, _, found in os.walk(arch) for n in found if n.endswith(".csv"))
+    assert len(names) == 4 and names[0] == "05_2020.csv" and names[-1] == "06_2020.csv" and names[1].startswith("05_2020_2")
+    assert os.listdir(facts) == ["13_2020.csv"]
+    assert spark.table("r_f_listing").count() == 6
+    spark.sql("DROP TABLE r_f_listing")
+    with caplog.at_level("WARNING"):
+        assert load_dimensions(spark, os.path.join(tmpdir_path, "none"), bronze) == {}
+    assert sum("missing" in r.message for r in caplog.records) == 4
+
+
+def test_failed_load_is_repeated(spark, tmpdir_path, monkeypatch):
+    from lodgeflow.plans import pipeline
+    from lodgeflow.sources.manifest import Manifest
+    _, facts = build_inputs(tmpdir_path)
+    bronze = os.path.join(tmpdir_path, "bronze")
+
+    def lost(*args):
+        raise RuntimeError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(Manifest, "end", lost)
+        with pytest.raises(RuntimeError):
+            load_facts(spark, facts, bronze)
+    write(os.path.join(facts, "07_2020.csv"), [",".join(FACT_COLS), fact_line(listing_id="8", scraped_date="10/07/2020", host_id="7")])
+    assert load_facts(spark, facts, bronze) == {"files": 3, "loaded": 5, "quarantined": 1}
+    assert spark.read.parquet(bronze + "/r_f_listing").count() == 5
+    assert spark.read.parquet(bronze + "/r_f_listing_quarantine").count() == 1
+    assert load_facts(spark, facts, bronze) == {"files": 0, "loaded": 0, "quarantined": 0}
+    assert pipeline.check_load(spark, bronze)["PRICE"]
+
+
 def test_silver_quarantine(spark):
     from lodgeflow.plans import models as M
     rows = [("1", "2020-05-01", "$10"), ("2", "2020-02-31", "1-2"), ("3", "2020-05-02", "123456789012345.5"), ("4", "2020-05-03", "")]

@@ -1,11 +1,13 @@
 """L1 exactly-once month ingest with archive, L2 snapshot apply per micro-batch."""
 
+import datetime as dt
 import os
+import shutil
 import time
 
 from pyspark.sql import functions as F
 
-from lodgeflow.operators.history import scd2_check
+from lodgeflow.operators.history import scd2_apply, scd2_check
 from lodgeflow.sources.schemas import LISTING_COLUMNS
 from lodgeflow.streaming.ingest import (
     SnapshotTable,
@@ -74,22 +76,58 @@ def test_month_split_over_batches(spark, tmpdir_path):
     assert got == [(str(i), "05_2020") for i in range(3)]
 
 
-def test_half_written_version_is_invisible(spark, tmpdir_path):
-    import datetime as dt
-    base = os.path.join(tmpdir_path, "snap")
+def test_half_written_apply_is_invisible(spark, tmpdir_path):
+    """An apply whose closed versions are written but not its state, as if it had ended there."""
+    base, half = os.path.join(tmpdir_path, "snap"), os.path.join(tmpdir_path, "half")
     rows = spark.createDataFrame([(1, dt.date(2020, 5, 1), "A"), (1, dt.date(2020, 6, 1), "B")],
                                  "k long, ts date, a string")
     t = SnapshotTable(spark, base)
     t.apply(rows.filter("ts < '2020-06-01'"), "k", "ts", ["a"])
     t.apply(rows.filter("ts >= '2020-06-01'"), "k", "ts", ["a"])
-    os.remove(os.path.join(base, "v00001", "_COMMITTED"))
-    back = SnapshotTable(spark, base)
+    shutil.copytree(base, half, ignore=lambda d, names: ["batch=1"] if d.endswith("state") else [])
+    back = SnapshotTable(spark, half)
     assert [(r.a, r.dbt_valid_to) for r in back.current().collect()] == [("A", None)]
     back.apply(rows.filter("ts >= '2020-06-01'"), "k", "ts", ["a"])
     assert sorted((r.a, str(r.dbt_valid_to)[:10]) for r in back.current().collect()) == [
         ("A", "2020-06-01"), ("B", "None")]
 
 
+def test_an_apply_reads_no_closed_history(spark, tmpdir_path):
+    """One row a key is read by every apply, with deletes and old batches, and the result is that
+    of applying to the whole table."""
+    table = SnapshotTable(spark, os.path.join(tmpdir_path, "snap"))
+    whole = None
+    batches = []
+    for i in range(8):
+        keys = [k for k in range(6) if (k + i) % 4 or i == 0]          # some keys go and come back
+        batches.append(spark.createDataFrame([(k, dt.date(2020, 1 + i, 1), f"v{(k * i) % 3}") for k in keys], "k long, ts date, a string"))
+    for b in [*batches[:4], batches[1], *batches[4:], batches[0]]:       # two old batches among them
+        table.apply(b, "k", "ts", ["a"], close_missing=True)
+        whole = scd2_apply(whole, b, "k", "ts", ["a"], close_missing=True)
+        whole = spark.createDataFrame(whole.collect(), whole.schema)
+        state = table.state()
+        assert state.count() == 6
+        assert all(f"/state/batch={table.version}/" in f for f in state.inputFiles())
+
+    def canon(df):
+        return sorted((r.k, r.a, str(r.dbt_valid_from), str(r.dbt_valid_to)) for r in df.collect())
+    assert canon(table.current()) == canon(whole)
+
+
+def test_a_batch_is_one_load(spark, tmpdir_path):
+    """Rows without a key are kept aside once, also when the batch is repeated from its checkpoint."""
+    src, ck = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "ck")
+    os.makedirs(src)
+    month_file(src, "05_2020.csv", [listing(1, "1/5/2020"), listing(2, "bad")], time.time() - 100)
+    sink, bad = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "bad")
+    stream_months(spark, src, ck, sink, quarantine=bad).awaitTermination()
+    for name in ("0", ".0.crc"):                           # the driver was lost before the commit
+        os.remove(os.path.join(ck, "commits", name))
+    stream_months(spark, src, ck, sink, quarantine=bad).awaitTermination()
+    assert [r.LISTING_ID for r in spark.read.parquet(sink).collect()] == ["1"]
+    assert [r.LISTING_ID for r in spark.read.parquet(bad).collect()] == ["2"]
+
+
 def test_snapshot_apply_per_batch_equals_closed_form(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "src")
     os.makedirs(src)
@@ -123,7 +161,6 @@ def test_snapshot_apply_per_batch_equals_closed_form(spark, tmpdir_path):
 
 
 def test_snapshot_table_resumes_after_restart(spark, tmpdir_path):
-    import datetime as dt
     base = os.path.join(tmpdir_path, "snap")
     rows = spark.createDataFrame([(1, dt.date(2020, 5, 1), "A"), (1, dt.date(2020, 6, 1), "B")],
                                  "k long, ts date, a string")

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeflow.functions import ratio, renormalise_bool, stays, upper_trim, zero_to_null
@@ -80,34 +80,63 @@ def mart_base(lm: DataFrame, hm: DataFrame, host_groups: Sequence[str] = (),
                              "_sh": F.coalesce(F.col("_sh"), F.lit(False))})
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, weight: str, out: str,
-                 bins: int = 1024) -> DataFrame:
-    """Exact weighted median per group by counting, with the group's ``_min`` and ``_max``.
+def _bin_of(edges: Column, value: Column, bits: int) -> Column:
+    """How many of up to ``2**bits - 1`` sorted ``edges`` are below ``value``, by binary search."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(bits))))
+
+    def step(at: Column, width: Column) -> Column:
+        # null beyond the last edge
+        return F.when(F.get(edges, at + width - 1) < value, at + width).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)
+
 
-    Each group's range is cut into ``bins`` equal parts and their weights are
-    summed; only the parts that hold the two middle ranks are then sorted. No
-    task holds a group: sums are combined before every shuffle, the first
-    ranking sees ``bins`` rows of a group and the second one part of it.
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, weight: str, out: str,
+                 bits: int = 7, rounds: int = 1) -> DataFrame:
+    """Exact weighted median per group by selection, with the group's ``_min`` and ``_max``.
+
+    Equal values of a group are one row with their summed weight. Each round cuts what is left of a
+    group into ``2**bits`` bins at quantiles of its values, taken from a mergeable sketch
+    (``percentile_approx``): an edge that is a little off makes bins a little uneven, not the result
+    wrong. Weights are summed by bin and only the bins that hold the two middle ranks go on; a
+    last window sorts these. So a task sorts about one in ``2**(bits * rounds)`` of a group's values,
+    wherever they lie, and no task holds a group; ``rounds=2`` is for groups of over some 10**8
+    different values.
     """
     keys = list(keys)
-    counted = df.groupBy(*keys, value).agg(F.sum(weight).alias("_f"))
-    ranges = counted.groupBy(*keys).agg(F.min(value).alias("_min"), F.max(value).alias("_max"),
-                                        F.sum("_f").alias("_n"))
-    at = ((F.col(value) - F.col("_min")).cast("double")
-          / F.nullif((F.col("_max") - F.col("_min")).cast("double"), F.lit(0.0)) * bins)
-    binned = counted.join(ranges, keys).withColumn(
-        "_bin", F.least(F.lit(bins - 1), F.floor(F.coalesce(at, F.lit(0.0))).cast("int")))
-    lower, upper = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-    by_bin = Window.partitionBy(*keys).orderBy("_bin")
-    parts = (binned.groupBy(*keys, "_bin").agg(F.sum("_f").alias("_b"), F.first("_n").alias("_n"))
-             .withColumn("_end", F.sum("_b").over(by_bin))
-             .withColumn("_begin", F.col("_end") - F.col("_b"))
-             .filter((F.col("_end") > lower) & (F.col("_begin") <= upper))
-             .select(*keys, "_bin", "_begin"))
-    by_value = Window.partitionBy(*keys, "_bin").orderBy(value)
-    near = (binned.join(parts, [*keys, "_bin"])
-            .withColumn("_to", F.col("_begin") + F.sum("_f").over(by_value))
+    left = df.groupBy(*keys, value).agg(F.sum(weight).alias("_f"))
+    ranges = None
+    where: list[str] = []           # which bins of the rounds so far; the two middle ranks can part
+    shares = F.array(*(F.lit(i / (1 << bits)) for i in range(1, 1 << bits)))
+    for turn in range(rounds):
+        group = [*keys, *where]
+        cut = [F.percentile_approx(value, shares, max(1000, 4 << bits)).alias("_edges")]
+        if not turn:
+            cut += [F.min(value).alias("_min"), F.max(value).alias("_max"), F.sum("_f").alias("_n")]
+        edges = left.groupBy(*group).agg(*cut)
+        if not turn:
+            ranges = edges.select(*keys, "_min", "_max")
+            edges = edges.select(*keys, "_edges", "_n", F.lit(0).cast("long").alias("_before"))
+        else:
+            edges = edges.join(begun, group)
+        bin_ = f"_bin{turn}"
+        binned = left.join(edges, group).withColumn(bin_, _bin_of(F.col("_edges"), F.col(value), bits))
+        lower, upper = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+        by_bin = Window.partitionBy(*group).orderBy(bin_)
+        begun = (binned.groupBy(*group, bin_).agg(F.sum("_f").alias("_b"), F.first("_n").alias("_n"), F.first("_before").alias("_before"))
+                 .withColumn("_end", F.col("_before") + F.sum("_b").over(by_bin))
+                 .withColumn("_before", F.col("_end") - F.col("_b"))
+                 .filter((F.col("_end") > lower) & (F.col("_before") <= upper))
+                 .select(*group, bin_, "_n", "_before"))
+        where.append(bin_)
+        left = binned.drop("_edges", "_n", "_before")
+        if turn + 1 < rounds:
+            left = left.join(begun.select(*keys, *where), [*keys, *where], "left_semi")
+    by_value = Window.partitionBy(*keys, *where).orderBy(value)
+    near = (left.join(begun, [*keys, *where])
+            .withColumn("_to", F.col("_before") + F.sum("_f").over(by_value))
             .withColumn("_from", F.col("_to") - F.col("_f")))
+    lower, upper = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
 
     def at_rank(rank):
         return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col(value)))

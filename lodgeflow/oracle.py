@@ -306,6 +306,11 @@ SELECT {month_day('mno')} AS month_date, count(*) AS listings, count_if(coalesce
   round(quantile_cont(CAST(price AS DOUBLE), 0.5) FILTER ({open_price}), 6) AS median_price_active,
   CAST(sum(price) FILTER ({open_price}) AS DOUBLE) / nullif(CAST(count(price) FILTER ({open_price}) AS DOUBLE), 0) AS avg_price_active
 FROM fact GROUP BY mno""",
+        "median_outliers": """
+WITH priced AS (SELECT o_orderpriority, CAST(o_totalprice AS DECIMAL(30,2)) AS price FROM orders),
+everything AS (SELECT * FROM priced UNION ALL SELECT o_orderpriority, CAST(max(price) * 1000000000 AS DECIMAL(30,2)) FROM priced GROUP BY 1)
+SELECT o_orderpriority, CAST(max(price) AS DOUBLE) AS max_price, quantile_cont(CAST(price AS DOUBLE), 0.5) AS median_price
+FROM everything GROUP BY o_orderpriority""",
         "monthly_fact": with_parts(OBS, FACT) + f"""
 SELECT listing_id, host_id, {month_day('mno')} AS month_date, has_availability, availability_30, CAST(price AS DOUBLE) AS price,
   nights AS stays, number_of_reviews, rating AS review_scores_rating FROM fact""",

@@ -46,6 +46,7 @@ from lodgeflow.sources.sinks import (
     analyze,
     list_names,
     load_new_rows,
+    materialize,
     move_files,
     overwrite_partitions,
     overwrite_table,
@@ -132,8 +133,8 @@ def start_loads(spark: SparkSession, manifest: Manifest, found: DataFrame, table
     todo: dict[str, list[str]] = {}
     for r in manifest.unfinished(found).collect():
         todo.setdefault(r["load"], []).append(unquote(r["path"]))
-    fresh = manifest.fresh(found)
-    if not fresh.isEmpty():
+    fresh = manifest.fresh(found).collect()     # the reader takes paths
+    if fresh:
         name = f"l{uuid.uuid4().hex[:12]}"
         todo[name] = manifest.begin(name, fresh)
     return {name: (len(files), *_load(spark, sorted(files), table, name, multi_line)) for name, files in todo.items()}
@@ -141,15 +142,15 @@ def start_loads(spark: SparkSession, manifest: Manifest, found: DataFrame, table
 
 def _load(spark: SparkSession, files: list[str], table: str, load: str, multi_line: bool) -> tuple[int, int]:
     """One load: rows added, and rows without a key."""
-    cleaned = clean_fact_text(read_aligned(spark, files, LISTING_SCHEMA, multi_line))
-    ok = keys_present(FACT_KEYS)
+    text = clean_fact_text(read_aligned(spark, files, LISTING_SCHEMA, multi_line))
     counts = Observation(load)
-    seen = cleaned.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("refused"))
-    added = load_new_rows(spark, blank_as_null(seen.filter(ok)), table, FACT_KEYS,
-                          quarantine=f"{table}_quarantine_keys", load=load)
+    keyed = text.select("*", keys_present(FACT_KEYS).alias("_ok")).observe(counts, F.count_if(~F.col("_ok")).alias("refused"))
+    staged = materialize(spark, keyed, "facts")
     refused = int(counts.get["refused"])
     if refused:
-        overwrite_partitions(cleaned.filter(~ok).withColumn(LOAD, F.lit(load)), f"{table}_quarantine", [LOAD])
+        overwrite_partitions(staged.filter(~F.col("_ok")).drop("_ok").withColumn(LOAD, F.lit(load)), f"{table}_quarantine", [LOAD])
+    added = load_new_rows(spark, blank_as_null(staged.filter("_ok").drop("_ok")), table, FACT_KEYS,
+                          quarantine=f"{table}_quarantine_keys", load=load, staged=True)
     return added.count(), refused
 
 

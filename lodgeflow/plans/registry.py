@@ -245,6 +245,16 @@ def filtered_aggs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(out, "min_price_active", "max_price_active", "median_price_active")
 
 
+@register("median_outliers")
+def median_outliers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians of groups that each hold a value 10^9 times the largest of the rest."""
+    orders = D.read_table(spark, sf_dir, "orders").select("o_orderpriority", F.col("o_totalprice").cast("decimal(30,2)").alias("price"))
+    far = orders.groupBy("o_orderpriority").agg((F.max("price") * 1_000_000_000).cast("decimal(30,2)").alias("price"))
+    rows = orders.unionByName(far).withColumn("w", F.lit(1))
+    out = exact_median(rows, ["o_orderpriority"], "price", "w", "median_price", rounds=2)
+    return out.select("o_orderpriority", F.col("_max").cast("double").alias("max_price"), "median_price")
+
+
 @register("monthly_fact")
 def monthly_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = Domain.of(spark, sf_dir).fact

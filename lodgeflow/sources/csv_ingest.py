@@ -143,15 +143,13 @@ def assert_width(df: DataFrame, n: int, label: str = "") -> DataFrame:
 def clean_fact_text(df: DataFrame, date_cols=("SCRAPED_DATE", "HOST_SINCE"),
                     price_col: str = "PRICE") -> DataFrame:
     """B1-B3, B11 (loader part): null tokens to '', dates to ISO text, price scrubbed."""
-    out = df
-    for c in df.columns:
-        out = out.withColumn(c, F.coalesce(null_tokens(F.col(c)), F.lit("")))
-    for c in date_cols:
-        if c in out.columns:
-            out = out.withColumn(c, iso_text_dayfirst(F.col(c)))
-    if price_col in out.columns:
-        out = out.withColumn(price_col, F.regexp_replace(F.col(price_col), r"[^0-9.\-]", ""))
-    return out
+    def cleaned(c: str) -> Column:
+        v = F.coalesce(null_tokens(F.col(c)), F.lit(""))
+        if c in date_cols:
+            return iso_text_dayfirst(v)
+        return F.regexp_replace(v, r"[^0-9.\-]", "") if c == price_col else v
+
+    return df.select(*(cleaned(c).alias(c) for c in df.columns))
 
 
 def blank_as_null(df: DataFrame) -> DataFrame:

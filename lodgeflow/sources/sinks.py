@@ -144,12 +144,18 @@ def keys_held(rows: DataFrame, index: str, keys: Sequence[str], load: str) -> Da
     lo, hi, parts = rows.agg(F.min(keys[-1]), F.max(keys[-1]), F.collect_set(_bucket(keys[0]))).first()
     kind = T.StructType([*(rows.schema[k] for k in keys), T.StructField("_row", T.LongType()),
                          T.StructField("_part", T.IntegerType()), T.StructField(LOAD, T.StringType())])
-    near = F.col("_part").isin(parts) & (F.col(LOAD) != load) & F.col(keys[-1]).between(F.lit(lo), F.lit(hi))
-    return rows.sparkSession.read.schema(kind).parquet(index).filter(near).groupBy(*keys).agg(F.first("_row").alias("_held"))
+    spark = rows.sparkSession
+    there = set(list_names(spark, index))
+    paths = [f"{index}/{p}" for p in (f"_part={i}" for i in parts) if p in there]      # other parts aren't even listed
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*kind.fields[:len(keys)], T.StructField("_held", T.LongType())]))
+    near = (F.col(LOAD) != load) & F.col(keys[-1]).between(F.lit(lo), F.lit(hi))
+    return spark.read.schema(kind).option("basePath", index).parquet(*paths).filter(near).groupBy(*keys).agg(F.first("_row").alias("_held"))
 
 
 def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
-                  month_col: str = "MONTH_YEAR", quarantine: str | None = None, load: str | None = None) -> DataFrame:
+                  month_col: str = "MONTH_YEAR", quarantine: str | None = None, load: str | None = None,
+                  staged: bool = False) -> DataFrame:
     """Append the rows whose primary key is not in the table yet.
 
     A month may come in any number of files and batches: what is there stays, what is missing is
@@ -161,7 +167,7 @@ def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
     anywhere and is repeated under its name takes the place of what it had written; under another
     name it adds only what is missing.
 
-    The batch meets ``<path>_index``: the keys and a hash of every row, in ``KEY_BUCKETS`` parts by
+    ``df`` is written once and read several times, unless it is ``staged`` already. It meets ``<path>_index``: the keys and a hash of every row, in ``KEY_BUCKETS`` parts by
     the first key. Read are the parts that the batch's keys fall in, and in them the files whose range
     of the last key (the date) meets the batch's, as every load writes files of its own dates. The
     batch's wide rows are shuffled only where a key is twice or held by a row that differs.
@@ -169,26 +175,24 @@ def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
     columns, index = df.columns, f"{path}_index"
     load = load or f"l{uuid.uuid4().hex[:12]}"
     row = F.struct(*columns)
-    staged = materialize(spark, df.withColumn("_row", F.xxhash64(*columns)), "load")
-    own = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_least"), F.max("_row").alias("_most"))
-    held = keys_held(staged, index, keys, load) if table_exists(spark, index) else None
+    rows = (df if staged else materialize(spark, df, "load")).withColumn("_row", F.xxhash64(*columns))
+    own = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_least"), F.max("_row").alias("_most"))
+    held = keys_held(rows, index, keys, load) if table_exists(spark, index) else None
     known = own.join(held, list(keys), "left") if held is not None else own.withColumn("_held", F.lit(None).cast("long"))
     # keys with more to them than one new row; most loads have none
     odd = materialize(spark, known.filter((F.col("_n") > 1) | F.col("_held").isNotNull()).select(
         *keys, "_held", (F.col("_held").eqNullSafe(F.col("_least")) & F.col("_held").eqNullSafe(F.col("_most"))).alias("_same")), "load-keys")
     if odd.isEmpty():
-        new, care = staged.select(*columns), None
+        new, care = rows.select(*columns), None
     else:
-        care = staged.join(odd.filter(~F.col("_same")).drop("_same"), list(keys))
-        first = materialize(spark, care.groupBy(*keys).agg(F.min(row).alias("_first"), F.first("_held").alias("_held")), "load-first")
-        new = (staged.join(odd.select(*keys), list(keys), "left_anti").select(*columns)
+        care = rows.join(odd.filter(~F.col("_same")).drop("_same"), list(keys))
+        first = care.groupBy(*keys).agg(F.min(row).alias("_first"), F.first("_held").alias("_held"))
+        new = (rows.join(odd.select(*keys), list(keys), "left_anti").select(*columns)
                .unionByName(first.filter(F.col("_held").isNull()).select("_first.*")))
     overwrite_partitions(new.withColumn(LOAD, F.lit(load)), path, [month_col, LOAD])
-    table = spark.read.schema(T.StructType([*df.schema, T.StructField(LOAD, T.StringType())])).parquet(path)
-    added = table.filter(F.col(LOAD) == load).select(*columns)
-    overwrite_partitions(added.select(*keys, F.xxhash64(*columns).alias("_row"), _bucket(keys[0]).alias("_part"), F.lit(load).alias(LOAD)),
+    overwrite_partitions(new.select(*keys, F.xxhash64(*columns).alias("_row"), _bucket(keys[0]).alias("_part"), F.lit(load).alias(LOAD)),
                          index, ["_part", LOAD])
-    if quarantine and care is not None:
+    if quarantine and care is not None and not odd.filter(~F.col("_same")).isEmpty():
         kept = first.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_first")
         # row by row: a held key is one difference, a row that differs from the first of its key another
         twice = (care.join(kept, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
@@ -196,7 +200,7 @@ def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
         in_table = first.filter(F.col("_held").isNotNull()).select("_first.*", "_held").filter(
             F.xxhash64(*columns) != F.col("_held")).select(*columns, F.lit("key in table").alias("_reason"))
         overwrite_partitions(twice.unionByName(in_table).withColumn(LOAD, F.lit(load)), quarantine, [LOAD])
-    return added
+    return new
 
 
 def ensure_tables(spark: SparkSession, specs: dict[str, T.StructType], base: str) -> list[str]:

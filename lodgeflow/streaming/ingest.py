@@ -65,10 +65,14 @@ def stream_months(spark: SparkSession, src_dir: str, checkpoint: str, sink: str,
     """
     stream = month_file_stream(spark, src_dir, archive_dir, max_files)
 
+    own_id: list[str] = []
+
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        # the stream's own id, which a lost checkpoint loses too: its batches are never taken for others
-        name = f"s{session.read.json(f'{checkpoint}/metadata').first()['id']}-{batch_id}"
+        if not own_id:
+            # the stream's own id, which a lost checkpoint loses too: its batches are never taken for others
+            own_id.append(session.read.json(f"{checkpoint}/metadata").first()["id"])
+        name = f"s{own_id[0]}-{batch_id}"
         cleaned = clean_fact_text(read_batch(batch))
         # Only month files are facts: rows without a MM_YYYY month are not loaded.
         valid, bad = split_valid(cleaned.withColumn(

@@ -5,8 +5,10 @@ import random
 import statistics
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from lodgeflow.functions import desc_pg
-from lodgeflow.operators.kpi import exact_median, monthly_kpis
+from lodgeflow.operators.kpi import _bin_of, exact_median, monthly_kpis
 
 D = dt.date
 LM = ("month_start date, listing_id long, host_id long, listing_neighbourhood string, "
@@ -118,13 +120,28 @@ def test_median_by_counting(spark):
     rows = [(g, Decimal(rnd.choice([v, rnd.randint(1, 10**6)])) / 100, rnd.randint(1, 4))
             for g, v in (("a", 5), ("b", 7777), ("c", 1)) for _ in range(301)] + [("one", Decimal("3.50"), 2)]
     df = spark.createDataFrame(rows, "g string, v decimal(18,2), w int")
-    for bins in (1, 7, 1024):
-        got = {r.g: (float(r._min), r.m, float(r._max)) for r in exact_median(df, ["g"], "v", "w", "m", bins).collect()}
+    for bits, rounds in ((1, 1), (3, 1), (8, 1), (2, 2), (2, 3)):
+        got = {r.g: (float(r._min), r.m, float(r._max)) for r in exact_median(df, ["g"], "v", "w", "m", bits, rounds).collect()}
         for g in got:
             values = [float(v) for k, v, w in rows if k == g for _ in range(w)]
             assert got[g] == (min(values), statistics.median(values), max(values))
 
 
+def test_median_beside_an_outlier(spark):
+    """Bins follow the values: one price far out leaves them even, and no bin has 1 % of the group."""
+    df = spark.range(20_000).select(F.lit("g").alias("g"), (F.col("id") * 37 % 20_011).cast("decimal(18,2)").alias("v"), F.lit(1).alias("w"))
+    df = df.unionByName(spark.createDataFrame([("g", Decimal(10) ** 13, 1)], "g string, v decimal(18,2), w int"))
+    edges = df.groupBy("g").agg(F.percentile_approx("v", [i / 256 for i in range(1, 256)], 1024).alias("e"))
+    binned = df.join(edges, "g").groupBy(_bin_of(F.col("e"), F.col("v"), 8).alias("b")).count()
+    assert binned.agg(F.max("count")).first()[0] < 200 and binned.count() > 200
+    values = [float(r.v) for r in df.collect()]
+    assert exact_median(df, ["g"], "v", "w", "m").first().m == statistics.median(values)
+    plain = [sum(e < v for e in (1, 3, 3, 7)) for v in (0, 1, 2, 3, 5, 7, 9)]
+    got = spark.createDataFrame([(v,) for v in (0, 1, 2, 3, 5, 7, 9)], "v int").select(
+        _bin_of(F.array(*map(F.lit, (1, 3, 3, 7))), F.col("v"), 3).alias("b"))
+    assert [r.b for r in got.collect()] == plain
+
+
 def test_hot_host_holding_half_of_all_rows(spark):
     """A host owning half the listings, with several versions in one month (fan-out)."""
     rows, hm = [], []

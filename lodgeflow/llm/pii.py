@@ -66,15 +66,19 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def _chunks(items: Column) -> Column:
     """The array in slices of ``CHUNK``; none of an empty array."""
-    starts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.slice(items, i, CHUNK))
+    def cut(bound: Column) -> Column:
+        starts = F.when(F.size(bound) > 0, F.sequence(F.lit(1), F.size(bound), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(bound, i, CHUNK))
+
+    return _let(items, cut)
 
 
 def positions(text: Column, matches: Column, pattern: str, wanted: Callable[[Column], Callable[[Column], Column]] | None = None) -> Column:
     """Start and end in code points of all ``matches`` of ``pattern`` in ``text``. ``wanted`` makes, of the
     values of a chunk, the test that picks those to return."""
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("value")))
+    # with the text behind the last match as one more pair, which goes again
+    pairs = _let(F.zip_with(F.split(text, pattern, -1), matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("value"))),
+                 lambda all_: F.slice(all_, 1, F.size(all_) - 1))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]

@@ -5,6 +5,10 @@ entity key: one shuffle on the key, then a sort within each partition. The
 incremental form (``scd2_apply``) touches only the open versions plus the new
 batch; closed versions pass through without a shuffle.
 
+Where one key may hold a large share of all rows, ``slices`` cuts its history into slices of
+time: windows run inside (key, slice), and one row per slice carries what its neighbours need, so
+the rows of a hot key are many tasks' work.
+
 Versions carry ``dbt_valid_from`` / ``dbt_valid_to`` (TIMESTAMP_NTZ, open end
 NULL). ``month_validity`` turns them into month-aligned validity.
 """
@@ -18,22 +22,51 @@ from pyspark.sql import functions as F
 
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
+_SLICE = "_slice"
 
 
 def _ts(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
-def scd2_timestamp(hist: DataFrame, key: str, updated_at: str) -> DataFrame:
+def _observed(hist: DataFrame, key: str, updated_at: str, slices: str | None) -> DataFrame:
+    """Rows with a key and a time, and the slice of time they are in: a calendar unit of ``trunc``, or
+    ``day``. Dates need no time zone, so slices follow the order of the rows."""
+    rows = hist.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
+    if slices is None:
+        return rows
+    day = F.col(updated_at).cast("date")
+    return rows.withColumn(_SLICE, day if slices == "day" else F.trunc(day, slices))
+
+
+def _valid_to(starts: DataFrame, key: str, updated_at: str, slices: str | None) -> DataFrame:
+    """``starts`` with the time at which the next version of the key starts (``_next``). Across slices
+    it is the first start of the next slice that has one: one row per slice, summed up before the
+    shuffle."""
+    if slices is None:
+        return starts.withColumn("_next", F.lead(updated_at).over(Window.partitionBy(key).orderBy(F.col(updated_at))))
+    by_key = Window.partitionBy("_sk").orderBy("_ss")
+    later = (starts.groupBy(F.col(key).alias("_sk"), F.col(_SLICE).alias("_ss")).agg(F.min(updated_at).alias("_begin"))
+             .select("_sk", "_ss", F.lead("_begin").over(by_key).alias("_later")))
+    inside = Window.partitionBy(key, _SLICE).orderBy(F.col(updated_at))
+    return (starts.withColumn("_lead", F.lead(updated_at).over(inside))
+            .join(later, (F.col(key) == F.col("_sk")) & (F.col(_SLICE) == F.col("_ss")))
+            .withColumn("_next", F.coalesce("_lead", "_later")))
+
+
+def scd2_timestamp(hist: DataFrame, key: str, updated_at: str, slices: str | None = None) -> DataFrame:
     """Timestamp strategy; every newer ``updated_at`` of a key opens a version.
 
     ``hist`` holds one row per (key, updated_at). The version is valid until
     the next ``updated_at`` of the same key; the newest version stays open.
+
+    ``slices`` (``year``, ``quarter``, ``month``, ``week``, ``day``) is for hot keys: the result is the
+    same, a task sorts a key's rows of one slice, and the history is read once more for the slices'
+    first times.
     """
-    w = Window.partitionBy(key).orderBy(F.col(updated_at))
-    return (hist.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
-            .withColumns({VALID_FROM: _ts(F.col(updated_at)),
-                          VALID_TO: _ts(F.lead(updated_at).over(w))}))
+    rows = _observed(hist, key, updated_at, slices)
+    return _valid_to(rows, key, updated_at, slices).select(
+        *hist.columns, _ts(F.col(updated_at)).alias(VALID_FROM), _ts(F.col("_next")).alias(VALID_TO))
 
 
 def _changed(check_cols: Sequence[str], w: Window) -> Column:
@@ -45,19 +78,34 @@ def _changed(check_cols: Sequence[str], w: Window) -> Column:
 
 
 def scd2_check(hist: DataFrame, key: str, updated_at: str,
-               check_cols: Sequence[str]) -> DataFrame:
+               check_cols: Sequence[str], slices: str | None = None) -> DataFrame:
     """Check strategy; a version opens when any check column changes.
 
     ``valid_from`` is the ``updated_at`` of the changing row and a version ends
     where the next one begins. Both windows share one partitioning and sort.
+
+    ``slices`` as in ``scd2_timestamp``: the first row of a slice is compared with the last row of the
+    key's slice before it, of which there is one row per slice.
     """
-    w = Window.partitionBy(key).orderBy(F.col(updated_at))
     cols = hist.columns
-    marked = (hist.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
-              .withColumn("_start", (F.row_number().over(w) == 1) | _changed(check_cols, w)))
-    starts = marked.filter(F.col("_start")).select(*cols)
-    return starts.withColumns({VALID_FROM: _ts(F.col(updated_at)),
-                               VALID_TO: _ts(F.lead(updated_at).over(w))})
+    rows = _observed(hist, key, updated_at, slices)
+    if slices is None:
+        w = Window.partitionBy(key).orderBy(F.col(updated_at))
+        marked = rows.withColumn("_start", (F.row_number().over(w) == 1) | _changed(check_cols, w))
+    else:
+        w = Window.partitionBy(key, _SLICE).orderBy(F.col(updated_at))
+        checks = F.struct(*check_cols)
+        by_key = Window.partitionBy("_ck").orderBy("_cs")
+        before = (rows.groupBy(F.col(key).alias("_ck"), F.col(_SLICE).alias("_cs")).agg(F.max_by(checks, updated_at).alias("_last"))
+                  .select("_ck", "_cs", F.lag("_last").over(by_key).alias("_before")))
+        # a struct of nulls is no null: null is the key's first slice alone
+        marked = (rows.withColumns({"_first": F.row_number().over(w) == 1, "_differs": _changed(check_cols, w)})
+                  .join(before, (F.col(key) == F.col("_ck")) & (F.col(_SLICE) == F.col("_cs")))
+                  .withColumn("_start", F.when(F.col("_first"), F.col("_before").isNull() | ~checks.eqNullSafe(F.col("_before")))
+                              .otherwise(F.col("_differs"))))
+    starts = marked.filter(F.col("_start")).select(*rows.columns)
+    return _valid_to(starts, key, updated_at, slices).select(
+        *cols, _ts(F.col(updated_at)).alias(VALID_FROM), _ts(F.col("_next")).alias(VALID_TO))
 
 
 def _stacked(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -251,6 +251,13 @@ def census_rows() -> str:
     return with_parts(PEOPLE, AREAS)
 
 
+# States of events by key and time; the even users are one key.
+HOT_KEY = """WITH seen AS (
+  SELECT CASE WHEN user_id % 2 = 0 THEN 0 ELSE user_id END AS entity_id, ts AS seen_at, min(event_type) AS event_type
+  FROM events GROUP BY ALL)"""
+BY_ENTITY = "WINDOW w AS (PARTITION BY entity_id ORDER BY seen_at)"
+
+
 def queries_sql() -> dict[str, str]:
     open_price = "coalesce(has_availability, FALSE) AND price IS NOT NULL"
     mixed = "CASE WHEN mno % 12 + 1 IN (2, 5, 8, 11) THEN NULL ELSE {0} END"
@@ -268,6 +275,8 @@ def queries_sql() -> dict[str, str]:
         "kpi_property_type": mart_query("property_type"),
         "kpi_host_area": mart_query("host_neighbourhood"),
         "kpi_property_room_size": mart_query("property_room_size"),
+        "kpi_neighbourhood_refreshed": mart_query("neighbourhood"),
+        "kpi_host_area_refreshed": mart_query("host_neighbourhood"),
         "kpi_neighbourhood_half_open": mart_query("neighbourhood", overlap=False),
         "pct_change_lag": mart("property_type") + f"""
 SELECT property_type, {month_day('no')} AS month_start, n_open AS listings_active, n_shut AS listings_inactive,
@@ -285,6 +294,11 @@ SELECT host_id, day AS scraped_date, a.area AS host_neighbourhood, CAST(day AS T
     THEN (SELECT max(day) FROM host_days) END) AS TIMESTAMP) AS dbt_valid_to
 FROM hv JOIN host_days USING (host_id) GROUP BY host_id, hv.day, hv.a, until""".replace("day AS scraped_date", "hv.day AS scraped_date").replace(
             "a.area AS host", "hv.a.area AS host").replace("CAST(day AS TIMESTAMP) AS dbt_valid_from", "CAST(hv.day AS TIMESTAMP) AS dbt_valid_from"),
+        "scd2_hot_key_timestamp": HOT_KEY + f"""
+SELECT entity_id, event_type, seen_at AS dbt_valid_from, lead(seen_at) OVER w AS dbt_valid_to FROM seen {BY_ENTITY}""",
+        "scd2_hot_key_check": HOT_KEY + f""",
+changes AS (SELECT * FROM seen {BY_ENTITY} QUALIFY row_number() OVER w = 1 OR event_type IS DISTINCT FROM lag(event_type) OVER w)
+SELECT entity_id, event_type, seen_at AS dbt_valid_from, lead(seen_at) OVER w AS dbt_valid_to FROM changes {BY_ENTITY}""",
         "scd2_apply_batches": with_parts(OBS, host_versions()) + HOST_ROWS,
         "stream_scd2_apply": with_parts(OBS, DELIVERED, host_versions("delivered")) + HOST_ROWS,
         "month_validity": versions + f"""

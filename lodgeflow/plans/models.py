@@ -142,10 +142,10 @@ def stg_census_g02(bronze: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- snapshots
-def snap_listing(stg: DataFrame) -> DataFrame:
+def snap_listing(stg: DataFrame, slices: str | None = None) -> DataFrame:
     """Listing history, timestamp strategy on ``scraped_date``."""
     src = stg.select(*LISTING_SNAPSHOT_COLUMNS).filter(F.col("listing_id").isNotNull())
-    return scd2_timestamp(src, "listing_id", "scraped_date")
+    return scd2_timestamp(src, "listing_id", "scraped_date", slices)
 
 
 def host_rows(stg: DataFrame) -> DataFrame:
@@ -170,9 +170,9 @@ def host_rows(stg: DataFrame) -> DataFrame:
                          "_a.host_neighbourhood", "scraped_date")
 
 
-def snap_host(stg: DataFrame) -> DataFrame:
+def snap_host(stg: DataFrame, slices: str | None = None) -> DataFrame:
     """Host history, check strategy on name, superhost flag and area."""
-    return scd2_check(host_rows(stg), "host_id", "scraped_date", HOST_CHECK_COLUMNS)
+    return scd2_check(host_rows(stg), "host_id", "scraped_date", HOST_CHECK_COLUMNS, slices)
 
 
 # ---------------------------------------------------------------------- star

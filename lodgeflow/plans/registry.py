@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.functions import ratio
 from lodgeflow.operators.kpi import exact_median
-from lodgeflow.operators.history import month_validity, scd2_apply, scd2_check
+from lodgeflow.operators.history import month_validity, scd2_apply, scd2_check, scd2_timestamp
 from lodgeflow.operators.lookup import resolve_lookup
 from lodgeflow.operators.quality import (
     check_freshness,
@@ -25,6 +25,7 @@ from lodgeflow.operators.temporal import asof_month_join, expand_months, last_n_
 from lodgeflow.plans import analyses as A
 from lodgeflow.plans import models as M
 from lodgeflow.plans.context import Domain
+from lodgeflow.plans.marts import MartTable
 from lodgeflow.session import scratch_path
 from lodgeflow.sources import driver_tables as D
 from lodgeflow.sources import sinks
@@ -179,6 +180,28 @@ def scd2_apply_batches_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "host_neighbourhood", "dbt_valid_from", "dbt_valid_to")
 
 
+def _hot_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as observations of one state per (key, time), half of them of one key."""
+    return (spark.read.parquet(f"{sf_dir}/events.parquet")
+            .select(F.when(F.col("user_id") % 2 == 0, F.lit(0)).otherwise(F.col("user_id")).cast("long").alias("entity_id"),
+                    F.col("ts").cast("timestamp_ntz").alias("seen_at"), "event_type")
+            .groupBy("entity_id", "seen_at").agg(F.min("event_type").alias("event_type")))
+
+
+@register("scd2_hot_key_timestamp")
+def scd2_hot_key_timestamp_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 in slices of a day, where one key holds half of all rows."""
+    return scd2_timestamp(_hot_key_rows(spark, sf_dir), "entity_id", "seen_at", slices="day").select(
+        "entity_id", "event_type", "dbt_valid_from", "dbt_valid_to")
+
+
+@register("scd2_hot_key_check")
+def scd2_hot_key_check_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 in slices of a day, where one key holds half of all rows."""
+    return scd2_check(_hot_key_rows(spark, sf_dir), "entity_id", "seen_at", ["event_type"], slices="day").select(
+        "entity_id", "event_type", "dbt_valid_from", "dbt_valid_to")
+
+
 @register("month_validity")
 def month_validity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain.of(spark, sf_dir)
@@ -220,6 +243,33 @@ def kpi_neighbourhood_half_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart(spark, sf_dir, "neighbourhood", "half_open")
 
 
+def _mart_by_batches(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """A mart after three deliveries, each applied to both snapshots and then to the mart."""
+    d = Domain.of(spark, sf_dir)
+    lo = d.horizon[0]
+    cuts = [F.add_months(F.lit(lo), n) for n in (5, 9)]
+    base = scratch_path(spark, f"mart-by-batches-{kind}")
+    listings, hosts = SnapshotTable(spark, f"{base}/listings"), SnapshotTable(spark, f"{base}/hosts")
+    table = MartTable(spark, f"{base}/mart", kind, lo)
+    at = F.col("scraped_date")
+    for part in (at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1]):
+        batch = d.stg.filter(part)
+        listings.apply(batch.select(*M.LISTING_SNAPSHOT_COLUMNS), "listing_id", "scraped_date")
+        hosts.apply(M.host_rows(batch), "host_id", "scraped_date", M.HOST_CHECK_COLUMNS)
+        table.refresh(listings, hosts)
+    return doubles(table.mart(), "min_price_active", "max_price_active", "median_price_active", "avg_est_rev_per_active")
+
+
+@register("kpi_neighbourhood_refreshed")
+def kpi_neighbourhood_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mart_by_batches(spark, sf_dir, "neighbourhood")
+
+
+@register("kpi_host_area_refreshed")
+def kpi_host_area_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mart_by_batches(spark, sf_dir, "host_neighbourhood")
+
+
 @register("pct_change_lag")
 def pct_change_lag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Domain.of(spark, sf_dir).mart("property_type", extra=True)

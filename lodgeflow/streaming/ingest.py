@@ -127,6 +127,17 @@ class SnapshotTable:
         closed, open_v = self.closed_versions(), self.open_versions()
         return open_v if closed is None else closed.unionByName(open_v)
 
+    def changes(self, apply: int, key: str) -> tuple[DataFrame, DataFrame | None]:
+        """What an apply did: the versions it began, and those it closed that were open before (None at
+        the first). Read are its own rows and the state before it."""
+        step = self.spark.read.parquet(f"{self.base}/step/batch={apply}")
+        if not apply:
+            return step, None
+        before = (self.spark.read.parquet(f"{self.base}/state/batch={apply - 1}").filter(F.col(VALID_TO).isNull())
+                  .select(F.col(key).alias("_bk"), F.col(VALID_FROM).alias("_bf")))
+        same = (F.col(key) == F.col("_bk")) & (F.col(VALID_FROM) == F.col("_bf"))
+        return step.join(before, same, "left_anti"), step.filter(F.col(VALID_TO).isNotNull()).join(before, same, "left_semi")
+
     def apply(self, batch: DataFrame, key: str, updated_at: str, check_cols=None,
               close_missing: bool = False) -> None:
         """One apply (``scd2_step``); a batch that was applied before changes nothing."""

@@ -176,3 +176,33 @@ def test_replay_does_not_reopen_a_deleted_key(spark):
     assert sorted((r.k, r.a, str(r.dbt_valid_to)[:10]) for r in again.collect()) == want
     back = scd2_apply(again, july, "k", "ts", ["a"])      # a key may come back later
     assert {(r.k, r.a) for r in back.collect() if r.dbt_valid_to is None} == {(1, "x"), (2, "z")}
+
+
+@pytest.mark.parametrize("unit", ["year", "month", "day"])
+def test_slices_change_nothing(spark, unit):
+    """Half of the rows are one key's; gaps of several slices, nulls in check columns, slices without
+    a change, null keys and times."""
+    rng = random.Random(5)
+    rows = {(0, dt.date(2019, 1, 1) + dt.timedelta(days=3 * d)) for d in range(300)}
+    rows |= {(rng.randrange(1, 40), dt.date(2019, 1, 1) + dt.timedelta(days=rng.randrange(1500))) for _ in range(300)}
+    data = [(k, d, rng.choice(["a", "a", "b", None]), rng.choice([1, 1, None]), d.day) for k, d in sorted(rows)]
+    data += [(None, dt.date(2020, 1, 1), "a", 1, 0), (3, None, "a", 1, 0)]
+    df = spark.createDataFrame(data, "k int, at date, v string, n int, x int")
+    for build in (lambda s: scd2_timestamp(df, "k", "at", s), lambda s: scd2_check(df, "k", "at", ["v", "n"], s)):
+        plain, sliced = build(None), build(unit)
+        assert sliced.columns == plain.columns
+        assert sorted(map(str, sliced.collect())) == sorted(map(str, plain.collect()))
+        assert build(unit).limit(0).count() == 0
+    empty = df.limit(0)
+    assert scd2_check(empty, "k", "at", ["v", "n"], unit).count() == 0
+
+
+def test_slices_split_a_hot_key(spark):
+    """Of the rows that a window sorts as one group, none is over a slice's."""
+    df = spark.range(20000).select(F.lit(7).alias("k"), F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, id)").alias("at"),
+                                   (F.col("id") % 3).alias("v"))
+    plan = scd2_check(df, "k", "at", ["v"], "day")._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "row_number" in line]
+    assert windows and all("_slice" in line for line in windows)
+    out = scd2_check(df, "k", "at", ["v"], "day")
+    assert out.count() == 20000 and out.filter("dbt_valid_to is null").count() == 1

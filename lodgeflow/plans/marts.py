@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -96,16 +97,17 @@ class MartTable:
         if old is None or old < new:
             found |= set(_months(_next_month(old) if old else self.since, new))
         lo, hi = self.since, max(new, old or new)
+        spans = []
         for apply in range(since + 1, table.version + 1):
             begun, ended = table.changes(apply, key)
-            covers = [month_validity(begun, boundary=self.boundary)]
+            spans.append(begun.select(VALID_FROM, VALID_TO))
             if ended is not None:
                 # before, it had no end: from the month it ends in on, the row may have gone
-                covers.append(month_validity(ended.withColumns({VALID_FROM: F.col(VALID_TO), VALID_TO: F.lit(None).cast("timestamp_ntz")}),
-                                             boundary=self.boundary))
-            for versions in covers:
-                found |= {r[0] for r in expand_months(versions.select(VALID_FROM, VALID_TO, "valid_from_month", "valid_to_month"), lo, hi)
-                          .select("month_start").distinct().collect()}
+                spans.append(ended.select(F.col(VALID_TO).alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO)))
+        if spans:
+            # one row per pair of months before the pairs are spread over the months they cover
+            covers = month_validity(reduce(DataFrame.unionByName, spans), boundary=self.boundary).select("valid_from_month", "valid_to_month").distinct()
+            found |= {r[0] for r in expand_months(covers, lo, hi).select(MONTH).distinct().collect()}
         return {m for m in found if m >= self.since}
 
     def _recompute(self, touched: Sequence[dt.date], listings: SnapshotTable, hosts: SnapshotTable) -> list[dt.date]:
@@ -117,6 +119,7 @@ class MartTable:
         # from the first to the last touched month; the versions' scan skips what ended before
         base = M.kpi_base(M.dim_snap_listing(listings.current(), self.boundary), M.dim_snap_host(host_versions, self.boundary),
                           (touched[0], touched[-1]), self.how).filter(own)
+        base = materialize(self.spark, base, "mart-base")   # read by the sums and by the median
         fresh = materialize(self.spark, M.kpi_mart(base, self.kind, extra=True).drop("pct_change_active", "pct_change_inactive"), "mart-cells")
         series, stored = fresh.select(*self.groups, MONTH, *_COMPARED, *(F.lit(None).cast("long").alias(b) for b in _COMPARED.values()),
                                       F.lit(True).alias("_new")), self._cells()

@@ -19,6 +19,7 @@ between pieces to the earlier row.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -48,7 +49,7 @@ def pack(sizes: np.ndarray, capacities: Sequence[int] = CAPACITIES, bin_cost: fl
     places = np.zeros(len(sizes), np.int64)
     used: list[int] = []
     opened: list[int] = []
-    by_room: list[list[int]] = [[] for _ in range(top + 1)]  # open bins by free room, as a heap of one entry each
+    by_room: list[list[int]] = [[] for _ in range(top + 1)]  # open bins by free room, each a heap: the first opened comes first
     rooms = 0  # bit r is set if some bin has r tokens of room
     left, free = int(sizes.sum()), 0
     for i in np.argsort(-sizes, kind="stable").tolist():
@@ -56,7 +57,7 @@ def pack(sizes: np.ndarray, capacities: Sequence[int] = CAPACITIES, bin_cost: fl
         fits = rooms >> size
         if fits:
             room = size + (fits & -fits).bit_length() - 1
-            b = by_room[room].pop(0)
+            b = heappop(by_room[room])
             if not by_room[room]:
                 rooms ^= 1 << room
             free -= size
@@ -79,7 +80,7 @@ def pack(sizes: np.ndarray, capacities: Sequence[int] = CAPACITIES, bin_cost: fl
         left -= size
         rest = room - size
         if rest:
-            by_room[rest].append(b)
+            heappush(by_room[rest], b)
             rooms |= 1 << rest
     filled = np.array(used, np.int64)
     final = np.array(permitted, np.int64)[np.searchsorted(permitted, filled)] if used else filled

@@ -19,6 +19,22 @@ def test_bins_hold_their_pieces(sizes):
         assert final[b] == min(c for c in caps if c >= ends[-1])
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=120))
+def test_best_fit_and_ties(sizes):
+    """Each piece goes where least room is left, of bins with equal room to the one opened first."""
+    sizes = np.array(sizes, np.int64)
+    bins, places, _ = packing.pack(sizes, (64,))
+    room = []
+    for i in np.argsort(-sizes, kind="stable"):
+        fitting = [(r, b) for b, r in enumerate(room) if r >= sizes[i]]
+        b = min(fitting)[1] if fitting else len(room)
+        if not fitting:
+            room.append(64)
+        assert (bins[i], places[i]) == (b, 64 - room[b])
+        room[b] -= sizes[i]
+
+
 def test_close_to_the_volume():
     rng = np.random.default_rng(5)
     sizes = rng.integers(1, 900, 5000)

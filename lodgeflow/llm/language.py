@@ -67,7 +67,8 @@ SCRIPT_RANGES = [
 SCRIPTS = ["other", *dict.fromkeys(name for name, _, _ in SCRIPT_RANGES)]
 
 _BOUNDARY = 1
-_TABLE = 0x20000  # all code points from here on are taken as Han letters
+#: Code points from here on are told by category: a letter is this entry (Han), a mark the next, all else the third.
+_TABLE = 0x20000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0x100000001B3)
 
@@ -76,7 +77,7 @@ class Chars:
     """By code point: whether it is a letter or part of a word, its lower case, its script."""
 
     def __init__(self):
-        n = _TABLE + 1
+        n = _TABLE + 3
         self.letter = np.zeros(n, bool)
         self.word = np.zeros(n, bool)
         self.lower = np.arange(n, dtype=np.uint32)
@@ -89,13 +90,20 @@ class Chars:
                     self.lower[c] = ord(low)
             elif unicodedata.category(ch)[0] == "M":
                 self.word[c] = True
-        self.letter[_TABLE] = self.word[_TABLE] = True
+        self.letter[_TABLE] = self.word[_TABLE] = self.word[_TABLE + 1] = True
         for name, first, last in SCRIPT_RANGES:
             self.script[first:last + 1] = SCRIPTS.index(name)
 
     @staticmethod
     def points(text: str) -> np.ndarray:
-        return np.minimum(codepoints(text), np.uint32(_TABLE))
+        points = codepoints(text)
+        above = points >= _TABLE
+        if above.any():
+            points = points.copy()
+            found, at = np.unique(points[above], return_inverse=True)
+            kinds = [unicodedata.category(chr(c))[0] for c in found.tolist()]
+            points[above] = np.array([_TABLE + {"L": 0, "M": 1}.get(k, 2) for k in kinds], np.uint32)[at]
+        return points
 
     def words(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and end positions of the runs of word characters that hold a letter."""

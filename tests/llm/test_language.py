@@ -69,3 +69,15 @@ def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = Q.op1_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert (got.lang_pred == got.lang).mean() > 0.97
+
+
+def test_letters_of_all_planes(spark, documents):
+    _, m = model(spark, documents)
+    every = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    chars = language.Chars()
+    letter = chars.letter[language.Chars.points("".join(map(chr, every)))]
+    assert (letter == [chr(c).isalpha() for c in every]).all()
+    none = ["\U000F0000\U000F0001", "\U000E0101", "\U000E0041\U000E0042", "\U0001F600", "12 \U00100000 !"]
+    got = m.label(none)
+    assert got["lang_pred"].tolist() == [language.UNKNOWN] * len(none) and (got["score"] == 0).all()
+    assert m.label(["\U00020000\U00020001"])["lang_pred"][0] != language.UNKNOWN

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lodgeflow.llm import queries as Q
 from lodgeflow.llm import urlfilter as U
@@ -32,37 +33,70 @@ def test_rules(spark):
         assert r["verdict"] == verdict or (verdict is None and r["verdict"] in ("allow", "block"))
 
 
-def test_scores_equal_a_plain_model():
-    urls = ["abcabc", "abd", "", "zzz"]
-    learn = (["abcabd", "abc"], ["zzzz", "zab"])
-    counts = np.zeros((2, U.ORDER + 1, 2, 1 << U.BITS))
-    exact = [[{} for _ in range(U.ORDER + 1)] for _ in range(2)]
-    for k, texts in enumerate(learn):
-        data, at, _ = U._bytes(texts)
-        for order in range(U.ORDER + 1):
-            for j, b in enumerate(U._contexts(data, at, order)):
-                counts[k, order, j] += np.bincount(b, minlength=1 << U.BITS)
-        for t in texts:
-            padded = "\0" * U.ORDER + t + "\0"
-            for i in range(U.ORDER, len(padded)):
-                for order in range(U.ORDER + 1):
-                    context = padded[i - order:i]
-                    d = exact[k][order]
-                    d[context] = d.get(context, 0) + 1
-                    d[context, padded[i]] = d.get((context, padded[i]), 0) + 1
-    got = U.log_odds(counts, urls)
-    for u, score in zip(urls, got):
-        padded = "\0" * U.ORDER + u + "\0"
-        total = 0.0
+def learned(texts):
+    """Exact counts of contexts, and of contexts with a byte, by order."""
+    out = [{} for _ in range(U.ORDER + 1)]
+    for t in texts:
+        padded = bytes(U.ORDER) + t.encode() + b"\0"
         for i in range(U.ORDER, len(padded)):
-            p = [1 / 256, 1 / 256]
             for order in range(U.ORDER + 1):
                 context = padded[i - order:i]
-                for k in range(2):
-                    d = exact[k][order]
-                    p[k] = (d.get((context, padded[i]), 0) + U.WEIGHT * p[k]) / (d.get(context, 0) + U.WEIGHT)
-            total += np.log(p[1]) - np.log(p[0])
-        assert abs(score - (total / (len(u) + 1) if u else 0)) < 1e-6
+                for key in (context, (context, padded[i])):
+                    out[order][key] = out[order].get(key, 0) + 1
+    return out
+
+
+def plain_score(url, accepted, rejected):
+    padded = bytes(U.ORDER) + url.encode() + b"\0"
+    total = 0.0
+    for i in range(U.ORDER, len(padded)):
+        p = [1 / 256, 1 / 256]
+        for order in range(U.ORDER + 1):
+            context = padded[i - order:i]
+            for k, d in enumerate((accepted[order], rejected[order])):
+                p[k] = (d.get((context, padded[i]), 0) + U.WEIGHT * p[k]) / (d.get(context, 0) + U.WEIGHT)
+        total += np.log(p[1]) - np.log(p[0])
+    return total / (len(padded) - U.ORDER) if url else 0.0
+
+
+def test_scores_equal_a_plain_model(spark, monkeypatch):
+    monkeypatch.setattr(U, "BLOCK_BYTES", 200)  # many blocks
+    urls = ["http://a.net/x", "http://a.net/x", "http://b.net/", "http://example.net/en/1", "http://m.example.net/en/ü", "http://u.org/fr/1",
+            "http://example.com/de/7", "http://other.edu/\0x", "", None, "no scheme", "http://z.edu/" + "en/" * 2000, "http://example.net/en/1"]
+    got = U.judge(spark.createDataFrame([(u,) for u in urls], "url string")).collect()
+    by_class = [[u for u in urls if u and plain(u)[3] == v] for v in ("allow", "block")]
+    models = [learned(texts) for texts in by_class]
+    assert len(got) == len(urls)
+    for r in got:
+        assert abs(r["score"] - plain_score(r["url"] or "", *models)) < 1e-9, r["url"]
+        assert r["verdict"] == plain(r["url"])[3] or r["verdict"] == ("block" if r["score"] > r["threshold"] else "allow")
+
+
+def test_threshold_is_set_on_urls_that_its_models_have_not_seen(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("url")
+    half = {r[0]: r[1] for r in pages.select("url", F.pmod(F.xxhash64(U.host_of(F.col("url"))), F.lit(2))).collect()}
+    got = U.judge(pages).collect()
+    known = [(r["url"], half[r["url"]], plain(r["url"])[3] == "block") for r in got if plain(r["url"])[3]]
+    models = [[learned([u for u, h, b in known if h == own and b == k]) for k in (False, True)] for own in (0, 1)]
+    usable = [h for h in (0, 1) if {b for _, o, b in known if o == 1 - h} == {False, True}]
+    scores = [(plain_score(u, *models[1 - h]), b) for u, h, b in known if h in usable]
+
+    def wrong(t):
+        r, a = [s for s, b in scores if b], [s for s, b in scores if not b]
+        return sum(s < t for s in r) / len(r) + sum(s >= t for s in a) / len(a)
+
+    best = min(wrong(t) for t in (*(s for s, _ in scores), 100.0))
+    assert abs(wrong(got[0]["threshold"]) - best) <= 0.05  # the grid's width
+
+
+def test_a_half_without_a_class_does_not_calibrate(spark):
+    # one host a class: a half never has both, so likelihoods are compared as they are
+    rows = [(f"http://{h}/{p}/{w}{i}",) for i in range(30) for h, p, w in [("example.net", "en", "good"), ("spam.net", "x", "casino")]]
+    got = U.judge(spark.createDataFrame([*rows, ("http://u.edu/casino3",), ("http://u.edu/good3",)], "url string")).collect()
+    halves = {r[0] for r in spark.createDataFrame([("example.net",), ("spam.net",)], "host string").select(F.pmod(F.xxhash64("host"), F.lit(2))).collect()}
+    if len(halves) == 2:
+        assert {r["threshold"] for r in got} == {0.0}
+    assert {r["url"][-7:-1]: r["verdict"] for r in got if ".edu" in r["url"]} == {"casino": "block", "u/good": "allow"}
 
 
 def test_method_separates(spark):

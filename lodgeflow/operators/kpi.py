@@ -147,6 +147,24 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, weight: str, ou
                     ((F.col("_l").cast("double") + F.col("_u").cast("double")) / 2).alias(out)))
 
 
+def measures() -> dict[str, Column]:
+    """The additive measures of a mart, per row of a ``mart_base``."""
+    w, act, price, rating = F.col("_w"), F.col("is_active"), F.col("price"), F.col("review_scores_rating")
+    priced = act & price.isNotNull()
+    rated = act & rating.isNotNull()
+    return {
+        "listings_total": w,
+        "listings_active": F.when(act, w).otherwise(0),
+        "listings_inactive": F.when(~act, w).otherwise(0),
+        "_price_sum": F.when(priced, price * w),
+        "_price_n": F.when(priced, w),
+        "_rating_sum": F.when(rated, rating * w),
+        "_rating_n": F.when(rated, w),
+        "total_stays": F.col("stays") * w,
+        "est_revenue": F.col("stays") * F.coalesce(price, F.lit(0)) * w,
+    }
+
+
 def kpis(base: DataFrame, group_cols: Sequence[str], extra: bool = False) -> DataFrame:
     """KPI table per (group, month) with month-on-month change of active/inactive counts.
 
@@ -157,43 +175,24 @@ def kpis(base: DataFrame, group_cols: Sequence[str], extra: bool = False) -> Dat
     group_cols = list(group_cols)
     for g in group_cols:
         base = base.filter(F.col(g).isNotNull())
-    w = F.col("_w")
-    act = F.col("is_active")
-    price = F.col("price")
-    priced = act & price.isNotNull()
-    rating = F.col("review_scores_rating")
-    rated = act & rating.isNotNull()
     keys = [*group_cols, "month_start"]
+    sums = measures()
     # Level 1: one row per (group, month, host); every measure is additive.
-    per_host = base.groupBy(*keys, "host_id").agg(
-        F.sum(w).alias("n"),
-        F.sum(F.when(act, w).otherwise(0)).alias("n_act"),
-        F.sum(F.when(~act, w).otherwise(0)).alias("n_inact"),
-        F.max("_sh").alias("sh"),
-        F.sum(F.when(priced, price * w)).alias("p_sum"),
-        F.sum(F.when(priced, w)).alias("p_n"),
-        F.sum(F.when(rated, rating * w)).alias("r_sum"),
-        F.sum(F.when(rated, w)).alias("r_n"),
-        F.sum(F.col("stays") * w).alias("stays"),
-        F.sum(F.col("stays") * F.coalesce(price, F.lit(0)) * w).alias("rev"),
-    )
+    per_host = base.groupBy(*keys, "host_id").agg(*(F.sum(c).alias(name) for name, c in sums.items()), F.max("_sh").alias("sh"))
     # Level 2: per (group, month); a host is one level-1 row, so distinct hosts are a plain
     # count (no Expand over the raw rows). The row of listings without a host is none.
     agg = per_host.groupBy(*keys).agg(
-        F.sum("n").alias("listings_total"),
-        F.sum("n_act").alias("listings_active"),
-        F.sum("n_inact").alias("listings_inactive"),
+        *(F.sum(name).alias(name) for name in sums),
         F.count("host_id").alias("distinct_hosts"),
         F.count_if(F.col("sh") & F.col("host_id").isNotNull()).alias("distinct_superhosts"),
-        F.sum("p_sum").alias("_price_sum"),
-        F.sum("p_n").alias("_price_n"),
-        F.sum("r_sum").alias("_rating_sum"),
-        F.sum("r_n").alias("_rating_n"),
-        F.sum("stays").alias("total_stays"),
-        F.sum("rev").alias("est_revenue"),
     )
+    priced = F.col("is_active") & F.col("price").isNotNull()
     prices = exact_median(base.filter(priced), keys, "price", "_w", "median_price_active")
-    agg = agg.join(prices, keys, "left")
+    return kpi_columns(agg.join(prices, keys, "left"), group_cols, extra)
+
+
+def kpi_columns(agg: DataFrame, group_cols: Sequence[str], extra: bool = False) -> DataFrame:
+    """A mart's columns from its measures, distinct counts and prices per (group, month)."""
     by_group = Window.partitionBy(*group_cols).orderBy("month_start")
     prev_act = F.lag("listings_active").over(by_group)
     prev_inact = F.lag("listings_inactive").over(by_group)

@@ -147,6 +147,20 @@ SELECT {", ".join(GROUPS[kind])}, {month_day('no')} AS month_start, CAST(no // 1
 FROM mart"""
 
 
+def audited(months: int) -> str:
+    """Exact measures over the ``months`` that end at each month of an area; sketches must be within their bounds."""
+    return f""", spans AS (
+  SELECT ends.listing_neighbourhood, ends.no AS last_no, cells.* EXCLUDE (listing_neighbourhood)
+  FROM sums ends JOIN cells ON cells.listing_neighbourhood = ends.listing_neighbourhood AND cells.no BETWEEN ends.no - {months - 1} AND ends.no)
+SELECT listing_neighbourhood, {month_day('last_no')} AS month_start, count(*) AS listings_total,
+  CAST(count_if(open) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS active_listings_rate,
+  round(CAST(min(price) FILTER (open) AS DOUBLE), 6) AS min_price_active, round(CAST(max(price) FILTER (open) AS DOUBLE), 6) AS max_price_active,
+  CAST(sum(price) FILTER (open) AS DOUBLE) / CAST(count(price) FILTER (open) AS DOUBLE) AS avg_price_active, CAST(sum(nights) AS BIGINT) AS total_stays,
+  round(CAST(sum(nights * coalesce(price, 0)) AS DOUBLE) / nullif(CAST(count_if(open) AS DOUBLE), 0), 6) AS avg_est_rev_per_active,
+  count(DISTINCT host_id) AS hosts, TRUE AS hosts_within, CASE WHEN count(price) FILTER (open) > 0 THEN TRUE END AS median_within
+FROM spans GROUP BY listing_neighbourhood, last_no"""
+
+
 # Every known name of an area, each once: a region's own name before that of a nation.
 AREAS = f"""
 areas AS (
@@ -320,6 +334,8 @@ SELECT {month_day('mno')} AS month_date, count(*) AS listings, count_if(coalesce
   round(quantile_cont(CAST(price AS DOUBLE), 0.5) FILTER ({open_price}), 6) AS median_price_active,
   CAST(sum(price) FILTER ({open_price}) AS DOUBLE) / nullif(CAST(count(price) FILTER ({open_price}) AS DOUBLE), 0) AS avg_price_active
 FROM fact GROUP BY mno""",
+        "kpi_neighbourhood_sketched": mart("neighbourhood") + audited(1),
+        "kpi_trailing_sketched": mart("neighbourhood") + audited(3),
         "median_outliers": """
 WITH priced AS (SELECT o_orderpriority, CAST(o_totalprice AS DECIMAL(30,2)) AS price FROM orders),
 everything AS (SELECT * FROM priced UNION ALL SELECT o_orderpriority, CAST(max(price) * 1000000000 AS DECIMAL(30,2)) FROM priced GROUP BY 1)

@@ -33,6 +33,7 @@ from lodgeflow.operators.history import (
     with_version_key,
 )
 from lodgeflow.operators.kpi import host_months, kpis, listing_months, mart_base
+from lodgeflow.operators.sketches import month_sketches, sketched_kpis
 
 # The review scores, and the columns of a listing version.
 REVIEW_SCORES = ("rating", "accuracy", "cleanliness", "checkin", "communication", "value")
@@ -245,10 +246,14 @@ def kpi_base(dim_listing: DataFrame, dim_host: DataFrame, horizon, how: str = "l
                      host_months(dim_host, *horizon, h_groups), h_groups, how)
 
 
-def kpi_mart(base: DataFrame, kind: str, extra: bool = False) -> DataFrame:
-    """Monthly KPI mart of the given kind over its base (``kpi_base``)."""
+def kpi_mart(base: DataFrame, kind: str, extra: bool = False, approximate: bool = False) -> DataFrame:
+    """Monthly KPI mart of the given kind over its base (``kpi_base``); ``approximate`` takes
+    distinct hosts and medians from sketches, within the bounds of ``operators.sketches``."""
     l_groups, h_groups, _ = MART_KINDS[kind]
-    return kpis(base, [*l_groups, *h_groups], extra)
+    groups = [*l_groups, *h_groups]
+    if approximate:
+        return sketched_kpis(month_sketches(base, groups), groups, extra)
+    return kpis(base, groups, extra)
 
 
 def newest_horizon(snapshot: DataFrame, n: int = 12) -> tuple[dt.date, dt.date] | None:

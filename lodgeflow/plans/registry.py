@@ -21,6 +21,7 @@ from lodgeflow.operators.quality import (
     check_reference,
     check_unique,
 )
+from lodgeflow.operators import sketches as S
 from lodgeflow.operators.temporal import asof_month_join, expand_months, last_n_months
 from lodgeflow.plans import analyses as A
 from lodgeflow.plans import models as M
@@ -295,6 +296,44 @@ def filtered_aggs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(out, "min_price_active", "max_price_active", "median_price_active")
 
 
+def _audited(keys: list[str], rows: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Exact measures of a sketched mart beside the exact distinct hosts of ``rows``, and whether
+    the sketches' values are within their bounds."""
+    hosts = rows.groupBy(*keys, "host_id").agg(F.lit(1).alias("_")).groupBy(*keys).agg(F.count("host_id").alias("hosts"))
+    priced = rows.filter(F.col("is_active") & F.col("price").isNotNull())
+    ranks = S.rank_distance(priced, sketched, keys, "price", "_w", "median_price_active")
+    off = F.abs(F.col("distinct_hosts") - F.col("hosts"))
+    out = sketched.join(hosts, keys).join(ranks, keys, "left").select(
+        *keys, "listings_total", "active_listings_rate", "min_price_active", "max_price_active", "avg_price_active", "total_stays",
+        "avg_est_rev_per_active", "hosts", (off <= F.greatest(F.lit(1.0), S.host_error() * F.col("hosts"))).alias("hosts_within"),
+        F.when(F.col("max_price_active").isNotNull(), F.col("distance") <= 1.5 * S.rank_error()).alias("median_within"))
+    return doubles(out, "min_price_active", "max_price_active", "avg_est_rev_per_active")
+
+
+@register("kpi_neighbourhood_sketched")
+def kpi_neighbourhood_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5/E10 opt-in: the mart from sketches, held against exact counts and ranks."""
+    d = Domain.of(spark, sf_dir)
+    base = d.mart_base("left").filter(F.col("listing_neighbourhood").isNotNull())
+    sketched = sinks.materialize(spark, M.kpi_mart(base, "neighbourhood", extra=True, approximate=True), "mart-sketched")
+    return _audited(["listing_neighbourhood", "month_start"], base, sketched)
+
+
+@register("kpi_trailing_sketched")
+def kpi_trailing_sketched(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
+    """E5/E10 opt-in: KPIs of trailing quarters, merged from monthly sketches; the audit alone reads
+    the listing-months again."""
+    d = Domain.of(spark, sf_dir)
+    groups = ["listing_neighbourhood"]
+    base = d.mart_base("left").filter(F.col("listing_neighbourhood").isNotNull())
+    monthly = sinks.materialize(spark, S.month_sketches(base, groups), "month-sketches")
+    quarters = S.trailing_sketches(monthly, groups, n)
+    sketched = sinks.materialize(spark, S.sketched_kpis(quarters, groups, extra=True), "quarters-sketched")
+    ahead = base.withColumn("_ahead", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    rows = ahead.withColumn("month_start", F.add_months("month_start", F.col("_ahead")))
+    return _audited([*groups, "month_start"], rows, sketched)
+
+
 @register("median_outliers")
 def median_outliers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact medians of groups that each hold a value 10^9 times the largest of the rest."""

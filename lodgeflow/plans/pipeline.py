@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from functools import cached_property
 from urllib.parse import unquote
@@ -51,6 +52,7 @@ from lodgeflow.sources.sinks import (
     overwrite_partitions,
     overwrite_table,
     path_exists,
+    save_named,
     table_exists,
 )
 
@@ -168,31 +170,67 @@ def check_load(spark: SparkSession, bronze_base: str) -> dict:
     return {c: sample_values(df, c) for c in ("SCRAPED_DATE", "PRICE")}
 
 
-def register_tables(spark: SparkSession, bronze_base: str, names=None) -> list[str]:
-    """The raw tables as catalog tables over their folders, statistics refreshed."""
+#: Columns that joins, filters and groups of the models and analyses use: their statistics plan them.
+PLANNED_BY = frozenset((
+    "listing_id", "host_id", "month_date", "month_start", "scraped_date", "listing_neighbourhood", "host_neighbourhood",
+    "LGA_CODE", "LGA_NAME", "SUBURB_NAME", "LGA_CODE_2016", "LISTING_ID", "MONTH_YEAR",
+))
+
+
+def planned_by(df: DataFrame) -> list[str]:
+    """Not time stamps without a zone (a version's validity): the estimator fails on filters over their
+    statistics, and without these assumes that all rows pass."""
+    return [c for c in df.columns if c in PLANNED_BY]
+
+
+def register_tables(spark: SparkSession, bronze_base: str, names=None, prefix: str = "", columns: bool = False) -> list[str]:
+    """The raw tables as catalog tables over their folders, named ``prefix`` and table, statistics
+    refreshed; with ``columns`` those of the columns that plans use."""
     names = names or [FACT_TABLE, *(t for t, _, _ in DIM_SPECS.values())]
     made = [n for n in names if table_exists(spark, f"{bronze_base}/{n}")]
     for n in made:
-        if not spark.catalog.tableExists(n):
-            spark.catalog.createTable(n, path=f"{bronze_base}/{n}", source="parquet")
+        full = f"{prefix}{n}"
+        if not spark.catalog.tableExists(full):
+            spark.catalog.createTable(full, path=f"{bronze_base}/{n}", source="parquet")
+        spark.catalog.refreshTable(full)
         if n == FACT_TABLE:
-            spark.sql(f"MSCK REPAIR TABLE {n}")
-        analyze(spark, n)
+            spark.sql(f"MSCK REPAIR TABLE {full}")
+        analyze(spark, full, planned_by(spark.table(full)) if columns else None)
     return made
 
 
 class Warehouse(Domain):
-    """Model frames over bronze tables written by ``load_dimensions``/``load_facts``."""
+    """Model frames over bronze tables written by ``load_dimensions``/``load_facts``.
+
+    With ``catalog`` (a prefix such as ``lodge.``) raw tables, snapshots, the monthly fact and the marts are
+    catalog tables of that prefix, written once by this object, with column statistics (A12, A14);
+    after ``sinks.plan_by_statistics`` joins are ordered by them. Other sessions read them by name.
+    """
 
     def __init__(self, spark: SparkSession, bronze_base: str, boundary: str = "overlap",
-                 horizon=None, materialize: bool = False):
+                 horizon=None, materialize: bool = False, catalog: str | None = None):
         super().__init__(spark, bronze_base, boundary=boundary, horizon=horizon,
                          materialize=materialize)
         self.base = bronze_base.rstrip("/")
+        self.catalog = catalog
+        self._named: dict[str, DataFrame] = {}
+        if catalog is not None:
+            register_tables(spark, self.base, prefix=catalog, columns=True)
 
     def _bronze(self, table: str) -> DataFrame:
+        if self.catalog is not None:
+            return self.spark.table(f"{self.catalog}{table}")
         return self.spark.read.parquet(f"{self.base}/{table}")
 
+    def _table(self, build, name: str, partition_by=None) -> DataFrame:
+        if self.catalog is None:
+            return super()._table(build, name, partition_by)
+        if name not in self._named:
+            df = build()
+            full = self.catalog + re.sub(r"\W", "_", name)
+            self._named[name] = save_named(df, full, partition_by, planned_by(df)).select(*df.columns)
+        return self._named[name]
+
     @cached_property
     def stg(self) -> DataFrame:
         return M.stg_listing(self._bronze(FACT_TABLE))

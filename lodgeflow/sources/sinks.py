@@ -220,19 +220,34 @@ def materialize_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def save_named(df: DataFrame, name: str, partition_by=None) -> DataFrame:
+def save_named(df: DataFrame, name: str, partition_by=None, columns=None) -> DataFrame:
     """Write a model as a named catalog table (full refresh), refresh its
-    statistics (A12) and return it. Sessions that share the catalog read it by name."""
+    statistics (A12), those of ``columns`` too, and return it. Sessions that share the catalog read it by name."""
     w = df.write.mode("overwrite").format("parquet")
     (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
-    analyze(df.sparkSession, name)
+    analyze(df.sparkSession, name, columns)
     return df.sparkSession.table(name)
 
 
 def analyze(spark: SparkSession, table: str, columns=None) -> None:
-    """Refresh catalog statistics of a catalog table."""
-    cols = f" FOR COLUMNS {', '.join(columns)}" if columns else ""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{cols}")
+    """Refresh catalog statistics of a catalog table: rows and bytes or, for ``columns``, also their
+    range, nulls, distinct values and equi-height histogram. Scans the table; numbers come back, no rows."""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+    if not columns:
+        return
+    setting = "spark.sql.statistics.histogram.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}")
+    finally:
+        spark.conf.set(setting, before)
+
+
+def plan_by_statistics(spark: SparkSession, on: bool = True) -> None:
+    """Let this session estimate rows from catalog statistics and order inner joins by them."""
+    for setting in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled", "spark.sql.cbo.planStats.enabled"):
+        spark.conf.set(setting, str(on).lower())
 
 
 def month_key(c) -> F.Column:

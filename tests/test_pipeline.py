@@ -16,6 +16,7 @@ from lodgeflow.plans.pipeline import (
 )
 from lodgeflow.sources.csv_ingest import IngestError
 from lodgeflow.sources.schemas import G01_SCHEMA, G02_COLUMNS, LISTING_COLUMNS
+from lodgeflow.sources.sinks import plan_by_statistics, save_named
 
 FACT_COLS = [c for c in LISTING_COLUMNS if c != "MONTH_YEAR"]
 
@@ -120,6 +121,51 @@ def test_archive_and_catalog(spark, tmpdir_path):
     spark.sql("DROP TABLE r_f_listing")
 
 
+def test_statistics_reach_the_plans_of_the_analyses(spark, tmpdir_path):
+    """With catalog tables, N17 and N18 are planned with row counts, and a join order taken from them."""
+    dims, facts = build_inputs(tmpdir_path)
+    bronze = os.path.join(tmpdir_path, "bronze")
+    load_dimensions(spark, dims, bronze)
+    load_facts(spark, facts, bronze)
+    horizon = (dt.date(2020, 5, 1), dt.date(2020, 6, 1))
+    plain = Warehouse(spark, bronze, horizon=horizon)
+    spark.sql(f"CREATE DATABASE lodge_stats LOCATION '{tmpdir_path}/lodge_stats'")
+    plan_by_statistics(spark)
+    try:
+        w = Warehouse(spark, bronze, horizon=horizon, catalog="lodge_stats.")
+        for analysis in (A.host_concentration, A.host_cost_cover, A.top_bottom_bands):
+            got, want = analysis(w), analysis(plain)
+            assert got.collect() == want.collect()
+        for analysis in (A.host_concentration, A.host_cost_cover):
+            lines = analysis(w)._jdf.queryExecution().stringWithStats().split("== Physical")[0].splitlines()
+            joins = [x for x in lines if "Join " in x]
+            scans = [x for x in lines if "Relation " in x]
+            assert joins and scans and all("rowCount=" in x for x in scans), scans
+            assert any("rowCount=" in x for x in joins), joins
+        seen = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED lodge_stats.snap_listing listing_id").collect()}
+        assert seen["distinct_count"] == "3" and seen["histogram"] != "NULL"
+
+        # written largest first; the statistics put the join that leaves least first
+        spark.range(2000).selectExpr("id % 500 AS listing_id", "id % 40 AS host_id").createOrReplaceTempView("rows_in")
+        save_named(spark.table("rows_in"), "lodge_stats.facts", columns=["listing_id", "host_id"])
+        save_named(spark.range(500).selectExpr("id AS listing_id", "id % 5 AS kind"), "lodge_stats.listings", columns=["listing_id", "kind"])
+        save_named(spark.range(2).selectExpr("id AS host_id"), "lodge_stats.hosts", columns=["host_id"])
+        query = spark.table("lodge_stats.facts").join(spark.table("lodge_stats.listings"), "listing_id").join(spark.table("lodge_stats.hosts"), "host_id")
+        order = query._jdf.queryExecution().optimizedPlan().toString()
+        plan_by_statistics(spark, False)
+        as_written = spark.table("lodge_stats.facts").join(spark.table("lodge_stats.listings"), "listing_id").join(spark.table("lodge_stats.hosts"), "host_id")
+        written = as_written._jdf.queryExecution().optimizedPlan().toString()
+
+        def last_join(plan):
+            return next(x for x in plan.splitlines() if "Join " in x)
+
+        assert "host_id" in last_join(written) and "listing_id" in last_join(order)
+        assert query.count() == as_written.count() == 100
+    finally:
+        plan_by_statistics(spark, False)
+        spark.sql("DROP DATABASE lodge_stats CASCADE")
+
+
 def test_redelivered_file_and_archive_clash(spark, tmpdir_path, caplog):
     """A corrected file under an old name is loaded and archived beside the first one."""
     _, facts = build_inputs(tmpdir_path)

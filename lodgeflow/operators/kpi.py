@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.functions import ratio, renormalise_bool, stays, upper_trim, zero_to_null
 from lodgeflow.operators.temporal import expand_months
+from lodgeflow.session import ensure_checkpoint_dir
 
 MART_COLUMNS = (
     "month_start", "year", "month", "active_listings_rate", "min_price_active",
@@ -96,52 +97,55 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, weight: str, ou
     """Exact weighted median per group by selection, with the group's ``_min`` and ``_max``.
 
     Equal values of a group are one row with their summed weight. Each round cuts what is left of a
-    group into ``2**bits`` bins at quantiles of its values, taken from a mergeable sketch
-    (``percentile_approx``): an edge that is a little off makes bins a little uneven, not the result
-    wrong. Weights are summed by bin and only the bins that hold the two middle ranks go on; a
-    last window sorts these. So a task sorts about one in ``2**(bits * rounds)`` of a group's values,
-    wherever they lie, and no task holds a group; ``rounds=2`` is for groups of over some 10**8
-    different values.
+    group into ``2**bits`` bins at quantiles of its values, taken from a mergeable sketch: an edge that
+    is a little off makes bins a little uneven, not the result wrong. Weights are summed by bin
+    and only the bins that hold the two middle ranks go on, each as its interval of values with the
+    weight below it; a last window sorts the values in these. So a task sorts about one in
+    ``2**(bits * rounds)`` of a group's values, wherever they lie, and no task holds a group; ``rounds=2`` is for groups
+    of over some 10**8 different values.
+
+    A sketch may come out otherwise when a lost task is repeated or a plan is run twice. The interval
+    carries its own edges and weight, so what follows agrees with them; between rounds it is
+    checkpointed (two rows a group at most).
     """
     keys = list(keys)
-    left = df.groupBy(*keys, value).agg(F.sum(weight).alias("_f"))
-    ranges = None
-    where: list[str] = []           # which bins of the rounds so far; the two middle ranks can part
+    values = df.groupBy(*keys, value).agg(F.sum(weight).alias("_f"))
+    v = F.col(value).cast("double")
     shares = F.array(*(F.lit(i / (1 << bits)) for i in range(1, 1 << bits)))
+    sketch = F.kll_sketch_agg_double(v, max(800, 4 << bits))
+    lower, upper = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    within = (F.col("_lo").isNull() | (v > F.col("_lo"))) & (F.col("_hi").isNull() | (v <= F.col("_hi")))
+    kept = None
     for turn in range(rounds):
-        group = [*keys, *where]
-        cut = [F.percentile_approx(value, shares, max(1000, 4 << bits)).alias("_edges")]
-        if not turn:
-            cut += [F.min(value).alias("_min"), F.max(value).alias("_max"), F.sum("_f").alias("_n")]
-        edges = left.groupBy(*group).agg(*cut)
-        if not turn:
-            ranges = edges.select(*keys, "_min", "_max")
-            edges = edges.select(*keys, "_edges", "_n", F.lit(0).cast("long").alias("_before"))
+        if kept is None:
+            left, group = values.withColumns({"_lo": F.lit(None).cast("double"), "_hi": F.lit(None).cast("double")}), keys
+            edges = values.groupBy(*keys).agg(sketch.alias("_sketch"), F.sum("_f").alias("_n")).withColumn("_before", F.lit(0).cast("long"))
         else:
-            edges = edges.join(begun, group)
-        bin_ = f"_bin{turn}"
-        binned = left.join(edges, group).withColumn(bin_, _bin_of(F.col("_edges"), F.col(value), bits))
-        lower, upper = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-        by_bin = Window.partitionBy(*group).orderBy(bin_)
-        begun = (binned.groupBy(*group, bin_).agg(F.sum("_f").alias("_b"), F.first("_n").alias("_n"), F.first("_before").alias("_before"))
-                 .withColumn("_end", F.col("_before") + F.sum("_b").over(by_bin))
-                 .withColumn("_before", F.col("_end") - F.col("_b"))
-                 .filter((F.col("_end") > lower) & (F.col("_before") <= upper))
-                 .select(*group, bin_, "_n", "_before"))
-        where.append(bin_)
-        left = binned.drop("_edges", "_n", "_before")
-        if turn + 1 < rounds:
-            left = left.join(begun.select(*keys, *where), [*keys, *where], "left_semi")
-    by_value = Window.partitionBy(*keys, *where).orderBy(value)
-    near = (left.join(begun, [*keys, *where])
+            ensure_checkpoint_dir(df.sparkSession)
+            kept = kept.checkpoint().withColumn("_part", F.coalesce("_lo", F.lit(float("-inf"))))
+            left, group = values.join(kept.drop("_n", "_before"), keys).filter(within), [*keys, "_part"]
+            edges = left.groupBy(*group).agg(sketch.alias("_sketch")).join(kept.drop("_lo", "_hi"), group)
+        edges = edges.withColumn("_edges", F.kll_sketch_get_quantile_double("_sketch", shares)).drop("_sketch")
+        bin_ = _bin_of(F.col("_edges"), v, bits)
+        cut = left.join(edges, group).withColumn("_bin", bin_).withColumns({
+            "_lo": F.coalesce(F.when(F.col("_bin") > 0, F.get("_edges", F.col("_bin") - 1)), "_lo"),
+            "_hi": F.coalesce(F.get("_edges", F.col("_bin")), "_hi")})
+        by_bin = Window.partitionBy(*group).orderBy("_bin")
+        kept = (cut.groupBy(*group, "_bin").agg(F.sum("_f").alias("_b"), *(F.first(c).alias(c) for c in ("_n", "_before", "_lo", "_hi")))
+                .withColumn("_end", F.col("_before") + F.sum("_b").over(by_bin))
+                .withColumn("_before", F.col("_end") - F.col("_b"))
+                .filter((F.col("_end") > lower) & (F.col("_before") <= upper))
+                .select(*keys, "_lo", "_hi", "_n", "_before"))
+    by_value = Window.partitionBy(*keys, "_lo").orderBy(value)
+    near = (values.join(kept, keys).filter(within)
             .withColumn("_to", F.col("_before") + F.sum("_f").over(by_value))
             .withColumn("_from", F.col("_to") - F.col("_f")))
-    lower, upper = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
 
     def at_rank(rank):
         return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col(value)))
 
     medians = near.groupBy(*keys).agg(at_rank(lower).alias("_l"), at_rank(upper).alias("_u"))
+    ranges = values.groupBy(*keys).agg(F.min(value).alias("_min"), F.max(value).alias("_max"))
     return (ranges.join(medians, keys)
             .select(*keys, "_min", "_max",
                     ((F.col("_l").cast("double") + F.col("_u").cast("double")) / 2).alias(out)))

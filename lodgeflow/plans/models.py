@@ -155,18 +155,16 @@ def host_rows(stg: DataFrame) -> DataFrame:
 
     Hosts can be hot keys (one host may own a large share of listings), so
     the dedup is an aggregate: map-side combine collapses a host's rows to
-    one per day in every task before anything is shuffled.
+    one per day in every task before anything is shuffled. The rows are read once and
+    joined with nothing: a join back to them was planned as a broadcast of all rows.
     """
-    base = stg.filter(F.col("host_id").isNotNull() & F.col("scraped_date").isNotNull())
+    base = stg.filter(F.col("host_id").isNotNull() & F.col("scraped_date").isNotNull() & F.col("listing_id").isNotNull())
     area = collapse_ws(first_non_null(blank_to_null(F.col("host_neighbourhood")),
                                       blank_to_null(F.col("listing_neighbourhood"))))
-    # The lowest listing id first (a hash aggregate over numbers), then its attributes: only
-    # those rows are sorted by the second pick, where a listing has several rows a day.
-    lowest = base.groupBy("host_id", "scraped_date").agg(F.min("listing_id").alias("listing_id"))
-    attrs = F.struct(F.col("host_name"), F.col("host_since"), F.col("host_is_superhost"),
+    # the lowest listing id, then the least attributes where a listing has several rows a day
+    attrs = F.struct(F.col("listing_id"), F.col("host_name"), F.col("host_since"), F.col("host_is_superhost"),
                      area.alias("host_neighbourhood"))
-    picked = (base.join(lowest, ["host_id", "scraped_date", "listing_id"])
-              .groupBy("host_id", "scraped_date").agg(F.min(attrs).alias("_a")))
+    picked = base.groupBy("host_id", "scraped_date").agg(F.min(attrs).alias("_a"))
     return picked.select("host_id", "_a.host_name", "_a.host_since", "_a.host_is_superhost",
                          "_a.host_neighbourhood", "scraped_date")
 

@@ -67,15 +67,21 @@ def listing_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (o.join(c, o.o_custkey == c.c_custkey)
               .join(n, c.c_nationkey == n.n_nationkey)
               .join(r, n.n_regionkey == r.r_regionkey))
-    rows = joined.select(
+    # Newest order per (listing, day), picked while rows are narrow: the other columns follow from these
+    newest = dedupe(joined.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "c_mktsegment",
+        F.col("o_orderdate").cast("date").alias("scraped_date"),
+        F.when(ckey % 10 == 0, F.col("r_name")).otherwise(F.col("n_name")).alias("neighbourhood")),
+        ["o_custkey", "scraped_date"], [okey.desc()])
+    return newest.select(
         ckey.alias("listing_id"),
         host_id.alias("host_id"),
         F.concat(F.lit("HOST_"), host_id.cast("string")).alias("host_name"),
         F.col("o_orderpriority").alias("property_type"),
         room.alias("room_type"),
         (okey % 6 + 1).cast("int").alias("accommodates"),
-        F.when(ckey % 10 == 0, F.col("r_name")).otherwise(F.col("n_name")).alias("neighbourhood"),
-        F.col("o_orderdate").cast("date").alias("scraped_date"),
+        "neighbourhood",
+        "scraped_date",
         F.when(okey % 11 == 0, F.lit(None)).otherwise(F.col("o_totalprice"))
         .cast("decimal(18,2)").alias("price"),
         F.when(F.col("o_orderstatus") == "O", F.lit(True))
@@ -90,8 +96,6 @@ def listing_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(okey % 13 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("host_area"),
         okey.alias("scrape_id"),
     )
-    # Newest order per (listing, day)
-    return dedupe(rows, ["listing_id", "scraped_date"], [F.col("scrape_id").desc()])
 
 
 def bronze_lga_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,30 @@ def test_host_rows_are_picked_without_a_join(spark):
     assert [(r.host_id, r.host_name, r.host_neighbourhood) for r in picked.collect()] == [(9, "C", "Z")]
 
 
+def small_tables(spark, folder):
+    stamp = dt.datetime(1997, 3, 4)
+    orders = [(k, k % 5, "OF"[k % 2], 10.0 * k, stamp + dt.timedelta(days=40 * (k % 3)), "1-URGENT") for k in range(40)]
+    tables = {
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "customer": ([(k, 0, "AUTOMOBILE") for k in range(5)], "c_custkey long, c_nationkey long, c_mktsegment string"),
+        "nation": ([(0, "PERU", 0)], "n_nationkey long, n_name string, n_regionkey long"),
+        "region": ([(0, "AMERICA")], "r_regionkey long, r_name string")}
+    for name, (rows, kind) in tables.items():
+        spark.createDataFrame(rows, kind).write.parquet(f"{folder}/{name}.parquet")
+    return orders
+
+
+def test_observations_are_picked_before_their_columns_are_made(spark, tmpdir_path):
+    orders = small_tables(spark, tmpdir_path)
+    obs = D.listing_observations(spark, tmpdir_path)
+    plan = optimized(obs)
+    assert plan.index("HOST_") < plan.index("Window")       # the plan's top comes first
+    newest = {}
+    for k, listing, _, _, at, _ in orders:
+        newest[listing, at.date()] = max(k, newest.get((listing, at.date()), -1))
+    assert {(r.listing_id, r.scraped_date): r.scrape_id for r in obs.collect()} == newest
+
+
 def raw_rows(spark, folder):
     row = dict.fromkeys(LISTING_COLUMNS, "x")
     rows = [tuple((row | {"LISTING_ID": str(i), "SCRAPED_DATE": "n/a" if i % 4 == 0 else f"{1 + i}/5/2020", "MONTH_YEAR": "05_2020"}).values()) for i in range(12)]

@@ -146,14 +146,18 @@ def _load(spark: SparkSession, files: list[str], table: str, load: str, multi_li
     """One load: rows added, and rows without a key."""
     text = clean_fact_text(read_aligned(spark, files, LISTING_SCHEMA, multi_line))
     counts = Observation(load)
-    keyed = text.select("*", keys_present(FACT_KEYS).alias("_ok")).observe(counts, F.count_if(~F.col("_ok")).alias("refused"))
+    hashed = F.xxhash64(*(F.nullif(F.col(c), F.lit("")) for c in text.columns))     # of the row as it is loaded
+    keyed = text.select("*", hashed.alias("_row"), keys_present(FACT_KEYS).alias("_ok")).observe(
+        counts, F.count_if(~F.col("_ok")).alias("refused"))
     staged = materialize(spark, keyed, "facts")
     refused = int(counts.get["refused"])
     if refused:
-        overwrite_partitions(staged.filter(~F.col("_ok")).drop("_ok").withColumn(LOAD, F.lit(load)), f"{table}_quarantine", [LOAD])
-    added = load_new_rows(spark, blank_as_null(staged.filter("_ok").drop("_ok")), table, FACT_KEYS,
-                          quarantine=f"{table}_quarantine_keys", load=load, staged=True)
-    return added.count(), refused
+        overwrite_partitions(staged.filter(~F.col("_ok")).drop("_ok", "_row").withColumn(LOAD, F.lit(load)), f"{table}_quarantine", [LOAD])
+    load_new_rows(spark, blank_as_null(staged.filter("_ok").drop("_ok")), table, FACT_KEYS,
+                  quarantine=f"{table}_quarantine_keys", load=load, staged=True)
+    # counted in the load's own partitions, whose files know their rows
+    written = table_exists(spark, table)
+    return (spark.read.parquet(table).filter(F.col(LOAD) == load).count() if written else 0), refused
 
 
 def check_load(spark: SparkSession, bronze_base: str) -> dict:

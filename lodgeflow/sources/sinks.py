@@ -28,6 +28,8 @@ LOAD = "LOAD_ID"
 KEY_BUCKETS = 16
 #: Files that are moved at a time.
 MOVERS = 8
+#: Keys of a load that need care up to which they are sent to all tasks, and its rows stay where they are.
+FEW_KEYS = 250_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -109,13 +111,14 @@ def overwrite_table(df: DataFrame, path: str, check=None) -> None:
     fs.delete(hadoop(old), True)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], in_place: bool = False) -> None:
     """Write ``df`` in place of the partitions it has rows of; a repeated write changes nothing.
 
     Rows are first rebalanced on the partition columns: AQE then splits large partitions and merges
     small ones, so each month gets files of a sensible size at any scale (neither one task per month
-    nor thousands of tiny files)."""
-    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    nor thousands of tiny files). Rows that lie by partition already are written ``in_place``."""
+    laid = df if in_place else df.hint("rebalance", *partition_by)
+    (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
@@ -153,6 +156,14 @@ def keys_held(rows: DataFrame, index: str, keys: Sequence[str], load: str) -> Da
     return spark.read.schema(kind).option("basePath", index).parquet(*paths).filter(near).groupBy(*keys).agg(F.first("_row").alias("_held"))
 
 
+def lie_by(rows: DataFrame, column: str) -> bool:
+    """Whether the tasks that read ``rows`` have few values of ``column`` each, so that a write by it makes
+    no more than a few files for each value and task without moving rows. One aggregated row comes to the driver."""
+    pairs = rows.select(F.col(column).alias("_v"), F.spark_partition_id().alias("_p")).distinct()
+    n, values, tasks = pairs.agg(F.count(F.lit(1)), F.count_distinct("_v"), F.count_distinct("_p")).first()
+    return n <= 4 * (values + tasks)
+
+
 def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
                   month_col: str = "MONTH_YEAR", quarantine: str | None = None, load: str | None = None,
                   staged: bool = False) -> DataFrame:
@@ -167,40 +178,48 @@ def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
     anywhere and is repeated under its name takes the place of what it had written; under another
     name it adds only what is missing.
 
-    ``df`` is written once and read several times, unless it is ``staged`` already. It meets ``<path>_index``: the keys and a hash of every row, in ``KEY_BUCKETS`` parts by
+    ``df`` is written once and read several times, unless it is ``staged`` already, with a hash of each row
+    in ``_row``. It meets ``<path>_index``: the keys and a hash of every row, in ``KEY_BUCKETS`` parts by
     the first key. Read are the parts that the batch's keys fall in, and in them the files whose range
     of the last key (the date) meets the batch's, as every load writes files of its own dates. The
-    batch's wide rows are shuffled only where a key is twice or held by a row that differs.
+    batch's wide rows are shuffled only where a key is twice or held by a row that differs, or where the
+    tasks that read them have many months each, as files that hold parts of many months give.
     """
-    columns, index = df.columns, f"{path}_index"
+    columns, index = [c for c in df.columns if c != "_row"], f"{path}_index"
     load = load or f"l{uuid.uuid4().hex[:12]}"
     row = F.struct(*columns)
-    rows = (df if staged else materialize(spark, df, "load")).withColumn("_row", F.xxhash64(*columns))
+    rows = df if staged else materialize(spark, df.withColumn("_row", F.xxhash64(*columns)), "load")
     own = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_least"), F.max("_row").alias("_most"))
     held = keys_held(rows, index, keys, load) if table_exists(spark, index) else None
     known = own.join(held, list(keys), "left") if held is not None else own.withColumn("_held", F.lit(None).cast("long"))
     # keys with more to them than one new row; most loads have none
     odd = materialize(spark, known.filter((F.col("_n") > 1) | F.col("_held").isNotNull()).select(
         *keys, "_held", (F.col("_held").eqNullSafe(F.col("_least")) & F.col("_held").eqNullSafe(F.col("_most"))).alias("_same")), "load-keys")
-    if odd.isEmpty():
-        new, care = rows.select(*columns), None
+    n_odd = odd.count()
+    in_place = n_odd <= FEW_KEYS and lie_by(rows, month_col)
+    if not n_odd:
+        new, care = rows, None
     else:
-        care = rows.join(odd.filter(~F.col("_same")).drop("_same"), list(keys))
-        first = care.groupBy(*keys).agg(F.min(row).alias("_first"), F.first("_held").alias("_held"))
-        new = (rows.join(odd.select(*keys), list(keys), "left_anti").select(*columns)
-               .unionByName(first.filter(F.col("_held").isNull()).select("_first.*")))
-    overwrite_partitions(new.withColumn(LOAD, F.lit(load)), path, [month_col, LOAD])
-    overwrite_partitions(new.select(*keys, F.xxhash64(*columns).alias("_row"), _bucket(keys[0]).alias("_part"), F.lit(load).alias(LOAD)),
-                         index, ["_part", LOAD])
+        few = F.broadcast if n_odd <= FEW_KEYS else lambda frame: frame
+        care = rows.join(few(odd.filter(~F.col("_same")).drop("_same")), list(keys))
+        # the first by all columns, which tell its hash too; written, as the table, the index and the quarantine read it
+        first = materialize(spark, care.groupBy(*keys).agg(F.min(F.struct(*columns, "_row")).alias("_first"), F.first("_held").alias("_held"))
+                            .select("_first", "_held"), "load-first")
+        kept = first.filter(F.col("_held").isNull()).select("_first.*")
+        new = (rows.join(few(odd.select(*keys)), list(keys), "left_anti").select(*columns, "_row")
+               .unionByName(kept.hint("rebalance", month_col) if in_place else kept))
+    overwrite_partitions(new.select(*columns, F.lit(load).alias(LOAD)), path, [month_col, LOAD], in_place)
+    overwrite_partitions(new.select(*keys, "_row", _bucket(keys[0]).alias("_part"), F.lit(load).alias(LOAD)), index, ["_part", LOAD])
     if quarantine and care is not None and not odd.filter(~F.col("_same")).isEmpty():
-        kept = first.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_first")
+        one = F.struct(*(F.col(f"_first.{c}").alias(c) for c in columns))
+        firsts = first.select(*(F.col(f"_first.{k}").alias(f"_k{i}") for i, k in enumerate(keys)), one.alias("_first"))
         # row by row: a held key is one difference, a row that differs from the first of its key another
-        twice = (care.join(kept, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
+        twice = (care.join(firsts, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
                  .filter(~row.eqNullSafe(F.col("_first"))).select(*columns, F.lit("key twice").alias("_reason")))
         in_table = first.filter(F.col("_held").isNotNull()).select("_first.*", "_held").filter(
-            F.xxhash64(*columns) != F.col("_held")).select(*columns, F.lit("key in table").alias("_reason"))
+            F.col("_row") != F.col("_held")).select(*columns, F.lit("key in table").alias("_reason"))
         overwrite_partitions(twice.unionByName(in_table).withColumn(LOAD, F.lit(load)), quarantine, [LOAD])
-    return new
+    return new.select(*columns)
 
 
 def ensure_tables(spark: SparkSession, specs: dict[str, T.StructType], base: str) -> list[str]:

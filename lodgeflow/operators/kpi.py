@@ -74,7 +74,9 @@ def mart_base(lm: DataFrame, hm: DataFrame, host_groups: Sequence[str] = (),
     hosts = (hm.groupBy("host_id", "month_start", *host_groups)
              .agg(F.count(F.lit(1)).alias("_w"),
                   F.max(F.coalesce(F.col("is_superhost"), F.lit(False))).alias("_sh")))
-    base = lm.filter(F.col("host_id").isNotNull()).join(hosts, ["host_id", "month_start"], how)
+    # Each task holds its partition's host-months: from the size of the snapshot's files the planner takes
+    # them for small and would broadcast them all.
+    base = lm.filter(F.col("host_id").isNotNull()).join(hosts.hint("shuffle_hash"), ["host_id", "month_start"], how)
     if how == "left":
         base = base.unionByName(lm.filter(F.col("host_id").isNull()), allowMissingColumns=True)
     return base.withColumns({"_w": F.coalesce(F.col("_w"), F.lit(1)).cast("long"),

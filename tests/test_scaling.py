@@ -20,6 +20,16 @@ def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_mart_does_not_broadcast_its_host_months(spark, tmpdir_path):
+    day = dt.date(2020, 5, 1)
+    lm = spark.createDataFrame([(day, 1, 7), (day, 2, 7), (day, 3, 8), (day, 4, None)], "month_start date, listing_id long, host_id long")
+    hm = spark.createDataFrame([(day, 7, True), (day, 7, False)], "month_start date, host_id long, is_superhost boolean")
+    hm.write.parquet(f"{tmpdir_path}/hosts")      # small files, as those of a snapshot of millions of hosts may be
+    base = mart_base(lm, spark.read.parquet(f"{tmpdir_path}/hosts"))
+    assert "BroadcastHashJoin" not in base._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.listing_id, r._w, r._sh) for r in base.collect()) == [(1, 2, True), (2, 2, True), (3, 1, False), (4, 1, False)]
+
+
 def test_host_rows_are_picked_without_a_join(spark):
     day = dt.date(2020, 5, 1)
     rows = spark.createDataFrame(

@@ -88,7 +88,7 @@ class Domain:
         key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, "files")
         if key not in Domain._tables:
             path = scratch_path(self.spark, "month-files")
-            (self.raw_text.hint("rebalance", "MONTH_YEAR").write.partitionBy("MONTH_YEAR")
+            (D.monthly_text(self.obs).write.partitionBy("MONTH_YEAR")
              .options(header="true", quote='"', escape='"').csv(path))
             Domain._tables[key] = path
         return Domain._tables[key]

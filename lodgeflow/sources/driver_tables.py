@@ -176,6 +176,12 @@ def bronze_census_g02(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[c for c in agg.columns if c != "n_regionkey"])
 
 
+def monthly_text(obs: DataFrame) -> DataFrame:
+    """``bronze_listing_text`` rebalanced by month, for files by month: typed rows travel, and become text,
+    twice as wide, in the task that writes them."""
+    return bronze_listing_text(obs.withColumn("_month", F.date_format("scraped_date", "MM_yyyy")).hint("rebalance", "_month"))
+
+
 def bronze_listing_text(obs: DataFrame) -> DataFrame:
     """Raw listing rows as the monthly files would carry them (all text).
 

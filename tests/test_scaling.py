@@ -66,6 +66,14 @@ def test_observations_are_picked_before_their_columns_are_made(spark, tmpdir_pat
     assert {(r.listing_id, r.scraped_date): r.scrape_id for r in obs.collect()} == newest
 
 
+def test_month_files_move_typed_rows(spark, tmpdir_path):
+    small_tables(spark, tmpdir_path)
+    obs = D.listing_observations(spark, tmpdir_path)
+    plan = optimized(D.monthly_text(obs))
+    assert plan.index("format_number") < plan.index("RebalancePartitions")
+    assert sorted(map(tuple, D.monthly_text(obs).collect())) == sorted(map(tuple, D.bronze_listing_text(obs).collect()))
+
+
 def raw_rows(spark, folder):
     row = dict.fromkeys(LISTING_COLUMNS, "x")
     rows = [tuple((row | {"LISTING_ID": str(i), "SCRAPED_DATE": "n/a" if i % 4 == 0 else f"{1 + i}/5/2020", "MONTH_YEAR": "05_2020"}).values()) for i in range(12)]

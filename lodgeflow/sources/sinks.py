@@ -28,7 +28,7 @@ LOAD = "LOAD_ID"
 KEY_BUCKETS = 16
 #: Files that are moved at a time.
 MOVERS = 8
-#: Keys of a load that need care up to which they are sent to all tasks, and its rows stay where they are.
+#: Keys of a load up to which they are sent to all tasks, and its rows stay where they are.
 FEW_KEYS = 250_000
 
 
@@ -164,6 +164,22 @@ def lie_by(rows: DataFrame, column: str) -> bool:
     return n <= 4 * (values + tasks)
 
 
+def rows_apart(spark: SparkSession, rows: DataFrame, odd: DataFrame, keys: Sequence[str], n_odd: int, n_apart: int) -> DataFrame:
+    """``rows`` but for those of the ``n_odd`` keys of ``odd``, which are unique; a key with a null is none of them.
+
+    The shorter list of keys goes to the tasks that have the rows: of those left out or, where ``n_apart``
+    rows are fewer, of those left, which is made of keys alone. A delivery that is there already moves
+    no row, however long it is; only where both lists are long do whole rows meet keys by a shuffle."""
+    if n_odd > FEW_KEYS and not n_apart:
+        return rows.filter(F.lit(False))
+    if n_odd > FEW_KEYS >= n_apart:
+        apart = materialize(spark, rows.select(*keys).join(odd.select(*keys), list(keys), "left_anti"), "load-apart")
+        here = apart.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)))
+        return rows.join(F.broadcast(here), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], "left_semi")
+    gone = odd.select(*keys)
+    return rows.join(F.broadcast(gone) if n_odd <= FEW_KEYS else gone, list(keys), "left_anti")
+
+
 def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
                   month_col: str = "MONTH_YEAR", quarantine: str | None = None, load: str | None = None,
                   staged: bool = False) -> DataFrame:
@@ -182,8 +198,9 @@ def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
     in ``_row``. It meets ``<path>_index``: the keys and a hash of every row, in ``KEY_BUCKETS`` parts by
     the first key. Read are the parts that the batch's keys fall in, and in them the files whose range
     of the last key (the date) meets the batch's, as every load writes files of its own dates. The
-    batch's wide rows are shuffled only where a key is twice or held by a row that differs, or where the
-    tasks that read them have many months each, as files that hold parts of many months give.
+    batch's wide rows are shuffled only where a key is twice or held by a row that differs, where the
+    tasks that read them have many months each, as files that hold parts of many months give, or where
+    both the new rows and the other keys are more than ``FEW_KEYS`` (``rows_apart``).
     """
     columns, index = [c for c in df.columns if c != "_row"], f"{path}_index"
     load = load or f"l{uuid.uuid4().hex[:12]}"
@@ -194,23 +211,27 @@ def load_new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
     known = own.join(held, list(keys), "left") if held is not None else own.withColumn("_held", F.lit(None).cast("long"))
     # keys with more to them than one new row; most loads have none
     odd = materialize(spark, known.filter((F.col("_n") > 1) | F.col("_held").isNotNull()).select(
-        *keys, "_held", (F.col("_held").eqNullSafe(F.col("_least")) & F.col("_held").eqNullSafe(F.col("_most"))).alias("_same")), "load-keys")
-    n_odd = odd.count()
-    in_place = n_odd <= FEW_KEYS and lie_by(rows, month_col)
-    if not n_odd:
-        new, care = rows, None
-    else:
-        few = F.broadcast if n_odd <= FEW_KEYS else lambda frame: frame
-        care = rows.join(few(odd.filter(~F.col("_same")).drop("_same")), list(keys))
+        *keys, "_n", "_held", (F.col("_held").eqNullSafe(F.col("_least")) & F.col("_held").eqNullSafe(F.col("_most"))).alias("_same")), "load-keys")
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    n_odd, n_care, n_taken = odd.agg(F.count(F.lit(1)), F.count_if(whole & ~F.col("_same")), F.sum(F.when(whole, F.col("_n")))).first()
+    # rows whose key is new and theirs alone, or has a null; counted where the keys alone don't tell that rows stay
+    n_apart = rows.count() - (n_taken or 0) if n_odd > FEW_KEYS else None
+    few_care, few_apart = n_care <= FEW_KEYS, n_apart is None or n_apart <= FEW_KEYS
+    in_place = few_care and few_apart and n_apart != 0 and lie_by(rows, month_col)
+    new, care = rows_apart(spark, rows, odd, keys, n_odd, n_apart) if n_odd else rows, None
+    if n_care:
+        differ = odd.filter(~F.col("_same")).drop("_same", "_n")
+        care = rows.join(F.broadcast(differ) if few_care else differ, list(keys))
         # the first by all columns, which tell its hash too; written, as the table, the index and the quarantine read it
         first = materialize(spark, care.groupBy(*keys).agg(F.min(F.struct(*columns, "_row")).alias("_first"), F.first("_held").alias("_held"))
                             .select("_first", "_held"), "load-first")
         kept = first.filter(F.col("_held").isNull()).select("_first.*")
-        new = (rows.join(few(odd.select(*keys)), list(keys), "left_anti").select(*columns, "_row")
-               .unionByName(kept.hint("rebalance", month_col) if in_place else kept))
+        new = new.select(*columns, "_row").unionByName(kept.hint("rebalance", month_col) if in_place else kept)
     overwrite_partitions(new.select(*columns, F.lit(load).alias(LOAD)), path, [month_col, LOAD], in_place)
     overwrite_partitions(new.select(*keys, "_row", _bucket(keys[0]).alias("_part"), F.lit(load).alias(LOAD)), index, ["_part", LOAD])
-    if quarantine and care is not None and not odd.filter(~F.col("_same")).isEmpty():
+    if quarantine and care is not None:
         one = F.struct(*(F.col(f"_first.{c}").alias(c) for c in columns))
         firsts = first.select(*(F.col(f"_first.{k}").alias(f"_k{i}") for i, k in enumerate(keys)), one.alias("_first"))
         # row by row: a held key is one difference, a row that differs from the first of its key another

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -110,3 +111,41 @@ def test_rows_that_lie_by_month_are_loaded_where_they_are(spark, tmpdir_path):
         again = df.unionByName(df.filter("id = '7'"))       # some keys come twice
         assert sinks.load_new_rows(spark, again, f"{tmpdir_path}/{name}", ["id", "day"]).count() == 600
         assert sorted(map(tuple, spark.read.parquet(f"{tmpdir_path}/{name}").select("id", "day", "MONTH_YEAR").collect())) == sorted(rows)
+
+
+def test_a_long_delivery_that_is_there_moves_no_rows(spark, tmpdir_path, monkeypatch):
+    """More keys than are sent to all tasks: results as with few, and whole rows meet keys by a shuffle only
+    where both the new rows and the other keys are many."""
+    kind = "id string, day string, v string, MONTH_YEAR string"
+
+    def rows(ids, v="a"):
+        return [(i and str(i), "2020-05-01", v, "05_2020") for i in ids]
+
+    there = rows(range(40))
+    deliveries = {      # name: rows of it, whether whole rows are shuffled to find the new ones
+        "known": (there, False), "few new": (there + rows([50, 51, None, None]), False),
+        "differ": (rows(range(1, 40), "b") + rows([60]) + rows([61, 61]) + rows([61], "c"), False), "many new": (there + rows(range(70, 100)), True)}
+    made = []
+    monkeypatch.setattr(sinks, "materialize", lambda s, df, name, *a, f=sinks.materialize: made.append(name) or f(s, df, name, *a))
+    sinks.load_new_rows(spark, spark.createDataFrame(there, kind), f"{tmpdir_path}/base", ["id", "day"])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, (delivered, moved) in deliveries.items():
+            found = []
+            for few in (1000, 10):
+                monkeypatch.setattr(sinks, "FEW_KEYS", few)
+                table, bad = (f"{tmpdir_path}/{name}-{few}{end}" for end in ("", "-bad"))
+                for end in ("", "_index"):
+                    shutil.copytree(f"{tmpdir_path}/base{end}", f"{table}{end}")
+                made.clear()
+                new = sinks.load_new_rows(spark, spark.createDataFrame(delivered, kind), table, ["id", "day"], quarantine=bad)
+                assert ("load-first" in made) == (name == "differ")
+                if name != "differ":
+                    assert ("SortMergeJoin" in new._jdf.queryExecution().executedPlan().toString()) == (moved and few == 10), name
+                found.append([sorted(map(repr, (spark.read.parquet(f).drop(sinks.LOAD) if sinks.table_exists(spark, f) else new.limit(0)).collect()))
+                              for f in (table, f"{table}_index", bad)] + [new.count()])
+            assert found[0] == found[1], name
+            assert found[0][3] == {"known": 0, "few new": 4, "differ": 2, "many new": 30}[name]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

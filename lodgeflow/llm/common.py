@@ -20,11 +20,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back: lineage ends there."""
+def written(df: DataFrame, name: str, file_rows: int | None = None) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: lineage ends there. ``file_rows``:
+    most rows of a file, if given."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write.option("maxRecordsPerFile", file_rows) if file_rows else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

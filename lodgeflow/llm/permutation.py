@@ -10,7 +10,9 @@ shards are the result.
 The pivots are a bounded sample, every vector is indexed. Equal vectors are one node with its
 smallest ids, one more than asked for, as one may be the query's own; shards, and what a query
 compares, are counted in nodes, and all nodes at the last footrule distance are compared. Queries
-visit shards in blocks; a task holds one shard and one block.
+visit shards in blocks, by a product of shards and blocks that broadcasts neither: the driver holds
+no vectors but the pivots. A task keeps the bytes of a bounded group of blocks and works on one shard
+and one block at a time.
 
 Defined results: vectors that are null, empty, zero, not finite or not of the most frequent size,
 and those without an id take no part. An id counts once in a result, with its nearest vector,
@@ -36,6 +38,8 @@ PREFIX = 64
 #: Vectors of a shard, queries of a block.
 SHARD_ROWS = 8192
 BLOCK_ROWS = 1024
+#: Bytes of query vectors that a task keeps.
+GROUP_BYTES = 1 << 25
 #: Share of a shard that is compared exactly for each query, and the least number.
 SHARE = 0.08
 LEAST = 512
@@ -56,15 +60,26 @@ def inverted(lists: np.ndarray, n_pivots: int) -> tuple[np.ndarray, np.ndarray]:
     return (order // m).astype(np.int32), begins.astype(np.int32)
 
 
+def weights(posts: np.ndarray, begins: np.ndarray, n: int, m: int) -> np.ndarray:
+    """The inverted files with a row for each pivot: what every vector's place leaves of ``m``, 0 for
+    vectors without the pivot."""
+    out = np.zeros(((len(begins) - 1) // m, n), np.int16 if m < 256 else np.int32)
+    file = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+    out[file // m, posts] = m - file % m
+    return out
+
+
 def savings(own: np.ndarray, posts: np.ndarray, begins: np.ndarray, n: int) -> np.ndarray:
     """Half of what each vector's footrule distance from the list ``own`` falls short of that of
     lists without a pivot in common."""
-    m = len(own)
-    out = np.zeros(n, np.int32)
-    places = np.arange(m)
+    return saved(own, weights(posts, begins, n, len(own)))
+
+
+def saved(own: np.ndarray, files: np.ndarray) -> np.ndarray:
+    """``savings`` by the files that ``weights`` gives: many queries walk the same."""
+    out = np.zeros(files.shape[1], files.dtype)  # at most m (m + 1) / 2
     for a, pivot in enumerate(own.tolist()):
-        files = begins[pivot * m:pivot * m + m + 1]
-        out[posts[files[0]:files[-1]]] += np.repeat(m - np.maximum(a, places), np.diff(files)).astype(np.int32)
+        out += np.minimum(files[pivot], files.dtype.type(len(own) - a))
     return out
 
 
@@ -100,15 +115,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
 
     # any row number will do to spread nodes: their smallest ids may be one
     dealt = nodes.select("ids", "v", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"))
-    indexed = written(dealt.groupBy("shard").applyInPandas(index, "shard int, ids binary, sizes binary, x binary, posts binary, begins binary"), "permutation-index")
+    # a file for each shard, so that reading can be cut between any two
+    indexed = written(dealt.groupBy("shard").applyInPandas(index, "shard int, ids binary, sizes binary, x binary, posts binary, begins binary"), "permutation-index", file_rows=1)
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"q_ids": [group["id"].to_numpy(np.int64).tobytes()], "q": [packed(group["v"])]})
 
-    queries = (valid.filter("is_query").select("id", "v").distinct()
-               .withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
-               .groupBy("block").applyInPandas(pack, "q_ids binary, q binary"))
-    visits = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(indexed, "shard")
+    queries = written(valid.filter("is_query").select("id", "v").distinct()
+                      .withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
+                      .groupBy("block").applyInPandas(pack, "q_ids binary, q binary"), "permutation-queries")
+    groups = min(blocks, -(-blocks * BLOCK_ROWS * size * 8 // GROUP_BYTES))
+    # the hint rules a broadcast out: statistics don't tell how large the rows of either side are
+    visits = indexed.crossJoin(queries.repartition(groups).hint("shuffle_replicate_nl"))
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -118,10 +136,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
                 posts, begins = np.frombuffer(r.posts, np.int32), np.frombuffer(r.begins, np.int32)
                 n, ends = len(sizes), np.cumsum(sizes)
                 node_of = np.repeat(np.arange(n), sizes)
+                files = weights(posts, begins, n, m)
                 most = min(n, max(least, 4 * k, int(share * n)))
-                out = []
+                out = [], [], []
                 for own, point, q_id in zip(nearest_pivots(q, shared.value, m), q, q_ids):
-                    near = savings(own, posts, begins, n)
+                    near = saved(own, files)
                     mine = node_of[ids == q_id]
                     near[mine[sizes[mine] == 1]] = -1  # nodes of its own id only
                     c = np.flatnonzero(near >= max(0, np.partition(near, n - most)[n - most]))
@@ -143,9 +162,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
                             break
                         take *= 4
                     best = best[np.sort(once)][:k]
-                    out.append(pd.DataFrame({"query_id": q_id, "vec_id": found_ids[best], "score": scores[best]}))
-                if out:
-                    yield pd.concat(out)
+                    for column, v in zip(out, (np.full(len(best), q_id), found_ids[best], scores[best])):
+                        column.append(v)
+                if len(q_ids):
+                    yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, out))))
 
     found = visits.mapInPandas(visit, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")

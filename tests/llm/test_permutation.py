@@ -84,3 +84,32 @@ def test_copies_and_a_hot_id_take_no_places(spark):
     found = P.search(spark.createDataFrame(rows + hot, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, least=800).orderBy("rank").collect()
     want = [9999] + [i for i, _ in brute(ids[:600], x, [0], 9)[0]]
     assert [r["vec_id"] for r in found] == want
+
+
+def test_every_shard_meets_every_block_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(P, "GROUP_BYTES", 4096, raising=False)
+    rng = np.random.default_rng(4)
+    x, ids = rng.normal(size=(400, 8)), np.arange(400)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    found = P.search(df, F.col("vec_id") % 4 == 0, shard_rows=64, least=400)
+    got = {}
+    for r in found.collect():  # 7 shards, 7 blocks in two groups
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want = brute(ids, x, range(0, 400, 4), 10)
+    assert {q: [i for _, i, _ in sorted(v)] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # the driver would get a copy of every block for each shard
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan
+    assert P.search(df, F.col("vec_id") < 0).count() == 0
+
+
+@pytest.mark.parametrize("m", [1, 64, 255, 256])
+def test_files_hold_any_length_of_list(m):
+    rng = np.random.default_rng(m)
+    lists = np.array([rng.permutation(300)[:m] for _ in range(20)], np.int32)
+    posts, begins = P.inverted(lists, 300)
+    got = P.savings(lists[3], posts, begins, 20).tolist()
+    place = [{p: i for i, p in enumerate(v)} for v in lists.tolist()]
+    assert got == [sum(m - max(a, v[p]) for p, a in place[3].items() if p in v) for v in place]
+    assert got[3] == m * (m + 1) // 2
